@@ -133,6 +133,10 @@ def balanced_left_join(
     right = right.withColumn(marker, F.lit(True))
     condition = key_condition(cols(left_keys), cols(right_keys), null_safe)
 
+    if not null_safe:
+        # A missing key has no partner then, so such right rows cannot be hot.
+        for key in right_keys:
+            right = right.filter(col(key).isNotNull())
     hot = _hot_on_either_side(left, right, left_keys, right_keys, hot_rows)
     if not hot:
         return left.join(right, condition, "left")

@@ -18,44 +18,70 @@ from poolweave.functions.columns import cols
 from poolweave.functions.names import base_name
 from poolweave.functions.nulls import RAW_FILE_NULL_TOKENS, apply_null_tokens
 
+# Fixed values of the gzip format.
+GZIP_MAGIC = b"\x1f\x8b"
 GZIP_HEADER_BYTES = 10
+
 PIECE = 1 << 20
 LINES_PER_BATCH = 10_000
 NOT_GZIP = "Not a gzipped file"
+WHOLE_TEXT = (None, NOT_GZIP, "CRC check failed", "Trailing data")
 
 
 def inflate(content: bytes) -> tuple[bytes, str | None]:
-    """All members of a gzip file as far as they go, and what was wrong.
+    """All members of a gzip file as far as they go, and what was wrong first.
 
-    A file that does not start like gzip is taken as a bare deflate stream behind a
+    A file that does not start like gzip is taken as one bare deflate stream behind a
     header of the usual length.
     """
-    rest, plain = content, bytearray()
-    error = None
-    while rest:
-        proper = rest[:2] == b"\x1f\x8b"
-        if not proper:
+    plain, error = bytearray(), None
+    while content:
+        is_member = content.startswith(GZIP_MAGIC)
+        if not is_member:
             error = error or NOT_GZIP
-            if plain:
-                break
-        decoder = zlib.decompressobj(31 if proper else -zlib.MAX_WBITS)
-        data = rest if proper else rest[GZIP_HEADER_BYTES:]
-        try:
-            for start in range(0, len(data), PIECE):
-                plain += decoder.decompress(data[start : start + PIECE])
-                if decoder.eof:
-                    break
-            if not decoder.eof:
-                error = error or "Compressed file ended before the end-of-stream marker"
-                break
-        except zlib.error as problem:
-            error = error or str(problem)
+        body = content[_header_length(content) if is_member else GZIP_HEADER_BYTES :]
+        member, rest, problem = _inflate_stream(body)
+        plain += member
+        error = error or problem
+        if problem or not is_member:
+            break
+        check, size = rest[:4], rest[4:8]
+        if check != zlib.crc32(member).to_bytes(4, "little"):
+            error = error or "CRC check failed"
+        elif size != (len(member) % (1 << 32)).to_bytes(4, "little"):
+            error = error or "Incorrect length of data produced"
+        content = rest[8:].lstrip(b"\0")
+        if not content.startswith(GZIP_MAGIC):
+            error = error or ("Trailing data" if content else None)
             break
-        consumed = min(start + PIECE, len(data)) - len(decoder.unused_data)
-        rest = data[consumed:].lstrip(b"\0") if proper else b""
     return bytes(plain), error
 
 
+def _inflate_stream(data: bytes) -> tuple[bytes, bytes, str | None]:
+    """Output of a raw deflate stream, the bytes behind it, and the problem if any."""
+    decoder, output = zlib.decompressobj(-zlib.MAX_WBITS), bytearray()
+    for start in range(0, len(data), PIECE):
+        piece = data[start : start + PIECE]
+        try:
+            output += decoder.decompress(piece)
+        except zlib.error as problem:
+            return bytes(output), b"", str(problem)
+        if decoder.eof:
+            return bytes(output), data[start + len(piece) - len(decoder.unused_data) :], None
+    return bytes(output), b"", "Compressed file ended before the end-of-stream marker"
+
+
+def _header_length(data: bytes) -> int:
+    """Length of a gzip member header with its optional fields."""
+    flags, end = data[3] if len(data) > 3 else 0, GZIP_HEADER_BYTES
+    if flags & 4:
+        end += 2 + int.from_bytes(data[end : end + 2], "little")
+    for field in (8, 16):
+        if flags & field:
+            end = data.find(b"\0", end) + 1 or len(data)
+    return end + (2 if flags & 2 else 0)
+
+
 def _binary(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
     return (
         spark.read.format("binaryFile")
@@ -75,7 +101,9 @@ def probe_gzip(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
             headers, errors = [], []
             for content in batch["content"]:
                 plain, error = inflate(content)
-                first = plain.split(b"\n", 1)[0].decode("utf-8-sig", "replace")
+                first = plain[: (plain.find(b"\n") + 1 or len(plain) + 1) - 1].decode(
+                    "utf-8-sig", "replace"
+                )
                 headers.append(first.removesuffix("\r") or None)
                 errors.append(error)
             yield pd.DataFrame(
@@ -96,7 +124,7 @@ def recovered_lines(spark: SparkSession, paths: str | Sequence[str]) -> DataFram
                 plain, error = inflate(content)
                 found = plain.decode("utf-8-sig", "replace").split("\n")
                 # Behind damage the last line may be cut; behind a line end it is empty.
-                if error not in (None, NOT_GZIP) or found[-1] == "":
+                if error not in WHOLE_TEXT or found[-1] == "":
                     found = found[:-1]
                 for start in range(0, len(found), LINES_PER_BATCH):
                     piece = found[start : start + LINES_PER_BATCH]

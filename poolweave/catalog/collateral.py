@@ -11,12 +11,13 @@ from poolweave.functions.names import (
     ecb_pool_id,
     esma_pool_id,
     merged_name,
-    name_fields,
     safe_pool_id,
+    with_name_fields,
 )
 from poolweave.functions.nulls import RAW_FILE_NULL_TOKENS, apply_null_tokens
 from poolweave.operators import collateral as ops
 from poolweave.plans.checks import preview, random_file
+from poolweave.session import materialize
 
 
 @query(
@@ -143,7 +144,7 @@ def batch_errors(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _parsed(spark: SparkSession, sf_dir: str) -> DataFrame:
     files = v.file_names(spark, sf_dir)
-    return files.withColumns(name_fields(F.col("name"))).filter(F.col("category").isNotNull())
+    return with_name_fields(files, "name", matching_only=True)
 
 
 @query(v.PARSED_NAMES)
@@ -169,7 +170,7 @@ WHERE u.category = 'UE' AND c.place = 1
 """
 )
 def file_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return ops.pair_files(_parsed(spark, sf_dir))
+    return ops.pair_files(materialize(_parsed(spark, sf_dir), "file-names"))
 
 
 @query(

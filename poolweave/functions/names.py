@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from collections.abc import Sequence
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # Fixed value: the naming scheme of the regulatory files,
@@ -11,13 +13,32 @@ FILE_NAME_PATTERN = r"^1_(\w+)_(UE|Collateral)_(.+)_(\d{4}-\d{2}-\d{2})_(\d+)\.c
 FILE_NAME_FIELDS = ("asset_type", "category", "identifier", "date", "sequence")
 
 
-def name_fields(name: Column) -> dict[str, Column]:
-    """The five parts of a file name; null where the name has another form."""
-    matches = name.rlike(FILE_NAME_PATTERN)
-    return {
-        field: F.when(matches, F.regexp_extract(name, FILE_NAME_PATTERN, group))
-        for group, field in enumerate(FILE_NAME_FIELDS, start=1)
-    }
+_SEPARATOR = "\0"  # cannot occur in a file name
+_PARTS = "__name_parts"
+
+
+def with_name_fields(
+    df: DataFrame,
+    name: str,
+    fields: Sequence[str] = FILE_NAME_FIELDS,
+    *,
+    matching_only: bool = False,
+) -> DataFrame:
+    """Add the parts of a file name; null, or no row, where the name has another form.
+
+    The pattern takes the name apart in one go, and the fields pick their part.
+    """
+    marked = F.regexp_replace(
+        F.col(name),
+        FILE_NAME_PATTERN,
+        _SEPARATOR.join(f"${i}" for i in range(1, len(FILE_NAME_FIELDS) + 1)),
+    )
+    split = df.withColumn(_PARTS, F.split(marked, _SEPARATOR))
+    matches = F.size(_PARTS) == len(FILE_NAME_FIELDS)
+    if matching_only:
+        split = split.filter(matches)
+    parts = {f: F.col(_PARTS)[i] for i, f in enumerate(FILE_NAME_FIELDS) if f in fields}
+    return split.withColumns({f: F.when(matches, part) for f, part in parts.items()}).drop(_PARTS)
 
 
 def merged_name(loan_file_name: Column) -> Column:

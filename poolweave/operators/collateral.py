@@ -109,8 +109,9 @@ def join_statistics(
 def pair_files(files: DataFrame) -> DataFrame:
     """Loan files with the collateral file of the same asset type, pool and date.
 
-    ``files`` has ``name`` and the parsed name fields. With several collateral files
-    for a key the highest sequence counts, then the last name.
+    ``files`` has ``name`` and the parsed name fields, best as a written manifest: it
+    is read several times. With several collateral files for a key the highest
+    sequence counts, then the last name.
     """
     key = ["asset_type", "identifier", "date"]
     recency = F.struct(F.col("sequence").cast("decimal(38,0)"), F.col("name"))

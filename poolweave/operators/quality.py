@@ -16,6 +16,8 @@ CHECKED_COLUMNS = ("RREL3", "RREC3", "RREL6", "RREL1", "source")
 KEY_SEPARATOR = "|"
 SPOT_LOANS = 5
 
+_MISSING = "\0"
+
 
 def composite_key(keys: Sequence[str] = SORT_KEYS) -> Column:
     """Keys as one text: null if the first is null, other nulls count as empty."""
@@ -69,6 +71,11 @@ def row_text(columns: Sequence[str]) -> Column:
     return F.concat(*parts)
 
 
+def row_hash(columns: Sequence[str]) -> Column:
+    """A row as one 64-bit number, with missing values told from their neighbours."""
+    return F.xxhash64(*(F.coalesce(col(c).cast("string"), F.lit(_MISSING)) for c in columns))
+
+
 def loan_checksum(df: DataFrame, group: Sequence[str], loan: str = "RREL3") -> DataFrame:
     """Checksum of a group's loan ids with repetitions, whatever the row order.
 
@@ -188,26 +195,26 @@ def integrity_report(
     counts_differ = F.lit(len(before.columns) != len(after.columns))
     checked = [c for c in columns if c in shared and c not in group]
 
+    fields = sorted(c for c in shared if c not in group)
+
     def measured(df: DataFrame, prefix: str) -> DataFrame:
-        keyed = df.withColumn("__key", composite_key(keys))
-        # Two narrow aggregations: expanding whole rows per distinct count would
-        # repeat every column of the row checksum.
-        sums = df.groupBy(*cols(group)).agg(
-            F.count(F.lit(1)).alias("rows"),
-            F.sum(_digest(F.coalesce(col(keys[0]), F.lit("")))).alias("loan_checksum"),
-            F.sum(_digest(row_text(sorted(c for c in shared if c not in group)))).alias(
-                "row_checksum"
-            ),
+        # Wide rows become two numbers first: the expansion for several distinct
+        # counts then repeats narrow rows only.
+        narrow = df.select(
+            *cols(group),
+            *cols(checked),
+            composite_key(keys).alias("__key"),
+            row_hash([keys[0]]).cast("decimal(38,0)").alias("__loan"),
+            row_hash(fields).cast("decimal(38,0)").alias("__row"),
         )
-        distinct = keyed.groupBy(*cols(group)).agg(
+        found = narrow.groupBy(*cols(group)).agg(
+            F.count(F.lit(1)).alias("rows"),
+            F.sum("__loan").alias("loan_checksum"),
+            F.sum("__row").alias("row_checksum"),
             F.count_distinct("__key").alias("unique_keys"),
             *(F.count_distinct(col(c)).alias("distinct_" + c) for c in checked),
         )
-        distinct = distinct.withColumnsRenamed({g: "__" + g for g in group})
-        joined = sums.join(
-            distinct, key_condition(cols(group), cols("__" + g for g in group)), "inner"
-        ).drop(*("__" + g for g in group))
-        return joined.withColumnsRenamed({c: prefix + c for c in joined.columns})
+        return found.withColumnsRenamed({c: prefix + c for c in found.columns})
 
     left, right = measured(before, "b_"), measured(after, "a_")
     same_group = key_condition(cols("b_" + g for g in group), cols("a_" + g for g in group))

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from poolweave.functions.columns import detect_join_key, join_key_error
-from poolweave.functions.names import esma_pool_id, merged_name, name_fields
+from poolweave.functions.names import esma_pool_id, merged_name, with_name_fields
 from poolweave.operators.collateral import join_collateral, join_statistics, pair_files
 from poolweave.operators.columns import union_aligned
 from poolweave.session import materialize
@@ -42,7 +42,7 @@ class JoinedPairs:
 
 def file_pairs(spark: SparkSession, folder: str) -> DataFrame:
     """Pairs of files with the header line of both."""
-    files = raw_esma_files(spark, folder)
+    files = materialize(raw_esma_files(spark, folder), "esma-files")
     pairs = pair_files(files)
     paths = [row.path for row in files.select("path").collect()]
     headers = materialize(
@@ -126,8 +126,7 @@ def _join_combination(
 
     def read(header: str, paths: Sequence[str]) -> DataFrame:
         rows = read_header_group(spark, header, paths, positions=True)
-        fields = name_fields(F.col("file_name"))
-        return rows.withColumns({p: fields[p] for p in _PAIR_KEY})
+        return with_name_fields(rows, "file_name", _PAIR_KEY)
 
     loans = read(headers[0], ue_paths).withColumnRenamed("file_name", "ue_name")
     collateral = read(headers[1], collateral_paths).drop("file_name", "block_start", "row_place")

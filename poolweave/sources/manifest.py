@@ -14,7 +14,7 @@ from poolweave.functions.names import (
     decoded,
     ecb_pool_id,
     esma_pool_id,
-    name_fields,
+    with_name_fields,
 )
 
 
@@ -32,7 +32,7 @@ def list_files(spark: SparkSession, folder: str | list[str], pattern: str = "*")
 def raw_esma_files(spark: SparkSession, folder: str) -> DataFrame:
     """Loan and collateral files with the parts of their names."""
     files = list_files(spark, folder, "1_*.csv")
-    return files.withColumns(name_fields(F.col("name"))).filter(F.col("category").isNotNull())
+    return with_name_fields(files, "name", matching_only=True)
 
 
 def ecb_files(spark: SparkSession, folder: str) -> DataFrame:

@@ -18,8 +18,8 @@ from poolweave.functions.names import (
     ecb_pool_id,
     esma_pool_id,
     merged_name,
-    name_fields,
     safe_pool_id,
+    with_name_fields,
 )
 from poolweave.functions.nulls import RAW_FILE_NULL_TOKENS, apply_null_tokens
 
@@ -78,7 +78,7 @@ def test_file_names(spark, strings):
         ("2_RMB_UE_P_2021-04-30_1.csv",),
         ("1_RMB_UE_P_2021-04-30.csv",),
     )
-    fields = names.select(*(c.alias(n) for n, c in name_fields(F.col("name")).items()))
+    fields = with_name_fields(names, "name").drop("name")
     assert [tuple(r) for r in fields.collect()] == [
         ("RMB", "UE", "POOL_A", "2021-04-30", "29907"),
         ("CRP_X", "Collateral", "P", "2021-04-30", "1"),

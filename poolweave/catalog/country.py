@@ -10,6 +10,7 @@ from poolweave.catalog.registry import query
 from poolweave.operators.columns import align, header_union
 from poolweave.operators.country import country_statistics, detect_country, first_rows
 from poolweave.operators.skew import lookup_join
+from poolweave.session import materialize
 
 _CODE = r"regexp_matches({0}, '^\p{{L}}{{2}}$')"
 
@@ -142,7 +143,7 @@ LEFT JOIN countries c ON c.pool_id = p.pool_id
 )
 def country_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Panel rows with the country of their pool, under a wider column list."""
-    countries = detect_country(v.geography(spark, sf_dir), sample_rows=None)
+    countries = materialize(detect_country(v.geography(spark, sf_dir), sample_rows=None))
     panel = v.panel(spark, sf_dir).withColumn(
         "pool_id",
         F.when(F.col("pool_no") == 10, "RMBMIT0010").otherwise(

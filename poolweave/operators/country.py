@@ -29,6 +29,7 @@ EVIDENCE = {
     "NPEL23": CODE,
 }
 SAMPLE_ROWS = 100
+LIMIT_FAN_OUT = 64
 
 
 def _reading(name: str, exclude_no_data_everywhere: bool) -> Column:
@@ -51,9 +52,20 @@ def first_rows(
 
     A group's first rows are among the first rows of its own files: if the table
     knows the place of a row in its file, everything else is filtered in the scan.
+    What is left is limited per group and salt before it is limited per group, so the
+    last step sees a bounded number of rows even of a group read by very many tasks.
     """
     if row_in_file is not None:
         df = df.filter(col(row_in_file) < rows)
+    salted = df.withColumn("__salt", F.pmod(F.spark_partition_id(), F.lit(LIMIT_FAN_OUT)))
+    return _limited(_limited(salted, [*group, "__salt"], order, rows), group, order, rows).drop(
+        "__salt"
+    )
+
+
+def _limited(
+    df: DataFrame, group: Sequence[str], order: Sequence[str], rows: int
+) -> DataFrame:
     place = Window.partitionBy(*cols(group)).orderBy(*cols(order))
     return (
         df.withColumn("__place", F.row_number().over(place))

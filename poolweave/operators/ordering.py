@@ -52,13 +52,11 @@ def sort_panel(
     """Range-partitioned and sorted rows of all groups.
 
     A large group spreads over many tasks, since the ranges are cut inside it; equal
-    keys are cut too, by a salt of row content and task that only the ranges see.
+    keys are cut too, by a salt of the reading task that only the ranges see.
     """
     keys = available_keys(df.columns, keys)
     order = sort_order(df.columns, keys, group, break_ties)
-    salt = F.pmod(
-        F.xxhash64(*cols(df.columns), F.spark_partition_id()), F.lit(TIE_FAN_OUT)
-    ).alias("__salt")
+    salt = F.pmod(F.spark_partition_id(), F.lit(TIE_FAN_OUT)).alias("__salt")
     salted = df.select("*", salt)
     ranges = [*order, F.col("__salt")]
     if partitions is None:

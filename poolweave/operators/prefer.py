@@ -101,7 +101,8 @@ def restrict_pools(
     if pools is None:
         return df
     if isinstance(pools, DataFrame):
-        return lookup_join(df, pools.select(*cols(pool)).distinct(), pool, "left_semi")
+        chosen = materialize(pools.select(*cols(pool)).distinct(), "overlap-pools")
+        return lookup_join(df, chosen, pool, "left_semi")
     return df.filter(F.col(pool[0]).isin(list(pools)))
 
 

@@ -10,6 +10,7 @@ from pyspark.sql.window import Window
 
 from poolweave.functions.columns import SORT_KEYS, col, cols
 from poolweave.operators.skew import key_condition, lookup_join
+from poolweave.session import materialize
 
 # Fixed values.
 CHECKED_COLUMNS = ("RREL3", "RREC3", "RREL6", "RREL1", "source")
@@ -291,7 +292,8 @@ def long_series(
 
 def series_rows(df: DataFrame, chosen: DataFrame, keys: Sequence[str] = SORT_KEYS[:2]) -> DataFrame:
     """All rows of the chosen loan-collateral pairs."""
-    return lookup_join(df, chosen.select(*cols(keys)), keys, "left_semi", null_safe=False)
+    chosen = materialize(chosen.select(*cols(keys)), "chosen-series")
+    return lookup_join(df, chosen, keys, "left_semi", null_safe=False)
 
 
 def sample_values(df: DataFrame, column: str, n: int = SPOT_LOANS, seed: str = "") -> DataFrame:

@@ -26,7 +26,7 @@ from poolweave.functions.columns import col, cols
 
 MAX_HOT_KEYS = 4096
 HOT_ROWS = 1_000_000
-MAX_BROADCAST_ROWS = 1_000_000
+MAX_BROADCAST_ROWS = 500_000  # of keys and ids: some 100 MB in memory
 FAN_OUT = 64
 
 _HOT = "__hot"
@@ -77,7 +77,7 @@ def lookup_join(
     hot_rows: int = HOT_ROWS,
     fan_out: int = FAN_OUT,
 ) -> DataFrame:
-    """Join wide rows to a lookup whose keys are unique.
+    """Join wide rows to a narrow lookup.
 
     ``how`` is ``left``, ``inner``, ``left_semi`` or ``left_anti``. ``lookup``
     should be cheap to read (a manifest, or the output of ``materialize``): it is

@@ -8,10 +8,11 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from poolweave.functions.columns import detect_join_key, join_key_error
+from poolweave.functions.columns import cols, detect_join_key, join_key_error
 from poolweave.functions.names import esma_pool_id, merged_name, with_name_fields
 from poolweave.operators.collateral import join_collateral, join_statistics, pair_files
 from poolweave.operators.columns import union_aligned
+from poolweave.operators.skew import lookup_join
 from poolweave.session import materialize
 from poolweave.sources.manifest import parse_header, raw_esma_files, with_headers
 from poolweave.sources.scan import read_header_group
@@ -125,8 +126,9 @@ def _join_combination(
     keys = detect_join_key(loan_columns, collateral_columns)
 
     def read(header: str, paths: Sequence[str]) -> DataFrame:
+        # Text is parsed once; counts, statistics and join read the landed columns.
         rows = read_header_group(spark, header, paths, positions=True)
-        return with_name_fields(rows, "file_name", _PAIR_KEY)
+        return materialize(with_name_fields(rows, "file_name", _PAIR_KEY), "landed")
 
     loans = read(headers[0], ue_paths).withColumnRenamed("file_name", "ue_name")
     collateral = read(headers[1], collateral_paths).drop("file_name", "block_start", "row_place")
@@ -145,8 +147,14 @@ def _pair_statistics(
 ) -> DataFrame:
     """Statistics per loan file. Collateral is repeated for each loan file of its key."""
     names = loans.select(*_PAIR_KEY, "ue_name").distinct()
-    repeated = collateral.select(*_PAIR_KEY, keys[1]).join(names, list(_PAIR_KEY))
-    stats = join_statistics(loans.select(*PAIR, keys[0]), repeated, PAIR, keys)
+    repeated = lookup_join(
+        collateral.select(*cols([*_PAIR_KEY, keys[1]])),
+        materialize(names, "pair-names"),
+        _PAIR_KEY,
+        "inner",
+        null_safe=False,
+    )
+    stats = join_statistics(loans.select(*cols([*PAIR, keys[0]])), repeated, PAIR, keys)
     return stats.select(
         "asset_type",
         merged_name(F.col("ue_name")).alias("filename"),

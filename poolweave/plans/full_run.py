@@ -5,11 +5,12 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from poolweave.operators.columns import union_aligned
 from poolweave.operators.mapping import as_dict, forward_mapping
+from poolweave.operators.quality import row_counts
 from poolweave.plans.collateral_stage import join_pairs
 from poolweave.plans.country_stage import country_panel, pool_countries, sorted_countries
 from poolweave.plans.universe_stage import (
@@ -26,9 +27,8 @@ from poolweave.sinks.tables import (
     write_sorted,
     write_statistics,
 )
-from poolweave.operators.quality import row_counts
 from poolweave.sources.lookups import read_pool_mapping, read_template
-from poolweave.sources.tables import output_sizes, read_table
+from poolweave.sources.tables import output_sizes, partition_files, read_table
 
 
 @dataclass(frozen=True)
@@ -71,12 +71,17 @@ def run(
     outputs: Outputs,
     *,
     overlap_pools: Sequence[str] | str = KNOWN_OVERLAP_POOLS,
+    resume: bool = False,
 ) -> None:
-    """Run the stages in order, each from the table the one before wrote."""
+    """Run the stages in order, each from the table the one before wrote.
+
+    With ``resume`` pools and countries that have output already are left alone, as
+    after an interruption; a partition is visible only when it is complete.
+    """
     run_collateral(spark, inputs, outputs)
-    run_universe(spark, inputs, outputs, overlap_pools=overlap_pools)
-    run_countries(spark, outputs)
-    run_sort(spark, outputs)
+    run_universe(spark, inputs, outputs, overlap_pools=overlap_pools, resume=resume)
+    run_countries(spark, outputs, resume=resume)
+    run_sort(spark, outputs, resume=resume)
 
 
 def run_collateral(spark: SparkSession, inputs: Inputs, outputs: Outputs) -> None:
@@ -93,20 +98,23 @@ def run_universe(
     outputs: Outputs,
     *,
     overlap_pools: Sequence[str] | str = KNOWN_OVERLAP_POOLS,
+    resume: bool = False,
 ) -> None:
     mapping = read_pool_mapping(spark, inputs.pool_mapping)
     codes = as_dict(forward_mapping(read_template(spark, inputs.template)))
     ecb = read_ecb(spark, inputs.ecb_folder, codes)
     esma = esma_from_pairs(spark.read.parquet(outputs.merged))
-    panel = universe(ecb.rows, esma, mapping, overlap_pools=overlap_pools)
+    done = finished(spark, outputs.pools, *POOL) if resume else None
+    panel = universe(ecb.rows, esma, mapping, overlap_pools=overlap_pools, finished=done)
     write_pools(panel, outputs.pools)
     write_statistics(ecb.quarantined, outputs.path("quarantine"))
 
 
-def run_countries(spark: SparkSession, outputs: Outputs) -> None:
+def run_countries(spark: SparkSession, outputs: Outputs, *, resume: bool = False) -> None:
     panel = read_table(spark, outputs.pools)
     countries = materialize(pool_countries(panel), "countries")
-    write_countries(country_panel(panel, countries), outputs.countries)
+    rows = country_panel(panel, countries)
+    write_countries(unfinished(rows, outputs.countries, resume), outputs.countries)
     write_statistics(countries, outputs.path("pool_countries"))
     write_statistics(merge_log(spark, outputs, countries), outputs.path("merge_log"))
 
@@ -125,16 +133,24 @@ def merge_log(spark: SparkSession, outputs: Outputs, countries: DataFrame) -> Da
     )
 
 
-def run_sort(spark: SparkSession, outputs: Outputs) -> None:
-    write_sorted(sorted_countries(read_table(spark, outputs.countries)), outputs.sorted)
-
+def run_sort(spark: SparkSession, outputs: Outputs, *, resume: bool = False) -> None:
+    rows = unfinished(read_table(spark, outputs.countries), outputs.sorted, resume)
+    write_sorted(sorted_countries(rows), outputs.sorted)
 
-def finished_pools(spark: SparkSession, outputs: Outputs) -> DataFrame:
-    """Pools that have output already."""
-    from poolweave.sources.tables import partition_files
 
-    return partition_files(spark, outputs.pools, "bucket", "pool_id").select(*POOL).distinct()
+def finished(spark: SparkSession, path: str, *partitions: str) -> DataFrame | None:
+    """Partitions that have output already; ``None`` before the first run."""
+    try:
+        return partition_files(spark, path, *partitions).select(*partitions).distinct()
+    except AnalysisException as error:
+        if error.getCondition() == "PATH_NOT_FOUND":
+            return None
+        raise
 
 
-def union_of(tables: Sequence[DataFrame]) -> DataFrame:
-    return union_aligned(tables)
+def unfinished(rows: DataFrame, path: str, resume: bool) -> DataFrame:
+    """Rows of countries without output; the list of countries is short."""
+    done = finished(rows.sparkSession, path, "country") if resume else None
+    if done is None:
+        return rows
+    return rows.filter(~F.col("country").isin([r.country for r in done.collect()]))

@@ -8,17 +8,21 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from poolweave.functions.names import ecb_pool_id, esma_pool_id
+from poolweave.functions.names import ecb_pool_id, esma_pool_id, safe_pool_id
 from poolweave.operators.columns import union_aligned
 from poolweave.operators.mapping import prepare_ecb, prepare_esma
-from poolweave.operators.pools import classify_pools, overlap_report
+from poolweave.operators.pools import classify_pools, overlap_report, pending
 from poolweave.operators.prefer import prefer_source
 from poolweave.operators.skew import lookup_join
 from poolweave.session import materialize
-from poolweave.sources.manifest import base_path, ecb_files, merged_esma_files
+from poolweave.sources.manifest import (
+    base_path,
+    ecb_files,
+    merged_esma_files,
+    parse_header,
+)
 from poolweave.sources.salvage import probe_gzip, salvage
 from poolweave.sources.scan import scan_files, scan_manifest
-from poolweave.sources.manifest import parse_header
 
 # Pools known to be reported by both sources for the same months.
 KNOWN_OVERLAP_POOLS = (
@@ -42,7 +46,8 @@ def read_ecb(spark: SparkSession, folder: str, ecb_to_esma: Mapping[str, str]) -
     """All ECB files of a folder, harmonised.
 
     Each file is probed once for its header and for damage. Sound files are scanned
-    by header; what is left of damaged ones is added with ``salvaged = true``.
+    by header; what is left of damaged ones is added with ``salvaged = true``. The
+    result is landed, so that later passes read columns instead of text.
     """
     files = materialize(ecb_files(spark, folder), "ecb-files")
     paths = [row.path for row in files.select("path").collect()]
@@ -79,14 +84,16 @@ def read_ecb(spark: SparkSession, folder: str, ecb_to_esma: Mapping[str, str]) -
         "pool_id", ecb_pool_id(F.col("file_name"))
     )
     quarantined = checked.filter(F.col("error").isNotNull()).select("path", "pool_id", "error")
-    return EcbRows(rows, quarantined)
+    return EcbRows(materialize(rows, "ecb-landed"), quarantined)
 
 
 def read_esma(spark: SparkSession, folder: str) -> DataFrame:
     """All merged ESMA files of a folder, as stage 1 exports them."""
     files = merged_esma_files(spark, folder)
     rows = scan_manifest(files, prepare=prepare_esma)
-    return rows.withColumn("pool_id", esma_pool_id(F.col("file_name")))
+    return materialize(
+        rows.withColumn("pool_id", esma_pool_id(F.col("file_name"))), "esma-landed"
+    )
 
 
 def esma_from_pairs(joined: DataFrame) -> DataFrame:
@@ -101,6 +108,7 @@ def universe(
     mapping: DataFrame,
     *,
     overlap_pools: Sequence[str] | str = KNOWN_OVERLAP_POOLS,
+    finished: DataFrame | None = None,
     **skew_options,
 ) -> DataFrame:
     """All pools of both sources in one table.
@@ -109,9 +117,13 @@ def universe(
     ids. The result has ``bucket``, ``pool_id`` (the ECB id where there is one),
     ``ecb_pool_id``, ``esma_pool_id`` and ``source``. ECB rows that ESMA covers are
     dropped in ``overlap_pools``: ids, ``"all"``, or ``"auto"`` for the pools where
-    both sources report a month.
+    both sources report a month. Pools in ``finished`` (``pool_id, bucket``) are left
+    out.
     """
     pools = classify_pools(ecb.select("pool_id"), esma.select("pool_id"), mapping)
+    if finished is not None:
+        written_id = safe_pool_id(F.coalesce("ecb_pool_id", "esma_pool_id"))
+        pools = pending(pools.withColumn("pool_id", written_id), finished, POOL).drop("pool_id")
     pools = materialize(pools, "pools")
     ecb_rows = _with_pool(ecb, pools, "ecb_pool_id")
     esma_rows = _with_pool(esma, pools, "esma_pool_id")

@@ -42,9 +42,15 @@ def write_pools(df: DataFrame, path: str) -> None:
     _writer(_gathered(safe, POOL_PARTITIONS), POOL_PARTITIONS).parquet(path)
 
 
-def write_countries(df: DataFrame, path: str) -> None:
-    """Stage 3 output below ``country=…``."""
-    _writer(_gathered(df, [COUNTRY_PARTITION]), [COUNTRY_PARTITION]).parquet(path)
+def write_countries(df: DataFrame, path: str, *, compact: bool = False) -> None:
+    """Stage 3 output below ``country=…``.
+
+    Rows come from the pool table, where a task reads one or few pools and therefore
+    writes to one or few countries; no shuffle is needed for that. ``compact`` adds
+    one where pools are very small.
+    """
+    rows = _gathered(df, [COUNTRY_PARTITION]) if compact else df
+    _writer(rows, [COUNTRY_PARTITION]).parquet(path)
 
 
 def write_sorted(ordered: DataFrame, path: str) -> None:

@@ -32,12 +32,14 @@ def read_csv(
     null_tokens: Iterable[str] = RAW_FILE_NULL_TOKENS,
     positions: bool = False,
     check_header: bool = True,
+    multi_line: bool = False,
 ) -> DataFrame:
     """Files of one known header as text columns.
 
     A file with another header fails the job instead of shifting its columns, unless
     the check is off (needed for headers that repeat a name, which differ from the
-    numbered ``columns``). With
+    numbered ``columns``). ``multi_line`` allows line ends inside quotes, at the price
+    of one task per file. With
     ``positions`` the columns ``file_name, block_start, row_place`` give the storage
     order; they are taken in the scan, before any shuffle.
     """
@@ -47,6 +49,7 @@ def read_csv(
     scan = (
         spark.read.schema(schema)
         .option("header", True)
+        .option("multiLine", multi_line)
         .option("quote", '"')
         .option("escape", '"')
         .option("enforceSchema", not check_header)
@@ -92,6 +95,7 @@ def scan_files(
     prepare: Callable[[DataFrame], DataFrame] | None = None,
     null_tokens: Iterable[str] = RAW_FILE_NULL_TOKENS,
     positions: bool = True,
+    multi_line: bool = False,
 ) -> DataFrame:
     """All files of a manifest with headers, under the union of their columns.
 
@@ -106,7 +110,11 @@ def scan_files(
 
     def scanned(group: tuple[str, list[str]]) -> DataFrame:
         df = read_header_group(
-            spark, *group, null_tokens=null_tokens, positions=positions
+            spark,
+            *group,
+            null_tokens=null_tokens,
+            positions=positions,
+            multi_line=multi_line,
         )
         return prepare(df) if prepare else df
 

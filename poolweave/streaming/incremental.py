@@ -13,11 +13,13 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
-from poolweave.functions.columns import cols
+from poolweave.functions.columns import col, cols
 from poolweave.operators.prefer import prefer_source
 from poolweave.operators.skew import lookup_join
 from poolweave.session import materialize
 
+MAX_FILTER_POOLS = 1000
+
 
 def landed_stream(
     spark: SparkSession, path: str, schema, *, files_per_batch: int | None = None
@@ -39,7 +41,7 @@ def refresh_pools(
 ) -> None:
     """Recompute the pools of ``new_rows`` from everything landed so far."""
     touched = materialize(new_rows.select(*cols(pool)).distinct(), "touched")
-    rows = lookup_join(read_all(), touched, pool, "left_semi")
+    rows = _rows_of(read_all(), touched, pool)
     result = transform(rows) if transform else prefer_source(rows, pool)
     (
         result.hint("rebalance", *pool)
@@ -50,6 +52,14 @@ def refresh_pools(
     )
 
 
+def _rows_of(rows: DataFrame, touched: DataFrame, pool: Sequence[str]) -> DataFrame:
+    """Rows of the touched pools: by a filter the scan can use while they are few."""
+    few = touched.limit(MAX_FILTER_POOLS + 1).collect() if len(pool) == 1 else []
+    if 0 < len(few) <= MAX_FILTER_POOLS and all(r[0] is not None for r in few):
+        return rows.filter(col(pool[0]).isin([r[0] for r in few]))
+    return lookup_join(rows, touched, pool, "left_semi")
+
+
 def process_available(
     spark: SparkSession,
     landing: str,

@@ -2,6 +2,7 @@
 
 import gzip
 import json
+from pathlib import Path
 
 import pytest
 
@@ -130,10 +131,27 @@ def test_all_stages(spark, tmp_path):
     assert rows(check_readable(spark, outputs.sorted), "country", "rows") == [
         ("ES", 1), ("FR", 8), ("PT", 1),
     ]
-    finished = full_run.finished_pools(spark, outputs)
+    finished = full_run.finished(spark, outputs.pools, "pool_id")
     assert rows(finished, "pool_id") == [("EA",), ("POOLB",), ("RMBMES01",)]
 
 
+def test_resume(spark, tmp_path):
+    inputs, outputs = raw_tree(tmp_path), full_run.Outputs(str(tmp_path / "out"))
+    full_run.run(spark, inputs, outputs, overlap_pools=["EA"], resume=True)
+    assert spark.read.parquet(outputs.sorted).count() == 10
+
+    def files(path: str, pattern: str) -> set[str]:
+        return {str(p) for p in Path(path).rglob(f"{pattern}/part-*")}
+
+    kept = files(outputs.pools, "pool_id=EA") | files(outputs.sorted, "country=FR")
+    late = Path(inputs.ecb_folder) / "RMBSIT9_2020-01.gz"
+    late.write_bytes(gzip.compress(b"AR1,AR2\n2020-01-15,I1\n"))
+    full_run.run(spark, inputs, outputs, overlap_pools=["EA"], resume=True)
+    assert rows(spark.read.parquet(outputs.sorted).filter("country = 'IT'"), "RREL3") == [("I1",)]
+    assert spark.read.parquet(outputs.sorted).count() == 11
+    assert kept <= files(outputs.pools, "pool_id=EA") | files(outputs.sorted, "country=FR")
+
+
 def test_list_of_overlap_pools(spark, tmp_path):
     inputs, outputs = raw_tree(tmp_path), full_run.Outputs(str(tmp_path / "out"))
     full_run.run_collateral(spark, inputs, outputs)

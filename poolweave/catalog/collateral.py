@@ -124,17 +124,17 @@ def batch_keys_used(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(
     """
 SELECT substr(error, 1, 80) AS error, count(*) AS pairs FROM (
-  SELECT 'Cannot detect merge keys. UE *L2 columns: [' || o_orderpriority
-    || '], Collateral *C2 columns: [' || o_orderstatus || '], file '
+  SELECT 'No join key between the columns of loans and of collateral: [' || o_orderpriority
+    || '], [' || o_orderstatus || '], file '
     || CAST(o_orderkey AS VARCHAR) AS error
   FROM orders) GROUP BY 1
 """
 )
 def batch_errors(spark: SparkSession, sf_dir: str) -> DataFrame:
     error = F.concat(
-        F.lit("Cannot detect merge keys. UE *L2 columns: ["),
+        F.lit("No join key between the columns of loans and of collateral: ["),
         "o_orderpriority",
-        F.lit("], Collateral *C2 columns: ["),
+        F.lit("], ["),
         "o_orderstatus",
         F.lit("], file "),
         v.text("o_orderkey"),

@@ -16,6 +16,7 @@ from poolweave.operators.mapping import (
 )
 from poolweave.operators.pools import (
     classify_pools,
+    large_pools,
     overlap_report,
     pending,
     pool_sizes,
@@ -23,6 +24,8 @@ from poolweave.operators.pools import (
 )
 from poolweave.operators.prefer import prefer_source, removal_report
 from poolweave.plans.universe_stage import universe
+from poolweave.session import scratch_path
+from poolweave.streaming.incremental import process_available
 
 MATCHED_POOLS = [0, 1, 2, 3, 4, 5]
 LISTED_POOLS = [1, 4]
@@ -72,6 +75,23 @@ def prefer_esma_derived_pools(spark: SparkSession, sf_dir: str) -> DataFrame:
     return prefer_source(panel, ["pool_no"], overlap_pools=overlap)
 
 
+@query(_kept(v.PANEL))
+def prefer_esma_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The dedup of every pool as an incremental run over the landed file."""
+    output = scratch_path(spark, "incremental")
+    process_available(
+        spark,
+        sf_dir,
+        f"{output}/pools",
+        f"{output}/progress",
+        ["pool_no"],
+        prepare=v.panel_of,
+        names="lineitem.parquet",
+    ).awaitTermination()
+    written = spark.read.parquet(f"{output}/pools")
+    return written.withColumn("pool_no", F.col("pool_no").cast("long"))
+
+
 @query(
     f"""
 WITH panel AS ({v.PANEL}),
@@ -147,6 +167,28 @@ def pool_size(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pool_sizes(files, threshold=100_000_000)
 
 
+_SIZES = "SELECT pool_id, count(*) * 1000 > {} AS is_large FROM ({}) GROUP BY pool_id"
+
+
+@query(
+    f"""
+WITH {_CLASSIFIED},
+a AS ({_SIZES.format(5_300_000, v.ECB_ROWS)}), b AS ({_SIZES.format(2_600_000, v.ESMA_ROWS)})
+SELECT p.*, coalesce(a.is_large, FALSE) OR coalesce(b.is_large, FALSE) AS is_large
+FROM pools p LEFT JOIN a ON a.pool_id = p.ecb_pool_id LEFT JOIN b ON b.pool_id = p.esma_pool_id
+"""
+)
+def pool_large_flags(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pools with a large side, each row standing for a file of 1000 bytes."""
+    ecb, esma = v.ecb_rows(spark, sf_dir), v.esma_rows(spark, sf_dir)
+    length = F.lit(1000).cast("long")
+    return large_pools(
+        classify_pools(ecb, esma, v.pool_mapping(spark, sf_dir)),
+        pool_sizes(ecb.withColumn("length", length), threshold=5_300_000),
+        pool_sizes(esma.withColumn("length", length), threshold=2_600_000),
+    )
+
+
 @query(
     f"""
 WITH ranked AS (

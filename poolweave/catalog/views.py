@@ -23,8 +23,12 @@ def day(name: str) -> Column:
 
 def panel(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Loan panel of two sources: pools 0-5 in both, 6-8 ECB only, 9-11 ESMA only."""
+    return panel_of(table(spark, sf_dir, "lineitem"))
+
+
+def panel_of(lineitem: DataFrame) -> DataFrame:
     pool = F.col("l_suppkey") % 12
-    return table(spark, sf_dir, "lineitem").select(
+    return lineitem.select(
         text("l_orderkey").alias("RREL3"),
         text("l_linenumber").alias("RREC3"),
         day("l_shipdate").alias("RREL6"),

@@ -56,10 +56,7 @@ def join_key_error(loan_columns: Sequence[str], collateral_columns: Sequence[str
     """The message recorded for a pair whose join key cannot be found."""
     loans = [c for c in loan_columns if LOAN_KEY_SUFFIX in c]
     collateral = [c for c in collateral_columns if COLLATERAL_KEY_SUFFIX in c]
-    return (
-        "Cannot detect merge keys. "
-        f"UE *L2 columns: {loans}, Collateral *C2 columns: {collateral}"
-    )
+    return f"No join key: loan candidates {loans}, collateral candidates {collateral}"
 
 
 def collateral_columns_to_drop(columns: Sequence[str]) -> list[str]:

@@ -49,6 +49,24 @@ def pool_sizes(
     )
 
 
+def large_pools(
+    pools: DataFrame, ecb_sizes: DataFrame, esma_sizes: DataFrame
+) -> DataFrame:
+    """Classified pools with ``is_large``: true if either side is large."""
+
+    def side(sizes: DataFrame, prefix: str) -> DataFrame:
+        return sizes.select(
+            F.col("pool_id").alias(f"{prefix}_pool_id"), F.col("is_large").alias(f"__{prefix}")
+        )
+
+    either = F.coalesce("__ecb", F.lit(False)) | F.coalesce("__esma", F.lit(False))
+    return (
+        pools.join(side(ecb_sizes, "ecb"), "ecb_pool_id", "left")
+        .join(side(esma_sizes, "esma"), "esma_pool_id", "left")
+        .select("ecb_pool_id", "esma_pool_id", "bucket", either.alias("is_large"))
+    )
+
+
 def shared_periods(
     panel: DataFrame, pool: Sequence[str], period: str, source: str = "source"
 ) -> DataFrame:

@@ -16,6 +16,16 @@ from poolweave.session import materialize
 CHECKED_COLUMNS = ("RREL3", "RREC3", "RREL6", "RREL1", "source")
 KEY_SEPARATOR = "|"
 SPOT_LOANS = 5
+PASS, FAIL = "PASS", "FAIL"
+ISSUES = {
+    "columns": "COLUMN COUNT MISMATCH",
+    "names": "COLUMN NAMES DIFFER",
+    "rows": "ROW COUNT MISMATCH",
+    "unique_keys": "UNIQUE KEY COUNT MISMATCH",
+    "distinct": "DISTINCT {} MISMATCH",
+    "loan_checksum": "{} CHECKSUM MISMATCH",
+    "row_checksum": "ROW CHECKSUM MISMATCH",
+}
 
 _MISSING = "\0"
 
@@ -220,16 +230,16 @@ def integrity_report(
     left, right = measured(before, "b_"), measured(after, "a_")
     same_group = key_condition(cols("b_" + g for g in group), cols("a_" + g for g in group))
     measures = {
-        "rows": "ROW COUNT MISMATCH",
-        "unique_keys": "UNIQUE KEY COUNT MISMATCH",
-        **{"distinct_" + c: f"DISTINCT {c} MISMATCH" for c in checked},
-        "loan_checksum": f"{keys[0]} CHECKSUM MISMATCH",
-        "row_checksum": "ROW CHECKSUM MISMATCH",
+        "rows": ISSUES["rows"],
+        "unique_keys": ISSUES["unique_keys"],
+        **{"distinct_" + c: ISSUES["distinct"].format(c) for c in checked},
+        "loan_checksum": ISSUES["loan_checksum"].format(keys[0]),
+        "row_checksum": ISSUES["row_checksum"],
     }
     issues = F.array_compact(
         F.array(
-            F.when(counts_differ, F.lit("COLUMN COUNT MISMATCH")),
-            F.when(names_differ, F.lit("COLUMN NAMES DIFFER")),
+            F.when(counts_differ, F.lit(ISSUES["columns"])),
+            F.when(names_differ, F.lit(ISSUES["names"])),
             *(
                 F.when(~col("b_" + m).eqNullSafe(col("a_" + m)), F.lit(text))
                 for m, text in measures.items()
@@ -241,7 +251,7 @@ def integrity_report(
         .withColumn("issues", issues)
         .select(
             *(col("b_" + g).alias(g) for g in group),
-            F.when(F.size("issues") == 0, F.lit("PASS")).otherwise(F.lit("FAIL")).alias("status"),
+            F.when(F.size("issues") == 0, F.lit(PASS)).otherwise(F.lit(FAIL)).alias("status"),
             F.col("b_rows").alias("rows_before"),
             F.col("a_rows").alias("rows_after"),
             F.col("b_unique_keys").alias("unique_keys"),
@@ -253,7 +263,7 @@ def integrity_report(
 
 def report_totals(report: DataFrame) -> DataFrame:
     """Groups checked, passed and failed, and rows in passed groups."""
-    passed = F.col("status") == "PASS"
+    passed = F.col("status") == PASS
     return report.agg(
         F.count(F.lit(1)).alias("checked"),
         F.count_if(passed).alias("passed"),

@@ -31,6 +31,10 @@ from poolweave.sources.lookups import read_pool_mapping, read_template
 from poolweave.sources.tables import output_sizes, partition_files, read_table
 
 
+# Stored bytes per sorted range: about one output file, and well within a task's memory.
+RANGE_BYTES = 128 * 1024 * 1024
+
+
 @dataclass(frozen=True)
 class Inputs:
     esma_folder: str
@@ -135,7 +139,9 @@ def merge_log(spark: SparkSession, outputs: Outputs, countries: DataFrame) -> Da
 
 def run_sort(spark: SparkSession, outputs: Outputs, *, resume: bool = False) -> None:
     rows = unfinished(read_table(spark, outputs.countries), outputs.sorted, resume)
-    write_sorted(sorted_countries(rows), outputs.sorted)
+    stored = output_sizes(spark, outputs.countries, "country").agg(F.sum("bytes")).first()[0]
+    ranges = max(int(spark.conf.get("spark.sql.shuffle.partitions")), stored // RANGE_BYTES)
+    write_sorted(sorted_countries(rows, partitions=ranges), outputs.sorted)
 
 
 def finished(spark: SparkSession, path: str, *partitions: str) -> DataFrame | None:

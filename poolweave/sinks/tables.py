@@ -69,6 +69,13 @@ def export_sorted_csv(ordered: DataFrame, path: str) -> None:
     ).csv(path)
 
 
+def export_whole_csv(df: DataFrame, path: str, partition: str) -> None:
+    """CSV per joined pair, pool or country, all with the same columns."""
+    _writer(_gathered(df, [partition]), [partition]).option("header", True).option(
+        "escape", '"'
+    ).csv(path)
+
+
 def export_csv(df: DataFrame, path: str, partition: str) -> DataFrame:
     """CSV per pool or country, each with its own non-empty columns only.
 
@@ -82,9 +89,7 @@ def export_csv(df: DataFrame, path: str, partition: str) -> DataFrame:
         rows = df.filter(col(partition).isin(list(group["members"]))).select(
             *cols(group["columns"]), col(partition)
         )
-        _writer(_gathered(rows, [partition]), [partition]).option("header", True).option(
-            "escape", '"'
-        ).csv(path)
+        export_whole_csv(rows, path, partition)
     return lists
 
 

@@ -8,7 +8,9 @@ after a damaged place may be wrong, so nothing is trusted silently.
 from __future__ import annotations
 
 import zlib
+from collections import deque
 from collections.abc import Iterator, Sequence
+from itertools import islice
 
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
@@ -24,62 +26,72 @@ GZIP_HEADER_BYTES = 10
 
 PIECE = 1 << 20
 LINES_PER_BATCH = 10_000
+MAX_PROBED_BYTES = 512 * 1024 * 1024
+BYTE_ORDER_MARK = "\ufeff"
 NOT_GZIP = "Not a gzipped file"
 WHOLE_TEXT = (None, NOT_GZIP, "CRC check failed", "Trailing data")
 
 
-def inflate(content: bytes) -> tuple[bytes, str | None]:
-    """All members of a gzip file as far as they go, and what was wrong first.
+def inflated(content: bytes, errors: list[str]) -> Iterator[bytes]:
+    """The text of all members of a gzip file, piece by piece, as far as it goes.
 
-    A file that does not start like gzip is taken as one bare deflate stream behind a
-    header of the usual length.
+    Problems are appended to ``errors``. A file that does not start like gzip is taken
+    as one bare deflate stream behind a header of the usual length.
     """
-    plain, error = bytearray(), None
-    while content:
-        is_member = content.startswith(GZIP_MAGIC)
+    start = 0
+    while start < len(content):
+        is_member = content.startswith(GZIP_MAGIC, start)
         if not is_member:
-            error = error or NOT_GZIP
-        body = content[_header_length(content) if is_member else GZIP_HEADER_BYTES :]
-        member, rest, problem = _inflate_stream(body)
-        plain += member
-        error = error or problem
-        if problem or not is_member:
-            break
-        check, size = rest[:4], rest[4:8]
-        if check != zlib.crc32(member).to_bytes(4, "little"):
-            error = error or "CRC check failed"
-        elif size != (len(member) % (1 << 32)).to_bytes(4, "little"):
-            error = error or "Incorrect length of data produced"
-        content = rest[8:].lstrip(b"\0")
-        if not content.startswith(GZIP_MAGIC):
-            error = error or ("Trailing data" if content else None)
-            break
-    return bytes(plain), error
-
-
-def _inflate_stream(data: bytes) -> tuple[bytes, bytes, str | None]:
-    """Output of a raw deflate stream, the bytes behind it, and the problem if any."""
-    decoder, output = zlib.decompressobj(-zlib.MAX_WBITS), bytearray()
-    for start in range(0, len(data), PIECE):
-        piece = data[start : start + PIECE]
-        try:
-            output += decoder.decompress(piece)
-        except zlib.error as problem:
-            return bytes(output), b"", str(problem)
-        if decoder.eof:
-            return bytes(output), data[start + len(piece) - len(decoder.unused_data) :], None
-    return bytes(output), b"", "Compressed file ended before the end-of-stream marker"
-
-
-def _header_length(data: bytes) -> int:
+            errors.append(NOT_GZIP if start == 0 else "Trailing data")
+            if start:
+                return
+        start += _header_length(content, start) if is_member else GZIP_HEADER_BYTES
+        decoder = zlib.decompressobj(-zlib.MAX_WBITS)
+        check = size = 0
+        while not decoder.eof and start < len(content):
+            piece = content[start : start + PIECE]
+            try:
+                text = decoder.decompress(piece)
+            except zlib.error as problem:
+                errors.append(str(problem))
+                return
+            check, size = zlib.crc32(text, check), size + len(text)
+            start += len(piece) - len(decoder.unused_data)
+            yield text
+        if not decoder.eof:
+            errors.append("Compressed file ended before the end-of-stream marker")
+            return
+        if not is_member:
+            return
+        if content[start : start + 4] != check.to_bytes(4, "little"):
+            errors.append("CRC check failed")
+        elif content[start + 4 : start + 8] != (size % (1 << 32)).to_bytes(4, "little"):
+            errors.append("Incorrect length of data produced")
+        start += 8
+        while content[start : start + 1] == b"\0":  # padding between members
+            start += 1
+
+
+def text_lines(content: bytes, errors: list[str]) -> Iterator[str]:
+    """Lines of a gzip file; a last line that damage may have cut is left out."""
+    rest = b""
+    for text in inflated(content, errors):
+        *whole, rest = (rest + text).split(b"\n")
+        for line in whole:
+            yield line.decode("utf-8", "replace").removesuffix("\r")
+    if rest and all(e in WHOLE_TEXT for e in errors):
+        yield rest.decode("utf-8", "replace").removesuffix("\r")
+
+
+def _header_length(data: bytes, start: int) -> int:
     """Length of a gzip member header with its optional fields."""
-    flags, end = data[3] if len(data) > 3 else 0, GZIP_HEADER_BYTES
+    flags, end = data[start + 3] if len(data) > start + 3 else 0, start + GZIP_HEADER_BYTES
     if flags & 4:
         end += 2 + int.from_bytes(data[end : end + 2], "little")
     for field in (8, 16):
         if flags & field:
             end = data.find(b"\0", end) + 1 or len(data)
-    return end + (2 if flags & 2 else 0)
+    return end - start + (2 if flags & 2 else 0)
 
 
 def _binary(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
@@ -98,17 +110,18 @@ def probe_gzip(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
 
     def probe(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            headers, errors = [], []
-            for content in batch["content"]:
-                plain, error = inflate(content)
-                first = plain[: (plain.find(b"\n") + 1 or len(plain) + 1) - 1].decode(
-                    "utf-8-sig", "replace"
+            for path, content in zip(batch["path"], batch["content"]):
+                errors: list[str] = []
+                lines = text_lines(content, errors)
+                header = next(lines, "").removeprefix(BYTE_ORDER_MARK)
+                deque(lines, maxlen=0)  # read to the end without keeping it
+                yield pd.DataFrame(
+                    {
+                        "path": [path],
+                        "header_line": [header or None],
+                        "error": [errors[0] if errors else None],
+                    }
                 )
-                headers.append(first.removesuffix("\r") or None)
-                errors.append(error)
-            yield pd.DataFrame(
-                {"path": batch["path"], "header_line": headers, "error": errors}
-            )
 
     return _binary(spark, paths).mapInPandas(
         probe, "path string, header_line string, error string"
@@ -121,20 +134,10 @@ def recovered_lines(spark: SparkSession, paths: str | Sequence[str]) -> DataFram
     def lines(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             for path, content in zip(batch["path"], batch["content"]):
-                plain, error = inflate(content)
-                found = plain.decode("utf-8-sig", "replace").split("\n")
-                # Behind damage the last line may be cut; behind a line end it is empty.
-                if error not in WHOLE_TEXT or found[-1] == "":
-                    found = found[:-1]
-                for start in range(0, len(found), LINES_PER_BATCH):
-                    piece = found[start : start + LINES_PER_BATCH]
-                    yield pd.DataFrame(
-                        {
-                            "path": path,
-                            "line_number": range(start, start + len(piece)),
-                            "line": [x.removesuffix("\r") for x in piece],
-                        }
-                    )
+                numbered = enumerate(text_lines(content, []))
+                while piece := list(islice(numbered, LINES_PER_BATCH)):
+                    table = pd.DataFrame(piece, columns=["line_number", "line"])
+                    yield table.assign(path=path)[["path", "line_number", "line"]]
 
     return _binary(spark, paths).mapInPandas(
         lines, "path string, line_number long, line string"

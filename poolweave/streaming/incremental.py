@@ -10,7 +10,8 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, DataFrameReader, SparkSession
+from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from poolweave.functions.columns import col, cols
@@ -22,10 +23,15 @@ MAX_FILTER_POOLS = 1000
 
 
 def landed_stream(
-    spark: SparkSession, path: str, schema, *, files_per_batch: int | None = None
+    spark: SparkSession,
+    path: str,
+    schema: T.StructType,
+    *,
+    names: str = "*",
+    files_per_batch: int | None = None,
 ) -> DataFrame:
-    """New Parquet files of a landing folder as a stream."""
-    reader = spark.readStream.schema(schema)
+    """New Parquet files of a landing folder as a stream; ``names`` is a pattern."""
+    reader = spark.readStream.schema(schema).option("pathGlobFilter", names)
     if files_per_batch is not None:
         reader = reader.option("maxFilesPerTrigger", files_per_batch)
     return reader.parquet(path)
@@ -67,28 +73,39 @@ def process_available(
     checkpoint: str,
     pool: Sequence[str] = ("pool_id",),
     *,
+    prepare: Callable[[DataFrame], DataFrame] | None = None,
     transform: Callable[[DataFrame], DataFrame] | None = None,
+    names: str = "*",
     files_per_batch: int | None = None,
 ) -> StreamingQuery:
     """Work through all files that arrived since the last run, then stop.
 
+    ``prepare`` makes panel rows of landed rows; ``transform`` is what is computed
+    over all rows of a pool, by default the dedup.
+
     The checkpoint remembers the files. A batch that is repeated after a failure
     replaces the same partitions with the same rows.
     """
-    schema = spark.read.parquet(landing).schema
+    def landed(session: SparkSession) -> DataFrameReader:
+        return session.read.option("pathGlobFilter", names)
+
+    schema = landed(spark).parquet(landing).schema
+
+    def prepared(rows: DataFrame) -> DataFrame:
+        return prepare(rows) if prepare else rows
 
     def refresh(batch: DataFrame, batch_id: int) -> None:
         session = batch.sparkSession
         refresh_pools(
-            batch,
-            lambda: session.read.schema(schema).parquet(landing),
+            prepared(batch),
+            lambda: prepared(landed(session).schema(schema).parquet(landing)),
             output,
             pool,
             transform=transform,
         )
 
     return (
-        landed_stream(spark, landing, schema, files_per_batch=files_per_batch)
+        landed_stream(spark, landing, schema, names=names, files_per_batch=files_per_batch)
         .writeStream.foreachBatch(refresh)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)

@@ -18,7 +18,7 @@ from poolweave.sources.manifest import (
     raw_esma_files,
     with_headers,
 )
-from poolweave.sources.salvage import inflate, probe_gzip, recovered_lines, salvage
+from poolweave.sources.salvage import inflated, probe_gzip, recovered_lines, salvage
 from poolweave.sources.scan import read_csv, scan_manifest
 
 
@@ -142,6 +142,12 @@ def gz_files(folder):
     return files
 
 
+def inflate(content: bytes) -> tuple[bytes, str | None]:
+    errors: list[str] = []
+    text = b"".join(inflated(content, errors))
+    return text, errors[0] if errors else None
+
+
 def test_inflate(tmp_path):
     found = {n: inflate(c) for n, c in gz_files(tmp_path).items()}
     assert found["GOOD_1.gz"] == (TEXT.encode(), None)

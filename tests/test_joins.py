@@ -3,6 +3,7 @@
 import itertools
 
 import pytest
+from pyspark.sql import functions as F
 
 from conftest import rows
 from poolweave.operators.collateral import join_collateral, join_statistics, pair_files
@@ -82,7 +83,7 @@ def test_collateral_join(strings):
         ("1", "a", "S", "l1", "1", "c2", "y"),
         ("2", "b", "S", "l2", None, None, None),
     ]
-    with pytest.raises(ValueError, match="Cannot detect merge keys"):
+    with pytest.raises(ValueError, match="No join key"):
         join_collateral(loans, strings("RRC2", ("1",)))
 
 
@@ -127,3 +128,49 @@ def test_latest_collateral_file_wins(strings):
         ("u3", "RMB", "UE", "Q", "d", "1"),
     )
     assert rows(pair_files(files), "ue_name", "collateral_name") == [("u1", "c10"), ("u2", "c10")]
+
+
+@pytest.fixture
+def shuffled_joins(spark):
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.enabled": "false",
+        "spark.sql.shuffle.partitions": "8",
+    }
+    before = {k: spark.conf.get(k) for k in settings}
+    for k, value in settings.items():
+        spark.conf.set(k, value)
+    yield
+    for k, value in before.items():
+        spark.conf.set(k, value)
+
+
+@pytest.mark.parametrize("hot_side", ["left", "right"])
+def test_a_hot_key_is_spread_over_tasks(spark, shuffled_joins, hot_side):
+    third = [("hot", str(i)) for i in range(4000)]
+    others = [(f"k{i}", str(i)) for i in range(8000)]
+    many = spark.createDataFrame(third + others, "k string, v string").repartition(8, "v")
+    few = spark.createDataFrame([("hot", "x"), ("k1", "y")], "k string, w string")
+    left, right = (many, few) if hot_side == "left" else (few, many)
+    right = right.withColumnRenamed("k", "rk")
+
+    def task_sizes(hot_rows):
+        joined = balanced_left_join(
+            left, right, [("k", "rk")], marker="m", hot_rows=hot_rows, fan_out=64
+        ).filter("k = 'hot'")
+        counts = joined.groupBy(F.spark_partition_id()).count().collect()
+        return sorted(r["count"] for r in counts)
+
+    assert task_sizes(hot_rows=10_000) == [4000]
+    spread = task_sizes(hot_rows=1000)
+    assert sum(spread) == 4000 and len(spread) == 8 and spread[-1] < 1000
+
+
+def test_a_hot_key_of_a_large_lookup_is_spread(spark, shuffled_joins):
+    wide = spark.createDataFrame([("hot", str(i)) for i in range(4000)], "k string, v string")
+    lookup = spark.createDataFrame([("hot", "x"), ("b", "y")], "k string, c string")
+    joined = lookup_join(
+        wide.repartition(8, "v"), lookup, ["k"], max_broadcast_rows=1, hot_rows=1000
+    )
+    sizes = [r["count"] for r in joined.groupBy(F.spark_partition_id()).count().collect()]
+    assert sum(sizes) == 4000 and len(sizes) > 5 and max(sizes) < 1000

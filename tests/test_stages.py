@@ -74,7 +74,7 @@ def test_collateral_stage(spark, tmp_path):
     ]
     [(ue, collateral, error)] = rows(joined.failed)
     assert ue == "1_CRP_UE_POOLC_2020-02-29_1.csv" and collateral.startswith("1_CRP_Coll")
-    assert error.startswith("Cannot detect merge keys") and "CRPC2" in error
+    assert error.startswith("No join key") and "CRPC2" in error
     assert rows(joined.rows, "merged_name", "RREL2", "RREL3", "RREC3", "NOTE", "NOTE_collateral") == sorted(
         [
             (name_a, "007", "L1", "C1", 'x,"1"', "n"),

@@ -8,6 +8,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from poolweave.functions.names import month
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
@@ -18,7 +20,7 @@ def text(name: str) -> Column:
 
 
 def day(name: str) -> Column:
-    return F.substring(text(name), 1, 10)
+    return F.col(name).cast("date").cast("string")
 
 
 def panel(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -32,7 +34,6 @@ def panel_of(lineitem: DataFrame) -> DataFrame:
         text("l_orderkey").alias("RREL3"),
         text("l_linenumber").alias("RREC3"),
         day("l_shipdate").alias("RREL6"),
-        F.substring(text("l_shipdate"), 1, 7).alias("date_ym"),
         F.when(pool < 6, F.when(F.col("l_returnflag") == "N", "ESMA").otherwise("ECB"))
         .when(pool < 9, "ECB")
         .otherwise("ESMA")
@@ -42,7 +43,7 @@ def panel_of(lineitem: DataFrame) -> DataFrame:
         "l_extendedprice",
         "l_partkey",
         "l_linestatus",
-    )
+    ).withColumn("date_ym", month(F.col("RREL6")))
 
 
 PANEL = """

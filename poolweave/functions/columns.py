@@ -119,6 +119,13 @@ def require_distinct_by_case(columns: Sequence[str], case_sensitive: bool) -> No
         )
 
 
+def require_unreserved(columns: Iterable[str], reserved: Iterable[str]) -> None:
+    """Reject data columns that a later step would overwrite with its own."""
+    clashes = sorted(set(columns) & set(reserved))
+    if clashes:
+        raise ValueError(f"columns have names the pipeline uses itself: {clashes}")
+
+
 def present(df: DataFrame, names: Iterable[str]) -> list[str]:
     available = set(df.columns)
     return [n for n in names if n in available]

@@ -13,7 +13,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from poolweave.functions.columns import col, cols, require_distinct_by_case, sorted_union
+from poolweave.functions.columns import (
+    col,
+    cols,
+    require_distinct_by_case,
+    require_unreserved,
+    sorted_union,
+)
 from poolweave.functions.names import decoded
 from poolweave.functions.nulls import EMPTY_ONLY, RAW_FILE_NULL_TOKENS, apply_null_tokens
 from poolweave.operators.columns import align, union_aligned
@@ -21,6 +27,18 @@ from poolweave.session import scratch_path
 from poolweave.sources.manifest import header_names, parse_header, with_headers
 
 POSITION = ("file_name", "block_start", "row_place")
+# Columns the stages add to scanned rows, besides the position.
+PIPELINE_COLUMNS = (
+    "asset_type",
+    "identifier",
+    "date",
+    "ue_name",
+    "merged_name",
+    "pool_id",
+    "bucket",
+    "country",
+    "salvaged",
+)
 MAX_HEADERS_PER_PLAN = 50
 
 
@@ -45,6 +63,8 @@ def read_csv(
     """
     case_sensitive = spark.conf.get("spark.sql.caseSensitive") == "true"
     require_distinct_by_case(columns, case_sensitive)
+    if positions:
+        require_unreserved(columns, (*POSITION, *PIPELINE_COLUMNS))
     schema = T.StructType([T.StructField(c, T.StringType()) for c in columns])
     scan = (
         spark.read.schema(schema)

@@ -138,3 +138,12 @@ def test_null_tokens(strings):
         [(None, "NA"), (None, "x"), ("Na", None), ("007", "null")], key=repr
     )
     assert len(RAW_FILE_NULL_TOKENS) == 19
+
+
+def test_null_tokens_in_many_columns(spark):
+    names = [f"c{i}" for i in range(60)] + ["x.1"]
+    values = ["NA" if i % 3 == 0 else None if i % 3 == 1 else str(i) for i in range(61)]
+    df = spark.createDataFrame([(7, *values)], "n int, " + ", ".join(f"`{n}` string" for n in names))
+    cleaned = apply_null_tokens(df, RAW_FILE_NULL_TOKENS, names)
+    assert cleaned.columns == ["n", *names]
+    assert tuple(cleaned.first()) == (7, *(str(i) if i % 3 == 2 else None for i in range(61)))

@@ -106,6 +106,19 @@ def test_wrong_header_fails(spark, tmp_path):
         read_csv(spark, folder, ["A", "B"]).collect()
 
 
+def test_reserved_names_are_refused(spark, tmp_path):
+    folder = write_files(tmp_path, {"a.csv": "A,country\n1,2\n"})
+    with pytest.raises(ValueError, match="country"):
+        scan_manifest(list_files(spark, folder))
+    assert scan_manifest(list_files(spark, folder), positions=False).count() == 1
+
+
+def test_line_ends_inside_quotes(spark, tmp_path):
+    folder = write_files(tmp_path, {"a.csv": 'A,B\n1,"two\nlines"\n2,x\n'})
+    table = scan_manifest(list_files(spark, folder), multi_line=True)
+    assert rows(table, "A", "B") == [("1", "two\nlines"), ("2", "x")]
+
+
 def test_split_file_keeps_order(spark, tmp_path):
     text = "A\n" + "".join(f"{i:08d}\n" for i in range(20000))
     folder = write_files(tmp_path, {"big.csv": text})

@@ -83,7 +83,7 @@ def lookup_join(
     should be cheap to read (a manifest, or the output of ``materialize``): it is
     counted here, and read once more in the join.
     """
-    small = lookup.limit(max_broadcast_rows + 1).count() <= max_broadcast_rows
+    small = lookup.count() <= max_broadcast_rows
     right = _prefixed(lookup, keys, "__lookup_")
     right_keys = ["__lookup_" + k for k in keys]
     condition = key_condition(cols(keys), cols(right_keys), null_safe)

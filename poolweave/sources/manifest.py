@@ -3,9 +3,12 @@
 from __future__ import annotations
 
 import csv
-from collections.abc import Iterable
+from collections.abc import Iterator, Sequence
+from urllib.parse import quote
 
-from pyspark.sql import DataFrame, SparkSession
+import pandas as pd
+from pyarrow import fs
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from poolweave.functions.columns import unique_header
@@ -16,6 +19,11 @@ from poolweave.functions.names import (
     esma_pool_id,
     with_name_fields,
 )
+from poolweave.operators.skew import lookup_join
+
+# Stores whose files the Python side of a task can open by itself.
+OPENED_BY_TASKS = ("file", "hdfs", "s3", "s3a", "gs")
+HEADER_PIECE = 64 * 1024
 
 
 def list_files(spark: SparkSession, folder: str | list[str], pattern: str = "*") -> DataFrame:
@@ -43,28 +51,17 @@ def merged_esma_files(spark: SparkSession, folder: str) -> DataFrame:
     return list_files(spark, folder, "*.csv").withColumn("pool_id", esma_pool_id(F.col("name")))
 
 
-def with_headers(files: DataFrame, paths: Iterable[str]) -> DataFrame:
+def with_headers(files: DataFrame, paths: Sequence[str]) -> DataFrame:
     """Add the raw ``header_line`` of each file; null for a file without one.
 
-    The first line is the one with the lowest place among the rows of the file's
-    first block; block and place reduce it before any shuffle. Column parsing is
-    left to the driver, which sees one line per *different* header only.
+    Tasks open the files and read no further than the first line, where the store is
+    one that tasks can open; otherwise the files' first blocks are scanned. Column
+    parsing is left to the driver, which sees one line per *different* header only.
     """
-    spark = files.sparkSession
-    lines = spark.read.text(list(paths)).select(
-        "value",
-        F.col("_metadata.file_path").alias("__uri"),
-        F.col("_metadata.file_block_start").alias("__block"),
-        F.monotonically_increasing_id().alias("__place"),
-    )
-    headers = (
-        lines.filter(F.col("__block") == 0)
-        .groupBy("__uri")
-        .agg(F.min_by("value", "__place").alias("header_line"))
-        .select(
-            base_path(decoded(F.col("__uri"))).alias("__path"),
-            F.regexp_replace("header_line", "^\\uFEFF|\\r$", "").alias("header_line"),
-        )
+    can_open = all(_scheme(p) in OPENED_BY_TASKS for p in paths)
+    headers = (first_lines(files) if can_open else scanned_first_lines(files, paths)).select(
+        base_path(F.col("path")).alias("__path"),
+        F.regexp_replace("header_line", "^\\uFEFF|\\r$", "").alias("header_line"),
     )
     keyed = files.withColumn("__file", base_path(F.col("path")))
     return keyed.join(headers, keyed["__file"] == headers["__path"], "left").drop(
@@ -72,7 +69,61 @@ def with_headers(files: DataFrame, paths: Iterable[str]) -> DataFrame:
     )
 
 
-def base_path(path):
+def _scheme(path: str) -> str:
+    return path.split(":", 1)[0] if ":" in path.split("/", 1)[0] else "file"
+
+
+def first_lines(files: DataFrame) -> DataFrame:
+    """``path, header_line`` by opening each file of the manifest."""
+    tasks = int(files.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+
+    def read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            lines = [_first_line(path) for path in batch["path"]]
+            yield pd.DataFrame({"path": batch["path"], "header_line": lines})
+
+    spread = files.select("path").repartition(tasks, "path")
+    return spread.mapInPandas(read, "path string, header_line string")
+
+
+def _first_line(path: str) -> str | None:
+    scheme, place = _scheme(path), path.split(":", 1)[-1]
+    if scheme == "file":
+        store, name = fs.LocalFileSystem(), "/" + place.lstrip("/")
+    else:
+        uri = f"{scheme.replace('s3a', 's3')}:{quote(place)}"
+        store, name = fs.FileSystem.from_uri(uri)
+    line = b""
+    with store.open_input_stream(name, compression=None) as stream:
+        while b"\n" not in line and (piece := stream.read(HEADER_PIECE)):
+            line += piece
+    return line.split(b"\n", 1)[0].decode("utf-8", "replace") or None
+
+
+def scanned_first_lines(files: DataFrame, paths: Sequence[str]) -> DataFrame:
+    """``path, header_line`` by scanning the first block of each file as text.
+
+    The place of the first line is found without carrying the lines, which would have
+    to be sorted for it; then those lines are picked from the same scan.
+    """
+    lines = (
+        files.sparkSession.read.text(list(paths))
+        .select(
+            "value",
+            F.col("_metadata.file_path").alias("__uri"),
+            F.col("_metadata.file_block_start").alias("__block"),
+            F.monotonically_increasing_id().alias("__place"),
+        )
+        .filter(F.col("__block") == 0)
+    )
+    firsts = lines.groupBy("__uri").agg(F.min("__place").alias("__place"))
+    headers = lookup_join(lines, firsts, ["__uri", "__place"], "left_semi", null_safe=False)
+    return headers.select(
+        decoded(F.col("__uri")).alias("path"), F.col("value").alias("header_line")
+    )
+
+
+def base_path(path: Column) -> Column:
     """A path without the scheme, which listings and scans write differently."""
     return F.regexp_replace(path, r"^[A-Za-z][A-Za-z0-9+.-]*:/*", "/")
 

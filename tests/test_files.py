@@ -12,10 +12,12 @@ from conftest import rows, write_files
 from poolweave.sources.lookups import read_pool_mapping, read_template
 from poolweave.sources.manifest import (
     ecb_files,
+    first_lines,
     list_files,
     merged_esma_files,
     parse_header,
     raw_esma_files,
+    scanned_first_lines,
     with_headers,
 )
 from poolweave.sources.salvage import inflated, probe_gzip, recovered_lines, salvage
@@ -58,9 +60,12 @@ HEADERS = {
 def test_headers(spark, tmp_path):
     folder = write_files(tmp_path, HEADERS)
     files = list_files(spark, folder)
-    found = with_headers(files, [r.path for r in files.collect()])
-    headers = dict(rows(found, "name", "header_line"))
+    paths = [r.path for r in files.collect()]
+    headers = dict(rows(with_headers(files, paths), "name", "header_line"))
     assert headers == {n: t.splitlines()[0].removeprefix(BOM) for n, t in HEADERS.items()}
+    opened, scanned = first_lines(files), scanned_first_lines(files, paths)
+    clean = F.regexp_replace("header_line", r"^\uFEFF|\r$", "")
+    assert rows(opened.select("path", clean)) == rows(scanned.select("path", clean))
     assert parse_header('C,"A,b",C') == ["C", "A,b", "C.1"]
 
 

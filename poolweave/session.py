@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from functools import cache
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -38,10 +39,12 @@ def shared_folder(spark: SparkSession) -> str:
     Only a session without one (a test) gets a temporary folder of its own.
     """
     folder = spark.conf.get("spark.checkpoint.dir", None)
-    if not folder:
-        folder = tempfile.mkdtemp(prefix="poolweave-")
-        spark.conf.set("spark.checkpoint.dir", folder)
-    return folder
+    return folder or _test_folder(spark.sparkContext.applicationId)
+
+
+@cache
+def _test_folder(application: str) -> str:
+    return tempfile.mkdtemp(prefix=f"poolweave-{application}-")
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:

@@ -302,8 +302,7 @@ def pool_universe(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(
     f"""
 WITH items AS (SELECT DISTINCT pool_no, date_ym FROM ({v.PANEL})),
-done AS (SELECT DISTINCT pool_no, date_ym FROM ({v.PANEL}) WHERE l_linestatus = 'F'
-  AND l_quantity > 45)
+done AS (SELECT DISTINCT pool_no, date_ym FROM ({v.PANEL}) WHERE substr(date_ym, 7, 1) < '5')
 SELECT i.* FROM items i LEFT JOIN done d ON i.pool_no = d.pool_no AND i.date_ym = d.date_ym
 WHERE d.pool_no IS NULL
 """
@@ -311,5 +310,5 @@ WHERE d.pool_no IS NULL
 def resume_pending(spark: SparkSession, sf_dir: str) -> DataFrame:
     keys = ["pool_no", "date_ym"]
     panel = v.panel(spark, sf_dir)
-    done = panel.filter("l_linestatus = 'F' AND l_quantity > 45")
+    done = panel.filter(F.substring("date_ym", 7, 1) < "5")
     return pending(panel.select(*keys).distinct(), done, keys)

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from poolweave.llm import secrets, token_counts, urls
+from poolweave.llm import quality, secrets, token_counts, urls
 from poolweave.llm.common import table
 from poolweave.session import scratch_path
 
@@ -57,6 +57,13 @@ FROM documents d LEFT JOIN texts t ON t.doc_id = d.doc_id
 """
 
 
+def op3_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality of every document, learned from the labels that are not held out."""
+    return quality.score_documents(
+        table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    )
+
+
 def op7_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rules and the regression's verdict for the url of every page."""
     return urls.judge(table(spark, sf_dir, "pages"), urls.labelled_urls(spark))
@@ -71,6 +78,6 @@ def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_secret_scans, op7_url_filters, op8_token_counts)
+    f.__name__: f for f in (op1_secret_scans, op3_quality_classifier, op7_url_filters, op8_token_counts)
 }
 ORACLES: dict[str, str] = {"op1_secret_scans": _secret_sql()}

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from poolweave.llm import quality, secrets, token_counts, urls
+from poolweave.llm import language, quality, secrets, token_counts, urls
 from poolweave.llm.common import table
 from poolweave.session import scratch_path
 
@@ -77,7 +77,12 @@ def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return counts.withColumn("over_limit", F.col("n_tokens") > MAX_TOKENS)
 
 
+def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of every document, learned from the rows that are not held out."""
+    return language.identify(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_secret_scans, op3_quality_classifier, op7_url_filters, op8_token_counts)
+    f.__name__: f for f in (op1_secret_scans, op3_quality_classifier, op7_url_filters, op8_token_counts, op10_language_id)
 }
 ORACLES: dict[str, str] = {"op1_secret_scans": _secret_sql()}

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from poolweave.llm import language, quality, secrets, token_counts, urls
+from poolweave.llm import language, quality, secrets, token_counts, topk, urls
 from poolweave.llm.common import table
 from poolweave.session import scratch_path
 
@@ -64,6 +64,25 @@ def op3_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op6_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The five best other vectors of every vector whose id is divisible by 50."""
+    return topk.top_k(table(spark, sf_dir, "embeddings"))
+
+
+_TOP_K_SQL = """
+WITH vectors AS (SELECT vec_id,
+  list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS v
+  FROM embeddings WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+pairs AS (SELECT q.vec_id AS query_id, c.vec_id AS vec_id,
+  CAST(list_dot_product(CAST(q.v AS DOUBLE[]), CAST(c.v AS DOUBLE[])) AS BIGINT) AS score
+  FROM vectors q JOIN vectors c ON q.vec_id % 50 = 0 AND c.vec_id <> q.vec_id),
+ranked AS (SELECT query_id, vec_id, score, CAST(row_number() OVER (
+  PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank FROM pairs)
+SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 5
+"""
+
+
 def op7_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rules and the regression's verdict for the url of every page."""
     return urls.judge(table(spark, sf_dir, "pages"), urls.labelled_urls(spark))
@@ -83,6 +102,6 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_secret_scans, op3_quality_classifier, op7_url_filters, op8_token_counts, op10_language_id)
+    f.__name__: f for f in (op1_secret_scans, op3_quality_classifier, op6_exact_top_k, op7_url_filters, op8_token_counts, op10_language_id)
 }
-ORACLES: dict[str, str] = {"op1_secret_scans": _secret_sql()}
+ORACLES: dict[str, str] = {"op1_secret_scans": _secret_sql(), "op6_exact_top_k": _TOP_K_SQL}

@@ -2,12 +2,16 @@
 
 The vocabulary splits at white space before anything else, so a text's ids are its
 words' ids in order. Most words repeat: a task encodes each distinct word once and
-puts texts together from the stored ids.
+puts texts together from the stored ids. Of a word of letters with punctuation behind
+it, the vocabulary encodes the two parts apart; they go to its BPE model directly,
+all other words through the whole tokenizer.
 """
 
 from __future__ import annotations
 
 import os
+import re
+import unicodedata
 from functools import cache
 
 import numpy as np
@@ -15,6 +19,13 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 TOKENIZER = "word_bpe_49k.json"
+#: Letters, then ASCII punctuation without the apostrophe (of contractions).
+_PLAIN = re.compile(r"([^\W\d_]+)([!-&(-/:-@\[-`{-~]*)")
+_PRINTED = [*range(33, 127), *range(161, 173), *range(174, 256)]
+#: Byte-level BPE shows printable bytes as themselves and the others from 256 on.
+_SHOWN = dict(zip(_PRINTED, _PRINTED)) | {
+    b: 256 + k for k, b in enumerate(x for x in range(256) if x not in _PRINTED)
+}
 MAX_CACHED_WORDS = 1_000_000  # per Python worker; the oldest go first, all at once
 
 
@@ -46,6 +57,7 @@ class WordIds:
 
     def _clear(self) -> None:
         self.rows: dict[str, int] = {}
+        self.parts: dict[str, list[int]] = {}
         self.ids = np.zeros(1 << 16, np.uint16)
         self.ends = np.zeros(1 << 14, np.int64)  # ends[row + 1] is where a row ends
 
@@ -60,8 +72,14 @@ class WordIds:
         return np.fromiter((rows[w] for w in words), np.int64, len(words))
 
     def _add(self, words: list[str]) -> None:
-        encoded = self.tokenizer.encode_batch_fast(words, add_special_tokens=False)
-        lists = [e.ids for e in encoded]
+        lists = [self._plain(w) for w in words]
+        others = [k for k, x in enumerate(lists) if x is None]
+        if others:
+            encoded = self.tokenizer.encode_batch_fast(
+                [words[k] for k in others], add_special_tokens=False
+            )
+            for k, e in zip(others, encoded):
+                lists[k] = e.ids
         n = len(self.rows)
         ends = self.ends[n] + np.cumsum([len(x) for x in lists])
         self.ids = _room(self.ids, int(ends[-1]))
@@ -70,6 +88,27 @@ class WordIds:
         self.ends[n + 1 : n + 1 + len(words)] = ends
         self.rows.update(zip(words, range(n, n + len(words))))
 
+    def _plain(self, word: str) -> list[int] | None:
+        """Ids of letters followed by punctuation; None for any other word."""
+        match = _PLAIN.fullmatch(word)
+        if match is None:
+            return None
+        letters, tail = match.groups()
+        if not letters.isascii():
+            if not (letters.islower() and unicodedata.is_normalized("NFC", letters)):
+                return None
+            letters = letters.encode().decode("latin-1").translate(_SHOWN)
+        ids = self._part(letters.lower() if letters.isascii() else letters)
+        return ids + self._part(tail) if tail else ids
+
+    def _part(self, part: str) -> list[int]:
+        ids = self.parts.get(part)
+        if ids is None:
+            if len(self.parts) > self.limit:
+                self.parts.clear()
+            ids = self.parts[part] = [t.id for t in self.tokenizer.model.tokenize(part)]
+        return ids
+
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """All ids of the texts end to end, and where each text's ids begin."""
         starts, lengths, first = self._words(texts)

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from poolweave.llm import language, quality, secrets, token_counts, topk, urls
+from poolweave.llm import jaccard, language, quality, secrets, token_counts, topk, urls
 from poolweave.llm.common import table
 from poolweave.session import scratch_path
 
@@ -57,6 +57,11 @@ FROM documents d LEFT JOIN texts t ON t.doc_id = d.doc_id
 """
 
 
+def op2_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Components of documents whose three-word shingles agree by nine tenths."""
+    return jaccard.similar_sets(table(spark, sf_dir, "documents"))
+
+
 def op3_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Quality of every document, learned from the labels that are not held out."""
     return quality.score_documents(
@@ -102,6 +107,6 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_secret_scans, op3_quality_classifier, op6_exact_top_k, op7_url_filters, op8_token_counts, op10_language_id)
+    f.__name__: f for f in (op1_secret_scans, op2_ngram_jaccard, op3_quality_classifier, op6_exact_top_k, op7_url_filters, op8_token_counts, op10_language_id)
 }
 ORACLES: dict[str, str] = {"op1_secret_scans": _secret_sql(), "op6_exact_top_k": _TOP_K_SQL}

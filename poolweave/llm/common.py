@@ -7,7 +7,7 @@ many rows a batch has; a text longer than a block is a block of its own.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -65,6 +65,46 @@ def text_blocks(
             first = last
 
 
+def summed_counts(
+    frame: DataFrame, bits: int, places: Callable[[pa.RecordBatch], np.ndarray], column: str
+) -> np.ndarray:
+    """How often each of ``2**bits`` places occurs in what ``places`` gives for a block.
+
+    ``column`` is the column by which blocks are cut. The counts of a task leave it as a
+    fixed number of rows, one for each chunk of places; chunks are added up in tasks of
+    their own. Few tasks count, since each one sends all its counts.
+    """
+    size = 1 << min(bits, 16)
+    chunks = (1 << bits) // size
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counts = np.zeros(1 << bits, np.uint32)
+        for block in text_blocks(batches, column):
+            place, n = np.unique(places(block), return_counts=True)
+            counts[place] += n.astype(np.uint32)
+        for k in range(chunks):
+            part = counts[k * size : (k + 1) * size]
+            if part.any():
+                yield pa.RecordBatch.from_pydict({"chunk": pa.array([k], pa.int32()), "counts": [part.tobytes()]})
+
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sums: dict[int, np.ndarray] = {}
+        for batch in batches:
+            for chunk, data in zip(batch.column("chunk").to_pylist(), batch.column("counts")):
+                total = sums.setdefault(chunk, np.zeros(size, np.int64))
+                total += np.frombuffer(data.as_buffer(), np.uint32)
+        for chunk, total in sums.items():
+            yield pa.RecordBatch.from_pydict({"chunk": pa.array([chunk], pa.int32()), "counts": [total.tobytes()]})
+
+    schema = "chunk int, counts binary"
+    tasks = 2 * frame.sparkSession.sparkContext.defaultParallelism
+    parts = frame.coalesce(tasks).mapInArrow(count, schema)
+    out = np.zeros(1 << bits, np.int64)
+    for row in parts.repartition(chunks, "chunk").mapInArrow(add, schema).collect():  # 2**bits numbers
+        out[row["chunk"] * size : (row["chunk"] + 1) * size] = np.frombuffer(row["counts"], np.int64)
+    return out
+
+
 def random_odd(n: int, seed: int) -> np.ndarray:
     """``n`` fixed pseudo-random odd 64-bit numbers (splitmix64)."""
     with np.errstate(over="ignore"):

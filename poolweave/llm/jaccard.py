@@ -24,12 +24,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from poolweave.llm.common import hashed_words, ranges, shingle_hashes, text_blocks, text_bytes, whole_text
+from poolweave.llm.common import hashed_words, ranges, shingle_hashes, summed_counts, text_blocks, text_bytes, whole_text
 from poolweave.llm.components import components
 from poolweave.session import materialize
 
 COUNT_BITS = 21  # counts of shingles by hash: 2 million, whatever the corpus
-CHUNK_BITS = 16
 LEVEL_BITS = 5
 LONG_LIST = 4000  # index lists above this length are dealt out over several tasks
 
@@ -52,43 +51,14 @@ class Spec:
 
 
 def _levels(docs: DataFrame, spec: Spec) -> np.ndarray:
-    """The logarithm of the number of documents with a shingle, by the shingle's hash.
+    """The logarithm of the number of documents with a shingle, by the shingle's hash."""
 
-    The counts of a task leave it as one row for each chunk; their number is fixed.
-    """
-    size = 1 << CHUNK_BITS
+    def places(block: pa.RecordBatch) -> np.ndarray:
+        hashes, _ = _distinct(block.column("text"), spec, None)
+        return (hashes >> np.uint64(64 - COUNT_BITS)).astype(np.int64)
 
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts = np.zeros(1 << COUNT_BITS, np.uint32)
-        for block in text_blocks(batches, "text"):
-            hashes, _ = _distinct(block.column("text"), spec, None)
-            place, n = np.unique(hashes >> np.uint64(64 - COUNT_BITS), return_counts=True)
-            counts[place.astype(np.int64)] += n.astype(np.uint32)
-        for k in range(len(counts) // size):
-            part = counts[k * size : (k + 1) * size]
-            if part.any():
-                yield _record(chunk=pa.array([k], pa.int32()), counts=[part.tobytes()])
-
-    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sums: dict[int, np.ndarray] = {}
-        for batch in batches:
-            for chunk, data in zip(batch.column("chunk").to_pylist(), batch.column("counts")):
-                part = np.frombuffer(data.as_buffer(), np.uint32)
-                sums[chunk] = sums.get(chunk, np.zeros(size, np.uint64)) + part
-        for chunk, total in sums.items():
-            level = np.minimum(2 * np.log2(total + 1.0), (1 << LEVEL_BITS) - 1)
-            yield _record(chunk=pa.array([chunk], pa.int32()), counts=[level.astype(np.uint8).tobytes()])
-
-    spark = docs.sparkSession
-    schema = "chunk int, counts binary"
-    # Few tasks: each one sends all its counts, however much it has read.
-    tasks = 2 * spark.sparkContext.defaultParallelism
-    parts = docs.coalesce(tasks).mapInArrow(count, schema)
-    levels = np.zeros(1 << COUNT_BITS, np.uint8)
-    chunks = 1 << (COUNT_BITS - CHUNK_BITS)
-    for row in parts.repartition(chunks, "chunk").mapInArrow(add, schema).collect():  # 2 MB
-        levels[row["chunk"] * size : (row["chunk"] + 1) * size] = np.frombuffer(row["counts"], np.uint8)
-    return levels
+    counts = summed_counts(docs, COUNT_BITS, places, "text")
+    return np.minimum(2 * np.log2(counts + 1.0), (1 << LEVEL_BITS) - 1).astype(np.uint8)
 
 
 def _record(**columns) -> pa.RecordBatch:

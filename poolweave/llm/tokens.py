@@ -12,12 +12,15 @@ from __future__ import annotations
 import os
 import re
 import unicodedata
+import zlib
 from functools import cache
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
+from poolweave.llm.common import ranges
+
 TOKENIZER = "word_bpe_49k.json"
 #: Letters, then ASCII punctuation without the apostrophe (of contractions).
 _PLAIN = re.compile(r"([^\W\d_]+)([!-&(-/:-@\[-`{-~]*)")
@@ -26,6 +29,8 @@ _PRINTED = [*range(33, 127), *range(161, 173), *range(174, 256)]
 _SHOWN = dict(zip(_PRINTED, _PRINTED)) | {
     b: 256 + k for k, b in enumerate(x for x in range(256) if x not in _PRINTED)
 }
+TERMS = 1 << 16
+_PUNCTUATION = "!\"#$%&'()*+,-./:;<=>?@[]^_`{|}~"
 MAX_CACHED_WORDS = 1_000_000  # per Python worker; the oldest go first, all at once
 
 
@@ -60,6 +65,7 @@ class WordIds:
         self.parts: dict[str, list[int]] = {}
         self.ids = np.zeros(1 << 16, np.uint16)
         self.ends = np.zeros(1 << 14, np.int64)  # ends[row + 1] is where a row ends
+        self.terms = np.zeros(1 << 14, np.uint16)
 
     def lookup(self, words: list[str]) -> np.ndarray:
         """Row numbers of words; new ones are encoded."""
@@ -86,6 +92,8 @@ class WordIds:
         self.ends = _room(self.ends, n + len(words) + 1)
         self.ids[self.ends[n] : ends[-1]] = [i for x in lists for i in x]
         self.ends[n + 1 : n + 1 + len(words)] = ends
+        self.terms = _room(self.terms, n + len(words))
+        self.terms[n : n + len(words)] = [term(w) for w in words]
         self.rows.update(zip(words, range(n, n + len(words))))
 
     def _plain(self, word: str) -> list[int] | None:
@@ -111,28 +119,37 @@ class WordIds:
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """All ids of the texts end to end, and where each text's ids begin."""
-        starts, lengths, first = self._words(texts)
-        from poolweave.llm.common import ranges
-
+        ids, first, _, _ = self.encode_with_terms(texts)
+        return ids, first
+
+    def encode_with_terms(self, texts: pa.Array):
+        """As :meth:`encode`, then the term of every word and each text's first word."""
+        rows, first = self._words(texts)
+        starts = self.ends[rows]
+        lengths = self.ends[rows + 1] - starts
         ids = self.ids[ranges(starts, lengths)]
         total = np.append(0, np.cumsum(lengths))
-        return ids, total[first]
+        return ids, total[first], self.terms[rows], first
 
     def count(self, texts: pa.Array) -> np.ndarray:
         """The number of ids of each text."""
-        _, lengths, first = self._words(texts)
+        rows, first = self._words(texts)
+        lengths = self.ends[rows + 1] - self.ends[rows]
         return np.diff(np.append(0, np.cumsum(lengths))[first])
 
-    def _words(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    def _words(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """The row of every word, and each text's first word."""
         lists = pc.ascii_split_whitespace(texts.cast(pa.large_string()))
         first = np.asarray(lists.offsets)
-        first = first - first[0]
         words = lists.flatten().dictionary_encode()
         rows = self.lookup(words.dictionary.to_pylist())
         codes = np.asarray(words.indices)
-        starts = self.ends[rows][codes] if len(rows) else np.zeros(0, np.int64)
-        ends = self.ends[rows + 1][codes] if len(rows) else np.zeros(0, np.int64)
-        return starts, ends - starts, first
+        return (rows[codes] if len(rows) else np.zeros(0, np.int64)), first - first[0]
+
+
+def term(word: str) -> int:
+    """A word's hashed term: without punctuation around it, in lower case."""
+    return zlib.crc32(word.lower().strip(_PUNCTUATION).encode()) & (TERMS - 1)
 
 
 def _room(array: np.ndarray, needed: int) -> np.ndarray:

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from poolweave.llm import jaccard, language, packing, quality, secrets, token_counts, topk, urls
+from poolweave.llm import decontaminate, jaccard, language, packing, quality, secrets, token_counts, topk, urls
 from poolweave.llm.common import table
 from poolweave.session import scratch_path
 
@@ -69,6 +69,13 @@ def op3_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op4_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents that hold a benchmark item or a paraphrase of one."""
+    return decontaminate.contaminated(
+        table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
+    )
+
+
 def op5_retrieval_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document in sequences of at most 2048 ids, next to its lexical neighbours."""
     return packing.pack(table(spark, sf_dir, "documents"))
@@ -112,6 +119,6 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_secret_scans, op2_ngram_jaccard, op3_quality_classifier, op5_retrieval_packing, op6_exact_top_k, op7_url_filters, op8_token_counts, op10_language_id)
+    f.__name__: f for f in (op1_secret_scans, op2_ngram_jaccard, op3_quality_classifier, op4_benchmark_decontamination, op5_retrieval_packing, op6_exact_top_k, op7_url_filters, op8_token_counts, op10_language_id)
 }
 ORACLES: dict[str, str] = {"op1_secret_scans": _secret_sql(), "op6_exact_top_k": _TOP_K_SQL}

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from poolweave.llm import decontaminate, jaccard, language, packing, quality, secrets, token_counts, topk, urls
+from poolweave.llm import decontaminate, jaccard, language, packing, quality, secrets, suffixes, token_counts, topk, urls
 from poolweave.llm.common import table
 from poolweave.session import scratch_path
 
@@ -113,12 +113,17 @@ def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return counts.withColumn("over_limit", F.col("n_tokens") > MAX_TOKENS)
 
 
+def op9_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What every document keeps without strings that a smaller id has."""
+    return suffixes.remove_repeats(table(spark, sf_dir, "documents"))
+
+
 def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Language of every document, learned from the rows that are not held out."""
     return language.identify(table(spark, sf_dir, "documents"))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_secret_scans, op2_ngram_jaccard, op3_quality_classifier, op4_benchmark_decontamination, op5_retrieval_packing, op6_exact_top_k, op7_url_filters, op8_token_counts, op10_language_id)
+    f.__name__: f for f in (op1_secret_scans, op2_ngram_jaccard, op3_quality_classifier, op4_benchmark_decontamination, op5_retrieval_packing, op6_exact_top_k, op7_url_filters, op8_token_counts, op9_suffix_dedup, op10_language_id)
 }
 ORACLES: dict[str, str] = {"op1_secret_scans": _secret_sql(), "op6_exact_top_k": _TOP_K_SQL}

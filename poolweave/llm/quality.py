@@ -226,7 +226,7 @@ def _quantile(rows: DataFrame, mean, scale, weights, share: float, rounds: int =
 
 
 def score_documents(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """doc_id, held_out, score and predicted of every row of ``docs`` (doc_id, text).
+    """doc_id, held_out, score, predicted and trained of every row of ``docs`` (doc_id, text).
 
     A null or empty text has the features of the empty text and is scored by them.
     Rows that repeat, and rows without doc_id (never held out), are scored like any
@@ -244,4 +244,4 @@ def score_documents(docs: DataFrame, labels: DataFrame) -> DataFrame:
         score = 1 / (1 + F.exp(-F.greatest(F.lit(-40.0), F.least(F.lit(40.0), margin))))
     return measured.select(
         "doc_id", (remainder("doc_id", 4) == 2).alias("held_out"), score.alias("score")
-    ).withColumn("predicted", (F.col("score") >= CUT).cast("int"))
+    ).withColumns({"predicted": (F.col("score") >= CUT).cast("int"), "trained": F.lit(model.trained)})

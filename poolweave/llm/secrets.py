@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from poolweave.llm.common import whole_text
+from poolweave.session import materialize
 
 
 @dataclass(frozen=True)
@@ -41,6 +42,8 @@ RULES = (
 #: What a text must hold for any match to count: cheap to look for.
 _LEAST = (RULES[0].pattern, r"AKIA[A-Z0-9]{16}", r"[0-9a-f]{24}")
 
+MASK = "[secret]"
+_BLOB, _STARTS, _ENDS = "__blob", "__starts", "__ends"
 LEDGER_COLUMNS = "blob string, rules string, spans string, n_assign long, n_access long, n_hex long"
 
 
@@ -128,3 +131,32 @@ def scan_versions(versions: DataFrame, ledger_path: str) -> DataFrame:
         *(c.split()[0] for c in LEDGER_COLUMNS.split(", "))
     ).write.mode("append").parquet(ledger_path)
     return versions.select("path", "version", blob).join(ledger(), "blob", "left")
+
+
+def redact(docs: DataFrame, ledger_path: str, mask: str = MASK) -> DataFrame:
+    """``docs`` (text, and any other columns) with each stretch of secrets as one mask.
+
+    All rows and columns stay; a text without finding is unchanged, a null one as well.
+    """
+    blob = F.sha2(whole_text(), 256)
+    versions = docs.select(F.lit(None).cast("string").alias("path"), F.lit(0).alias("version"), "text")
+    found = scan_versions(versions, ledger_path).filter(F.col("spans") != "")
+    spans = F.transform(F.split("spans", ","), lambda x: F.split(x, ":"))
+    edge = lambda k: F.transform(spans, lambda x: x[k].cast("int"))
+    found = found.groupBy(F.col("blob").alias(_BLOB)).agg(F.first("spans").alias("spans"))
+    edges = materialize(found.select(_BLOB, edge(1).alias(_STARTS), edge(2).alias(_ENDS)), "secret-spans")
+    letters = F.split("text", "")
+    # The text before a span begins where the spans before it have ended.
+    ended = lambda k: F.coalesce(F.array_max(F.slice(_ENDS, 1, k)), F.lit(0))
+    before = lambda start, k: F.when(
+        (start > ended(k)) | (k == 0),
+        F.array_join(F.slice(letters, ended(k) + 1, F.greatest(start - ended(k), F.lit(0))), ""),
+    )
+    last = F.array_max(_ENDS)
+    rest = F.array_join(F.slice(letters, last + 1, F.greatest(F.length("text") - last, F.lit(0))), "")
+    parts = F.array_compact(F.transform(_STARTS, before))
+    cleaned = F.concat(F.array_join(parts, mask), F.lit(mask), rest)
+    joined = docs.withColumn(_BLOB, blob).join(edges, _BLOB, "left")
+    return joined.withColumn("text", F.when(F.col(_STARTS).isNotNull(), cleaned).otherwise(F.col("text"))).select(
+        *(f"`{c}`" for c in docs.columns)
+    )

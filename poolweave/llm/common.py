@@ -1,7 +1,7 @@
 """Columns, batches and word hashes that several operators share.
 
 Texts reach Python tasks as Arrow batches. :func:`text_blocks` cuts a batch into
-blocks of a few megabytes, so that the arrays made from a block stay small however
+blocks of a megabyte, so that the arrays made from a block stay small however
 many rows a batch has; a text longer than a block is a block of its own.
 """
 
@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-BLOCK_BYTES = 2 << 20
+BLOCK_BYTES = 1 << 20
 
 #: Space, tab, line feed, vertical tab, form feed, carriage return.
 IS_SPACE = np.zeros(256, bool)
@@ -122,7 +122,8 @@ def mix(x: np.ndarray) -> np.ndarray:
 _KEYS = random_odd(256, 17)
 
 
-def _keys(n: int) -> np.ndarray:
+def position_keys(n: int) -> np.ndarray:
+    """The keys of the positions of a word."""
     return _KEYS[:n] if n <= len(_KEYS) else random_odd(n, 17)
 
 
@@ -155,7 +156,7 @@ def hashed_words(data: np.ndarray, borders: np.ndarray) -> Words:
     lengths = np.diff(np.append(first_byte, ordinal[-1]))
     place = np.arange(ordinal[-1]) - np.repeat(first_byte, lengths)
     values = LOWER[data[inside]].astype(np.uint64) + np.uint64(1)
-    values *= _keys(int(lengths.max()))[place]
+    values *= position_keys(int(lengths.max()))[place]
     hashes = mix(np.add.reduceat(values, first_byte) + lengths.astype(np.uint64))
     return Words(hashes, starts, lengths, np.searchsorted(starts, borders))
 

@@ -26,11 +26,10 @@ from poolweave.session import materialize
 
 WINDOW = 2048
 END_ID = 1
-SHARD_ITEMS = 4096  # items of an index; a bound on memory, not on the corpus
+SHARD_ITEMS = 2048  # items of an index; a bound on memory, not on the corpus
 QUERY_TERMS = 12  # of a seed's terms, those with the highest weight
 NEIGHBOURS = 64  # ranked neighbours of a seed, before the next item becomes a seed
 K1, B = 1.2, 0.75
-BLOCK_BYTES = 8 << 20
 
 
 def _binary(parts: list[bytes]) -> pa.Array:
@@ -43,7 +42,7 @@ def _encoded(docs: DataFrame, tokenizer: str) -> DataFrame:
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words = tokens.word_ids(tokenizer)
         sequence = TaskContext.get().partitionId() << 33 | 1
-        for block in text_blocks(batches, "text", BLOCK_BYTES):
+        for block in text_blocks(batches, "text"):
             ids, first, terms, first_word = words.encode_with_terms(block.column("text"))
             n = block.num_rows
             owner = np.repeat(np.arange(n, dtype=np.int64), np.diff(first_word))

@@ -33,12 +33,12 @@ FREQUENCY_BITS = 20  # document frequencies by word hash: a million, whatever th
 PASSAGE_WORDS = 64  # longer items are several passages
 LEAST_WORDS = 8  # shorter items are too common to be judged
 MAX_PASSAGES = 2000  # held by a task at once; more are searched in several passes
-RANK = 64
+RANK = 192
 STEPS = 3
 GRID = 8  # windows begin at every eighth word
 SCALES = (2, 4, 8)  # windows of so many grid steps
 LEAST_SHARE = 0.5  # of a window's TF-IDF length, in words that the passages have
-LEAST_COSINE = 0.25
+LEAST_COSINE = 0.4
 COPY = 0.8  # share of a passage's words in common order, for a copy
 PARAPHRASE = 0.6  # likewise if the answer is there as well
 ANSWER_WORDS, ANSWER_SHARE = 5, 0.8
@@ -178,10 +178,16 @@ def best_match(passage: np.ndarray, text: np.ndarray) -> tuple[int, int]:
     """The most words in common order within a stretch of the text, and where it begins."""
     size = int(np.ceil(SLACK * len(passage)))
     found = (0, 0)
-    if np.isin(text, passage).sum() < PARAPHRASE * len(passage):
+    least = PARAPHRASE * len(passage)
+    present = set(text.tolist())
+    if sum(w in present for w in passage.tolist()) < least:
         return found
     for k in range(0, max(1, len(text) - size + len(passage) // 4), max(1, len(passage) // 4)):
-        n = common_words(passage, text[k : k + size])
+        stretch = text[k : k + size]
+        present = set(stretch.tolist())
+        if sum(w in present for w in passage.tolist()) < max(least, found[0]):
+            continue
+        n = common_words(passage, stretch)
         found = max(found, (n, -k))
     return found[0], -found[1]
 
@@ -215,8 +221,8 @@ def search_block(block: pa.RecordBatch, idf: np.ndarray, held: Passages) -> list
         if not len(passages):
             continue
         owner, begin, last, norm = _windows(words.first, weight * weight, rows > 0, steps)
-        for k in range(0, len(owner), 4096):
-            part = slice(k, k + 4096)
+        for k in range(0, len(owner), 512):
+            part = slice(k, k + 512)
             lengths = last[part] - begin[part]
             latent = held.vectors[rows[ranges(begin[part], lengths)]]
             latent = np.add.reduceat(latent, np.cumsum(lengths) - lengths, axis=0)
@@ -253,8 +259,8 @@ def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     ignored.
     """
     spark = docs.sparkSession
-    docs = docs.select("doc_id", whole_text().alias("text"))
-    items = benchmark.select("item_id", whole_text().alias("text"))
+    docs = docs.select("doc_id", F.lower(whole_text()).alias("text"))
+    items = benchmark.select("item_id", F.lower(whole_text()).alias("text"))
     passages = materialize(_passages(items), "benchmark-passages")
     n = passages.count()
     schema = T.StructType(

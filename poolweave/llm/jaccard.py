@@ -5,7 +5,8 @@ only a prefix of it is indexed: sets that reach the threshold share a prefix shi
 Two kinds of work are skipped:
 
 * in an index list, which is sorted by set size and then position, everything of a
-  size block beyond the position from which the threshold is out of reach;
+  size block beyond the position from which the threshold is out of reach, and pairs
+  whose parity sketches (of 128 bits) differ in more bits than similar sets' elements;
 * equal sets are one set, and a set that differs little from another (its leader) is
   described by the difference. Answers between sets of one leader are derived from the
   differences alone, and pairs that are connected already need no answer.
@@ -24,12 +25,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from poolweave.llm.common import hashed_words, ranges, shingle_hashes, summed_counts, text_blocks, text_bytes, whole_text
+from poolweave.llm.common import hashed_words, mix, ranges, shingle_hashes, summed_counts, text_blocks, text_bytes, whole_text
 from poolweave.llm.components import components
 from poolweave.session import materialize
 
 COUNT_BITS = 21  # counts of shingles by hash: 2 million, whatever the corpus
 LEVEL_BITS = 5
+WAITING_PAIRS = 1 << 20  # of a task, before they leave it without repeats
 LONG_LIST = 4000  # index lists above this length are dealt out over several tasks
 
 
@@ -91,7 +93,7 @@ def _binary_lists(data: np.ndarray, first: np.ndarray) -> pa.Array:
 
 
 def _profiles(docs: DataFrame, spec: Spec, levels) -> DataFrame:
-    """doc_id, n_shingles, the set's digest, and its index prefix."""
+    """doc_id, the set's parity sketch, size, digest, and index prefix."""
 
     def profile(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for block in text_blocks(batches, "text"):
@@ -106,12 +108,22 @@ def _profiles(docs: DataFrame, spec: Spec, levels) -> DataFrame:
             prefix = sets[ranges(first[:-1], taken)]
             yield _record(
                 doc_id=block.column("doc_id").cast(pa.int64()),
+                sketch=_sketches(sets, first),
                 n_shingles=pa.array(sizes, pa.int64()),
                 digest=pa.array(digests, pa.binary()),
                 prefix=_binary_lists(prefix, np.append(0, np.cumsum(taken))),
             )
 
-    return docs.mapInArrow(profile, "doc_id long, n_shingles long, digest binary, prefix binary")
+    return docs.mapInArrow(profile, "doc_id long, sketch binary, n_shingles long, digest binary, prefix binary")
+
+
+def _sketches(sets: np.ndarray, first: np.ndarray) -> pa.Array:
+    """128 bits for each set; every element flips one of them."""
+    owner = np.repeat(np.arange(len(first) - 1), np.diff(first))
+    place = (owner << 7) | (mix(sets) >> np.uint64(57)).astype(np.int64)
+    odd = np.bincount(place, minlength=(len(first) - 1) << 7) & 1
+    bits = np.packbits(odd.astype(np.uint8)).tobytes()
+    return pa.array([bits[k : k + 16] for k in range(0, len(bits), 16)], pa.binary())
 
 
 def _entries(sets: DataFrame) -> DataFrame:
@@ -122,8 +134,11 @@ def _entries(sets: DataFrame) -> DataFrame:
             data, borders = text_bytes(batch.column("prefix"))
             tokens = np.frombuffer(data.tobytes(), np.int64)
             n = np.diff(borders) // 8
+            bits = np.frombuffer(text_bytes(batch.column("sketch"))[0].tobytes(), np.int64).reshape(-1, 2)
             yield _record(
                 token=tokens,
+                bits_1=np.repeat(bits[:, 0], n),
+                bits_2=np.repeat(bits[:, 1], n),
                 size=pa.array(np.repeat(np.asarray(batch.column("n_shingles")), n), pa.int32()),
                 pos=pa.array(ranges(np.zeros(len(n), np.int64), n), pa.int32()),
                 doc=np.repeat(np.asarray(batch.column("doc_id")), n),
@@ -135,7 +150,7 @@ def _entries(sets: DataFrame) -> DataFrame:
     return sets.mapInArrow(unfold, _ENTRY)
 
 
-_ENTRY = "token long, size int, pos int, doc long, part int, other int, mine int"
+_ENTRY = "token long, bits_1 long, bits_2 long, size int, pos int, doc long, part int, other int, mine int"
 
 
 def list_pairs(size: np.ndarray, pos: np.ndarray, lists: np.ndarray, spec: Spec) -> tuple[np.ndarray, np.ndarray]:
@@ -180,42 +195,58 @@ def _candidates(entries: DataFrame, spec: Spec, split: bool) -> DataFrame:
     lists come back as entries instead (x null) and are not paired."""
 
     def pair(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        waiting, n_waiting = [], 0
         for runs in _whole_lists(batches):
-            token, size, pos, doc, part, other, mine = runs
+            token, size, pos, doc, part, other, mine, bits_1, bits_2 = runs
             new = np.ones(len(token), bool)
             new[1:] = (token[1:] != token[:-1]) | (part[1:] != part[:-1]) | (other[1:] != other[:-1])
             lists = np.cumsum(new) - 1
             length = np.bincount(lists)[lists]
             long = (length > LONG_LIST) & split
             if long.any():
-                yield _result(None, None, token[long], size[long], pos[long], doc[long], length[long])
+                yield _result(
+                    None, None, token[long], size[long], pos[long], doc[long], length[long], bits_1[long], bits_2[long]
+                )
             keep = ~long & (length > 1)
             size, pos, doc, lists, mine = size[keep], pos[keep], doc[keep], lists[keep], mine[keep]
             across = (part != other)[keep]
             a, b = list_pairs(size, pos, lists, spec)
             # Where two parts of a list meet, only pairs across them are new.
             fresh = ~across[a] | (mine[a] != mine[b])
+            # Every element of the symmetric difference changes at most one bit.
+            first, second = bits_1[keep].view(np.uint64), bits_2[keep].view(np.uint64)
+            changed = np.bitwise_count(first[a] ^ first[b]).astype(np.int64)
+            changed += np.bitwise_count(second[a] ^ second[b])
+            both = size[a].astype(np.int64) + size[b]
+            fresh &= changed <= both - 2 * spec.least_common(both, 0)
             x, y = doc[a[fresh]], doc[b[fresh]]
-            found = np.unique(np.stack([np.minimum(x, y), np.maximum(x, y)]), axis=1)
-            if found.shape[1]:
-                yield _result(found[0], found[1])
+            waiting.append(np.stack([np.minimum(x, y), np.maximum(x, y)]))
+            n_waiting += len(x)
+            if n_waiting > WAITING_PAIRS:
+                waiting = [np.unique(np.hstack(waiting), axis=1)]
+                if waiting[0].shape[1] > WAITING_PAIRS // 2:
+                    yield _result(*waiting.pop())
+                n_waiting = sum(w.shape[1] for w in waiting)
+        if n_waiting:
+            yield _result(*np.unique(np.hstack(waiting), axis=1))
 
     arranged = entries.repartition("token", "part", "other").sortWithinPartitions(
-        "token", "part", "other", "size", "pos", "doc", "mine"
+        "token", "part", "other", "size", "pos", "doc"
     )
+    arranged = arranged.select("token", "size", "pos", "doc", "part", "other", "mine", "bits_1", "bits_2")
     return arranged.mapInArrow(pair, _PAIR)
 
 
-_PAIR = "x long, y long, token long, size int, pos int, doc long, length long"
+_PAIR = "x long, y long, token long, size int, pos int, doc long, length long, bits_1 long, bits_2 long"
 
 
-def _result(x, y, token=None, size=None, pos=None, doc=None, length=None) -> pa.RecordBatch:
+def _result(x, y, token=None, size=None, pos=None, doc=None, length=None, bits_1=None, bits_2=None) -> pa.RecordBatch:
     n = len(x) if x is not None else len(token)
     column = lambda v, kind: pa.nulls(n, kind) if v is None else pa.array(v, kind)
     return _record(
         x=column(x, pa.int64()), y=column(y, pa.int64()), token=column(token, pa.int64()),
         size=column(size, pa.int32()), pos=column(pos, pa.int32()), doc=column(doc, pa.int64()),
-        length=column(length, pa.int64()),
+        length=column(length, pa.int64()), bits_1=column(bits_1, pa.int64()), bits_2=column(bits_2, pa.int64()),
     )
 
 
@@ -244,7 +275,7 @@ def _dealt(long: DataFrame) -> DataFrame:
         "with", F.explode(F.sequence(F.lit(0), parts - 1))
     )
     return whole.select(
-        "token", "size", "pos", "doc",
+        "token", "bits_1", "bits_2", "size", "pos", "doc",
         F.least("mine", "with").alias("part"), F.greatest("mine", "with").alias("other"), "mine",
     )
 
@@ -327,13 +358,13 @@ def similar_sets(docs: DataFrame, spec: Spec = Spec()) -> DataFrame:
         F.col("doc_id").cast("long").alias("doc_id"), whole_text().alias("text")
     )
     levels = spark.sparkContext.broadcast(_levels(docs, spec))
-    one_each = F.min(F.struct("digest", "n_shingles", "prefix"))
+    one_each = F.min(F.struct("digest", "n_shingles", "prefix", "sketch"))
     profiles = materialize(
         _profiles(docs, spec, levels).groupBy("doc_id").agg(one_each.alias("p")).select("doc_id", "p.*"),
         "set-profiles",
     )
     # Equal sets are one set, represented by the smallest id.
-    first = F.min(F.struct("doc_id", "n_shingles", "prefix"))
+    first = F.min(F.struct("doc_id", "n_shingles", "prefix", "sketch"))
     classes = materialize(
         profiles.filter("n_shingles > 0").groupBy("digest").agg(first.alias("p")).select("digest", "p.*"),
         "set-classes",

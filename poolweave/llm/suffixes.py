@@ -6,12 +6,14 @@ with a smaller id. The work narrows down in steps that lose no such string:
 1. Each string has a minimizer: of the hashes of its 19-byte parts the smallest. Equal
    strings have equal minimizers, so only those that differing texts share matter.
 2. Documents with such minimizers are cut into short pieces that cover the strings in
-   question. A piece is placed by its minimizer, and keyed by bytes that all strings in
-   it contain; so equal strings meet under one key, and no key grows with a document.
+   question. A piece is placed by its minimizer: 43 bytes that all its strings contain,
+   and up to seven more on either side. Pieces meet by the hash of the 43 bytes, so equal
+   strings meet, and no key grows with a document.
 3. Equal pieces are one string with its smallest id. What is left under a key, pieces
-   that differ at their ends, is divided into shards; the shards' transforms are merged
-   (:mod:`poolweave.llm.bwt`), and blocks with a common prefix of 50 bytes are the
-   repeated strings. Within a block the smallest id stays.
+   that differ at their ends, is divided into shards, the 43 bytes written as nine
+   symbols of their hash. The shards' transforms are merged (:mod:`poolweave.llm.bwt`),
+   and blocks with a common prefix of 50 bytes, 16 symbols, are the repeated strings.
+   Within a block the smallest id stays.
 4. Marks come back to their document, where overlaps are added up.
 
 Exact copies of smaller documents are found by digest and take no part.
@@ -24,28 +26,29 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from poolweave.llm.bwt import joined, merged_blocks, sorted_shard
-from poolweave.llm.common import mix, random_odd, ranges, text_blocks, text_bytes, whole_text
+from poolweave.llm.common import mix, text_blocks, text_bytes, whole_text
 from poolweave.session import materialize
 
 LENGTH = 50
 PART = 19  # bytes under a minimizer hash
 SPAN = LENGTH - PART + 1  # 32 parts in a string
 GROUP = 8  # strings that begin within so many bytes share a piece
-PIECE = LENGTH + GROUP - 1
 CORE = LENGTH - GROUP + 1  # bytes that all strings of a piece contain
 SEGMENT = 1 << 20  # bytes whose minimizers are computed together
 HASH_BITS = 40
+NAME = 9  # symbols of 7 bits that stand for the bytes of a core
+FLANK = GROUP - 1
+CODED = NAME + FLANK  # symbols that stand for a string of 50 bytes
 SHARD_STRINGS = 4096
 MERGE_STRINGS = 65536  # strings of a merge, unless one key has more
 
 _STEP = np.uint64(0x9E3779B97F4A7C15)  # odd: has an inverse modulo 2**64
 _BACK = np.uint64(pow(int(_STEP), -1, 1 << 64))
-_KEYS = np.stack([random_odd(PIECE, 5), random_odd(PIECE, 6)])
 
 
 def _powers(base: np.uint64, n: int) -> np.ndarray:
@@ -106,7 +109,7 @@ def _dealt(keys: np.ndarray, parts: int) -> tuple[np.ndarray, np.ndarray, np.nda
 
 
 def _shared_minimizers(docs: DataFrame, parts: int) -> DataFrame:
-    """doc_id, digest and the minimizers that the document shares with differing texts."""
+    """kind (a text's hash) and the minimizers that the text shares with other texts."""
 
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for block in text_blocks(batches, "text"):
@@ -121,49 +124,69 @@ def _shared_minimizers(docs: DataFrame, parts: int) -> DataFrame:
             if not owners:
                 continue
             owner, value = np.concatenate(owners), np.concatenate(hashes)
-            ids = np.asarray(block.column("doc_id"))
-            digests = np.frombuffer("".join(block.column("digest").to_pylist()).encode(), "S32")
+            kinds = np.asarray(block.column("kind"))
             order, numbers, first = _dealt(value, parts)
-            out: dict[str, list] = {c: [] for c in ("ids", "digests", "counts", "hashes")}
+            out: dict[str, list] = {c: [] for c in ("kinds", "counts", "hashes")}
             for a, b in zip(first, first[1:]):
                 mine = np.sort(order[a:b])
                 rows, count = np.unique(owner[mine], return_counts=True)
-                out["ids"].append(_blob(ids[rows]))
-                out["digests"].append(_blob(digests[rows]))
+                out["kinds"].append(_blob(kinds[rows]))
                 out["counts"].append(_blob(count.astype(np.uint32)))
                 out["hashes"].append(_blob(value[mine].view(np.uint8).reshape(-1, 8)[:, :5]))
             yield pa.RecordBatch.from_pydict({"part": pa.array(numbers, pa.int32()), **out})
 
     def match(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ids, digests, counts, hashes = _joined_columns(batches, ("<i8", "S32", "<u4", "u1"))
-        if not len(ids):
+        kinds, counts, hashes = _joined_columns(batches, ("<i8", "<u4", "u1"))
+        if not len(kinds):
             return
         value = np.zeros((len(hashes) // 5, 8), np.uint8)
         value[:, :5] = hashes.reshape(-1, 5)
         value = value.view(np.uint64).ravel()
-        owner = np.repeat(np.arange(len(ids)), counts)
-        kind = np.unique(digests, return_inverse=True)[1].ravel()[owner]
+        kind = np.repeat(kinds, counts)
         order = np.argsort(value, kind="stable")
         first = np.flatnonzero(np.append(True, value[order][1:] != value[order][:-1]))
         differ = np.maximum.reduceat(kind[order], first) != np.minimum.reduceat(kind[order], first)
         some = order[np.repeat(differ, np.diff(np.append(first, len(order))))]
-        some = some[np.argsort(owner[some], kind="stable")]
-        rows, begin = np.unique(owner[some], return_index=True)
+        some = some[np.argsort(kind[some], kind="stable")]
+        rows, begin = np.unique(kind[some], return_index=True)
         lists = np.split(value[some], begin[1:])
         for k in range(0, len(rows), 10_000):
-            part = rows[k : k + 10_000]
             yield pa.RecordBatch.from_pydict(
-                {
-                    "doc_id": ids[part],
-                    "digest": [d.decode() for d in digests[part]],
-                    "hashes": [_blob(np.unique(v)) for v in lists[k : k + 10_000]],
-                }
+                {"kind": rows[k : k + 10_000], "hashes": [_blob(np.unique(v)) for v in lists[k : k + 10_000]]}
             )
 
-    sent = docs.mapInArrow(send, "part int, ids binary, digests binary, counts binary, hashes binary")
+    sent = docs.mapInArrow(send, "part int, kinds binary, counts binary, hashes binary")
     met = sent.repartition(parts, "part").drop("part")
-    found = met.mapInArrow(match, "doc_id long, digest string, hashes binary")
-    return found.groupBy("doc_id", "digest").agg(F.collect_list("hashes").alias("hashes"))
+    found = met.mapInArrow(match, "kind long, hashes binary")
+    return found.groupBy("kind").agg(F.collect_list("hashes").alias("hashes"))
+
+
+def _packed(docs: DataFrame) -> DataFrame:
+    """doc_id, kind and the text as compressed bytes, to be moved."""
+
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        squeeze = zstandard.ZstdCompressor(level=3)
+        for block in text_blocks(batches, "text"):
+            data, borders = text_bytes(block.column("text"))
+            texts = [squeeze.compress(data[a:b].tobytes()) for a, b in zip(borders, borders[1:])]
+            yield pa.RecordBatch.from_arrays(
+                [block.column("doc_id"), block.column("kind"), pa.array(texts, pa.binary())],
+                ["doc_id", "kind", "packed"],
+            )
+
+    return docs.mapInArrow(pack, "doc_id long, kind long, packed binary")
+
+
+def _unpacked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The batches with ``packed`` as ``text``, a few at a time."""
+    expand = zstandard.ZstdDecompressor()
+    for batch in batches:
+        place = batch.schema.get_field_index("packed")
+        for k in range(0, batch.num_rows, 256):
+            part = batch.slice(k, 256)
+            texts = [expand.decompress(x.as_buffer()) for x in part.column(place)]
+            column = pa.array(texts, pa.large_binary())
+            yield from text_blocks(iter([part.set_column(place, "text", column)]), "text")
 
 
 def _joined_columns(batches: Iterator[pa.RecordBatch], kinds: tuple[str, ...]) -> list[np.ndarray]:
@@ -175,39 +198,41 @@ def _joined_columns(batches: Iterator[pa.RecordBatch], kinds: tuple[str, ...]) -
     return [np.frombuffer(b"".join(d), kind) for d, kind in zip(data, kinds)]
 
 
-_MARKS = "doc_id long, digest string, begins binary, counts binary"
+_MARKS = "doc_id long, kind long, begins binary, counts binary"
 
 
-def _marks(ids: np.ndarray, digests: np.ndarray, begins: np.ndarray, counts: np.ndarray) -> Iterator[pa.RecordBatch]:
+def _marks(ids: np.ndarray, kinds: np.ndarray, begins: np.ndarray, counts: np.ndarray) -> Iterator[pa.RecordBatch]:
     """Strings to remove, as runs of begins, one row per document."""
     if not len(ids):
         return
-    order = np.lexsort((begins, digests, ids))
-    ids, digests, begins, counts = ids[order], digests[order], begins[order], counts[order]
-    first = np.flatnonzero(np.append(True, (ids[1:] != ids[:-1]) | (digests[1:] != digests[:-1])))
+    order = np.lexsort((begins, kinds, ids))
+    ids, kinds, begins, counts = ids[order], kinds[order], begins[order], counts[order]
+    first = np.flatnonzero(np.append(True, (ids[1:] != ids[:-1]) | (kinds[1:] != kinds[:-1])))
     for k in range(0, len(first), 10_000):
         own = np.append(first, len(ids))[k : k + 10_001]
         yield pa.RecordBatch.from_pydict(
             {
                 "doc_id": ids[own[:-1]],
-                "digest": [d.decode() for d in digests[own[:-1]]],
-                "begins": [_blob(begins[a:b].astype(np.int64)) for a, b in zip(own, own[1:])],
-                "counts": [_blob(counts[a:b].astype(np.int64)) for a, b in zip(own, own[1:])],
+                "kind": kinds[own[:-1]],
+                "begins": [_blob(begins[a:b].astype(np.uint32)) for a, b in zip(own, own[1:])],
+                "counts": [_blob(counts[a:b].astype(np.uint8)) for a, b in zip(own, own[1:])],
             }
         )
 
 
 def _pieces_of(block: pa.RecordBatch):
-    """The pieces of a block: owner row, begin, number of strings, offset in the group,
-    core hash, bytes (padded) and length."""
+    """The pieces of a block: owner row, begin in its text, and three 64-bit columns:
+    core hash; left flank and offset in the group; right flank and number of strings.
+
+    Bytes of a flank that belong to no string of the piece are 0.
+    """
     data, borders = text_bytes(block.column("text"))
     wanted = [
         np.unique(np.frombuffer(b"".join(x), np.uint64)) for x in block.column("hashes").to_pylist()
     ]
-    # One sorted list of (row, hash): rows in the upper bits of a second key.
+    # One sorted list for all rows: hashes mixed with their row.
     rows = np.repeat(np.arange(len(wanted)), [len(w) for w in wanted])
-    values = np.concatenate(wanted) if wanted else np.zeros(0, np.uint64)
-    listed = np.unique(mix(values + mix(rows.astype(np.uint64))))
+    listed = np.unique(mix(np.concatenate(wanted) + mix(rows.astype(np.uint64))))
     out: list[tuple] = []
     for begin, value, place, sums, low in minimizers(data, borders):
         owner = np.searchsorted(borders, begin + low, "right") - 1
@@ -222,71 +247,64 @@ def _pieces_of(block: pa.RecordBatch):
         new[1:] = (begin[1:] != begin[:-1] + 1) | (place[1:] != place[:-1]) | (group[1:] != group[:-1])
         first = np.flatnonzero(new)
         count = np.diff(np.append(first, len(begin)))
-        b, p, g = begin[first], place[first], group[first]
-        core = _stretch(sums, p - GROUP * g, CORE)
-        offset = b - (p - GROUP * g - GROUP + 1)
-        out.append((owner[first], b + low, count, offset, core))
+        frame = place[first] - GROUP * group[first] - FLANK
+        core = _stretch(sums, frame + FLANK, CORE)
+        out.append((owner[first], begin[first] + low, count, frame + low, core))
     if not out:
         return None
-    owner, begin, count, offset, core = (np.concatenate(x) for x in zip(*out))
-    length = count + LENGTH - 1
-    padded = np.concatenate([data, np.zeros(PIECE, np.uint8)])
-    body = padded[begin[:, None] + np.arange(PIECE)]
-    body[np.arange(PIECE) >= length[:, None]] = 0
-    return owner, begin - borders[owner], count, offset, core, body
-
-
-def _content(body: np.ndarray, count: np.ndarray, offset: np.ndarray, core: np.ndarray) -> np.ndarray:
-    """Two 64-bit hashes of a piece's bytes, length and alignment."""
-    out = np.empty((len(body), 2), np.uint64)
-    extra = core + (count * 16 + offset).astype(np.uint64)
-    for k in range(0, len(body), 1 << 15):
-        wide = body[k : k + (1 << 15)].astype(np.uint64) + np.uint64(1)
-        out[k : k + len(wide)] = np.stack([(wide * keys).sum(1) for keys in _KEYS], axis=1)
-    return mix(out + mix(extra)[:, None])
-
-
-def _least(content: np.ndarray, ids: np.ndarray) -> np.ndarray:
-    """For each piece the smallest id among the pieces of its content."""
-    order = np.lexsort((ids, content[:, 1], content[:, 0]))
-    own = content[order]
-    first = np.append(True, (own[1:] != own[:-1]).any(1)) if len(own) else np.zeros(0, bool)
+    owner, begin, count, frame, core = (np.concatenate(x) for x in zip(*out))
+    offset = begin - frame
+    padded = np.concatenate([np.zeros(FLANK, np.uint8), data, np.zeros(FLANK, np.uint8)])
+    flank = np.arange(FLANK)
+    left, right = np.zeros((2, len(owner), GROUP), np.uint8)
+    left[:, :FLANK] = padded[frame[:, None] + FLANK + flank] * (flank >= offset[:, None])
+    left[:, FLANK] = offset
+    right[:, :FLANK] = padded[frame[:, None] + FLANK + LENGTH + flank] * (flank < (offset + count - 1)[:, None])
+    right[:, FLANK] = count
+    whole = [core, left.view(np.uint64).ravel(), right.view(np.uint64).ravel()]
+    return owner, begin - borders[owner], whole
+
+
+def _least(whole: list[np.ndarray], ids: np.ndarray) -> np.ndarray:
+    """For each piece the smallest id among the pieces that equal it."""
+    order = np.lexsort((ids, *whole[::-1]))
+    first = np.append(True, _changes(whole, order))[: len(order)]
     least = np.empty(len(ids), ids.dtype)
     least[order] = ids[order][np.maximum.accumulate(np.where(first, np.arange(len(order)), 0))]
     return least
 
 
+def _changes(columns: list[np.ndarray], order: np.ndarray) -> np.ndarray:
+    """Where neighbours in this order differ in any column."""
+    return np.logical_or.reduce([c[order][1:] != c[order][:-1] for c in columns])
+
+
 def _send_pieces(marks: bool, parts: int):
     """Pieces by part of their core; or, with ``marks``, the strings of pieces that the
     same block has under a smaller id, which need not be sent."""
 
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for block in text_blocks(batches, "text"):
+        for block in _unpacked(batches):
             made = _pieces_of(block)
             if made is None:
                 continue
-            owner, begin, count, offset, core, body = made
-            ids = np.asarray(block.column("doc_id"))
-            digests = np.frombuffer("".join(block.column("digest").to_pylist()).encode(), "S32")
-            later = ids[owner] > _least(_content(body, count, offset, core), ids[owner])
+            owner, begin, whole = made
+            ids, kinds = np.asarray(block.column("doc_id")), np.asarray(block.column("kind"))
+            later = ids[owner] > _least(whole, ids[owner])
             if marks:
-                yield from _marks(ids[owner[later]], digests[owner[later]], begin[later], count[later])
+                count = (whole[2] >> np.uint64(56)).astype(np.int64)
+                yield from _marks(ids[owner[later]], kinds[owner[later]], begin[later], count[later])
                 continue
             keep = np.flatnonzero(~later)
-            order, numbers, first = _dealt(core[keep], parts)
-            names = ("ids", "digests", "rows", "begins", "counts", "offsets", "cores", "bodies")
+            order, numbers, first = _dealt(whole[0][keep], parts)
+            names = ("ids", "kinds", "rows", "begins", "cores", "lefts", "rights")
             out: dict[str, list] = {c: [] for c in names}
             for a, b in zip(first, first[1:]):
                 mine = np.sort(keep[order[a:b]])
-                rows, row = np.unique(owner[mine], return_inverse=True)
-                out["ids"].append(_blob(ids[rows]))
-                out["digests"].append(_blob(digests[rows]))
-                out["rows"].append(_blob(np.bincount(row.ravel()).astype(np.uint32)))
-                out["begins"].append(_blob(begin[mine]))
-                out["counts"].append(_blob(count[mine].astype(np.uint8)))
-                out["offsets"].append(_blob(offset[mine].astype(np.uint8)))
-                out["cores"].append(_blob(core[mine]))
-                out["bodies"].append(_blob(body[mine]))
+                rows, n = np.unique(owner[mine], return_counts=True)
+                columns = (ids[rows], kinds[rows], n.astype(np.uint32), begin[mine].astype(np.uint32))
+                for name, column in zip(names, (*columns, *(w[mine] for w in whole))):
+                    out[name].append(_blob(column))
             yield pa.RecordBatch.from_pydict({"part": pa.array(numbers, pa.int32()), **out})
 
     return send
@@ -294,99 +312,106 @@ def _send_pieces(marks: bool, parts: int):
 
 def _match_pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Marks for all pieces of a task."""
-    kinds = ("<i8", "S32", "<u4", "<i8", "u1", "u1", "<u8", "u1")
-    ids, digests, rows, begin, count, offset, core, body = _joined_columns(batches, kinds)
+    layout = ("<i8", "<i8", "<u4", "<u4", "<u8", "<u8", "<u8")
+    ids, kinds, rows, begin, *whole = _joined_columns(batches, layout)
     if not len(ids):
         return
-    owner = np.repeat(np.arange(len(ids)), rows)
-    count, offset = count.astype(np.int64), offset.astype(np.int64)
-    body = body.reshape(-1, PIECE)
+    ids, kinds = np.repeat(ids, rows), np.repeat(kinds, rows)
     # A core that only one document has repeats nothing.
-    by_core = np.argsort(core, kind="stable")
-    first = np.flatnonzero(np.append(True, core[by_core][1:] != core[by_core][:-1]))
-    own = ids[owner[by_core]]
-    several = np.maximum.reduceat(own, first) != np.minimum.reduceat(own, first)
-    keep = by_core[np.repeat(several, np.diff(np.append(first, len(by_core))))]
-    owner, begin, count, offset, core, body = (x[keep] for x in (owner, begin, count, offset, core, body))
-    if not len(owner):
-        return
-    content = _content(body, count, offset, core)
-    later = ids[owner] > _least(content, ids[owner])
-    yield from _marks(ids[owner[later]], digests[owner[later]], begin[later], count[later])
+    by_core = np.argsort(whole[0], kind="stable")
+    keep = by_core[_several(whole[0][by_core], ids[by_core])]
+    ids, kinds, begin = ids[keep], kinds[keep], begin[keep].astype(np.int64)
+    whole = [w[keep] for w in whole]
+    count = (whole[2] >> np.uint64(56)).astype(np.int64)
+    later = ids > _least(whole, ids)
+    yield from _marks(ids[later], kinds[later], begin[later], count[later])
     stay = np.flatnonzero(~later)
     # One string for each content; its other pieces of the same id share its marks.
-    order = stay[np.lexsort((content[stay, 1], content[stay, 0], core[stay]))]
-    same = np.append(False, (content[order][1:] == content[order][:-1]).all(1))
-    string_of = np.cumsum(~same) - 1
-    heads = order[~same]
+    order = stay[np.lexsort((whole[2][stay], whole[1][stay], whole[0][stay]))]
+    if not len(order):
+        return
+    new = np.append(True, _changes(whole, order))
+    string_of = np.cumsum(new) - 1
+    heads = order[new]
     # Only cores with strings of different ids are left to merge.
-    cut = np.flatnonzero(np.append(True, core[heads][1:] != core[heads][:-1]))
-    head_ids = ids[owner[heads]]
-    mixed = np.maximum.reduceat(head_ids, cut) != np.minimum.reduceat(head_ids, cut)
-    sizes = np.diff(np.append(cut, len(heads)))
-    open_ = np.flatnonzero(np.repeat(mixed, sizes))
+    open_ = np.flatnonzero(_several(whole[0][heads], ids[heads]))
     flags = np.zeros((len(heads), GROUP), bool)
-    new_core = np.append(True, core[heads[open_]][1:] != core[heads[open_]][:-1]) if len(open_) else np.zeros(0, bool)
-    starts = np.flatnonzero(new_core)
+    cores = whole[0][heads[open_]]
     low = 0
     while low < len(open_):
-        k = np.searchsorted(starts, low + MERGE_STRINGS, "right") - 1
-        high = int(starts[k]) if k >= 0 and starts[k] > low else int(starts[k + 1]) if k + 1 < len(starts) else len(open_)
-        if low + MERGE_STRINGS >= len(open_):
-            high = len(open_)
-        some = open_[low:high]
-        flags[some] = _merged_flags(body[heads[some]], count[heads[some]] + LENGTH - 1, head_ids[some])
+        high = min(low + MERGE_STRINGS, len(open_))
+        if high < len(open_):  # never within a core
+            first = int(np.searchsorted(cores, cores[high], "left"))
+            high = first if first > low else int(np.searchsorted(cores, cores[high], "right"))
+        some = heads[open_[low:high]]
+        flags[open_[low:high]] = _merged_flags([w[some] for w in whole], ids[some])
         low = high
-    marked = flags[string_of]
-    piece, k = np.nonzero(marked)
+    piece, k = np.nonzero(flags[string_of])
     piece = order[piece]
-    yield from _marks(ids[owner[piece]], digests[owner[piece]], begin[piece] + k, np.ones(len(k), np.int64))
+    yield from _marks(ids[piece], kinds[piece], begin[piece] + k, np.ones(len(k), np.int64))
+
+
+def _several(keys: np.ndarray, ids: np.ndarray) -> np.ndarray:
+    """Of sorted keys, those with more than one id."""
+    if not len(keys):
+        return np.zeros(0, bool)
+    first = np.flatnonzero(np.append(True, keys[1:] != keys[:-1]))
+    several = np.maximum.reduceat(ids, first) != np.minimum.reduceat(ids, first)
+    return np.repeat(several, np.diff(np.append(first, len(keys))))
 
 
-def _merged_flags(body: np.ndarray, length: np.ndarray, ids: np.ndarray) -> np.ndarray:
+def _coded(whole: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Pieces as strings of symbols, their lengths, and their offsets in the group."""
+    left, right = (w.view(np.uint8).reshape(-1, GROUP) for w in whole[1:])
+    offset, count = left[:, FLANK].astype(np.int64), right[:, FLANK].astype(np.int64)
+    shift = np.uint64(57) - np.uint64(7) * np.arange(NAME, dtype=np.uint64)
+    name = (whole[0][:, None] >> shift & np.uint64(127)).astype(np.uint8)
+    wide = np.hstack([left[:, :FLANK], name, right[:, :FLANK], np.zeros((len(name), FLANK), np.uint8)])
+    return np.take_along_axis(wide, offset[:, None] + np.arange(CODED + FLANK), 1), CODED + count - 1, offset
+
+
+def _merged_flags(whole: list[np.ndarray], ids: np.ndarray) -> np.ndarray:
     """Which 50-byte strings of each piece a piece with a smaller id has, too."""
-    size = max(SHARD_STRINGS, -(-len(body) // 64))
-    shards = [
-        sorted_shard(*joined(body[k : k + size], length[k : k + size])) for k in range(0, len(body), size)
-    ]
-    shard, position, block = merged_blocks(shards, LENGTH)
-    string = np.empty(len(shard), np.int64)
-    offset = np.empty(len(shard), np.int64)
+    coded, length, offset = _coded(whole)
+    size = max(SHARD_STRINGS, -(-len(coded) // 64))
+    shards = [sorted_shard(*joined(coded[k : k + size], length[k : k + size])) for k in range(0, len(coded), size)]
+    shard, position, block = merged_blocks(shards, CODED)
+    string, begin = np.empty((2, len(shard)), np.int64)
     for k, s in enumerate(shards):
         rows = shard == k
         own = s.string[position[rows]]
-        begin = np.searchsorted(s.string, own)
         string[rows] = own + k * size
-        offset[rows] = position[rows] - begin
-    whole = offset + LENGTH <= length[string]
-    string, offset, block = string[whole], offset[whole], block[whole]
-    first = np.flatnonzero(np.append(True, block[1:] != block[:-1]))
-    least = np.minimum.reduceat(ids[string], first) if len(first) else ids[:0]
-    later = ids[string] > np.repeat(least, np.diff(np.append(first, len(block))))
-    flags = np.zeros((len(body), GROUP), bool)
-    flags[string[later], offset[later]] = True
+        begin[rows] = position[rows] - np.searchsorted(s.string, own)
+    kept = begin + CODED <= length[string]
+    string, begin, block = string[kept], begin[kept], block[kept]
+    # Names could look like flanks: only equal places in the group are equal strings.
+    key = block * GROUP + begin + offset[string]
+    order = np.argsort(key, kind="stable")
+    first = np.append(True, key[order][1:] != key[order][:-1])[: len(order)]
+    least = np.minimum.reduceat(ids[string[order]], np.flatnonzero(first)) if len(order) else ids[:0]
+    later = order[ids[string[order]] > least[np.cumsum(first) - 1]]
+    flags = np.zeros((len(coded), GROUP), bool)
+    flags[string[later], begin[later]] = True
     return flags
 
 
 def _apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Add up a document's marks and cut them out."""
-    for block in text_blocks(batches, "text"):
+    for block in _unpacked(batches):
         out: dict[str, list] = {"n_removed": [], "n_spans": [], "kept_sha256": []}
         data, borders = text_bytes(block.column("text"))
         for k in range(block.num_rows):
             own = data[borders[k] : borders[k + 1]]
-            begin = np.frombuffer(b"".join(block.column("begins")[k].as_py()), np.int64)
-            count = np.frombuffer(b"".join(block.column("counts")[k].as_py()), np.int64)
+            begin = np.frombuffer(b"".join(block.column("begins")[k].as_py()), np.uint32)
+            count = np.frombuffer(b"".join(block.column("counts")[k].as_py()), np.uint8)
             change = np.zeros(len(own) + 1, np.int64)
             np.add.at(change, begin, 1)
-            np.add.at(change, begin + count + LENGTH - 1, -1)
+            np.add.at(change, begin + count.astype(np.int64) + LENGTH - 1, -1)
             gone = np.cumsum(change[:-1]) > 0
             out["n_removed"].append(int(gone.sum()))
             out["n_spans"].append(int((gone & ~np.append(False, gone[:-1])).sum()))
             out["kept_sha256"].append(hashlib.sha256(own[~gone].tobytes()).hexdigest())
-        yield pa.RecordBatch.from_pydict(
-            {"doc_id": block.column("doc_id"), "digest": block.column("digest"), **out}
-        )
+        yield pa.RecordBatch.from_pydict({"doc_id": block.column("doc_id"), "kind": block.column("kind"), **out})
 
 
 def remove_repeats(docs: DataFrame) -> DataFrame:
@@ -400,35 +425,35 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
     docs = docs.filter(F.col("doc_id").isNotNull()).select(
         F.col("doc_id").cast("long").alias("doc_id"), whole_text().alias("text")
     )
-    keyed = docs.select("doc_id", F.md5("text").alias("digest"), "text")
-    least = keyed.groupBy("digest").agg(F.min("doc_id").alias("least_id"))
-    facts = docs.select(
-        "doc_id", F.md5("text").alias("digest"), F.octet_length("text").cast("long").alias("n_bytes"),
-        F.sha2("text", 256).alias("whole_sha256"),
+    kinds = docs.select("doc_id", F.xxhash64("text").alias("kind"), "text")
+    keyed = kinds.filter(F.octet_length("text") >= LENGTH)
+    facts = kinds.select(
+        "doc_id", "kind", F.sha2("text", 256).alias("whole_sha256"),
+        F.octet_length("text").cast("long").alias("n_bytes"),
     )
-    facts = materialize(facts.join(materialize(least, "text-owners"), "digest"), "text-facts")
+    facts = materialize(facts, "text-facts")
+    least = materialize(facts.groupBy("whole_sha256").agg(F.min("doc_id").alias("least_id")), "text-owners")
+    facts = materialize(facts.join(least, "whole_sha256"), "owned-facts")
     copied = (F.col("least_id") < F.col("doc_id")) & (F.col("n_bytes") >= LENGTH)
-    parts = 4 * int(spark.conf.get("spark.sql.shuffle.partitions"))
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
 
-    shared = materialize(_shared_minimizers(keyed.filter(F.octet_length("text") >= LENGTH), parts), "shared-minimizers")
-    copies = facts.filter(copied).select("doc_id", "digest").distinct()
-    shared = shared.join(copies, ["doc_id", "digest"], "left_anti")
-    open_docs = materialize(keyed.join(shared, ["doc_id", "digest"]).dropDuplicates(["doc_id", "digest"]), "open-documents")
-    layout = "part int, ids binary, digests binary, rows binary, begins binary, counts binary, offsets binary, cores binary, bodies binary"
+    shared = _shared_minimizers(keyed, parts)
+    first = facts.filter(~copied & (F.col("n_bytes") >= LENGTH)).select("doc_id", "kind").distinct()
+    lists = materialize(shared.join(first, "kind"), "shared-minimizers")
+    open_docs = _packed(keyed).join(lists, ["doc_id", "kind"]).select("doc_id", "kind", "packed", "hashes")
+    layout = "part int, ids binary, kinds binary, rows binary, begins binary, cores binary, lefts binary, rights binary"
     sent = open_docs.mapInArrow(_send_pieces(False, parts), layout)
     marks = sent.repartition(parts, "part").drop("part").mapInArrow(_match_pieces, _MARKS)
     local = open_docs.mapInArrow(_send_pieces(True, parts), _MARKS)
-    gathered = marks.unionAll(local).groupBy("doc_id", "digest").agg(
+    gathered = marks.unionAll(local).groupBy("doc_id", "kind").agg(
         F.collect_list("begins").alias("begins"), F.collect_list("counts").alias("counts")
     )
-    marked = open_docs.select("doc_id", "digest", "text").join(gathered, ["doc_id", "digest"])
-    changed = materialize(
-        marked.mapInArrow(_apply, "doc_id long, digest string, n_removed long, n_spans long, kept_sha256 string"),
-        "changed-texts",
-    )
-    joined_facts = facts.join(changed, ["doc_id", "digest"], "left")
+    gathered = materialize(gathered, "repeats")
+    marked = _packed(keyed).join(gathered, ["doc_id", "kind"]).select("doc_id", "kind", "packed", "begins", "counts")
+    changed = marked.mapInArrow(_apply, "doc_id long, kind long, n_removed long, n_spans long, kept_sha256 string")
+    changed = materialize(changed.dropDuplicates(["doc_id", "kind"]), "changed-texts")
     nothing = F.lit(0).cast("long")
-    return joined_facts.select(
+    return facts.join(changed, ["doc_id", "kind"], "left").select(
         "doc_id",
         "n_bytes",
         F.when(copied, F.col("n_bytes")).otherwise(F.coalesce("n_removed", nothing)).alias("n_removed"),

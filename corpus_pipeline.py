@@ -51,8 +51,12 @@ def benchmark_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def secret_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents with every secret cut out of the text."""
-    return secrets.redact(docs, scratch_path(spark, "secret-ledger"))
+    """Documents with every secret cut out of the text, and their length counted again."""
+    cleaned = secrets.redact(docs, scratch_path(spark, "secret-ledger"))
+    if "n_chars" not in docs.columns:
+        return cleaned
+    kind = docs.schema["n_chars"].dataType
+    return cleaned.withColumn("n_chars", F.coalesce(F.length("text").cast(kind), F.col("n_chars")))
 
 
 def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

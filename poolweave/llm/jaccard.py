@@ -31,8 +31,8 @@ from poolweave.session import materialize
 
 COUNT_BITS = 21  # counts of shingles by hash: 2 million, whatever the corpus
 LEVEL_BITS = 5
-WAITING_PAIRS = 1 << 20  # of a task, before they leave it without repeats
-LONG_LIST = 4000  # index lists above this length are dealt out over several tasks
+WAITING_PAIRS = 1 << 20  # that a task holds, before they leave it without repeats
+LONG_LIST = 1000  # index lists above this length are dealt out over several tasks
 
 
 @dataclass(frozen=True)
@@ -132,27 +132,26 @@ def _entries(sets: DataFrame) -> DataFrame:
     def unfold(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             data, borders = text_bytes(batch.column("prefix"))
-            tokens = np.frombuffer(data.tobytes(), np.int64)
             n = np.diff(borders) // 8
             bits = np.frombuffer(text_bytes(batch.column("sketch"))[0].tobytes(), np.int64).reshape(-1, 2)
+            doc = np.repeat(np.asarray(batch.column("doc_id")), n)
+            zero = pa.array(np.zeros(len(doc)), pa.int32())
             yield _record(
-                token=tokens,
-                bits_1=np.repeat(bits[:, 0], n),
-                bits_2=np.repeat(bits[:, 1], n),
+                token=np.frombuffer(data.tobytes(), np.int64),
                 size=pa.array(np.repeat(np.asarray(batch.column("n_shingles")), n), pa.int32()),
                 pos=pa.array(ranges(np.zeros(len(n), np.int64), n), pa.int32()),
-                doc=np.repeat(np.asarray(batch.column("doc_id")), n),
-                part=pa.array(np.zeros(len(tokens)), pa.int32()),
-                other=pa.array(np.zeros(len(tokens)), pa.int32()),
-                mine=pa.array(np.zeros(len(tokens)), pa.int32()),
+                doc=doc,
+                part=zero,
+                other=zero,
+                mine=zero,
+                bits_1=np.repeat(bits[:, 0], n),
+                bits_2=np.repeat(bits[:, 1], n),
+                component=doc,
             )
 
     return sets.mapInArrow(unfold, _ENTRY)
 
 
-_ENTRY = "token long, bits_1 long, bits_2 long, size int, pos int, doc long, part int, other int, mine int"
-
-
 def list_pairs(size: np.ndarray, pos: np.ndarray, lists: np.ndarray, spec: Spec) -> tuple[np.ndarray, np.ndarray]:
     """Pairs of entries of the same list that can reach the threshold.
 
@@ -190,64 +189,105 @@ def list_pairs(size: np.ndarray, pos: np.ndarray, lists: np.ndarray, spec: Spec)
     return np.concatenate(out_a or [np.zeros(0, np.int64)]), np.concatenate(out_b or [np.zeros(0, np.int64)])
 
 
-def _candidates(entries: DataFrame, spec: Spec, split: bool) -> DataFrame:
-    """Pairs (x, y) of sets that can be similar, x < y; with ``split``, rows of long
-    lists come back as entries instead (x null) and are not paired."""
+def _candidates(entries: DataFrame, spec: Spec, first_round: bool, split: bool) -> DataFrame:
+    """What index lists say about sets that can be similar.
+
+    In the first round every entry gives one pair (x, y) with its smallest partner, and
+    comes back itself if it has any; the number of rows is linear. Later the entries
+    know their component, and pairs (x, y) across components come back. With ``split``
+    entries of long lists come back with the list's length and are not paired.
+    """
 
     def pair(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         waiting, n_waiting = [], 0
-        for runs in _whole_lists(batches):
-            token, size, pos, doc, part, other, mine, bits_1, bits_2 = runs
+        for columns in _whole_lists(batches):
+            token, _, _, _, part, other, *_ = columns
             new = np.ones(len(token), bool)
             new[1:] = (token[1:] != token[:-1]) | (part[1:] != part[:-1]) | (other[1:] != other[:-1])
             lists = np.cumsum(new) - 1
             length = np.bincount(lists)[lists]
             long = (length > LONG_LIST) & split
             if long.any():
-                yield _result(
-                    None, None, token[long], size[long], pos[long], doc[long], length[long], bits_1[long], bits_2[long]
-                )
+                yield _entries_back([c[long] for c in columns], length[long])
             keep = ~long & (length > 1)
-            size, pos, doc, lists, mine = size[keep], pos[keep], doc[keep], lists[keep], mine[keep]
-            across = (part != other)[keep]
-            a, b = list_pairs(size, pos, lists, spec)
-            # Where two parts of a list meet, only pairs across them are new.
-            fresh = ~across[a] | (mine[a] != mine[b])
-            # Every element of the symmetric difference changes at most one bit.
-            first, second = bits_1[keep].view(np.uint64), bits_2[keep].view(np.uint64)
-            changed = np.bitwise_count(first[a] ^ first[b]).astype(np.int64)
-            changed += np.bitwise_count(second[a] ^ second[b])
-            both = size[a].astype(np.int64) + size[b]
-            fresh &= changed <= both - 2 * spec.least_common(both, 0)
-            x, y = doc[a[fresh]], doc[b[fresh]]
-            waiting.append(np.stack([np.minimum(x, y), np.maximum(x, y)]))
-            n_waiting += len(x)
+            columns, lists, length = [c[keep] for c in columns], lists[keep], length[keep]
+            # A few lists at a time: as many as have a bounded number of pairs.
+            heads = np.flatnonzero(np.append(True, lists[1:] != lists[:-1])[: len(lists)])
+            work = np.cumsum(length[heads].astype(np.int64) ** 2) // WAITING_PAIRS
+            cuts = np.append(heads[np.append(True, work[1:] != work[:-1])[: len(heads)]], len(lists))
+            for low, high in zip(cuts, cuts[1:]):
+                some = [c[low:high] for c in columns]
+                a, b = _similar(some, lists[low:high], spec)
+                doc, component = some[3], some[9]
+                if first_round:
+                    a, b = np.append(a, b), np.append(b, a)
+                    order = np.lexsort((doc[b], a))
+                    a, b = a[order], b[order]
+                    one = np.append(True, a[1:] != a[:-1])[: len(a)]
+                    a, b = a[one], b[one]
+                    if len(a):
+                        yield _entries_back([c[a] for c in some])
+                else:
+                    apart = component[a] != component[b]
+                    a, b = a[apart], b[apart]
+                x, y = doc[a], doc[b]
+                waiting.append(np.stack([np.minimum(x, y), np.maximum(x, y)]))
+                n_waiting += len(x)
             if n_waiting > WAITING_PAIRS:
                 waiting = [np.unique(np.hstack(waiting), axis=1)]
                 if waiting[0].shape[1] > WAITING_PAIRS // 2:
-                    yield _result(*waiting.pop())
+                    yield _pairs_found(*waiting.pop())
                 n_waiting = sum(w.shape[1] for w in waiting)
         if n_waiting:
-            yield _result(*np.unique(np.hstack(waiting), axis=1))
+            yield _pairs_found(*np.unique(np.hstack(waiting), axis=1))
 
     arranged = entries.repartition("token", "part", "other").sortWithinPartitions(
         "token", "part", "other", "size", "pos", "doc"
     )
-    arranged = arranged.select("token", "size", "pos", "doc", "part", "other", "mine", "bits_1", "bits_2")
-    return arranged.mapInArrow(pair, _PAIR)
+    return arranged.select(*_COLUMNS).mapInArrow(pair, f"x long, y long, length long, {_ENTRY}")
 
 
-_PAIR = "x long, y long, token long, size int, pos int, doc long, length long, bits_1 long, bits_2 long"
+def _similar(columns: list[np.ndarray], lists: np.ndarray, spec: Spec) -> tuple[np.ndarray, np.ndarray]:
+    """Positions of pairs in the same list that sizes, positions and sketches allow."""
+    _, size, pos, doc, part, other, mine, bits_1, bits_2, _ = columns
+    a, b = list_pairs(size, pos, lists, spec)
+    # Where two parts of a list meet, only pairs across them are new.
+    fresh = (part[a] == other[a]) | (mine[a] != mine[b])
+    fresh &= doc[a] != doc[b]
+    # Every element of the symmetric difference changes at most one bit.
+    first, second = bits_1.view(np.uint64), bits_2.view(np.uint64)
+    changed = np.bitwise_count(first[a] ^ first[b]).astype(np.int64)
+    changed += np.bitwise_count(second[a] ^ second[b])
+    both = size[a].astype(np.int64) + size[b]
+    fresh &= changed <= both - 2 * spec.least_common(both, 0)
+    return a[fresh], b[fresh]
 
 
-def _result(x, y, token=None, size=None, pos=None, doc=None, length=None, bits_1=None, bits_2=None) -> pa.RecordBatch:
-    n = len(x) if x is not None else len(token)
-    column = lambda v, kind: pa.nulls(n, kind) if v is None else pa.array(v, kind)
-    return _record(
-        x=column(x, pa.int64()), y=column(y, pa.int64()), token=column(token, pa.int64()),
-        size=column(size, pa.int32()), pos=column(pos, pa.int32()), doc=column(doc, pa.int64()),
-        length=column(length, pa.int64()), bits_1=column(bits_1, pa.int64()), bits_2=column(bits_2, pa.int64()),
-    )
+_COLUMNS = ("token", "size", "pos", "doc", "part", "other", "mine", "bits_1", "bits_2", "component")
+_ENTRY = (
+    "token long, size int, pos int, doc long, part int, other int, mine int, "
+    "bits_1 long, bits_2 long, component long"
+)
+
+
+def _entries_back(columns: list[np.ndarray], length: np.ndarray | None = None) -> pa.RecordBatch:
+    none = pa.nulls(len(columns[0]), pa.int64())
+    lengths = none if length is None else pa.array(length, pa.int64())
+    return _record(x=none, y=none, length=lengths, **dict(zip(_COLUMNS, columns)))
+
+
+def _pairs_found(x: np.ndarray, y: np.ndarray) -> pa.RecordBatch:
+    n = len(x)
+    kinds = (f.split() for f in _ENTRY.split(", "))
+    empty = {c: pa.nulls(n, pa.int64() if kind == "long" else pa.int32()) for c, kind in kinds}
+    return _record(x=x, y=y, length=pa.nulls(n, pa.int64()), **empty)
+
+
+def _paired(entries: DataFrame, spec: Spec, first_round: bool, name: str) -> DataFrame:
+    """All that :func:`_candidates` finds, with long lists dealt out."""
+    found = materialize(_candidates(entries, spec, first_round, split=True), name)
+    long = _candidates(_dealt(found.filter("length IS NOT NULL")), spec, first_round, split=False)
+    return found.filter("length IS NULL").unionAll(long)
 
 
 def _whole_lists(batches: Iterator[pa.RecordBatch]) -> Iterator[list[np.ndarray]]:
@@ -271,13 +311,9 @@ def _dealt(long: DataFrame) -> DataFrame:
     """Entries of long lists, in parts: each two parts of a list meet once."""
     parts = F.ceil(F.col("length") / (LONG_LIST / 2)).cast("int")
     mine = F.pmod(F.xxhash64("doc"), parts).cast("int")
-    whole = long.withColumn("mine", mine).withColumn(
-        "with", F.explode(F.sequence(F.lit(0), parts - 1))
-    )
-    return whole.select(
-        "token", "bits_1", "bits_2", "size", "pos", "doc",
-        F.least("mine", "with").alias("part"), F.greatest("mine", "with").alias("other"), "mine",
-    )
+    whole = long.withColumn("mine", mine).withColumn("with", F.explode(F.sequence(F.lit(0), parts - 1)))
+    placed = {"part": F.least("mine", "with"), "other": F.greatest("mine", "with")}
+    return whole.withColumns(placed).select(*_COLUMNS)
 
 
 def _numbers(value) -> np.ndarray:
@@ -369,22 +405,24 @@ def similar_sets(docs: DataFrame, spec: Spec = Spec()) -> DataFrame:
         profiles.filter("n_shingles > 0").groupBy("digest").agg(first.alias("p")).select("digest", "p.*"),
         "set-classes",
     )
-    found = materialize(_candidates(_entries(classes), spec, split=True), "index-pairs")
-    long = _candidates(_dealt(found.filter("token IS NOT NULL")), spec, split=False)
-    pairs = materialize(
-        found.filter("x IS NOT NULL").select("x", "y").unionAll(long.select("x", "y")).distinct(),
-        "candidate-pairs",
+    found = materialize(_paired(_entries(classes), spec, True, "index-lists"), "first-round")
+    entries = found.filter("token IS NOT NULL").dropDuplicates(["token", "doc"])
+    wanted = classes.select("doc_id", "digest").join(
+        entries.select(F.col("doc").alias("doc_id")).distinct(), "doc_id"
     )
-    ids = pairs.select(F.explode(F.array("x", "y")).alias("doc_id")).distinct()
-    wanted = classes.select("doc_id", "digest").join(ids, "doc_id")
     sets = materialize(_sets(docs, wanted, spec, levels), "candidate-sets")
 
-    # A set is described by its difference from its leader, its smallest candidate.
-    leaders = pairs.groupBy("y").agg(F.min("x").alias("x"))
+    # A set is described by its difference from its leader, its smallest first partner.
+    leaders = found.filter("x IS NOT NULL").groupBy("y").agg(F.min("x").alias("x"))
     led = materialize(_compare(leaders, sets, spec), "led-sets")
     links = led.filter("linked").select(F.col("x").alias("a"), F.col("y").alias("b"))
     settled = materialize(components(links), "settled")
-    rest = materialize(_open_pairs(pairs, settled, led), "open-pairs")
+    # Only entries of different components have anything left to answer.
+    named = settled.select(F.col("node").alias("doc"), F.col("component").alias("settled"))
+    known = entries.select(*_COLUMNS[:4], *(F.lit(0).alias(c) for c in _COLUMNS[4:7]), *_COLUMNS[7:9])
+    known = known.join(named, "doc", "left").withColumn("component", F.coalesce("settled", "doc"))
+    pairs = _paired(known.select(*_COLUMNS), spec, False, "index-lists").filter("x IS NOT NULL")
+    rest = materialize(_open_pairs(pairs.select("x", "y").distinct(), led), "open-pairs")
     side = lambda name: led.select(
         F.col("y").alias(name), F.col("x").alias(f"leader_{name}"), F.col("added").alias(f"added_{name}"),
         F.col("removed").alias(f"removed_{name}"), *(["size"] if name == "x" else []),
@@ -402,13 +440,11 @@ def similar_sets(docs: DataFrame, spec: Spec = Spec()) -> DataFrame:
     ).select("doc_id", "n_shingles", F.coalesce("named", "doc_id").alias("component_id"))
 
 
-def _open_pairs(pairs: DataFrame, settled: DataFrame, led: DataFrame) -> DataFrame:
-    """Candidate pairs that no leader has answered or connected."""
+def _open_pairs(pairs: DataFrame, led: DataFrame) -> DataFrame:
+    """Pairs that no leader has answered, and whether both have the same leader."""
     for side in ("x", "y"):
-        named = settled.select(F.col("node").alias(side), F.col("component").alias(f"at_{side}"))
         leader = led.select(F.col("y").alias(side), F.col("x").alias(f"leader_{side}"))
-        pairs = pairs.join(named, side, "left").join(leader, side, "left")
-    apart = F.coalesce("at_x", "x") != F.coalesce("at_y", "y")
+        pairs = pairs.join(leader, side, "left")
     answered = F.coalesce(F.col("leader_y") == F.col("x"), F.lit(False))
     same = F.coalesce(F.col("leader_x") == F.col("leader_y"), F.lit(False))
-    return pairs.filter(apart & ~answered).select("x", "y", same.alias("same_leader"))
+    return pairs.filter(~answered).select("x", "y", same.alias("same_leader"))

@@ -74,8 +74,8 @@ def test_long_lists_are_dealt_out(make_docs, monkeypatch):
 
 
 def test_parts_of_a_long_list_meet_once(spark):
-    rows = [(1, 0, 0, 10, 0, d, 10_000) for d in range(200)]
-    long = spark.createDataFrame(rows, "token long, bits_1 long, bits_2 long, size int, pos int, doc long, length long")
+    fields = f"length long, {jaccard._ENTRY}"
+    long = spark.createDataFrame([(10_000, 1, 10, 0, d, 0, 0, 0, 0, 0, d) for d in range(200)], fields)
     dealt = jaccard._dealt(long).collect()
     meetings = {}
     for r in dealt:
@@ -88,6 +88,21 @@ def test_parts_of_a_long_list_meet_once(spark):
     assert len(pairs) == len(set(pairs)) == 200 * 199 // 2
 
 
+def test_components_through_long_lists(make_docs, monkeypatch):
+    """The same components when every list counts as long and is paired part by part."""
+    monkeypatch.setattr(jaccard, "LONG_LIST", 3)
+    source = jaccard._candidates
+
+    def paired(entries, spec, first_round, name):
+        long = entries.withColumn("length", jaccard.F.lit(10))
+        return source(jaccard._dealt(long), spec, first_round, split=False)
+
+    monkeypatch.setattr(jaccard, "_paired", paired)
+    texts = near_copies(7)
+    rows = jaccard.similar_sets(make_docs(texts)).collect()
+    assert {r.doc_id: (r.n_shingles, r.component_id) for r in rows} == brute(texts, jaccard.Spec())
+
+
 def test_awkward_rows(awkward, awkward_rows, nothing):
     rows = {r.doc_id: r for r in jaccard.similar_sets(awkward).collect()}
     texts = {r[0]: r[1] for r in awkward_rows if r[0] is not None}

@@ -198,24 +198,44 @@ def _joined_columns(batches: Iterator[pa.RecordBatch], kinds: tuple[str, ...]) -
     return [np.frombuffer(b"".join(d), kind) for d, kind in zip(data, kinds)]
 
 
-_MARKS = "doc_id long, kind long, begins binary, counts binary"
+_MARKS = "part int, ids binary, kinds binary, rows binary, begins binary, counts binary"
 
 
-def _marks(ids: np.ndarray, kinds: np.ndarray, begins: np.ndarray, counts: np.ndarray) -> Iterator[pa.RecordBatch]:
-    """Strings to remove, as runs of begins, one row per document."""
+def _marks(ids, kinds, begins, counts, parts: int) -> Iterator[pa.RecordBatch]:
+    """Strings to remove, as runs of begins: one row for each part of the documents."""
     if not len(ids):
         return
     order = np.lexsort((begins, kinds, ids))
     ids, kinds, begins, counts = ids[order], kinds[order], begins[order], counts[order]
-    first = np.flatnonzero(np.append(True, (ids[1:] != ids[:-1]) | (kinds[1:] != kinds[:-1])))
-    for k in range(0, len(first), 10_000):
-        own = np.append(first, len(ids))[k : k + 10_001]
+    place, numbers, cuts = _dealt(ids.view(np.uint64), parts)
+    out: dict[str, list] = {c.split()[0]: [] for c in _MARKS.split(", ")[1:]}
+    for a, b in zip(cuts, cuts[1:]):
+        mine = place[a:b]
+        first = np.flatnonzero(np.append(True, _changes([ids, kinds], mine)))
+        columns = (ids[mine[first]], kinds[mine[first]], np.diff(np.append(first, len(mine))).astype(np.uint32))
+        columns += (begins[mine].astype(np.uint32), counts[mine].astype(np.uint8))
+        for name, column in zip(out, columns):
+            out[name].append(_blob(column))
+    yield pa.RecordBatch.from_pydict({"part": pa.array(numbers, pa.int32()), **out})
+
+
+def _gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """All marks of each document of a task."""
+    ids, kinds, rows, begins, counts = _joined_columns(batches, ("<i8", "<i8", "<u4", "<u4", "u1"))
+    if not len(ids):
+        return
+    ids, kinds = np.repeat(ids, rows), np.repeat(kinds, rows)
+    order = np.lexsort((kinds, ids))
+    first = np.flatnonzero(np.append(True, _changes([ids, kinds], order)))
+    begins, counts = begins[order], counts[order]
+    for k in range(0, len(first), 1000):
+        own = np.append(first, len(order))[k : k + 1001]
         yield pa.RecordBatch.from_pydict(
             {
-                "doc_id": ids[own[:-1]],
-                "kind": kinds[own[:-1]],
-                "begins": [_blob(begins[a:b].astype(np.uint32)) for a, b in zip(own, own[1:])],
-                "counts": [_blob(counts[a:b].astype(np.uint8)) for a, b in zip(own, own[1:])],
+                "doc_id": ids[order[own[:-1]]],
+                "kind": kinds[order[own[:-1]]],
+                "begins": [_blob(begins[a:b]) for a, b in zip(own, own[1:])],
+                "counts": [_blob(counts[a:b]) for a, b in zip(own, own[1:])],
             }
         )
 
@@ -293,7 +313,7 @@ def _send_pieces(marks: bool, parts: int):
             later = ids[owner] > _least(whole, ids[owner])
             if marks:
                 count = (whole[2] >> np.uint64(56)).astype(np.int64)
-                yield from _marks(ids[owner[later]], kinds[owner[later]], begin[later], count[later])
+                yield from _marks(ids[owner[later]], kinds[owner[later]], begin[later], count[later], parts)
                 continue
             keep = np.flatnonzero(~later)
             order, numbers, first = _dealt(whole[0][keep], parts)
@@ -310,8 +330,17 @@ def _send_pieces(marks: bool, parts: int):
     return send
 
 
-def _match_pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _match_pieces(parts: int):
     """Marks for all pieces of a task."""
+
+    def match(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for marks in _matched(batches):
+            yield from _marks(*marks, parts)
+
+    return match
+
+
+def _matched(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, ...]]:
     layout = ("<i8", "<i8", "<u4", "<u4", "<u8", "<u8", "<u8")
     ids, kinds, rows, begin, *whole = _joined_columns(batches, layout)
     if not len(ids):
@@ -324,7 +353,7 @@ def _match_pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
     whole = [w[keep] for w in whole]
     count = (whole[2] >> np.uint64(56)).astype(np.int64)
     later = ids > _least(whole, ids)
-    yield from _marks(ids[later], kinds[later], begin[later], count[later])
+    yield ids[later], kinds[later], begin[later], count[later]
     stay = np.flatnonzero(~later)
     # One string for each content; its other pieces of the same id share its marks.
     order = stay[np.lexsort((whole[2][stay], whole[1][stay], whole[0][stay]))]
@@ -348,7 +377,7 @@ def _match_pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
         low = high
     piece, k = np.nonzero(flags[string_of])
     piece = order[piece]
-    yield from _marks(ids[piece], kinds[piece], begin[piece] + k, np.ones(len(k), np.int64))
+    yield ids[piece], kinds[piece], begin[piece] + k, np.ones(len(k), np.int64)
 
 
 def _several(keys: np.ndarray, ids: np.ndarray) -> np.ndarray:
@@ -402,8 +431,8 @@ def _apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         data, borders = text_bytes(block.column("text"))
         for k in range(block.num_rows):
             own = data[borders[k] : borders[k + 1]]
-            begin = np.frombuffer(b"".join(block.column("begins")[k].as_py()), np.uint32)
-            count = np.frombuffer(b"".join(block.column("counts")[k].as_py()), np.uint8)
+            begin = np.frombuffer(block.column("begins")[k].as_buffer(), np.uint32)
+            count = np.frombuffer(block.column("counts")[k].as_buffer(), np.uint8)
             change = np.zeros(len(own) + 1, np.int64)
             np.add.at(change, begin, 1)
             np.add.at(change, begin + count.astype(np.int64) + LENGTH - 1, -1)
@@ -443,10 +472,10 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
     open_docs = _packed(keyed).join(lists, ["doc_id", "kind"]).select("doc_id", "kind", "packed", "hashes")
     layout = "part int, ids binary, kinds binary, rows binary, begins binary, cores binary, lefts binary, rights binary"
     sent = open_docs.mapInArrow(_send_pieces(False, parts), layout)
-    marks = sent.repartition(parts, "part").drop("part").mapInArrow(_match_pieces, _MARKS)
+    marks = sent.repartition(parts, "part").drop("part").mapInArrow(_match_pieces(parts), _MARKS)
     local = open_docs.mapInArrow(_send_pieces(True, parts), _MARKS)
-    gathered = marks.unionAll(local).groupBy("doc_id", "kind").agg(
-        F.collect_list("begins").alias("begins"), F.collect_list("counts").alias("counts")
+    gathered = marks.unionAll(local).repartition(parts, "part").drop("part").mapInArrow(
+        _gather, "doc_id long, kind long, begins binary, counts binary"
     )
     gathered = materialize(gathered, "repeats")
     marked = _packed(keyed).join(gathered, ["doc_id", "kind"]).select("doc_id", "kind", "packed", "begins", "counts")

@@ -207,12 +207,14 @@ def loan_series_one(spark: SparkSession, sf_dir: str) -> DataFrame:
     return one_series(_observed(spark, sf_dir))
 
 
-# A damaged copy: rows lost in one pool, doubled in another, changed in a third.
+# A damaged copy: rows lost in one pool, doubled in another, changed in a third; one
+# pool is lost as a whole, and half of another comes back under a new number.
 _DAMAGED = f"""
 SELECT "RREL3", "RREC3", CASE WHEN pool_no = 3 AND l_partkey % 50 = 0 THEN '1900-01-01'
-  ELSE "RREL6" END AS "RREL6", source, pool_no
+  ELSE "RREL6" END AS "RREL6", source,
+  CASE WHEN pool_no = 6 AND l_partkey % 2 = 0 THEN pool_no + 100 ELSE pool_no END AS pool_no
 FROM ({v.PANEL}) p, (SELECT unnest([1, 2]) AS copy)
-WHERE copy <= CASE WHEN pool_no = 1 AND l_partkey % 40 = 0 THEN 0
+WHERE copy <= CASE WHEN pool_no = 5 THEN 0 WHEN pool_no = 1 AND l_partkey % 40 = 0 THEN 0
   WHEN pool_no = 2 AND l_partkey % 30 = 0 THEN 2 ELSE 1 END
 """
 _SOUND = f'SELECT "RREL3", "RREC3", "RREL6", source, pool_no FROM ({v.PANEL})'
@@ -225,7 +227,8 @@ def _sound(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _damaged(spark: SparkSession, sf_dir: str) -> DataFrame:
     pool, part = F.col("pool_no"), F.col("l_partkey")
     copies = (
-        F.when((pool == 1) & (part % 40 == 0), 0)
+        F.when(pool == 5, 0)
+        .when((pool == 1) & (part % 40 == 0), 0)
         .when((pool == 2) & (part % 30 == 0), 2)
         .otherwise(1)
     )
@@ -236,6 +239,7 @@ def _damaged(spark: SparkSession, sf_dir: str) -> DataFrame:
             F.when((pool == 3) & (part % 50 == 0), "1900-01-01").otherwise(F.col("RREL6")),
         )
         .withColumn("copy", F.explode(F.array_repeat(F.lit(1), copies)))
+        .withColumn("pool_no", F.when((pool == 6) & (part % 2 == 0), pool + 100).otherwise(pool))
         .select("RREL3", "RREC3", "RREL6", "source", "pool_no")
     )
 
@@ -268,7 +272,9 @@ FROM ({source}) GROUP BY pool_no
 
 _REPORT = f"""
 WITH a AS ({_measured(_SOUND)}), b AS ({_measured(_DAMAGED)}),
-issues AS (SELECT a.pool_no, a.rows AS rows_before, b.rows AS rows_after, a.unique_keys,
+issues AS (SELECT coalesce(a.pool_no, b.pool_no) AS pool_no, a.rows AS rows_before,
+  b.rows AS rows_after, a.unique_keys,
+  CASE WHEN b.rows IS NULL THEN 'ONLY IN INPUT' WHEN a.rows IS NULL THEN 'ONLY IN OUTPUT' ELSE
   concat_ws('; ',
     CASE WHEN a.rows <> b.rows THEN 'ROW COUNT MISMATCH' END,
     CASE WHEN a.unique_keys <> b.unique_keys THEN 'UNIQUE KEY COUNT MISMATCH' END,
@@ -277,8 +283,8 @@ issues AS (SELECT a.pool_no, a.rows AS rows_before, b.rows AS rows_after, a.uniq
     CASE WHEN a.d6 <> b.d6 THEN 'DISTINCT RREL6 MISMATCH' END,
     CASE WHEN a.ds <> b.ds THEN 'DISTINCT source MISMATCH' END,
     CASE WHEN a.loan <> b.loan THEN 'RREL3 CHECKSUM MISMATCH' END,
-    CASE WHEN a.whole <> b.whole THEN 'ROW CHECKSUM MISMATCH' END) AS issues
-  FROM a JOIN b ON a.pool_no = b.pool_no)
+    CASE WHEN a.whole <> b.whole THEN 'ROW CHECKSUM MISMATCH' END) END AS issues
+  FROM a FULL JOIN b ON a.pool_no = b.pool_no)
 SELECT pool_no, CASE WHEN issues = '' THEN 'PASS' ELSE 'FAIL' END AS status, rows_before,
   rows_after, unique_keys, 5 AS columns, issues
 FROM issues

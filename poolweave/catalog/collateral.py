@@ -123,7 +123,7 @@ def batch_keys_used(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(
     """
-SELECT substr(error, 1, 80) AS error, count(*) AS pairs FROM (
+SELECT error, count(*) AS pairs FROM (
   SELECT 'No join key between the columns of loans and of collateral: [' || o_orderpriority
     || '], [' || o_orderstatus || '], file '
     || CAST(o_orderkey AS VARCHAR) AS error
@@ -170,7 +170,7 @@ WHERE u.category = 'UE' AND c.place = 1
 """
 )
 def file_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return ops.pair_files(materialize(_parsed(spark, sf_dir), "file-names"))
+    return ops.pair_files(_parsed(spark, sf_dir))
 
 
 @query(

@@ -20,11 +20,9 @@ from poolweave.operators.skew import (
     HOT_ROWS,
     balanced_left_join,
     key_condition,
-    lookup_join,
 )
 
 MATCHED_MARKER = "has_collateral"
-ERROR_LENGTH = 80
 
 
 def join_collateral(
@@ -33,7 +31,7 @@ def join_collateral(
     pair: Sequence[str] = (),
     *,
     keys: tuple[str, str] | None = None,
-    match_null_keys: bool = True,
+    match_null_keys: bool = False,
     marker: str | None = None,
     hot_rows: int = HOT_ROWS,
     fan_out: int = FAN_OUT,
@@ -43,7 +41,9 @@ def join_collateral(
     Both tables may hold many file pairs: the ``pair`` columns are then part of the
     key. The join key is found in the headers unless given. Repeated metadata of the
     collateral is dropped, other clashing columns get a suffix. ``marker`` names an
-    extra column that is true where collateral was found.
+    extra column that is true where collateral was found. A missing key matches
+    nothing, unless ``match_null_keys`` lets every row without a key meet every other:
+    ask :func:`join_statistics` first how many rows that gives.
     """
     keys = keys or detect_join_key(loans.columns, collateral.columns)
     if keys is None:
@@ -76,7 +76,7 @@ def join_statistics(
     pair: Sequence[str],
     keys: tuple[str, str],
     *,
-    match_null_keys: bool = True,
+    match_null_keys: bool = False,
 ) -> DataFrame:
     """Row counts of the join per pair, from rows per key; the join is not run."""
     loan_key, collateral_key = keys
@@ -109,8 +109,7 @@ def join_statistics(
 def pair_files(files: DataFrame) -> DataFrame:
     """Loan files with the collateral file of the same asset type, pool and date.
 
-    ``files`` has ``name`` and the parsed name fields, best as a written manifest: it
-    is read several times. With several collateral files for a key the highest
+    ``files`` has ``name`` and the parsed name fields. With several collateral files for a key the highest
     sequence counts, then the last name.
     """
     key = ["asset_type", "identifier", "date"]
@@ -121,7 +120,7 @@ def pair_files(files: DataFrame) -> DataFrame:
         .agg(F.max_by("name", recency).alias("collateral_name"))
     )
     loans = files.filter(F.col("category") == "UE").select(*key, F.col("name").alias("ue_name"))
-    return lookup_join(loans, collateral, key, "inner", null_safe=False)
+    return loans.join(collateral, key)
 
 
 def success_by_type(statistics: DataFrame) -> DataFrame:
@@ -133,9 +132,15 @@ def keys_used(statistics: DataFrame) -> DataFrame:
 
 
 def error_summary(failed: DataFrame) -> DataFrame:
-    """Failed pairs by the first part of their error text."""
-    return failed.groupBy(F.substring("error", 1, ERROR_LENGTH).alias("error")).agg(
-        F.count(F.lit(1)).alias("pairs")
+    """Failed pairs by their error text."""
+    return failed.groupBy("error").agg(F.count(F.lit(1)).alias("pairs"))
+
+
+def batch_summary(statistics: DataFrame, failed: DataFrame) -> DataFrame:
+    """Joined and failed pairs of a batch, one row."""
+    both = statistics.select(F.lit(True).alias("joined")).unionAll(failed.select(F.lit(False)))
+    return both.agg(
+        F.count_if("joined").alias("joined_pairs"), F.count_if(~F.col("joined")).alias("failed_pairs")
     )
 
 

@@ -28,7 +28,6 @@ EVIDENCE = {
     "NPEL20": CODE,
     "NPEL23": CODE,
 }
-SAMPLE_ROWS = 100
 LIMIT_FAN_OUT = 64
 
 
@@ -79,7 +78,7 @@ def detect_country(
     pool: Sequence[str] = ("pool_id",),
     order: Sequence[str] = ("position",),
     *,
-    sample_rows: int | None = SAMPLE_ROWS,
+    sample_rows: int | None = None,
     row_in_file: str | None = None,
     exclude_no_data_everywhere: bool = False,
     aliases: Mapping[str, str] | None = None,
@@ -87,8 +86,8 @@ def detect_country(
     """``pool…, country`` for every pool; the first pool column is its id.
 
     The first usable value of the strongest column counts, then the pool id, then
-    ``UNKNOWN``. ``order`` gives the row order in a pool; only its first
-    ``sample_rows`` rows are looked at (``None``: all of them).
+    ``UNKNOWN``. ``order`` gives the row order in a pool; all its rows are looked at,
+    or only the first ``sample_rows`` where that is asked for.
     """
     evidence = [c for c in EVIDENCE if c in df.columns]
     places = [c for c in (*order, *([row_in_file] if row_in_file else [])) if c not in pool]

@@ -1,9 +1,9 @@
 """Drop rows of one source that the preferred source covers for the same month.
 
-The wide rows are not shuffled for this. The keys in question are found on the key
+The wide rows are not shuffled to find these. The keys in question are found on the key
 columns alone (both sides reduced to distinct keys before they meet, so a hot key is
-one row by then); the wide table then meets that key set in a broadcast or, if the
-set is large, in a salted shuffle.
+one row by then); the wide table then meets that key set in one anti join, whose way is
+chosen at run time by the set's size.
 """
 
 from __future__ import annotations
@@ -15,14 +15,7 @@ from pyspark.sql import functions as F
 
 from poolweave.functions.columns import cols
 from poolweave.operators.mapping import ECB, ESMA, LOAN_CODE
-from poolweave.operators.skew import (
-    FAN_OUT,
-    HOT_ROWS,
-    MAX_BROADCAST_ROWS,
-    key_condition,
-    lookup_join,
-)
-from poolweave.session import materialize
+from poolweave.operators.skew import key_condition
 
 
 def covered_keys(
@@ -62,9 +55,6 @@ def prefer_source(
     overlap_pools: DataFrame | Sequence | None = None,
     secondary: str = ECB,
     preferred: str = ESMA,
-    max_broadcast_rows: int = MAX_BROADCAST_ROWS,
-    hot_rows: int = HOT_ROWS,
-    fan_out: int = FAN_OUT,
 ) -> DataFrame:
     """All preferred rows, and the secondary rows they do not cover.
 
@@ -80,18 +70,11 @@ def prefer_source(
     covered = covered_keys(
         candidates, pool, loan, month, source, secondary=secondary, preferred=preferred
     )
-    doomed = materialize(
-        covered.select(*cols(keys), F.lit(secondary).alias(source)), "covered-keys"
-    )
-    return lookup_join(
-        panel,
-        doomed,
-        [*keys, source],
-        "left_anti",
-        max_broadcast_rows=max_broadcast_rows,
-        hot_rows=hot_rows,
-        fan_out=fan_out,
-    )
+    doomed = covered.select(*(F.col(k).alias("__covered_" + k) for k in keys))
+    # One row per covered key: small sets are broadcast at run time; otherwise the
+    # wide side's large partitions can be split, as an anti join keeps its left rows.
+    same = key_condition(cols(keys), cols(doomed.columns)) & (F.col(source) == secondary)
+    return panel.join(doomed, same, "left_anti")
 
 
 def restrict_pools(
@@ -101,8 +84,8 @@ def restrict_pools(
     if pools is None:
         return df
     if isinstance(pools, DataFrame):
-        chosen = materialize(pools.select(*cols(pool)).distinct(), "overlap-pools")
-        return lookup_join(df, chosen, pool, "left_semi")
+        chosen = pools.select(*(F.col(p).alias("__chosen_" + p) for p in pool)).distinct()
+        return df.join(chosen, key_condition(cols(pool), cols(chosen.columns)), "left_semi")
     return df.filter(F.col(pool[0]).isin(list(pools)))
 
 

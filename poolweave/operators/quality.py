@@ -9,8 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from poolweave.functions.columns import SORT_KEYS, col, cols
-from poolweave.operators.skew import key_condition, lookup_join
-from poolweave.session import materialize
+from poolweave.operators.skew import key_condition
 
 # Fixed values.
 CHECKED_COLUMNS = ("RREL3", "RREC3", "RREL6", "RREL1", "source")
@@ -25,6 +24,8 @@ ISSUES = {
     "distinct": "DISTINCT {} MISMATCH",
     "loan_checksum": "{} CHECKSUM MISMATCH",
     "row_checksum": "ROW CHECKSUM MISMATCH",
+    "lost": "ONLY IN INPUT",
+    "new": "ONLY IN OUTPUT",
 }
 
 _MISSING = "\0"
@@ -196,7 +197,8 @@ def integrity_report(
 
     Compares row counts, column names, unique keys, distinct values, the checksum of
     the loan ids and a checksum of the whole rows. ``groups`` limits the report to
-    some values of the first group column. Groups on one side only are left out.
+    some values of the first group column. A group on one side only fails, with that as
+    its issue.
     """
     if groups is not None:
         chosen = col(group[0]).isin(list(groups))
@@ -236,7 +238,8 @@ def integrity_report(
         "loan_checksum": ISSUES["loan_checksum"].format(keys[0]),
         "row_checksum": ISSUES["row_checksum"],
     }
-    issues = F.array_compact(
+    lost, new = F.col("a_rows").isNull(), F.col("b_rows").isNull()
+    differences = F.array_compact(
         F.array(
             F.when(counts_differ, F.lit(ISSUES["columns"])),
             F.when(names_differ, F.lit(ISSUES["names"])),
@@ -246,11 +249,16 @@ def integrity_report(
             ),
         )
     )
+    issues = (
+        F.when(lost, F.array(F.lit(ISSUES["lost"])))
+        .when(new, F.array(F.lit(ISSUES["new"])))
+        .otherwise(differences)
+    )
     return (
-        left.join(right, same_group, "inner")
+        left.join(right, same_group, "full")
         .withColumn("issues", issues)
         .select(
-            *(col("b_" + g).alias(g) for g in group),
+            *(F.when(new, col("a_" + g)).otherwise(col("b_" + g)).alias(g) for g in group),
             F.when(F.size("issues") == 0, F.lit(PASS)).otherwise(F.lit(FAIL)).alias("status"),
             F.col("b_rows").alias("rows_before"),
             F.col("a_rows").alias("rows_after"),
@@ -302,8 +310,7 @@ def long_series(
 
 def series_rows(df: DataFrame, chosen: DataFrame, keys: Sequence[str] = SORT_KEYS[:2]) -> DataFrame:
     """All rows of the chosen loan-collateral pairs."""
-    chosen = materialize(chosen.select(*cols(keys)), "chosen-series")
-    return lookup_join(df, chosen, keys, "left_semi", null_safe=False)
+    return df.join(chosen.select(*cols(keys)), list(keys), "left_semi")
 
 
 def sample_values(df: DataFrame, column: str, n: int = SPOT_LOANS, seed: str = "") -> DataFrame:

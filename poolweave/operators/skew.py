@@ -8,9 +8,8 @@ Two situations occur in the pipeline:
 * two wide tables meet (:func:`balanced_left_join`): the rows per key are counted
   on the key columns alone; keys above ``hot_rows`` are salted on both sides.
 
-The list of hot keys is short by construction (:data:`MAX_HOT_KEYS`). A key that
-does not make the list is joined in the ordinary way, so the list decides about
-balance only, never about the result.
+The list of hot keys is complete, and short by construction: at most one key for every
+``hot_rows`` rows. It decides about balance only, never about the result.
 """
 
 from __future__ import annotations
@@ -24,7 +23,6 @@ from pyspark.sql import types as T
 
 from poolweave.functions.columns import col, cols
 
-MAX_HOT_KEYS = 4096
 HOT_ROWS = 1_000_000
 MAX_BROADCAST_ROWS = 500_000  # of keys and ids: some 100 MB in memory
 FAN_OUT = 64
@@ -56,13 +54,11 @@ def _spread(df: DataFrame, fan_out: int) -> Column:
 
 
 def hot_keys(df: DataFrame, keys: Sequence[str], hot_rows: int) -> DataFrame:
-    """Keys with at least ``hot_rows`` rows, the most frequent ones first."""
+    """Keys with at least ``hot_rows`` rows."""
     return (
         df.groupBy(*cols(keys))
         .agg(F.count(F.lit(1)).alias(_HOT))
         .filter(F.col(_HOT) >= hot_rows)
-        .orderBy(F.desc(_HOT))
-        .limit(MAX_HOT_KEYS)
     )
 
 
@@ -215,7 +211,7 @@ def _hot_on_either_side(
     right_keys: Sequence[str],
     hot_rows: int,
 ) -> list[tuple]:
-    """At most ``2 * MAX_HOT_KEYS`` rows: the key, hot on the left, hot on the right."""
+    """The hot keys of both sides: the key, hot on the left, hot on the right."""
     left_hot = hot_keys(left, left_keys, hot_rows)
     right_hot = hot_keys(right, right_keys, hot_rows).toDF(*left_keys, _HOT)
     both = left_hot.withColumns({_LEFT_HOT: F.lit(True), _RIGHT_HOT: F.lit(False)}).unionAll(

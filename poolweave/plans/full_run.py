@@ -9,10 +9,19 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from poolweave.functions.names import safe_pool_id
+from poolweave.operators.collateral import batch_summary
+from poolweave.operators.columns import non_empty_columns
 from poolweave.operators.mapping import as_dict, forward_mapping
 from poolweave.operators.quality import row_counts
+from poolweave.operators.skew import key_condition
 from poolweave.plans.collateral_stage import join_pairs
-from poolweave.plans.country_stage import country_panel, pool_countries, sorted_countries
+from poolweave.plans.country_stage import (
+    country_index,
+    country_panel,
+    pool_countries,
+    sorted_countries,
+)
 from poolweave.plans.universe_stage import (
     KNOWN_OVERLAP_POOLS,
     POOL,
@@ -79,8 +88,10 @@ def run(
 ) -> None:
     """Run the stages in order, each from the table the one before wrote.
 
-    With ``resume`` pools and countries that have output already are left alone, as
-    after an interruption; a partition is visible only when it is complete.
+    Without ``resume`` every table is replaced. With it, pools that have output already
+    are left alone, as after an interruption (a partition is visible only when it is
+    complete), and so are countries whose stored pools are those they should have; a
+    country that gains or loses a pool is written again.
     """
     run_collateral(spark, inputs, outputs)
     run_universe(spark, inputs, outputs, overlap_pools=overlap_pools, resume=resume)
@@ -94,6 +105,9 @@ def run_collateral(spark: SparkSession, inputs: Inputs, outputs: Outputs) -> Non
         joined.rows.write.mode("overwrite").partitionBy("asset_type").parquet(outputs.merged)
     write_statistics(joined.statistics, outputs.path("esma_merged_statistics"))
     write_statistics(joined.failed, outputs.path("esma_merged_failed"))
+    write_statistics(
+        batch_summary(joined.statistics, joined.failed), outputs.path("esma_merged_summary")
+    )
 
 
 def run_universe(
@@ -110,7 +124,7 @@ def run_universe(
     esma = esma_from_pairs(spark.read.parquet(outputs.merged))
     done = finished(spark, outputs.pools, *POOL) if resume else None
     panel = universe(ecb.rows, esma, mapping, overlap_pools=overlap_pools, finished=done)
-    write_pools(panel, outputs.pools)
+    write_pools(panel, outputs.pools, replace=done is None)
     write_statistics(ecb.quarantined, outputs.path("quarantine"))
 
 
@@ -118,30 +132,96 @@ def run_countries(spark: SparkSession, outputs: Outputs, *, resume: bool = False
     panel = read_table(spark, outputs.pools)
     countries = materialize(pool_countries(panel), "countries")
     rows = country_panel(panel, countries)
-    write_countries(unfinished(rows, outputs.countries, resume), outputs.countries)
+    todo = outdated(spark, countries, outputs.countries, resume)
+    if todo is None:
+        write_countries(rows, outputs.countries)
+    elif todo:
+        write_countries(rows.filter(F.col("country").isin(todo)), outputs.countries, replace=False)
     write_statistics(countries, outputs.path("pool_countries"))
     write_statistics(merge_log(spark, outputs, countries), outputs.path("merge_log"))
+    write_statistics(
+        country_index(spark, outputs.pools, countries), outputs.path("country_statistics")
+    )
 
 
 def merge_log(spark: SparkSession, outputs: Outputs, countries: DataFrame) -> DataFrame:
-    """Pools, rows, columns and bytes per country."""
+    """Pools, rows, columns with values and bytes per country, and whether all is there.
+
+    A country without stored rows stays in the log as failed.
+    """
     table = read_table(spark, outputs.countries)
     pools = countries.groupBy("country").agg(F.count(F.lit(1)).alias("files_merged"))
     sizes = output_sizes(spark, outputs.countries, "country").select("country", "bytes")
+    values = [c for c in table.columns if c != "country"]
+    filled = non_empty_columns(table, ["country"]).groupBy("country").agg(F.count(F.lit(1)).alias("columns"))
+    counted = row_counts(table, ["country"]).withColumnRenamed("rows", "total_rows")
     return (
-        row_counts(table, ["country"])
-        .withColumnRenamed("rows", "total_rows")
-        .join(pools, "country")
-        .join(sizes, "country")
-        .withColumn("columns", F.lit(len(table.columns) - 1))
+        pools.join(counted, "country", "full")
+        .join(sizes, "country", "left")
+        .join(filled, "country", "left")
+        .withColumn("table_columns", F.lit(len(values)))
+        .withColumn(
+            "status",
+            F.when(F.col("total_rows").isNull(), "failed")
+            .when(F.col("files_merged").isNull(), "unexpected")
+            .otherwise("success"),
+        )
     )
 
 
 def run_sort(spark: SparkSession, outputs: Outputs, *, resume: bool = False) -> None:
-    rows = unfinished(read_table(spark, outputs.countries), outputs.sorted, resume)
+    """Sort all countries, or with ``resume`` those whose pools differ from the sorted ones.
+
+    Writes ``sort_status``: rows before and after, and success, failed or skipped.
+    """
+    table = read_table(spark, outputs.countries)
+    expected = table.select("country", *POOL).distinct()
+    todo = outdated(spark, materialize(expected, "stored-pools"), outputs.sorted, resume)
+    rows = table if todo is None else table.filter(F.col("country").isin(todo))
     stored = output_sizes(spark, outputs.countries, "country").agg(F.sum("bytes")).first()[0]
-    ranges = max(int(spark.conf.get("spark.sql.shuffle.partitions")), stored // RANGE_BYTES)
-    write_sorted(sorted_countries(rows, partitions=ranges), outputs.sorted)
+    ranges = max(int(spark.conf.get("spark.sql.shuffle.partitions")), (stored or 0) // RANGE_BYTES)
+    if todo is None or todo:
+        ordered = sorted_countries(rows, partitions=ranges)
+        write_sorted(ordered, outputs.sorted, replace=todo is None)
+    write_statistics(sort_status(spark, outputs, todo), outputs.path("sort_status"))
+
+
+def sort_status(spark: SparkSession, outputs: Outputs, todo: list[str] | None) -> DataFrame:
+    """``country, rows_before, rows_after, status`` of every country."""
+    before = row_counts(read_table(spark, outputs.countries), ["country"])
+    after = row_counts(read_table(spark, outputs.sorted), ["country"])
+    joined = before.withColumnRenamed("rows", "rows_before").join(
+        after.withColumnRenamed("rows", "rows_after"), "country", "full"
+    )
+    skipped = F.lit(False) if todo is None else ~F.col("country").isin(todo)
+    return joined.withColumn(
+        "status",
+        F.when(~F.col("rows_before").eqNullSafe(F.col("rows_after")), "failed")
+        .when(skipped, "skipped")
+        .otherwise("success"),
+    )
+
+
+def outdated(
+    spark: SparkSession, expected: DataFrame, path: str, resume: bool
+) -> list[str] | None:
+    """Countries whose stored pools are not those in ``expected`` (country, pool_id, bucket).
+
+    ``None`` means all, with the whole table to be replaced: without ``resume``, before
+    the first run, and when a stored country should not be there any more.
+    """
+    if not resume or finished(spark, path, "country") is None:
+        return None
+    stored = read_table(spark, path).select("country", *POOL).distinct()
+    key = ["country", *POOL]
+    same = lambda a, b: key_condition([a[c] for c in key], [b[c] for c in key])
+    wanted = expected.select(*key).withColumn("pool_id", safe_pool_id(F.col("pool_id")))
+    stored = stored.withColumn("pool_id", safe_pool_id(F.col("pool_id")))
+    late = wanted.join(stored, same(wanted, stored), "left_anti").select("country")
+    gone = stored.join(wanted, same(stored, wanted), "left_anti").select("country")
+    changed = {r.country for r in late.unionAll(gone).distinct().collect()}  # countries are few
+    there = {r.country for r in wanted.select("country").distinct().collect()}
+    return None if changed - there else sorted(changed)
 
 
 def finished(spark: SparkSession, path: str, *partitions: str) -> DataFrame | None:
@@ -152,11 +232,3 @@ def finished(spark: SparkSession, path: str, *partitions: str) -> DataFrame | No
         if error.getCondition() == "PATH_NOT_FOUND":
             return None
         raise
-
-
-def unfinished(rows: DataFrame, path: str, resume: bool) -> DataFrame:
-    """Rows of countries without output; the list of countries is short."""
-    done = finished(rows.sparkSession, path, "country") if resume else None
-    if done is None:
-        return rows
-    return rows.filter(~F.col("country").isin([r.country for r in done.collect()]))

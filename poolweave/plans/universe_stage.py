@@ -20,9 +20,8 @@ from poolweave.sources.manifest import (
     ecb_files,
     merged_esma_files,
     parse_header,
-    with_headers,
 )
-from poolweave.sources.salvage import MAX_PROBED_BYTES, probe_gzip, salvage
+from poolweave.sources.salvage import probe_gzip, salvage
 from poolweave.sources.scan import scan_files, scan_manifest
 
 # Pools known to be reported by both sources for the same months.
@@ -46,13 +45,12 @@ class EcbRows:
 def read_ecb(spark: SparkSession, folder: str, ecb_to_esma: Mapping[str, str]) -> EcbRows:
     """All ECB files of a folder, harmonised.
 
-    Each file is probed once for its header and for damage; a file too large for that
-    is taken as sound and fails the job if it is not. Sound files are scanned
-    by header; what is left of damaged ones is added with ``salvaged = true``. The
-    result is landed, so that later passes read columns instead of text.
+    Each file is read once as a stream for its header and for damage. Sound files are
+    scanned by header; what is left of damaged ones is added with ``salvaged = true``.
+    The result is landed, so that later passes read columns instead of text.
     """
     files = materialize(ecb_files(spark, folder), "ecb-files")
-    checked = materialize(_checked(files), "ecb-checked")
+    checked = materialize(_checked(files, folder), "ecb-checked")
 
     def prepared(df: DataFrame) -> DataFrame:
         return prepare_ecb(df, ecb_to_esma)
@@ -81,27 +79,13 @@ def read_ecb(spark: SparkSession, folder: str, ecb_to_esma: Mapping[str, str]) -
     return EcbRows(materialize(rows, "ecb-landed"), quarantined)
 
 
-def _checked(files: DataFrame) -> DataFrame:
-    """Files with ``header_line`` and ``error``."""
-    spark = files.sparkSession
-
-    def paths_of(some: DataFrame) -> list[str]:
-        return [row.path for row in some.select("path").collect()]
-
-    small = files.filter(F.col("length") <= MAX_PROBED_BYTES)
-    large = files.filter(F.col("length") > MAX_PROBED_BYTES)
-    parts = []
-    if paths := paths_of(small):
-        probed = probe_gzip(spark, paths).withColumn("__file", base_path(F.col("path")))
-        keyed = small.withColumn("__file", base_path(F.col("path")))
-        parts.append(keyed.join(probed.drop("path"), "__file").drop("__file"))
-    if paths := paths_of(large):
-        parts.append(
-            with_headers(large, paths).withColumn("error", F.lit(None).cast("string"))
-        )
-    if not parts:
+def _checked(files: DataFrame, folder: str) -> DataFrame:
+    """Files with ``header_line`` and ``error``, whatever their size."""
+    if files.isEmpty():
         raise ValueError("no ECB file found")
-    return union_aligned(parts, sort_columns=False)
+    probed = probe_gzip(files.sparkSession, folder, "*.gz").withColumn("__file", base_path(F.col("path")))
+    keyed = files.withColumn("__file", base_path(F.col("path")))
+    return keyed.join(probed.drop("path"), "__file").drop("__file")
 
 
 def read_esma(spark: SparkSession, folder: str) -> DataFrame:
@@ -126,7 +110,6 @@ def universe(
     *,
     overlap_pools: Sequence[str] | str = KNOWN_OVERLAP_POOLS,
     finished: DataFrame | None = None,
-    **skew_options,
 ) -> DataFrame:
     """All pools of both sources in one table.
 
@@ -155,7 +138,7 @@ def universe(
         chosen = list(overlap_pools)
         if not chosen:
             return panel.drop("date_ym")
-    return prefer_source(panel, POOL, overlap_pools=chosen, **skew_options).drop("date_ym")
+    return prefer_source(panel, POOL, overlap_pools=chosen).drop("date_ym")
 
 
 def _with_pool(rows: DataFrame, pools: DataFrame, own_id: str) -> DataFrame:

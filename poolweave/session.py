@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 from functools import cache
@@ -36,10 +37,16 @@ def build_session(app_name: str = "poolweave", **settings: str) -> SparkSession:
 def shared_folder(spark: SparkSession) -> str:
     """The folder all executors can reach, as the session names it.
 
-    Only a session without one (a test) gets a temporary folder of its own.
+    Only a local session without one (a test) gets a temporary folder of its own; on a
+    cluster every executor would write to its own disk there.
     """
     folder = spark.conf.get("spark.checkpoint.dir", None)
-    return folder or _test_folder(spark.sparkContext.applicationId)
+    if folder:
+        return folder
+    master = spark.sparkContext.master
+    if not re.match(r"local(\[|$)", master):
+        raise ValueError(f"spark.checkpoint.dir must name a shared folder for master {master}")
+    return _test_folder(spark.sparkContext.applicationId)
 
 
 @cache

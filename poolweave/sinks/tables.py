@@ -1,8 +1,9 @@
 """Tables of the lake and their CSV exports.
 
 Tables are Parquet, partitioned by what later stages prune on. The commit protocol
-of the writer keeps half-written output invisible; with dynamic overwrite only the
-partitions in the data are replaced.
+of the writer keeps half-written output invisible. A full run replaces a table with all
+its partitions, so that nothing stale stays; an addition replaces only the partitions
+in its data.
 """
 
 from __future__ import annotations
@@ -28,21 +29,25 @@ def _gathered(df: DataFrame, partitions: Sequence[str]) -> DataFrame:
     return df.hint("rebalance", *partitions)
 
 
-def _writer(df: DataFrame, partitions: Sequence[str]) -> DataFrameWriter:
+def _writer(
+    df: DataFrame, partitions: Sequence[str], replace: bool = False
+) -> DataFrameWriter:
     return (
         df.write.partitionBy(*partitions)
         .mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
+        .option("partitionOverwriteMode", "static" if replace else "dynamic")
     )
 
 
-def write_pools(df: DataFrame, path: str) -> None:
+def write_pools(df: DataFrame, path: str, *, replace: bool = True) -> None:
     """Stage 2 output below ``bucket=…/pool_id=…``."""
     safe = df.withColumn("pool_id", safe_pool_id(F.col("pool_id")))
-    _writer(_gathered(safe, POOL_PARTITIONS), POOL_PARTITIONS).parquet(path)
+    _writer(_gathered(safe, POOL_PARTITIONS), POOL_PARTITIONS, replace).parquet(path)
 
 
-def write_countries(df: DataFrame, path: str, *, compact: bool = False) -> None:
+def write_countries(
+    df: DataFrame, path: str, *, compact: bool = False, replace: bool = True
+) -> None:
     """Stage 3 output below ``country=…``.
 
     Rows come from the pool table, where a task reads one or few pools and therefore
@@ -50,16 +55,16 @@ def write_countries(df: DataFrame, path: str, *, compact: bool = False) -> None:
     one where pools are very small.
     """
     rows = _gathered(df, [COUNTRY_PARTITION]) if compact else df
-    _writer(rows, [COUNTRY_PARTITION]).parquet(path)
+    _writer(rows, [COUNTRY_PARTITION], replace).parquet(path)
 
 
-def write_sorted(ordered: DataFrame, path: str) -> None:
+def write_sorted(ordered: DataFrame, path: str, *, replace: bool = True) -> None:
     """Stage 4 output: the files of a country in order, each sorted.
 
     ``ordered`` comes from ``sort_panel`` with the country as group and is written as
     it is; another shuffle would undo the order.
     """
-    _writer(ordered, [COUNTRY_PARTITION]).parquet(path)
+    _writer(ordered, [COUNTRY_PARTITION], replace).parquet(path)
 
 
 def export_sorted_csv(ordered: DataFrame, path: str) -> None:

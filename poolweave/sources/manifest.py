@@ -4,10 +4,11 @@ from __future__ import annotations
 
 import csv
 from collections.abc import Iterator, Sequence
+from typing import BinaryIO
 from urllib.parse import quote
 
 import pandas as pd
-from pyarrow import fs
+from pyarrow import CompressedInputStream, fs
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -24,6 +25,7 @@ from poolweave.operators.skew import lookup_join
 # Stores whose files the Python side of a task can open by itself.
 OPENED_BY_TASKS = ("file", "hdfs", "s3", "s3a", "gs")
 HEADER_PIECE = 64 * 1024
+COMPRESSIONS = {"gz": "gzip", "bz2": "bz2"}
 
 
 def list_files(spark: SparkSession, folder: str | list[str], pattern: str = "*") -> DataFrame:
@@ -58,7 +60,8 @@ def with_headers(files: DataFrame, paths: Sequence[str]) -> DataFrame:
     one that tasks can open; otherwise the files' first blocks are scanned. Column
     parsing is left to the driver, which sees one line per *different* header only.
     """
-    can_open = all(_scheme(p) in OPENED_BY_TASKS for p in paths)
+    schemes = files.select(scheme_of(F.col("path")).alias("scheme")).distinct().collect()
+    can_open = all(row.scheme in OPENED_BY_TASKS for row in schemes)
     headers = (first_lines(files) if can_open else scanned_first_lines(files, paths)).select(
         base_path(F.col("path")).alias("__path"),
         F.regexp_replace("header_line", "^\\uFEFF|\\r$", "").alias("header_line"),
@@ -86,20 +89,34 @@ def first_lines(files: DataFrame) -> DataFrame:
     return spread.mapInPandas(read, "path string, header_line string")
 
 
-def _first_line(path: str) -> str | None:
+def open_file(path: str) -> BinaryIO:
+    """A file as a stream of its stored bytes, opened by a task."""
     scheme, place = _scheme(path), path.split(":", 1)[-1]
     if scheme == "file":
         store, name = fs.LocalFileSystem(), "/" + place.lstrip("/")
     else:
         uri = f"{scheme.replace('s3a', 's3')}:{quote(place)}"
         store, name = fs.FileSystem.from_uri(uri)
+    return store.open_input_stream(name, compression=None)
+
+
+def _first_line(path: str) -> str | None:
+    """The first line of a file, of its text if it is compressed."""
     line = b""
-    with store.open_input_stream(name, compression=None) as stream:
+    with open_file(path) as stored:
+        compressed = path.rsplit(".", 1)[-1] in COMPRESSIONS
+        stream = CompressedInputStream(stored, COMPRESSIONS[path.rsplit(".", 1)[-1]]) if compressed else stored
         while b"\n" not in line and (piece := stream.read(HEADER_PIECE)):
             line += piece
     return line.split(b"\n", 1)[0].decode("utf-8", "replace") or None
 
 
+def scheme_of(path: Column) -> Column:
+    """The scheme of a path; of one without, the local one."""
+    found = F.regexp_extract(path, "^([A-Za-z][A-Za-z0-9+.-]*):", 1)
+    return F.when(found == "", F.lit("file")).otherwise(found)
+
+
 def scanned_first_lines(files: DataFrame, paths: Sequence[str]) -> DataFrame:
     """``path, header_line`` by scanning the first block of each file as text.
 

@@ -18,7 +18,6 @@ from poolweave.functions.columns import (
     cols,
     require_distinct_by_case,
     require_unreserved,
-    sorted_union,
 )
 from poolweave.functions.names import decoded
 from poolweave.functions.nulls import EMPTY_ONLY, RAW_FILE_NULL_TOKENS, apply_null_tokens
@@ -147,7 +146,7 @@ def land_groups(spark: SparkSession, groups: list, scanned: Callable) -> DataFra
     """Write the scans as one table, a bounded number of headers per job."""
     path = scratch_path(spark, "landed")
     tables = [scanned(g) for g in groups]
-    columns = sorted_union(t.columns for t in tables)
+    columns = list(dict.fromkeys(c for t in tables for c in t.columns))
     types = {f.name: f.dataType for t in tables for f in t.schema.fields}
     for start in range(0, len(tables), MAX_HEADERS_PER_PLAN):
         part = union_aligned(tables[start : start + MAX_HEADERS_PER_PLAN])

@@ -222,3 +222,26 @@ def test_configuration(spark, tmp_path):
     ]
     mapping = read_pool_mapping(spark, f"{folder}/mapping.json")
     assert rows(mapping) == [("E1", "S1"), ("E2", "S1")]
+
+
+def test_headers_of_compressed_files(spark, tmp_path):
+    (tmp_path / "a.gz").write_bytes(gzip.compress(b"X,Y\n1,2\n"))
+    (tmp_path / "b.csv").write_text("Z\n3\n")
+    files = list_files(spark, str(tmp_path))
+    assert rows(first_lines(files), "header_line") == [("X,Y",), ("Z",)]
+
+
+def test_a_stream_is_never_held_whole():
+    """Pieces of a large file come one by one, and so do pieces of its text."""
+    text = b"a,b\n" + b"0" * (5 << 20)
+    stored = gzip.compress(text, 1) + gzip.compress(b"\n1,2\n")
+
+    class Counted(io.BytesIO):
+        def read(self, n=-1):
+            assert 0 < n <= 1 << 20
+            return super().read(n)
+
+    errors = []
+    pieces = list(inflated(Counted(stored), errors))
+    assert b"".join(pieces) == text + b"\n1,2\n" and not errors
+    assert max(map(len, pieces)) <= 1 << 20

@@ -90,15 +90,17 @@ def test_collateral_join(strings):
 def test_missing_keys_meet_only_in_their_pair(strings):
     loans = strings("p RREL2", ("1", None), ("2", None), ("2", "k"))
     collateral = strings("p RREC2 RREC3", ("1", None, "x"), ("1", None, "y"), ("2", "k", "z"))
-    joined = join_collateral(loans, collateral, ["p"], hot_rows=1, fan_out=2)
+    joined = join_collateral(
+        loans, collateral, ["p"], hot_rows=1, fan_out=2, match_null_keys=True
+    )
     expected = [("1", None, None, "x"), ("1", None, None, "y"), ("2", None, None, None)]
     assert rows(joined) == sorted([*expected, ("2", "k", "k", "z")], key=repr)
-    stats = join_statistics(loans, collateral, ["p"], ("RREL2", "RREC2"))
+    stats = join_statistics(loans, collateral, ["p"], ("RREL2", "RREC2"), match_null_keys=True)
     assert rows(stats) == [
         ("1", 1, 2, 2, 2, 0, "RREL2=RREC2"),
         ("2", 2, 1, 2, 1, 1, "RREL2=RREC2"),
     ]
-    strict = join_statistics(loans, collateral, ["p"], ("RREL2", "RREC2"), match_null_keys=False)
+    strict = join_statistics(loans, collateral, ["p"], ("RREL2", "RREC2"))
     assert rows(strict, "p", "merged_rows", "matched_rows") == [("1", 1, 0), ("2", 2, 1)]
 
 
@@ -106,7 +108,7 @@ def test_statistics_agree_with_the_join(strings):
     left = [(str(i % 3), str(i % 5) if i % 7 else None) for i in range(60)]
     right = [(str(i % 3), str(i % 4) if i % 5 else None, str(i)) for i in range(40)]
     loans, collateral = strings("p RREL2", *left), strings("p RREC2 RREC3", *right)
-    stats = join_statistics(loans, collateral, ["p"], ("RREL2", "RREC2"))
+    stats = join_statistics(loans, collateral, ["p"], ("RREL2", "RREC2"), match_null_keys=True)
     for p, ue, coll, merged, matched, unmatched, _ in rows(stats):
         pairs = [
             (a, b) for a, b in itertools.product(left, right) if a == b[:2] and a[0] == p

@@ -75,15 +75,12 @@ PANEL = [
 ]
 
 
-@pytest.mark.parametrize(
-    "options", [{}, {"max_broadcast_rows": 0}, {"max_broadcast_rows": 0, "hot_rows": 1, "fan_out": 3}]
-)
-def test_prefer_source(strings, options):
+def test_prefer_source(strings):
     panel = strings("pool_id source RREL3 date_ym note", *PANEL)
-    kept = prefer_source(panel, overlap_pools=["P"], **options)
+    kept = prefer_source(panel, overlap_pools=["P"])
     expected = [r for r in PANEL if not (r[0] == "P" and r[4].endswith("covered"))]
     assert rows(kept) == sorted(expected, key=repr)
-    everywhere = prefer_source(panel, **options)
+    everywhere = prefer_source(panel)
     assert everywhere.count() == len(expected) - 1
     assert prefer_source(panel.drop("RREL3")).count() == len(PANEL)
 
@@ -213,8 +210,8 @@ def test_country_details(strings):
     ]
 
 
-def test_sample_is_the_first_hundred_rows(spark):
+def test_all_rows_are_looked_at(spark):
     late = [("P", i, "IT" if i == 101 else None) for i in range(1, 200)]
     df = spark.createDataFrame(late, "pool_id string, position long, RREL81 string")
-    assert rows(detect_country(df)) == [("P", "UNKNOWN")]
-    assert rows(detect_country(df, sample_rows=None)) == [("P", "IT")]
+    assert rows(detect_country(df)) == [("P", "IT")]
+    assert rows(detect_country(df, sample_rows=100)) == [("P", "UNKNOWN")]

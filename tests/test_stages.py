@@ -70,7 +70,7 @@ def test_collateral_stage(spark, tmp_path):
     name_b = "1_NPE_UE_Collateral_POOLB_2020-02-29_3.csv"
     assert rows(joined.statistics) == [
         ("NPE", name_b, 1, 2, 1, 1, 0, "NPEL2=NPEC2", 6),
-        ("RMB", name_a, 3, 3, 4, 3, 1, "RREL2=RREC2", 12),
+        ("RMB", name_a, 3, 3, 4, 2, 2, "RREL2=RREC2", 12),
     ]
     [(ue, collateral, error)] = rows(joined.failed)
     assert ue == "1_CRP_UE_POOLC_2020-02-29_1.csv" and collateral.startswith("1_CRP_Coll")
@@ -79,7 +79,7 @@ def test_collateral_stage(spark, tmp_path):
         [
             (name_a, "007", "L1", "C1", 'x,"1"', "n"),
             (name_a, "007", "L1", "C2", 'x,"1"', "m"),
-            (name_a, None, "L2", "C3", "y", "o"),
+            (name_a, None, "L2", None, "y", None),
             (name_a, "9", "L3", None, "z", None),
             (name_b, None, "N1", "new", None, None),
         ],
@@ -103,7 +103,7 @@ def test_all_stages(spark, tmp_path):
             (*a, "ECB", "D2", "2020-05-15", None),
             (*a, "ESMA", "L1", "2020-01-31", "C1"),
             (*a, "ESMA", "L1", "2020-01-31", "C2"),
-            (*a, "ESMA", "L2", "2020-01-31", "C3"),
+            (*a, "ESMA", "L2", "2020-01-31", None),
             (*a, "ESMA", "L3", "2020-01-31", None),
             ("ecb_only", "RMBMES01", "ECB", "X1", "2020-01-15", None),
             ("esma_only", "POOLB", "ESMA", "N1", "2020-02-29", "new"),
@@ -212,3 +212,34 @@ def test_incremental_runs(spark, tmp_path):
 def test_clashing_codes_fail(strings):
     with pytest.raises(ValueError, match="AR2"):
         prepare_ecb(strings("AR2 RREL3", ("1", "2")), {"AR2": "RREL3"})
+
+
+def sort_statuses(spark, outputs):
+    return rows(read_statistics(spark, outputs.path("sort_status")), "country", "status")
+
+
+def test_reruns_neither_double_nor_miss_rows(spark, tmp_path):
+    inputs, outputs = raw_tree(tmp_path), full_run.Outputs(str(tmp_path / "out"))
+    full_run.run(spark, inputs, outputs, overlap_pools="all")
+    first = spark.read.parquet(outputs.pools).count()
+    assert sort_statuses(spark, outputs) == [(c, "success") for c in ("ES", "FR", "PT")]
+
+    # A pool that arrives late enters its country; nothing else is written again.
+    late = b"AR1,AR2\n2020-06-15,Y1\n"
+    (tmp_path / "ecb" / "RMBMES02_2020-06.gz").write_bytes(gzip.compress(late))
+    full_run.run(spark, inputs, outputs, overlap_pools="all", resume=True)
+    for table in (outputs.pools, outputs.countries, outputs.sorted):
+        assert spark.read.parquet(table).count() == first + 1
+    assert sort_statuses(spark, outputs) == [("ES", "success"), ("FR", "skipped"), ("PT", "skipped")]
+    log = read_statistics(spark, outputs.path("merge_log"))
+    assert rows(log, "country", "files_merged", "status")[0] == ("ES", 2, "success")
+
+    # A pool that loses its partner changes bucket and id; a full run leaves no old copy.
+    (tmp_path / "mapping.json").write_text(json.dumps({"pools": {"OTHER": {"esma_pool": "NONE"}}}))
+    full_run.run(spark, inputs, outputs, overlap_pools="all")
+    pools = spark.read.parquet(outputs.pools)
+    assert rows(pools.filter("bucket = 'matched'"), "pool_id") == []
+    rows_of = pools.groupBy("source", "RREL3", "RREL6", "RREC3").count()
+    assert rows_of.filter("count > 1").count() == 0
+    assert spark.read.parquet(outputs.countries).count() == pools.count()
+    assert spark.read.parquet(outputs.sorted).count() == pools.count()

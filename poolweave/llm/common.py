@@ -8,6 +8,7 @@ many rows a batch has; a text longer than a block is a block of its own.
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 from dataclasses import dataclass
 
 import numpy as np
@@ -49,6 +50,18 @@ def text_bytes(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return data, borders - borders[0]
 
 
+@contextmanager
+def rows_per_batch(spark: SparkSession, rows: int) -> Iterator[None]:
+    """Jobs inside send Python tasks so many rows at once: for rows of many kilobytes."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(name)
+    spark.conf.set(name, str(rows))
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 def text_blocks(
     batches: Iterator[pa.RecordBatch], column: str, limit: int = BLOCK_BYTES
 ) -> Iterator[pa.RecordBatch]:

@@ -25,13 +25,25 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from poolweave.llm.common import hashed_words, mix, ranges, shingle_hashes, summed_counts, text_blocks, text_bytes, whole_text
+from poolweave.llm.common import (
+    hashed_words,
+    mix,
+    ranges,
+    rows_per_batch,
+    shingle_hashes,
+    summed_counts,
+    text_blocks,
+    text_bytes,
+    whole_text,
+)
 from poolweave.llm.components import components
 from poolweave.session import materialize
 
 COUNT_BITS = 21  # counts of shingles by hash: 2 million, whatever the corpus
 LEVEL_BITS = 5
 WAITING_PAIRS = 1 << 20  # that a task holds, before they leave it without repeats
+FOLLOWERS = 64  # sets that are compared with one copy of their leader's
+BATCH_ROWS = 1000  # sets and texts sent to a task at once
 LONG_LIST = 1000  # index lists above this length are dealt out over several tasks
 
 
@@ -321,24 +333,40 @@ def _numbers(value) -> np.ndarray:
 
 
 def _compare(pairs: DataFrame, sets: DataFrame, spec: Spec) -> DataFrame:
-    """x, y, linked, and what y has more (added) and less (removed) than x."""
-    pairs = pairs.join(sets.select(F.col("doc_id").alias("x"), F.col("items").alias("of_x")), "x")
-    pairs = pairs.join(sets.select(F.col("doc_id").alias("y"), F.col("items").alias("of_y")), "y")
+    """x, y, linked, and what y has more (added) and less (removed) than x.
+
+    Every y's set moves once, to a copy of x's; an x with many partners has many copies.
+    """
+    copies = pairs.groupBy("x").agg(F.ceil(F.count(F.lit(1)) / FOLLOWERS).cast("int").alias("copies"))
+    copies = materialize(copies, "leaders")
+    place = F.pmod(F.xxhash64("y"), F.col("copies")).cast("int")
+    placed = pairs.join(copies, "x").select("x", "y", place.alias("copy"))
+    own = copies.select("x", F.col("x").alias("y"), F.explode(F.sequence(F.lit(0), F.col("copies") - 1)).alias("copy"))
+    both = own.withColumn("is_y", F.lit(False)).unionAll(placed.withColumn("is_y", F.lit(True)))
+    loaded = both.join(sets.withColumnRenamed("doc_id", "y"), "y")
+    arranged = loaded.repartition("x", "copy").sortWithinPartitions("x", "copy", "is_y", "y")
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, a = None, np.zeros(0, np.uint64)
         for batch in batches:
-            out: dict[str, list] = {"linked": [], "added": [], "removed": []}
-            sizes = []
-            for a, b in zip(batch.column("of_x"), batch.column("of_y")):
-                a, b = _numbers(a), _numbers(b)
+            out: dict[str, list] = {c: [] for c in ("x", "y", "linked", "added", "removed", "size")}
+            columns = (batch.column(c).to_pylist() for c in ("x", "y", "is_y"))
+            for x, y, is_y, items in zip(*columns, batch.column("items")):
+                b = _numbers(items)
+                if not is_y:
+                    held, a = x, b
+                    continue
+                if held != x:
+                    raise ValueError("a set came without its leader's")
                 common = np.intersect1d(a, b, assume_unique=True)
-                out["linked"].append(bool(len(common) >= spec.least_common(len(a), len(b))))
-                out["added"].append(np.setdiff1d(b, common, assume_unique=True).tobytes())
-                out["removed"].append(np.setdiff1d(a, common, assume_unique=True).tobytes())
-                sizes.append(len(a))
-            yield _record(x=batch.column("x"), y=batch.column("y"), **out, size=pa.array(sizes, pa.int32()))
-
-    return pairs.select("x", "y", "of_x", "of_y").mapInArrow(
+                linked = len(common) >= spec.least_common(len(a), len(b))
+                added, removed = (np.setdiff1d(s, common, assume_unique=True).tobytes() for s in (b, a))
+                for name, value in zip(out, (x, y, bool(linked), added, removed, len(a))):
+                    out[name].append(value)
+            if out["x"]:
+                yield _record(**(out | {"size": pa.array(out["size"], pa.int32())}))
+
+    return arranged.select("x", "y", "is_y", "items").mapInArrow(
         compare, "x long, y long, linked boolean, added binary, removed binary, size int"
     )
 
@@ -377,7 +405,7 @@ def _sets(docs: DataFrame, wanted: DataFrame, spec: Spec, levels) -> DataFrame:
             yield rows.filter(pa.array(keep))
 
     found = docs.join(wanted, "doc_id").select("doc_id", "text", "digest")
-    return found.mapInArrow(build, "doc_id long, items binary").dropDuplicates(["doc_id"])
+    return found.mapInArrow(build, "doc_id long, items binary")
 
 
 def similar_sets(docs: DataFrame, spec: Spec = Spec()) -> DataFrame:
@@ -389,6 +417,11 @@ def similar_sets(docs: DataFrame, spec: Spec = Spec()) -> DataFrame:
     whose set has the smallest digest counts; rows without doc_id are left out, other
     columns are ignored.
     """
+    with rows_per_batch(docs.sparkSession, BATCH_ROWS):
+        return _similar_sets(docs, spec)
+
+
+def _similar_sets(docs: DataFrame, spec: Spec) -> DataFrame:
     spark = docs.sparkSession
     docs = docs.filter(F.col("doc_id").isNotNull()).select(
         F.col("doc_id").cast("long").alias("doc_id"), whole_text().alias("text")
@@ -414,7 +447,7 @@ def similar_sets(docs: DataFrame, spec: Spec = Spec()) -> DataFrame:
 
     # A set is described by its difference from its leader, its smallest first partner.
     leaders = found.filter("x IS NOT NULL").groupBy("y").agg(F.min("x").alias("x"))
-    led = materialize(_compare(leaders, sets, spec), "led-sets")
+    led = materialize(_compare(leaders, sets, spec).dropDuplicates(["y"]), "led-sets")
     links = led.filter("linked").select(F.col("x").alias("a"), F.col("y").alias("b"))
     settled = materialize(components(links), "settled")
     # Only entries of different components have anything left to answer.

@@ -12,7 +12,7 @@ from poolweave.operators.ordering import with_position
 from poolweave.plans.checks import duplicates_on, largest_pools_on, one_series
 
 DATE = "1998-06-15"
-CHUNK_ROWS = 1_000_000
+CHUNK_ROWS = 1_000  # so that violations at the borders of chunks occur
 
 _SORT = '"RREL3" NULLS LAST, "RREC3" NULLS LAST, "RREL6" NULLS LAST'
 _TIES = "date_ym NULLS LAST, l_extendedprice, l_linestatus, l_partkey, l_quantity, source"

@@ -16,8 +16,8 @@ from poolweave.functions.names import (
 )
 from poolweave.functions.nulls import RAW_FILE_NULL_TOKENS, apply_null_tokens
 from poolweave.operators import collateral as ops
+from poolweave.operators.skew import lookup_join
 from poolweave.plans.checks import preview, random_file
-from poolweave.session import materialize
 
 
 @query(
@@ -45,6 +45,7 @@ def ue_collateral_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
         v.paired_collateral(spark, sf_dir),
         ["pair_no"],
         marker="found",
+        match_null_keys=True,
     )
 
 
@@ -61,7 +62,45 @@ def ue_collateral_pairs_strict(spark: SparkSession, sf_dir: str) -> DataFrame:
         v.paired_loans(spark, sf_dir),
         v.paired_collateral(spark, sf_dir),
         ["pair_no"],
-        match_null_keys=False,
+    )
+
+
+@query(
+    f"""
+SELECT u.*, c."NPEC2", c."NPEC3"
+FROM ({v.PAIRED_LOANS}) u LEFT JOIN ({v.PAIRED_COLLATERAL}) c
+ON u.pair_no = c.pair_no AND u."NPEL2" = c."NPEC2"
+"""
+)
+def ue_collateral_pairs_salted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same with a bound so low that keys are dealt out on both sides."""
+    return ops.join_collateral(
+        v.paired_loans(spark, sf_dir),
+        v.paired_collateral(spark, sf_dir),
+        ["pair_no"],
+        hot_rows=3,
+        fan_out=4,
+    )
+
+
+@query(
+    """
+SELECT l_orderkey, l_linenumber, l_suppkey, s_nationkey
+FROM lineitem LEFT JOIN (SELECT s_suppkey, s_nationkey FROM supplier WHERE s_suppkey % 3 > 0)
+ON l_suppkey = s_suppkey
+"""
+)
+def lookup_without_broadcast(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A lookup taken as too large to broadcast: a shuffled join with salted hot keys."""
+    lines = v.table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_suppkey")
+    lookup = v.table(spark, sf_dir, "supplier").filter("s_suppkey % 3 > 0")
+    return lookup_join(
+        lines,
+        lookup.select(F.col("s_suppkey").alias("l_suppkey"), "s_nationkey"),
+        ["l_suppkey"],
+        max_broadcast_rows=0,
+        hot_rows=500,
+        fan_out=4,
     )
 
 
@@ -83,6 +122,7 @@ def _statistics(spark: SparkSession, sf_dir: str) -> DataFrame:
         v.paired_collateral(spark, sf_dir),
         ["pair_no"],
         ("NPEL2", "NPEC2"),
+        match_null_keys=True,
     )
 
 

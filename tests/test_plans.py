@@ -2,8 +2,7 @@
 
 import pytest
 
-import __spark_entry__ as entry
-from poolweave.catalog import views
+from poolweave.catalog import QUERIES, views
 from poolweave.operators.country import detect_country
 from poolweave.operators.mapping import prepare_ecb
 from poolweave.operators.pools import overlap_report
@@ -21,17 +20,23 @@ def logical_of(df) -> str:
     return df._jdf.queryExecution().optimizedPlan().toString()
 
 
-@pytest.mark.parametrize("name", sorted(entry.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_plans_are_native(spark, name):
-    plan = plan_of(entry.queries()[name](spark, TABLES))
+    plan = plan_of(QUERIES[name](spark, TABLES))
     for foreign in ("Python", "Pandas", "CartesianProduct", "BroadcastNestedLoopJoin"):
         assert foreign not in plan
 
 
-def test_wide_rows_are_not_shuffled_by_the_dedup(spark):
-    plan = plan_of(prefer_source(views.panel(spark, TABLES), ["pool_no"]))
-    assert "BroadcastHashJoin" in plan
-    assert "Exchange hashpartitioning" not in plan
+def test_the_dedup_is_one_anti_join_with_aggregated_keys(spark):
+    panel = views.panel(spark, TABLES)
+    spark.sparkContext.setJobGroup("dedup", "")
+    plan = plan_of(prefer_source(panel, ["pool_no"]))
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    # Nothing runs while the query is built.
+    assert not spark.sparkContext.statusTracker().getJobIdsForGroup("dedup")
+    assert plan.count("LeftAnti") == 1
+    key_side = plan.split("LeftAnti", 1)[1]
+    assert "HashAggregate" in key_side
 
 
 def test_key_pass_reads_key_columns_only(spark):

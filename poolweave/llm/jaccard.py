@@ -332,10 +332,11 @@ def _numbers(value) -> np.ndarray:
     return np.frombuffer(value.as_buffer(), np.uint64)
 
 
-def _compare(pairs: DataFrame, sets: DataFrame, spec: Spec) -> DataFrame:
+def _compare(pairs: DataFrame, docs: DataFrame, classes: DataFrame, spec: Spec, levels) -> DataFrame:
     """x, y, linked, and what y has more (added) and less (removed) than x.
 
-    Every y's set moves once, to a copy of x's; an x with many partners has many copies.
+    The sets are built from the texts again, and every y's set moves once, to a copy of
+    x's; an x with many partners has many copies.
     """
     copies = pairs.groupBy("x").agg(F.ceil(F.count(F.lit(1)) / FOLLOWERS).cast("int").alias("copies"))
     copies = materialize(copies, "leaders")
@@ -343,19 +344,37 @@ def _compare(pairs: DataFrame, sets: DataFrame, spec: Spec) -> DataFrame:
     placed = pairs.join(copies, "x").select("x", "y", place.alias("copy"))
     own = copies.select("x", F.col("x").alias("y"), F.explode(F.sequence(F.lit(0), F.col("copies") - 1)).alias("copy"))
     both = own.withColumn("is_y", F.lit(False)).unionAll(placed.withColumn("is_y", F.lit(True)))
-    loaded = both.join(sets.withColumnRenamed("doc_id", "y"), "y")
+    roles = both.join(classes.select(F.col("doc_id").alias("y"), "digest"), "y")
+    texts = docs.select(F.col("doc_id").alias("y"), "text").join(roles, "y")
+
+    def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for block in text_blocks(batches, "text"):
+            sets, first = _distinct(block.column("text"), spec, levels.value)
+            keep = [
+                hashlib.blake2b(sets[a:b].tobytes(), digest_size=16).digest() == digest
+                for a, b, digest in zip(first, first[1:], block.column("digest").to_pylist())
+            ]
+            rows = {c: block.column(c) for c in ("x", "y", "copy", "is_y")}
+            yield _record(**rows, items=_binary_lists(sets, first)).filter(pa.array(keep))
+
+    loaded = texts.select("x", "y", "copy", "is_y", "text", "digest").mapInArrow(
+        build, "x long, y long, copy int, is_y boolean, items binary"
+    )
     arranged = loaded.repartition("x", "copy").sortWithinPartitions("x", "copy", "is_y", "y")
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, a = None, np.zeros(0, np.uint64)
+        held, last, a = None, None, np.zeros(0, np.uint64)
         for batch in batches:
             out: dict[str, list] = {c: [] for c in ("x", "y", "linked", "added", "removed", "size")}
             columns = (batch.column(c).to_pylist() for c in ("x", "y", "is_y"))
             for x, y, is_y, items in zip(*columns, batch.column("items")):
                 b = _numbers(items)
                 if not is_y:
-                    held, a = x, b
+                    held, last, a = x, None, b
                     continue
+                if y == last:  # of a repeated row
+                    continue
+                last = y
                 if held != x:
                     raise ValueError("a set came without its leader's")
                 common = np.intersect1d(a, b, assume_unique=True)
@@ -389,25 +408,6 @@ def _derive(pairs: DataFrame, spec: Spec) -> DataFrame:
     return pairs.mapInArrow(derive, "x long, y long, linked boolean")
 
 
-def _sets(docs: DataFrame, wanted: DataFrame, spec: Spec, levels) -> DataFrame:
-    """The whole sets of the documents in ``wanted`` (doc_id, digest)."""
-
-    def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for block in text_blocks(batches, "text"):
-            sets, first = _distinct(block.column("text"), spec, levels.value)
-            keep = [
-                hashlib.blake2b(sets[a:b].tobytes(), digest_size=16).digest() == digest
-                for a, b, digest in zip(first, first[1:], block.column("digest").to_pylist())
-            ]
-            rows = pa.RecordBatch.from_arrays(
-                [block.column("doc_id"), _binary_lists(sets, first)], ["doc_id", "items"]
-            )
-            yield rows.filter(pa.array(keep))
-
-    found = docs.join(wanted, "doc_id").select("doc_id", "text", "digest")
-    return found.mapInArrow(build, "doc_id long, items binary")
-
-
 def similar_sets(docs: DataFrame, spec: Spec = Spec()) -> DataFrame:
     """doc_id, n_shingles, component_id of every document of ``docs`` (doc_id, text).
 
@@ -427,11 +427,11 @@ def _similar_sets(docs: DataFrame, spec: Spec) -> DataFrame:
         F.col("doc_id").cast("long").alias("doc_id"), whole_text().alias("text")
     )
     levels = spark.sparkContext.broadcast(_levels(docs, spec))
-    one_each = F.min(F.struct("digest", "n_shingles", "prefix", "sketch"))
-    profiles = materialize(
-        _profiles(docs, spec, levels).groupBy("doc_id").agg(one_each.alias("p")).select("doc_id", "p.*"),
-        "set-profiles",
-    )
+    profiles = materialize(_profiles(docs, spec, levels), "set-profiles")
+    if not profiles.groupBy("doc_id").count().filter("count > 1").isEmpty():
+        one_each = F.min(F.struct("digest", "n_shingles", "prefix", "sketch"))
+        profiles = profiles.groupBy("doc_id").agg(one_each.alias("p")).select("doc_id", "p.*")
+        profiles = materialize(profiles, "distinct-profiles")
     # Equal sets are one set, represented by the smallest id.
     first = F.min(F.struct("doc_id", "n_shingles", "prefix", "sketch"))
     classes = materialize(
@@ -440,14 +440,9 @@ def _similar_sets(docs: DataFrame, spec: Spec) -> DataFrame:
     )
     found = materialize(_paired(_entries(classes), spec, True, "index-lists"), "first-round")
     entries = found.filter("token IS NOT NULL").dropDuplicates(["token", "doc"])
-    wanted = classes.select("doc_id", "digest").join(
-        entries.select(F.col("doc").alias("doc_id")).distinct(), "doc_id"
-    )
-    sets = materialize(_sets(docs, wanted, spec, levels), "candidate-sets")
-
     # A set is described by its difference from its leader, its smallest first partner.
     leaders = found.filter("x IS NOT NULL").groupBy("y").agg(F.min("x").alias("x"))
-    led = materialize(_compare(leaders, sets, spec).dropDuplicates(["y"]), "led-sets")
+    led = materialize(_compare(leaders, docs, classes, spec, levels), "led-sets")
     links = led.filter("linked").select(F.col("x").alias("a"), F.col("y").alias("b"))
     settled = materialize(components(links), "settled")
     # Only entries of different components have anything left to answer.
@@ -462,7 +457,7 @@ def _similar_sets(docs: DataFrame, spec: Spec) -> DataFrame:
     )
     near = rest.filter("same_leader").select("x", "y").join(side("x"), "x").join(side("y"), "y")
     far = rest.filter("NOT same_leader").select("x", "y")
-    more = _derive(near, spec).unionAll(_compare(far, sets, spec).select("x", "y", "linked"))
+    more = _derive(near, spec).unionAll(_compare(far, docs, classes, spec, levels).select("x", "y", "linked"))
     known = settled.select(F.col("node").alias("a"), F.col("component").alias("b"))
     all_links = known.unionAll(more.filter("linked").select(F.col("x").alias("a"), F.col("y").alias("b")))
     named = materialize(components(all_links), "set-components").withColumnRenamed("node", "rep")

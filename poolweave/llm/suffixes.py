@@ -139,26 +139,50 @@ def _shared_minimizers(docs: DataFrame, parts: int) -> DataFrame:
         kinds, counts, hashes = _joined_columns(batches, ("<i8", "<u4", "u1"))
         if not len(kinds):
             return
-        value = np.zeros((len(hashes) // 5, 8), np.uint8)
-        value[:, :5] = hashes.reshape(-1, 5)
-        value = value.view(np.uint64).ravel()
+        value = _widened(hashes)
         kind = np.repeat(kinds, counts)
         order = np.argsort(value, kind="stable")
         first = np.flatnonzero(np.append(True, value[order][1:] != value[order][:-1]))
         differ = np.maximum.reduceat(kind[order], first) != np.minimum.reduceat(kind[order], first)
         some = order[np.repeat(differ, np.diff(np.append(first, len(order))))]
         some = some[np.argsort(kind[some], kind="stable")]
-        rows, begin = np.unique(kind[some], return_index=True)
-        lists = np.split(value[some], begin[1:])
-        for k in range(0, len(rows), 10_000):
+        owner, shown = kind[some], value[some].view(np.uint8).reshape(-1, 8)[:, :5]
+        place, numbers, cuts = _dealt(owner.view(np.uint64), parts)
+        out: dict[str, list] = {c: [] for c in ("kinds", "counts", "hashes")}
+        for a, b in zip(cuts, cuts[1:]):
+            mine = place[a:b]
+            first = np.flatnonzero(np.append(True, _changes([owner], mine)))
+            out["kinds"].append(_blob(owner[mine[first]]))
+            out["counts"].append(_blob(np.diff(np.append(first, len(mine))).astype(np.uint32)))
+            out["hashes"].append(_blob(shown[mine]))
+        if len(numbers):
+            yield pa.RecordBatch.from_pydict({"part": pa.array(numbers, pa.int32()), **out})
+
+    def gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        kinds, counts, hashes = _joined_columns(batches, ("<i8", "<u4", "u1"))
+        if not len(kinds):
+            return
+        kind, value = np.repeat(kinds, counts), _widened(hashes)
+        order = np.lexsort((value, kind))
+        first = np.flatnonzero(np.append(True, _changes([kind], order)))
+        value = value[order]
+        for k in range(0, len(first), 1000):
+            own = np.append(first, len(order))[k : k + 1001]
             yield pa.RecordBatch.from_pydict(
-                {"kind": rows[k : k + 10_000], "hashes": [_blob(np.unique(v)) for v in lists[k : k + 10_000]]}
+                {"kind": kind[order[own[:-1]]], "hashes": [_blob(value[a:b]) for a, b in zip(own, own[1:])]}
             )
 
-    sent = docs.mapInArrow(send, "part int, kinds binary, counts binary, hashes binary")
-    met = sent.repartition(parts, "part").drop("part")
-    found = met.mapInArrow(match, "kind long, hashes binary")
-    return found.groupBy("kind").agg(F.collect_list("hashes").alias("hashes"))
+    layout = "part int, kinds binary, counts binary, hashes binary"
+    met = docs.mapInArrow(send, layout).repartition(parts, "part").drop("part")
+    found = met.mapInArrow(match, layout).repartition(parts, "part").drop("part")
+    return found.mapInArrow(gather, "kind long, hashes binary")
+
+
+def _widened(hashes: np.ndarray) -> np.ndarray:
+    """Minimizer hashes from their five bytes."""
+    value = np.zeros((len(hashes) // 5, 8), np.uint8)
+    value[:, :5] = hashes.reshape(-1, 5)
+    return value.view(np.uint64).ravel()
 
 
 def _packed(docs: DataFrame) -> DataFrame:
@@ -248,7 +272,7 @@ def _pieces_of(block: pa.RecordBatch):
     """
     data, borders = text_bytes(block.column("text"))
     wanted = [
-        np.unique(np.frombuffer(b"".join(x), np.uint64)) for x in block.column("hashes").to_pylist()
+        np.unique(np.frombuffer(x.as_buffer(), np.uint64)) for x in block.column("hashes")
     ]
     # One sorted list for all rows: hashes mixed with their row.
     rows = np.repeat(np.arange(len(wanted)), [len(w) for w in wanted])

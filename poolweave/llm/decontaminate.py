@@ -1,9 +1,10 @@
 """Benchmark decontamination by latent semantic retrieval.
 
-Benchmark items become passages; the TF-IDF matrix of the passages is factored by a
-distributed randomised SVD (subspace iteration, one Spark job a step). Documents are
-read as overlapping windows of words, windows go into the latent space and meet all
-passages by cosine. Each candidate is then checked for its longest common subsequence
+Benchmark items become passages. Passages of similar length share latent spaces, about
+192 in each; a space's TF-IDF matrix is factored by a distributed randomised SVD
+(subspace iteration, one Spark job a step) of full rank, so that no passage loses weight
+to the others. Documents are read as overlapping windows of words, windows go into each
+space and meet its passages by cosine. Each candidate is then checked for its longest common subsequence
 with the passage, and a looser, paraphrased one also for the passage's answer: its
 rarest words. Document frequencies are counted over all documents.
 """
@@ -20,6 +21,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from poolweave.llm.common import (
+    Words,
     hashed_words,
     ranges,
     summed_counts,
@@ -33,11 +35,10 @@ FREQUENCY_BITS = 20  # document frequencies by word hash: a million, whatever th
 PASSAGE_WORDS = 64  # longer items are several passages
 LEAST_WORDS = 8  # shorter items are too common to be judged
 MAX_PASSAGES = 2000  # held by a task at once; more are searched in several passes
-RANK = 192
+RANK = 192  # about so many passages share a latent space, which has all their directions
 STEPS = 3
 GRID = 8  # windows begin at every eighth word
 SCALES = (2, 4, 8)  # windows of so many grid steps
-LEAST_SHARE = 0.5  # of a window's TF-IDF length, in words that the passages have
 LEAST_COSINE = 0.4
 COPY = 0.8  # share of a passage's words in common order, for a copy
 PARAPHRASE = 0.6  # likewise if the answer is there as well
@@ -47,14 +48,14 @@ SLACK = 1.25  # a copy may be so much longer than its passage
 
 @dataclass
 class Passages:
-    """The passages that a task holds, and their latent space."""
+    """Passages that are searched with one window length, and their latent space."""
 
     item: list
     words: list[np.ndarray]
     rows: np.ndarray  # by bucket: a row of vectors, 0 for a word of no passage
     vectors: np.ndarray  # right singular vectors times idf; row 0 is 0
     latent: np.ndarray  # unit vectors of the passages
-    scale: np.ndarray
+    steps: int  # of their windows
     answers: list[set]
 
 
@@ -116,9 +117,15 @@ def _summed(rows: DataFrame, make, shape: tuple[int, int]) -> np.ndarray:
     return sum((np.frombuffer(r["part"]).reshape(shape) for r in parts.collect()), np.zeros(shape))
 
 
-def _latent_space(rows: DataFrame, idf: np.ndarray) -> Passages:
-    """Randomised SVD of the TF-IDF matrix of at most :data:`MAX_PASSAGES` passages."""
+def _latent_space(rows: DataFrame, idf: np.ndarray, steps: int) -> Passages | None:
+    """Randomised SVD of the TF-IDF matrix of about :data:`RANK` passages, at full rank.
+
+    With fewer directions than passages the cosine of a copy would shrink with the share
+    of the passage that the directions leave out.
+    """
     listed = rows.orderBy("item_id", "part", "words").collect()
+    if not listed:
+        return None
     words = [np.frombuffer(r["words"], np.uint64) for r in listed]
     vocabulary = np.unique(_bucket(np.concatenate(words)))
     row_of = np.zeros(1 << FREQUENCY_BITS, np.int32)
@@ -132,7 +139,7 @@ def _latent_space(rows: DataFrame, idf: np.ndarray) -> Passages:
         out *= weights
         return out / np.maximum(np.linalg.norm(out, axis=1), 1e-9)[:, None]
 
-    rank = min(RANK, len(words), len(vocabulary))
+    rank = min(len(words), len(vocabulary))
     basis = np.linalg.qr(np.random.default_rng(5).standard_normal((len(weights), rank)))[0]
     for _ in range(STEPS):
 
@@ -151,13 +158,10 @@ def _latent_space(rows: DataFrame, idf: np.ndarray) -> Passages:
     vectors = basis @ turned[:, ::-1]
     latent = np.vstack([matrix([w]) @ vectors for w in words])
     latent /= np.maximum(np.linalg.norm(latent, axis=1), 1e-9)[:, None]
-    # A passage is compared with windows that are not much longer than itself.
-    lengths = np.array([len(w) for w in words])
-    scale = np.searchsorted(np.array(SCALES[1:]) * GRID, lengths, "right")
     rare = [set(w[np.argsort(-idf[_bucket(w)], kind="stable")][:ANSWER_WORDS].tolist()) for w in words]
     scaled = (vectors * weights[:, None]).astype(np.float32)
     scaled[0] = 0
-    return Passages([r["item_id"] for r in listed], words, row_of, scaled, latent.astype(np.float32), scale, rare)
+    return Passages([r["item_id"] for r in listed], words, row_of, scaled, latent.astype(np.float32), steps, rare)
 
 
 def common_words(passage: np.ndarray, text: np.ndarray) -> int:
@@ -193,7 +197,10 @@ def best_match(passage: np.ndarray, text: np.ndarray) -> tuple[int, int]:
 
 
 def _windows(first: np.ndarray, squares: np.ndarray, known: np.ndarray, steps: int):
-    """First and last word of the windows whose known words weigh enough, and their weights."""
+    """First and last word of the windows whose known words weigh enough, and their weights.
+
+    A cosine is at most the share of the known words in the window's length.
+    """
     counts = np.diff(first)
     blocks = -(-counts // GRID)
     end_block = np.cumsum(blocks)
@@ -204,51 +211,53 @@ def _windows(first: np.ndarray, squares: np.ndarray, known: np.ndarray, steps: i
     total = np.append(0, np.cumsum(squares, dtype=np.float64))
     some = np.append(0, np.cumsum(np.where(known, squares, 0), dtype=np.float64))
     weight = total[last] - total[begin]
-    keep = (some[last] - some[begin]) >= LEAST_SHARE**2 * weight
+    keep = (some[last] - some[begin]) >= 0.999 * LEAST_COSINE**2 * weight
     keep &= weight > 0
     return owner[keep], begin[keep], last[keep], np.sqrt(weight[keep])
 
 
-def search_block(block: pa.RecordBatch, idf: np.ndarray, held: Passages) -> list[tuple]:
-    """(row, passage, cosine, common share, answer share, first word) of the matches."""
+def search_block(block: pa.RecordBatch, idf: np.ndarray, spaces: list[Passages]) -> list[tuple]:
+    """(row, item, cosine, common share, answer share, first word) of the matches."""
     words = hashed_words(*text_bytes(block.column("text")))
     bucket = _bucket(words.hashes)
     weight = idf[bucket]
-    rows = held.rows[bucket]
-    candidates: dict[tuple[int, int], list] = {}
-    for s, steps in enumerate(SCALES):
-        passages = np.flatnonzero(held.scale == s)
-        if not len(passages):
-            continue
-        owner, begin, last, norm = _windows(words.first, weight * weight, rows > 0, steps)
-        for k in range(0, len(owner), 512):
-            part = slice(k, k + 512)
-            lengths = last[part] - begin[part]
-            latent = held.vectors[rows[ranges(begin[part], lengths)]]
-            latent = np.add.reduceat(latent, np.cumsum(lengths) - lengths, axis=0)
-            cosine = latent @ held.latent[passages].T / norm[part][:, None]
-            for w, p in zip(*np.nonzero(cosine >= LEAST_COSINE)):
-                key = (int(owner[k + w]), int(passages[p]))
-                candidates.setdefault(key, []).append((float(cosine[w, p]), int(begin[k + w]), int(last[k + w])))
     found = []
-    for (row, p), windows in candidates.items():
-        passage = held.words[p]
-        a, b = words.first[row], words.first[row + 1]
-        for cosine, begin, last in sorted(windows, reverse=True):
-            left = max(a, begin - len(passage))
-            text = words.hashes[left : min(b, last + len(passage))]
-            n, at = best_match(passage, text)
-            share = n / len(passage)
-            if share < PARAPHRASE:
-                continue
-            stretch = set(text[at : at + int(np.ceil(SLACK * len(passage)))].tolist())
-            answer = len(held.answers[p] & stretch) / len(held.answers[p])
-            if share >= COPY or answer >= ANSWER_SHARE:
-                found.append((row, p, cosine, share, answer, int(left + at - a)))
-                break
+    for held in spaces:
+        rows = held.rows[bucket]
+        for (row, p), windows in _candidates(words, weight, rows, held).items():
+            passage = held.words[p]
+            a, b = words.first[row], words.first[row + 1]
+            for cosine, begin, last in sorted(windows, reverse=True):
+                left = max(a, begin - len(passage))
+                text = words.hashes[left : min(b, last + len(passage))]
+                n, at = best_match(passage, text)
+                share = n / len(passage)
+                if share < PARAPHRASE:
+                    continue
+                stretch = set(text[at : at + int(np.ceil(SLACK * len(passage)))].tolist())
+                answer = len(held.answers[p] & stretch) / len(held.answers[p])
+                if share >= COPY or answer >= ANSWER_SHARE:
+                    found.append((row, held.item[p], cosine, share, answer, int(left + at - a)))
+                    break
     return found
 
 
+def _candidates(words: Words, weight: np.ndarray, rows: np.ndarray, held: Passages) -> dict[tuple[int, int], list]:
+    """(cosine, first word, last word) of the windows near a passage, by text and passage."""
+    candidates: dict[tuple[int, int], list] = {}
+    owner, begin, last, norm = _windows(words.first, weight * weight, rows > 0, held.steps)
+    for k in range(0, len(owner), 512):
+        part = slice(k, k + 512)
+        lengths = last[part] - begin[part]
+        latent = held.vectors[rows[ranges(begin[part], lengths)]]
+        latent = np.add.reduceat(latent, np.cumsum(lengths) - lengths, axis=0)
+        cosine = latent @ held.latent.T / norm[part][:, None]
+        for w, p in zip(*np.nonzero(cosine >= LEAST_COSINE)):
+            key = (int(owner[k + w]), int(p))
+            candidates.setdefault(key, []).append((float(cosine[w, p]), int(begin[k + w]), int(last[k + w])))
+    return candidates
+
+
 def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """One row for each document (doc_id, text) and benchmark item (item_id, text) found in it.
 
@@ -261,25 +270,30 @@ def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     spark = docs.sparkSession
     docs = docs.select("doc_id", F.lower(whole_text()).alias("text"))
     items = benchmark.select("item_id", F.lower(whole_text()).alias("text"))
-    passages = materialize(_passages(items), "benchmark-passages")
-    n = passages.count()
+    # A passage is compared with windows that are not much longer than itself.
+    scale = sum((F.octet_length("words") >= 8 * GRID * steps).cast("int") for steps in SCALES[1:])
+    passages = materialize(_passages(items).distinct().withColumn("scale", scale), "benchmark-passages")
+    counts = {r["scale"]: r["count"] for r in passages.groupBy("scale").count().collect()}
     schema = T.StructType(
         [docs.schema["doc_id"], items.schema["item_id"]]
         + [T.StructField(c, T.DoubleType()) for c in ("cosine", "common", "answer")]
         + [T.StructField("first_word", T.LongType())]
     )
-    if not n:
+    if not counts:
         return spark.createDataFrame([], schema)
     idf = _idf(docs)
-    parts = -(-n // MAX_PASSAGES)
     weights = spark.sparkContext.broadcast(idf)
+    size = min(RANK, MAX_PASSAGES)
+    spaces = []
+    for s, n in sorted(counts.items()):
+        parts = -(-n // size)
+        part_of = F.pmod(F.xxhash64("item_id", "part", "words"), F.lit(parts))
+        spaces += [(passages.filter((F.col("scale") == s) & (part_of == k)), SCALES[s]) for k in range(parts)]
     found = None
-    part_of = F.pmod(F.xxhash64("item_id", "part", "words"), F.lit(parts))
-    for k in range(parts):
-        some = passages.filter(part_of == k)
-        if parts > 1 and some.isEmpty():
-            continue
-        held = spark.sparkContext.broadcast(_latent_space(some, idf))
+    at_once = MAX_PASSAGES // size
+    for k in range(0, len(spaces), at_once):
+        held = [_latent_space(some, idf, steps) for some, steps in spaces[k : k + at_once]]
+        held = spark.sparkContext.broadcast([h for h in held if h])
         matches = docs.mapInArrow(_search(weights, held, docs.schema["doc_id"], items.schema["item_id"]), schema)
         found = matches if found is None else found.unionAll(matches)
     best = F.max(F.struct("common", "cosine", "answer", (-F.col("first_word")).alias("first_word")))
@@ -299,11 +313,11 @@ def _search(weights, held, doc_field, item_field):
             found = search_block(block, weights.value, held.value)
             if not found:
                 continue
-            row, p, cosine, common, answer, first = zip(*found)
+            row, item, cosine, common, answer, first = zip(*found)
             yield pa.RecordBatch.from_arrays(
                 [
                     block.column("doc_id").take(pa.array(row, pa.int64())),
-                    pa.array([held.value.item[k] for k in p], item_type),
+                    pa.array(item, item_type),
                     *(pa.array(v, pa.float64()) for v in (cosine, common, answer)),
                     pa.array(first, pa.int64()),
                 ],

@@ -163,3 +163,12 @@ def test_benchmark_with_awkward_rows(spark, awkward, awkward_rows, nothing):
     assert {(r.doc_id, r.item_id) for r in found} == {(1, 1), (2, 1), (10, 1)}
     assert decontaminate.contaminated(nothing, bench).count() == 0
     assert decontaminate.contaminated(awkward, bench.limit(0)).count() == 0
+
+
+def test_copies_of_many_items(spark, make_docs):
+    """With 1,500 items each verbatim copy is found, as with few."""
+    items = {k: sentence(20_000 + k, 15 + k % 45, 4000) for k in range(1500)}
+    texts = {k: f"{sentence(50_000 + k, 40, 4000)} {items[k]} {sentence(60_000 + k, 40, 4000)}" for k in range(0, 1500, 5)}
+    bench = spark.createDataFrame(list(items.items()), "item_id long, text string")
+    found = decontaminate.contaminated(make_docs(texts), bench).collect()
+    assert {(r.doc_id, r.item_id) for r in found} == {(k, k) for k in texts}

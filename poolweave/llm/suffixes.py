@@ -8,7 +8,8 @@ with a smaller id. The work narrows down in steps that lose no such string:
 2. Documents with such minimizers are cut into short pieces that cover the strings in
    question. A piece is placed by its minimizer: 43 bytes that all its strings contain,
    and up to seven more on either side. Pieces meet by the hash of the 43 bytes, so equal
-   strings meet, and no key grows with a document.
+   strings meet, and no key grows with a document. Where a minimizer is frequent, each
+   string is a piece of its own and meets by the hash of all its 50 bytes.
 3. Equal pieces are one string with its smallest id. What is left under a key, pieces
    that differ at their ends, is divided into shards, the 43 bytes written as nine
    symbols of their hash. The shards' transforms are merged (:mod:`poolweave.llm.bwt`),
@@ -31,7 +32,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from poolweave.llm.bwt import joined, merged_blocks, sorted_shard
-from poolweave.llm.common import mix, text_blocks, text_bytes, whole_text
+from poolweave.llm.common import mix, ranges, summed_counts, text_blocks, text_bytes, whole_text
 from poolweave.session import materialize
 
 LENGTH = 50
@@ -45,7 +46,10 @@ NAME = 9  # symbols of 7 bits that stand for the bytes of a core
 FLANK = GROUP - 1
 CODED = NAME + FLANK  # symbols that stand for a string of 50 bytes
 SHARD_STRINGS = 4096
-MERGE_STRINGS = 65536  # strings of a merge, unless one key has more
+MERGE_STRINGS = 65536  # strings of a merge
+HOT_PIECES = 16384  # pieces under one minimizer, above which they are divided into strings
+COUNT_BITS = 20  # minimizers are counted by hash: a million counts, whatever the corpus
+PART_BYTES = 32 << 20  # text whose minimizers or pieces one task joins
 
 _STEP = np.uint64(0x9E3779B97F4A7C15)  # odd: has an inverse modulo 2**64
 _BACK = np.uint64(pow(int(_STEP), -1, 1 << 64))
@@ -264,11 +268,50 @@ def _gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         )
 
 
-def _pieces_of(block: pa.RecordBatch):
+def _bucket(minimizer: np.ndarray) -> np.ndarray:
+    return (mix(minimizer) >> np.uint64(64 - COUNT_BITS)).astype(np.int64)
+
+
+def _hot(lists: DataFrame) -> np.ndarray:
+    """By bucket of minimizers, whether more than :data:`HOT_PIECES` places have one.
+
+    A core has one minimizer in all texts, so its pieces are all divided or all whole.
+    """
+
+    def places(block: pa.RecordBatch) -> np.ndarray:
+        return _bucket(text_bytes(block.column("hashes"))[0].view(np.uint64))
+
+    return summed_counts(lists, COUNT_BITS, places, "hashes") > HOT_PIECES
+
+
+def _divided(owner: np.ndarray, begin: np.ndarray, whole: list[np.ndarray], hot: np.ndarray):
+    """The pieces with each string of a hot one as a piece of its own.
+
+    Such a string has the 7 flank bytes and its place in the group as left flank, and
+    their hash with the core's as core.
+    """
+    left, right = (w.view(np.uint8).reshape(-1, GROUP) for w in whole[1:])
+    some = np.flatnonzero(hot)
+    count = right[some, FLANK].astype(np.int64)
+    piece = np.repeat(some, count)
+    k = ranges(np.zeros(len(some), np.int64), count)
+    place = left[piece, FLANK] + k
+    flank = np.where(np.arange(GROUP) >= place[:, None], left[piece], right[piece])
+    flank[:, FLANK] = place
+    flank = np.ascontiguousarray(flank).view(np.uint64).ravel()
+    alone = [mix(whole[0][piece] ^ mix(flank)), flank, np.full(len(piece), 1 << 56, np.uint64)]
+    owner = np.append(owner[~hot], owner[piece])
+    begin = np.append(begin[~hot], begin[piece] + k)
+    order = np.argsort(owner, kind="stable")
+    return owner[order], begin[order], [np.append(w[~hot], a)[order] for w, a in zip(whole, alone)]
+
+
+def _pieces_of(block: pa.RecordBatch, hot: np.ndarray):
     """The pieces of a block: owner row, begin in its text, and three 64-bit columns:
     core hash; left flank and offset in the group; right flank and number of strings.
 
-    Bytes of a flank that belong to no string of the piece are 0.
+    Bytes of a flank that belong to no string of the piece are 0. Pieces whose minimizer
+    is in a bucket of ``hot`` are divided.
     """
     data, borders = text_bytes(block.column("text"))
     wanted = [
@@ -293,10 +336,11 @@ def _pieces_of(block: pa.RecordBatch):
         count = np.diff(np.append(first, len(begin)))
         frame = place[first] - GROUP * group[first] - FLANK
         core = _stretch(sums, frame + FLANK, CORE)
-        out.append((owner[first], begin[first] + low, count, frame + low, core))
+        often = hot[_bucket(value[keep][first])]
+        out.append((owner[first], begin[first] + low, count, frame + low, core, often))
     if not out:
         return None
-    owner, begin, count, frame, core = (np.concatenate(x) for x in zip(*out))
+    owner, begin, count, frame, core, often = (np.concatenate(x) for x in zip(*out))
     offset = begin - frame
     padded = np.concatenate([np.zeros(FLANK, np.uint8), data, np.zeros(FLANK, np.uint8)])
     flank = np.arange(FLANK)
@@ -306,7 +350,7 @@ def _pieces_of(block: pa.RecordBatch):
     right[:, :FLANK] = padded[frame[:, None] + FLANK + LENGTH + flank] * (flank < (offset + count - 1)[:, None])
     right[:, FLANK] = count
     whole = [core, left.view(np.uint64).ravel(), right.view(np.uint64).ravel()]
-    return owner, begin - borders[owner], whole
+    return _divided(owner, begin - borders[owner], whole, often)
 
 
 def _least(whole: list[np.ndarray], ids: np.ndarray) -> np.ndarray:
@@ -323,13 +367,13 @@ def _changes(columns: list[np.ndarray], order: np.ndarray) -> np.ndarray:
     return np.logical_or.reduce([c[order][1:] != c[order][:-1] for c in columns])
 
 
-def _send_pieces(marks: bool, parts: int):
+def _send_pieces(marks: bool, parts: int, hot):
     """Pieces by part of their core; or, with ``marks``, the strings of pieces that the
     same block has under a smaller id, which need not be sent."""
 
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for block in _unpacked(batches):
-            made = _pieces_of(block)
+            made = _pieces_of(block, hot.value)
             if made is None:
                 continue
             owner, begin, whole = made
@@ -488,16 +532,18 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
     least = materialize(facts.groupBy("whole_sha256").agg(F.min("doc_id").alias("least_id")), "text-owners")
     facts = materialize(facts.join(least, "whole_sha256"), "owned-facts")
     copied = (F.col("least_id") < F.col("doc_id")) & (F.col("n_bytes") >= LENGTH)
-    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    total = facts.agg(F.sum("n_bytes")).first()[0] or 0
+    parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-total // PART_BYTES))
 
     shared = _shared_minimizers(keyed, parts)
     first = facts.filter(~copied & (F.col("n_bytes") >= LENGTH)).select("doc_id", "kind").distinct()
     lists = materialize(shared.join(first, "kind"), "shared-minimizers")
+    hot = spark.sparkContext.broadcast(_hot(lists))
     open_docs = _packed(keyed).join(lists, ["doc_id", "kind"]).select("doc_id", "kind", "packed", "hashes")
     layout = "part int, ids binary, kinds binary, rows binary, begins binary, cores binary, lefts binary, rights binary"
-    sent = open_docs.mapInArrow(_send_pieces(False, parts), layout)
+    sent = open_docs.mapInArrow(_send_pieces(False, parts, hot), layout)
     marks = sent.repartition(parts, "part").drop("part").mapInArrow(_match_pieces(parts), _MARKS)
-    local = open_docs.mapInArrow(_send_pieces(True, parts), _MARKS)
+    local = open_docs.mapInArrow(_send_pieces(True, parts, hot), _MARKS)
     gathered = marks.unionAll(local).repartition(parts, "part").drop("part").mapInArrow(
         _gather, "doc_id long, kind long, begins binary, counts binary"
     )

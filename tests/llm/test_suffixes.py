@@ -4,6 +4,7 @@ import hashlib
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from poolweave.llm import bwt, suffixes
@@ -129,3 +130,39 @@ def test_merge_of_transforms(seed):
     assert [w[0] for w in whole] == sorted(w[0] for w in whole)
     assert len({(w[0], w[1]) for w in whole}) == len({w[0] for w in whole}) == len({w[1] for w in whole})
     assert len({(int(a), int(p)) for a, p, _ in rows}) == sum(len(s.text) for s in shards)
+
+
+def test_frequent_line_between_different_bytes(make_docs, monkeypatch):
+    """A line of 45 bytes with differing bytes around it: no core keeps all its pieces."""
+    chosen = random.Random(8)
+    line = "the same line of 45 bytes in every document!!"
+    assert len(line) == 45
+    texts = {k: sentence(k, 12) + chosen.choice("abc") * 3 + line + chosen.choice("xyz") + sentence(k + 900, 12) for k in range(300)}
+    monkeypatch.setattr(suffixes, "HOT_PIECES", 40)
+    largest = []
+    send = suffixes._send_pieces
+
+    def spy(marks, parts, hot):
+        if not marks:
+            largest.append(hot.value)
+        return send(marks, parts, hot)
+
+    monkeypatch.setattr(suffixes, "_send_pieces", spy)
+    assert result(make_docs(texts)) == brute(texts.items())
+    hot = largest[0]
+    data = [t.encode() for t in texts.values()]
+    lists = []
+    for d in data:
+        values = [v for _, v, *_ in suffixes.minimizers(np.frombuffer(d, np.uint8), np.array([0, len(d)]))]
+        lists.append(np.concatenate(values).tobytes())
+    block = pa.RecordBatch.from_pydict({"text": pa.array(data, pa.large_binary()), "hashes": pa.array(lists, pa.binary())})
+    _, _, whole = suffixes._pieces_of(block, np.zeros_like(hot))
+    by_piece = most_frequent(whole)
+    _, _, whole = suffixes._pieces_of(block, hot)
+    by_string = most_frequent(whole)
+    assert by_piece > 40 >= by_string
+
+
+def most_frequent(whole):
+    """How many different pieces the core with the most of them has."""
+    return int(np.unique(np.unique(np.stack(whole), axis=1)[0], return_counts=True)[1].max())

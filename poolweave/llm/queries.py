@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from poolweave.llm import decontaminate, jaccard, language, packing, quality, secrets, suffixes, token_counts, topk, urls
+from poolweave.llm import conversations, decontaminate, jaccard, language, packing, quality, secrets, suffixes, token_counts, topk, urls
 from poolweave.llm.common import table
 from poolweave.session import scratch_path
 
@@ -123,7 +123,17 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.identify(table(spark, sf_dir, "documents"))
 
 
+def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Audit of the cheapest edits that repair every damaged conversation."""
+    result = conversations.repair(conversations.damaged(table(spark, sf_dir, "conversations")))
+    streamed = conversations.digests(result.pieces).select(F.col("conv_id").alias("d_conv"), "sha256")
+    audits = result.conversations.join(streamed, F.col("conv_id").eqNullSafe(F.col("d_conv")), "left")
+    digest = F.coalesce(F.sha2("repaired", 256), "sha256")
+    columns = ("conv_id", "gaps", "blank", "duplicate", "truncated", "illegal", "cost", "audit")
+    return audits.select(*columns, digest.alias("repaired_sha256"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_secret_scans, op2_ngram_jaccard, op3_quality_classifier, op4_benchmark_decontamination, op5_retrieval_packing, op6_exact_top_k, op7_url_filters, op8_token_counts, op9_suffix_dedup, op10_language_id)
+    f.__name__: f for f in (op1_secret_scans, op2_ngram_jaccard, op3_quality_classifier, op4_benchmark_decontamination, op5_retrieval_packing, op6_exact_top_k, op7_url_filters, op8_token_counts, op9_suffix_dedup, op10_language_id, op12_conversation_repair)
 }
 ORACLES: dict[str, str] = {"op1_secret_scans": _secret_sql(), "op6_exact_top_k": _TOP_K_SQL}

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from poolweave.llm import conversations, decontaminate, jaccard, language, packing, quality, secrets, suffixes, token_counts, topk, urls
+from poolweave.llm import conversations, decontaminate, jaccard, language, near_vectors, packing, quality, secrets, suffixes, token_counts, topk, urls
 from poolweave.llm.common import table
 from poolweave.session import scratch_path
 
@@ -123,6 +123,27 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.identify(table(spark, sf_dir, "documents"))
 
 
+def op11_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Links and components of all vectors of cosine 0.95 or more."""
+    return near_vectors.near_vectors(table(spark, sf_dir, "embeddings"))
+
+
+_NEAR_VECTORS_SQL = """
+WITH RECURSIVE vectors AS (SELECT vec_id, CAST(embedding AS DOUBLE[]) AS v FROM embeddings
+  WHERE vec_id IS NOT NULL AND len(embedding) > 0
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+    AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
+links AS (SELECT a.vec_id AS a, b.vec_id AS b FROM vectors a JOIN vectors b
+  ON a.vec_id <> b.vec_id AND len(a.v) = len(b.v) AND list_cosine_similarity(a.v, b.v) >= 0.95),
+reach AS (SELECT vec_id AS a, vec_id AS b FROM embeddings
+  UNION SELECT r.a, l.b FROM reach r JOIN links l ON r.b = l.a),
+least AS (SELECT a, min(b) AS component_id FROM reach GROUP BY a),
+degree AS (SELECT a, count(*) AS n_links FROM links GROUP BY a)
+SELECT e.vec_id, coalesce(n_links, 0) AS n_links, component_id, e.vec_id = component_id AS kept
+FROM embeddings e JOIN least l ON l.a = e.vec_id LEFT JOIN degree d ON d.a = e.vec_id
+"""
+
+
 def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Audit of the cheapest edits that repair every damaged conversation."""
     result = conversations.repair(conversations.damaged(table(spark, sf_dir, "conversations")))
@@ -134,6 +155,6 @@ def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_secret_scans, op2_ngram_jaccard, op3_quality_classifier, op4_benchmark_decontamination, op5_retrieval_packing, op6_exact_top_k, op7_url_filters, op8_token_counts, op9_suffix_dedup, op10_language_id, op12_conversation_repair)
+    f.__name__: f for f in (op1_secret_scans, op2_ngram_jaccard, op3_quality_classifier, op4_benchmark_decontamination, op5_retrieval_packing, op6_exact_top_k, op7_url_filters, op8_token_counts, op9_suffix_dedup, op10_language_id, op11_embedding_near_dedup, op12_conversation_repair)
 }
-ORACLES: dict[str, str] = {"op1_secret_scans": _secret_sql(), "op6_exact_top_k": _TOP_K_SQL}
+ORACLES: dict[str, str] = {"op1_secret_scans": _secret_sql(), "op6_exact_top_k": _TOP_K_SQL, "op11_embedding_near_dedup": _NEAR_VECTORS_SQL}

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from poolweave.llm import conversations, decontaminate, jaccard, language, near_vectors, packing, quality, secrets, suffixes, token_counts, topk, urls
+from poolweave.llm import collocations, conversations, decontaminate, jaccard, language, near_vectors, packing, quality, secrets, suffixes, token_counts, topk, urls
 from poolweave.llm.common import table
 from poolweave.session import scratch_path
 
@@ -154,7 +154,39 @@ def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     return audits.select(*columns, digest.alias("repaired_sha256"))
 
 
+def op13_phrase_mining(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The best 2000 phrases of two to five words of each language."""
+    return collocations.collocations(table(spark, sf_dir, "documents"))
+
+
+_PHRASES_SQL = """
+WITH pieces AS (SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(translate(
+    coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\\x0A-\\x0D]')) AS piece
+  FROM documents),
+lists AS (SELECT lang, list_filter(regexp_split_to_array(piece, '[ \\t]+'), lambda x: x <> '') AS w FROM pieces),
+grams AS (SELECT lang, k, unnest(list_transform(range(1, len(w) - k + 2),
+    lambda i: array_to_string(w[i:i + k - 1], ' '))) AS phrase
+  FROM lists, range(1, 6) AS lengths(k) WHERE len(w) >= k),
+f AS (SELECT lang, k, phrase, count(*) AS a FROM grams GROUP BY ALL HAVING count(*) >= 100),
+totals AS (SELECT lang, sum(len(w)) AS n FROM lists GROUP BY lang),
+candidates AS (SELECT lang, k, phrase, a, string_split(phrase, ' ') AS w FROM f WHERE k >= 2),
+within AS (SELECT lang, array_to_string(w[i:i + m - 1], ' ') AS phrase, max(a) AS longer
+  FROM candidates, range(1, 6) AS starts(i), range(2, 5) AS lengths(m) WHERE m < k AND i + m - 1 <= k GROUP BY ALL),
+cuts AS (SELECT c.lang, c.phrase, c.a, l.a AS l, r.a AS r, n, cut,
+    (1000::HUGEINT * c.a * n::HUGEINT) // (l.a::HUGEINT * r.a) AS score
+  FROM candidates c, range(1, 5) AS places(cut), f l, f r, totals t
+  WHERE cut < c.k AND l.lang = c.lang AND l.phrase = array_to_string(w[1:cut], ' ')
+    AND r.lang = c.lang AND r.phrase = array_to_string(w[cut + 1:], ' ') AND t.lang = c.lang),
+least AS (SELECT * FROM cuts QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, cut) = 1),
+kept AS (SELECT s.* FROM least s LEFT JOIN within v ON v.lang = s.lang AND v.phrase = s.phrase
+  WHERE v.longer IS NULL OR 100 * v.longer < 100 * s.a),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM kept)
+SELECT lang, rank, phrase, a, l, r, CAST(n AS BIGINT) AS n, CAST(score AS BIGINT) AS score
+FROM ranked WHERE rank <= 2000
+"""
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_secret_scans, op2_ngram_jaccard, op3_quality_classifier, op4_benchmark_decontamination, op5_retrieval_packing, op6_exact_top_k, op7_url_filters, op8_token_counts, op9_suffix_dedup, op10_language_id, op11_embedding_near_dedup, op12_conversation_repair)
+    f.__name__: f for f in (op1_secret_scans, op2_ngram_jaccard, op3_quality_classifier, op4_benchmark_decontamination, op5_retrieval_packing, op6_exact_top_k, op7_url_filters, op8_token_counts, op9_suffix_dedup, op10_language_id, op11_embedding_near_dedup, op12_conversation_repair, op13_phrase_mining)
 }
-ORACLES: dict[str, str] = {"op1_secret_scans": _secret_sql(), "op6_exact_top_k": _TOP_K_SQL, "op11_embedding_near_dedup": _NEAR_VECTORS_SQL}
+ORACLES: dict[str, str] = {"op1_secret_scans": _secret_sql(), "op6_exact_top_k": _TOP_K_SQL, "op11_embedding_near_dedup": _NEAR_VECTORS_SQL, "op13_phrase_mining": _PHRASES_SQL}

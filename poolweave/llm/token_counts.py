@@ -3,7 +3,7 @@
 A document's content is normalised (runs of ASCII white space become one space,
 which no count depends on) and digested. Counts known for (content digest, tokenizer
 digest) are joined; only the distinct contents without one are encoded, and their
-counts are appended to the cache. A cache has one writer at a time.
+counts are appended to the cache. Entries that writers added twice count once.
 """
 
 from __future__ import annotations
@@ -23,7 +23,7 @@ CACHE_COLUMNS = "content string, tokenizer string, n_tokens long"
 
 def normalised(text: Column) -> Column:
     """Runs of ASCII white space as one space."""
-    return F.regexp_replace(text, r"[\t\n\x0B\f\r]+ *|  +", " ")
+    return F.regexp_replace(text, r"[\t\n\x0B\f\r][ \t\n\x0B\f\r]*| [ \t\n\x0B\f\r]+", " ")
 
 
 def tokenizer_digest(name: str) -> str:
@@ -45,7 +45,8 @@ def count_tokens(
 
     def known() -> DataFrame:
         cache = spark.read.schema(CACHE_COLUMNS).parquet(cache_path)
-        return cache.filter(F.col("tokenizer") == version).select("content", "n_tokens")
+        own = cache.filter(F.col("tokenizer") == version)
+        return own.groupBy("content").agg(F.min("n_tokens").alias("n_tokens"))
 
     content = F.sha2(normalised(whole_text()), 256).alias("content")
     misses = (

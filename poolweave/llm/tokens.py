@@ -162,7 +162,8 @@ class WordIds:
                     continue
             else:
                 text = unit.decode()
-                joint[k] = not text.isalpha()
+                # Letters may hold marks once they are normalised, as İ and क़ do.
+                joint[k] = not (text.isalpha() and unicodedata.normalize("NFC", text).lower().isalpha())
                 if not joint[k]:
                     text = text.translate(_ASCII_LOWER)
                     if text.islower() and unicodedata.is_normalized("NFC", text):

@@ -1,5 +1,6 @@
 """Counts and packed ids against the tokenizer library."""
 
+import unicodedata
 import zlib
 
 import numpy as np
@@ -27,6 +28,36 @@ def test_ids_agree_with_the_library(awkward_rows):
     assert [list(ids[a:b]) for a, b in zip(first, first[1:])] == library(texts)
 
 
+def test_every_letter_before_punctuation():
+    """Letters that take marks when lower-cased or composed join the punctuation behind."""
+    letters = [chr(c) for c in range(128, 0x110000) if not 0xD800 <= c < 0xE000 and chr(c).isalpha()]
+    shaped = [x for x in letters if not unicodedata.normalize("NFC", x).lower().isalpha()]
+    assert {"İ", "\u0958", "\u09dc"} <= set(shaped)
+    texts = [f"a{x}!" for x in letters] + [f"{x}{m} b{x}" for x in shaped for m in "!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"]
+    texts += ["GELİRİ, x", "TARİHİ.", "İ!", "şİ... y"]
+    words = tokens.WordIds()
+    for first in range(0, len(texts), 20_000):
+        part = texts[first : first + 20_000]
+        ids, at = words.encode(pa.array(part))
+        wrong = [t for t, a, b, e in zip(part, at, at[1:], library(part)) if list(ids[a:b]) != e]
+        assert not wrong
+
+
+def test_white_space_of_any_kind_is_one_space(spark, make_docs):
+    cache = scratch_path(spark, "cache")
+    token_counts.count_tokens(make_docs(["a b", "a \nb", "a\n \nb", "a \n b", "a\t\x0b\x0c\r b"]), cache)
+    assert spark.read.parquet(cache).count() == 1
+
+
+def test_entries_written_twice_count_once(spark, make_docs):
+    cache = scratch_path(spark, "cache")
+    docs = make_docs(["one two", "three", "one two"])
+    token_counts.count_tokens(docs, cache)
+    spark.read.parquet(cache).write.mode("append").parquet(cache + "-twice")
+    spark.read.parquet(cache).write.mode("append").parquet(cache + "-twice")
+    assert token_counts.count_tokens(docs, cache + "-twice").count() == 3
+
+
 def test_a_full_store_starts_anew():
     words = tokens.WordIds(limit=50)
     for k in range(20):

@@ -24,8 +24,8 @@ from poolweave.llm.common import text_blocks, text_bytes
 from poolweave.llm.fm_index import DEPTH, Index, Phrases
 from poolweave.session import materialize, scratch_path
 
-SHARD_BYTES = 8 << 20
-HELD_BYTES = 24 << 20  # of texts that wait for their shard to fill
+SHARD_BYTES = 4 << 20
+HELD_BYTES = 12 << 20  # of texts that wait for their shard to fill
 LEAST = 100
 TOP = 2000
 _SHARDS_PER_TASK = 1 << 11
@@ -118,7 +118,7 @@ def _frequent(rows: DataFrame, key: list[str], least: int) -> DataFrame:
 
     The id is the first place (shard and row) that has the key, so it is unique.
     """
-    same = Window.partitionBy(*key)
+    same = Window.partitionBy(F.xxhash64(*key), *key)  # the hash makes sorting cheap
     placed = rows.withColumn("place", F.expr("shiftleft(shard, 32) + forward"))
     summed = placed.withColumns({"a": F.sum("size").over(same), "id": F.min("place").over(same)})
     return materialize(summed.filter(F.col("a") >= least), "frequent")

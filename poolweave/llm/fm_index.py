@@ -39,21 +39,33 @@ class Extended:
     without_first: np.ndarray
 
 
+def order_of(key: np.ndarray, bits: int) -> np.ndarray:
+    """The stable order of keys below ``2**bits``: sorted with their places in one number."""
+    n = len(key)
+    room = max(1, int(n).bit_length())
+    if bits + room > 63:
+        return np.argsort(key, kind="stable")
+    return np.sort(key.astype(np.int64) << room | np.arange(n)) & ((1 << room) - 1)
+
+
 def mapping(text: np.ndarray) -> np.ndarray:
     """Last-to-first mapping of the text's suffixes, sorted by DEPTH symbols."""
     n = len(text)
-    bits = max(1, int(text.max(initial=0)).bit_length())
-    padded = np.concatenate([text, np.zeros(DEPTH, text.dtype)]).astype(np.int64)
-    keys = []
-    for first in range(0, DEPTH, 63 // bits):  # as many symbols as a key has room for
-        key = np.zeros(n, np.int64)
-        for k in range(first, min(DEPTH, first + 63 // bits)):
-            key = key << bits | padded[k : k + n]
-        keys.append(key)
-    order = np.lexsort(keys[::-1])
+    bits = max(1, int(text.max(initial=0)).bit_length(), int(n).bit_length())
+    # Ranks by 1, 2, 4 and at last DEPTH symbols: two shorter ranks give a longer one.
+    rank, order = text.astype(np.int64), np.arange(n)
+    for first, more in ((1, 1), (2, 2), (4, 1)):
+        behind = np.zeros(n, np.int64)
+        behind[: max(0, n - first)] = rank[first:] if more > 1 or first == 1 else text[first:]
+        key = rank << bits | behind
+        order = order_of(key, 2 * bits)
+        new = np.ones(n, np.int64)
+        new[1:] = key[order[1:]] != key[order[:-1]]
+        rank = np.empty(n, np.int64)
+        rank[order] = np.cumsum(new)
     transform = text[order - 1]
     to_first = np.empty(n, np.int32)
-    to_first[np.argsort(transform, kind="stable")] = np.arange(n, dtype=np.int32)
+    to_first[order_of(transform, bits)] = np.arange(n, dtype=np.int32)
     return to_first
 
 
@@ -83,7 +95,7 @@ class Index:
         rows = np.arange(ends[-1] if len(ends) else 0) + np.repeat(near - (ends - size), size)
         places = to_first[rows].astype(np.int64)
         # Rows of one phrase with one symbol lie together in the extended interval.
-        order = np.argsort(places, kind="stable")
+        order = order_of(places, max(1, len(to_first).bit_length()))
         places = places[order]
         owner = np.repeat(np.arange(len(size)), size)[order]
         symbol = np.searchsorted(self.begin, places, "right") - 1
@@ -92,7 +104,8 @@ class Index:
         heads = np.flatnonzero(new)
         count = np.diff(np.append(heads, len(places)))
         owner, symbol, start = owner[heads], symbol[heads], places[heads]
-        by_owner = np.lexsort((symbol, owner))
+        bits = max(1, len(self.begin).bit_length())
+        by_owner = order_of(owner << bits | symbol, bits + max(1, len(size).bit_length()))
         before = np.cumsum(count[by_owner]) - count[by_owner]
         fresh = np.ones(len(by_owner), bool)
         fresh[1:] = owner[by_owner][1:] != owner[by_owner][:-1]

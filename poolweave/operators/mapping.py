@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -84,3 +84,22 @@ def prepare_esma(df: DataFrame) -> DataFrame:
     return df.withColumns(
         {"source": F.lit(ESMA), "date_ym": month_key(df.columns, DATE_CODE)}
     )
+
+
+def month_of_row(df: DataFrame, has: Callable[[str], Column], *candidates: str) -> Column:
+    """As :func:`month_key` where rows come from several headers: ``has`` tells a row's columns."""
+    found = F.lit("")
+    for name in reversed([c for c in candidates if c in df.columns]):
+        found = F.when(has(name), month(col(name))).otherwise(found)
+    return found
+
+
+def mark_ecb(df: DataFrame, has: Callable[[str], Column]) -> DataFrame:
+    """``source`` and ``date_ym`` of renamed ECB rows of several headers."""
+    date = month_of_row(df, has, DATE_CODE, ECB_DATE_CODE)
+    return df.withColumns({"source": F.lit(ECB), "date_ym": date})
+
+
+def mark_esma(df: DataFrame, has: Callable[[str], Column]) -> DataFrame:
+    """``source`` and ``date_ym`` of ESMA rows of several headers."""
+    return df.withColumns({"source": F.lit(ESMA), "date_ym": month_of_row(df, has, DATE_CODE)})

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from poolweave.functions.names import ecb_pool_id, esma_pool_id, safe_pool_id
 from poolweave.operators.columns import union_aligned
-from poolweave.operators.mapping import prepare_ecb, prepare_esma
+from poolweave.operators.mapping import mark_ecb, mark_esma, prepare_ecb, prepare_esma
 from poolweave.operators.pools import classify_pools, overlap_report, pending
 from poolweave.operators.prefer import prefer_source
 from poolweave.operators.skew import lookup_join
@@ -22,7 +22,8 @@ from poolweave.sources.manifest import (
     parse_header,
 )
 from poolweave.sources.salvage import probe_gzip, salvage
-from poolweave.sources.scan import scan_files, scan_manifest
+from poolweave.sources.one_scan import Place, scan_once
+from poolweave.sources.scan import scan_manifest
 
 # Pools known to be reported by both sources for the same months.
 KNOWN_OVERLAP_POOLS = (
@@ -46,7 +47,7 @@ def read_ecb(spark: SparkSession, folder: str, ecb_to_esma: Mapping[str, str]) -
     """All ECB files of a folder, harmonised.
 
     Each file is read once as a stream for its header and for damage. Sound files are
-    scanned by header; what is left of damaged ones is added with ``salvaged = true``.
+    read in one scan; what is left of damaged ones is added with ``salvaged = true``.
     The result is landed, so that later passes read columns instead of text.
     """
     files = materialize(ecb_files(spark, folder), "ecb-files")
@@ -58,9 +59,12 @@ def read_ecb(spark: SparkSession, folder: str, ecb_to_esma: Mapping[str, str]) -
     parts = []
     sound = checked.filter(F.col("error").isNull() & F.col("header_line").isNotNull())
     if not sound.isEmpty():
-        parts.append(
-            scan_files(sound, prepare=prepared).withColumn("salvaged", F.lit(False))
-        )
+        # The scan would stop at a damaged file of the folder; then sound ones are listed.
+        place = Place(folder, "*.gz")
+        if not checked.filter(F.col("error").isNotNull()).isEmpty():
+            place = Place([row.path for row in sound.select("path").collect()])
+        scanned = scan_once(place, sound, renames=ecb_to_esma, derive=mark_ecb)
+        parts.append(scanned.withColumn("salvaged", F.lit(False)))
     damaged = (
         checked.filter(F.col("error").isNotNull() & F.col("header_line").isNotNull())
         .groupBy("header_line")
@@ -91,7 +95,7 @@ def _checked(files: DataFrame, folder: str) -> DataFrame:
 def read_esma(spark: SparkSession, folder: str) -> DataFrame:
     """All merged ESMA files of a folder, as stage 1 exports them."""
     files = merged_esma_files(spark, folder)
-    rows = scan_manifest(files, prepare=prepare_esma)
+    rows = scan_manifest(files, Place(folder, "*.csv"), derive=mark_esma)
     return materialize(
         rows.withColumn("pool_id", esma_pool_id(F.col("file_name"))), "esma-landed"
     )

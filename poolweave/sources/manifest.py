@@ -53,16 +53,16 @@ def merged_esma_files(spark: SparkSession, folder: str) -> DataFrame:
     return list_files(spark, folder, "*.csv").withColumn("pool_id", esma_pool_id(F.col("name")))
 
 
-def with_headers(files: DataFrame, paths: Sequence[str]) -> DataFrame:
+def with_headers(files: DataFrame, paths: str | Sequence[str], pattern: str = "*") -> DataFrame:
     """Add the raw ``header_line`` of each file; null for a file without one.
 
     Tasks open the files and read no further than the first line, where the store is
-    one that tasks can open; otherwise the files' first blocks are scanned. Column
-    parsing is left to the driver, which sees one line per *different* header only.
+    one that tasks can open; otherwise the files' first blocks are scanned, found at
+    ``paths`` (a folder, or a list) by ``pattern``.
     """
     schemes = files.select(scheme_of(F.col("path")).alias("scheme")).distinct().collect()
     can_open = all(row.scheme in OPENED_BY_TASKS for row in schemes)
-    headers = (first_lines(files) if can_open else scanned_first_lines(files, paths)).select(
+    headers = (first_lines(files) if can_open else scanned_first_lines(files, paths, pattern)).select(
         base_path(F.col("path")).alias("__path"),
         F.regexp_replace("header_line", "^\\uFEFF|\\r$", "").alias("header_line"),
     )
@@ -117,14 +117,18 @@ def scheme_of(path: Column) -> Column:
     return F.when(found == "", F.lit("file")).otherwise(found)
 
 
-def scanned_first_lines(files: DataFrame, paths: Sequence[str]) -> DataFrame:
+def scanned_first_lines(
+    files: DataFrame, paths: str | Sequence[str], pattern: str = "*"
+) -> DataFrame:
     """``path, header_line`` by scanning the first block of each file as text.
 
     The place of the first line is found without carrying the lines, which would have
     to be sorted for it; then those lines are picked from the same scan.
     """
     lines = (
-        files.sparkSession.read.text(list(paths))
+        files.sparkSession.read.option("pathGlobFilter", pattern)
+        .option("recursiveFileLookup", True)
+        .text(paths if isinstance(paths, str) else list(paths))
         .select(
             "value",
             F.col("_metadata.file_path").alias("__uri"),

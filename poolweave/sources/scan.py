@@ -1,44 +1,28 @@
-"""CSV scans: every value as text, files grouped by header.
+"""CSV scans: every value as text.
 
-A scan over files with different headers would put values under wrong names, so the
-files of one header are read together under that header, and the results united by
-name.
+A scan over files with different headers would put values under wrong names. Files of
+one known header are read under it (:func:`read_csv`); files of any headers in one scan
+that picks columns by position (:mod:`poolweave.sources.one_scan`).
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterable, Sequence
+from collections.abc import Iterable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from poolweave.functions.columns import (
-    col,
     cols,
     require_distinct_by_case,
     require_unreserved,
 )
 from poolweave.functions.names import decoded
 from poolweave.functions.nulls import EMPTY_ONLY, RAW_FILE_NULL_TOKENS, apply_null_tokens
-from poolweave.operators.columns import align, union_aligned
-from poolweave.session import scratch_path
-from poolweave.sources.manifest import header_names, parse_header, with_headers
-
-POSITION = ("file_name", "block_start", "row_place")
-# Columns the stages add to scanned rows, besides the position.
-PIPELINE_COLUMNS = (
-    "asset_type",
-    "identifier",
-    "date",
-    "ue_name",
-    "merged_name",
-    "pool_id",
-    "bucket",
-    "country",
-    "salvaged",
-)
-MAX_HEADERS_PER_PLAN = 50
+from poolweave.session import materialize
+from poolweave.sources.manifest import with_headers
+from poolweave.sources.one_scan import PIPELINE_COLUMNS, POSITION, Place, scan_once
 
 
 def read_csv(
@@ -84,79 +68,13 @@ def read_csv(
     return apply_null_tokens(scan, tokens, columns)
 
 
-def header_groups(files: DataFrame) -> list[tuple[str, list[str]]]:
-    """(header line, paths) for each different header among the files.
-
-    The driver holds what it needs to name the inputs of a scan: paths and headers.
-    """
-    grouped = (
-        files.filter(F.col("header_line").isNotNull())
-        .groupBy("header_line")
-        .agg(F.sort_array(F.collect_list("path")).alias("paths"))
-        .orderBy("header_line")
-        .collect()
-    )
-    return [(g.header_line, list(g.paths)) for g in grouped]
-
-
-def read_header_group(
-    spark: SparkSession, header_line: str, paths: Sequence[str], **options
-) -> DataFrame:
-    """Files that share a header line."""
-    columns = parse_header(header_line)
-    plain = columns == header_names(header_line)
-    return read_csv(spark, paths, columns, check_header=plain, **options)
-
-
-def scan_files(
-    files: DataFrame,
-    *,
-    prepare: Callable[[DataFrame], DataFrame] | None = None,
-    null_tokens: Iterable[str] = RAW_FILE_NULL_TOKENS,
-    positions: bool = True,
-    multi_line: bool = False,
-) -> DataFrame:
-    """All files of a manifest with headers, under the union of their columns.
+def scan_manifest(files: DataFrame, place: Place | None = None, **options) -> DataFrame:
+    """Read headers and data of the files in a manifest.
 
-    ``prepare`` runs on each header's scan before the union (renames, markers). With
-    very many headers the plan would grow too wide; then the scans are landed as
-    tables in groups first (:func:`land_files`).
+    ``place`` says where they lie; without it their paths are listed first, which a
+    folder of very many files should not need. ``options`` are those of
+    :func:`poolweave.sources.one_scan.scan_once`.
     """
-    spark = files.sparkSession
-    groups = header_groups(files)
-    if not groups:
-        raise ValueError("no file with a header to scan")
-
-    def scanned(group: tuple[str, list[str]]) -> DataFrame:
-        df = read_header_group(
-            spark,
-            *group,
-            null_tokens=null_tokens,
-            positions=positions,
-            multi_line=multi_line,
-        )
-        return prepare(df) if prepare else df
-
-    if len(groups) > MAX_HEADERS_PER_PLAN:
-        return land_groups(spark, groups, scanned)
-    return union_aligned([scanned(g) for g in groups], sort_columns=False)
-
-
-def land_groups(spark: SparkSession, groups: list, scanned: Callable) -> DataFrame:
-    """Write the scans as one table, a bounded number of headers per job."""
-    path = scratch_path(spark, "landed")
-    tables = [scanned(g) for g in groups]
-    columns = list(dict.fromkeys(c for t in tables for c in t.columns))
-    types = {f.name: f.dataType for t in tables for f in t.schema.fields}
-    for start in range(0, len(tables), MAX_HEADERS_PER_PLAN):
-        part = union_aligned(tables[start : start + MAX_HEADERS_PER_PLAN])
-        align(part, columns).select(*(col(c).cast(types[c]).alias(c) for c in columns)).write.mode(
-            "append"
-        ).parquet(path)
-    return spark.read.parquet(path)
-
-
-def scan_manifest(files: DataFrame, **options) -> DataFrame:
-    """Read headers and data of the files in a manifest."""
-    paths = [row.path for row in files.select("path").collect()]
-    return scan_files(with_headers(files, paths), **options)
+    if place is None:
+        place = Place([row.path for row in files.select("path").collect()])
+    return scan_once(place, materialize(with_headers(files, place.paths, place.pattern), "manifest"), **options)

@@ -21,6 +21,7 @@ from poolweave.sources.manifest import (
     with_headers,
 )
 from poolweave.sources.salvage import inflated, probe_gzip, recovered_lines, salvage
+from poolweave.sources.one_scan import POSITION, Place
 from poolweave.sources.scan import read_csv, scan_manifest
 
 
@@ -95,14 +96,29 @@ def test_scan_of_mixed_headers(spark, tmp_path):
     assert rows(plain)[3:] == [("3", None), ("4", "NA")]
 
 
-def test_many_headers_are_landed(spark, tmp_path, monkeypatch):
-    from poolweave.sources import scan
-
-    monkeypatch.setattr(scan, "MAX_HEADERS_PER_PLAN", 2)
-    folder = write_files(tmp_path, {f"f{i}.csv": f"A,X{i}\n{i},x\n" for i in range(5)})
-    table = scan_manifest(list_files(spark, folder))
-    assert rows(table, "A") == [(str(i),) for i in range(5)]
-    assert {f"X{i}" for i in range(5)} <= set(table.columns)
+def test_many_headers_are_one_scan(spark, tmp_path):
+    """The plan does not grow with the number of headers; neither does what is read twice."""
+    few = write_files(tmp_path / "few", {f"f{i}.csv": f"A,X{i % 7}\n{i},x{i}\n" for i in range(7)})
+    texts = {}
+    for i in range(500):  # all different: order, repeats and width
+        names = [f"X{i % 7}", "A", *(f"X{j % 7}" for j in range(i % 5))]
+        names = names[i % len(names) :] + names[: i % len(names)] + [f"Y{i // 100}"] * (i // 7 % 3)
+        texts[f"f{i}.csv"] = ",".join(names) + "\n" + ",".join(f"{n}-{k}" for k, n in enumerate(names)) + "\n"
+    many = write_files(tmp_path / "many", texts)
+
+    def scanned(folder):
+        return scan_manifest(list_files(spark, folder), Place(folder))
+
+    one, other = scanned(few), scanned(many)
+    size = [len(t._jdf.queryExecution().optimizedPlan().toString().splitlines()) for t in (one, other)]
+    assert size[0] == size[1]
+    got = {r.file_name: r.asDict() for r in other.collect()}
+    assert len(got) == 500
+    for name, text in texts.items():
+        header, line = text.splitlines()
+        expected = dict(zip(parse_header(header), line.split(",")))
+        row = {c: v for c, v in got[name].items() if v is not None and c not in POSITION}
+        assert row == expected
 
 
 def test_wrong_header_fails(spark, tmp_path):

@@ -6,7 +6,8 @@ extends the phrases that are frequent over all shards to both sides, by its own
 and the counts of a phrase are summed over shards. A phrase is only extended to one whose
 first and last parts are both frequent, which loses nothing, since a phrase occurs no
 oftener than its parts. A phrase is known by the ids of these two parts, so counts are
-exact and no text moves before the frequent phrases are known.
+exact and no text moves before the frequent phrases are known. Shards send their phrases
+packed by part of all keys; a part is summed at once and says which are frequent.
 """
 
 from __future__ import annotations
@@ -14,6 +15,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark import TaskContext
@@ -21,7 +23,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from poolweave.llm.common import text_blocks, text_bytes
-from poolweave.llm.fm_index import DEPTH, Index, Phrases
+from poolweave.llm.fm_index import DEPTH, Index, Phrases, order_of
 from poolweave.session import materialize, scratch_path
 
 SHARD_BYTES = 4 << 20
@@ -30,7 +32,15 @@ LEAST = 100
 TOP = 2000
 _SHARDS_PER_TASK = 1 << 11
 
-_STATE = "shard bigint, forward bigint, backward bigint, size bigint"
+#: Parts of the keys, as a multiple of the shuffle partitions.
+PARTS = 8
+
+_SENT = "part int, lang string, shard bigint, n int, words binary, packed binary"
+#: Rows with a shard: its frequent phrases, packed. Others: a key, or a language's words.
+_SUMMED = (
+    "shard bigint, n int, packed binary, lang string, word string, id bigint, a bigint, "
+    "first_id bigint, last_id bigint, total bigint"
+)
 
 
 def collocations(docs: DataFrame, least: int = LEAST, top: int = TOP) -> DataFrame:
@@ -61,14 +71,18 @@ def collocations(docs: DataFrame, least: int = LEAST, top: int = TOP) -> DataFra
 
 def _ranked(spark: SparkSession, name: str, least: int, top: int) -> DataFrame:
     shards = spark.table(name)
-    words = shards.select("lang", "words", "begin", "shard").mapInArrow(
-        _word_counts, f"lang string, word string, {_STATE}"
-    )
-    totals = materialize(words.groupBy("lang").agg(F.sum("size").alias("n")), "word-totals")
-    found = _frequent(words, ["lang", "word"], least)
+    parts = PARTS * int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+    def summed(sent: DataFrame, work) -> DataFrame:
+        by_part = sent.repartition("part").sortWithinPartitions("part")
+        return materialize(by_part.mapInArrow(_by_part(work, least, parts), _SUMMED), "summed-phrases")
+
+    words = shards.select("lang", "words", "begin", "shard").mapInArrow(_sent_words(parts), _SENT)
+    found = summed(words, _frequent_words)
+    totals = found.filter("total IS NOT NULL").groupBy("lang").agg(F.sum("total").alias("n"))
     # Without other columns: id, a, lang, phrase, last word, counts of first and last parts.
     none = F.array().cast("array<bigint>")
-    known = found.filter("id = place").select(
+    known = found.filter("word IS NOT NULL").select(
         "id", "a", "lang", F.col("word").alias("phrase"), F.col("word").alias("last"), none.alias("firsts"), none.alias("lasts")
     )
     levels = []
@@ -76,16 +90,15 @@ def _ranked(spark: SparkSession, name: str, least: int, top: int) -> DataFrame:
         {"forward": "to_first", "backward": "to_first_back"}
     )
     for words_now in range(2, DEPTH + 1):
-        state = found.groupBy("shard").agg(
-            F.collect_list(F.struct("forward", "backward", "size", "id")).alias("phrases")  # of one shard
+        state = found.filter("shard IS NOT NULL").groupBy("shard").agg(
+            F.collect_list(F.struct("n", "packed")).alias("phrases")  # of one shard
         )
-        longer = index.join(state, "shard").mapInArrow(_extended, f"{_STATE}, first_id bigint, last_id bigint")
-        found = _frequent(longer, ["first_id", "last_id"], least)
-        new = found.filter("id = place").select("id", "a", "first_id", "last_id")
-        parts = known.select(F.col("id").alias("part_id"), F.col("a").alias("part_a"), "lang", "phrase", "last", "firsts", "lasts")
+        found = summed(index.join(state, "shard").mapInArrow(_sent_phrases(parts), _SENT), _frequent_phrases)
+        new = found.filter("first_id IS NOT NULL").select("id", "a", "first_id", "last_id")
+        known_parts = known.select(F.col("id").alias("part_id"), F.col("a").alias("part_a"), "lang", "phrase", "last", "firsts", "lasts")
         known = materialize(
-            new.join(parts.select(F.col("part_id").alias("first_id"), F.col("part_a").alias("first_a"), "lang", "phrase", "firsts"), "first_id")
-            .join(parts.select(F.col("part_id").alias("last_id"), F.col("part_a").alias("last_a"), "last", "lasts"), "last_id")
+            new.join(known_parts.select(F.col("part_id").alias("first_id"), F.col("part_a").alias("first_a"), "lang", "phrase", "firsts"), "first_id")
+            .join(known_parts.select(F.col("part_id").alias("last_id"), F.col("part_a").alias("last_a"), "last", "lasts"), "last_id")
             .select(
                 "id", "a", "first_id", "last_id", "lang", F.concat_ws(" ", "phrase", "last").alias("phrase"), "last",
                 F.concat("firsts", F.array("first_a")).alias("firsts"), F.concat("lasts", F.array("last_a")).alias("lasts"),
@@ -113,15 +126,15 @@ def _ranked(spark: SparkSession, name: str, least: int, top: int) -> DataFrame:
     return materialize(ranked.select(*columns), "collocations")
 
 
-def _frequent(rows: DataFrame, key: list[str], least: int) -> DataFrame:
-    """The rows of keys whose sizes come to ``least``, with the sum ``a`` and an id.
+def pack(*columns: np.ndarray) -> bytes:
+    """Columns of whole numbers, their bytes sorted by place, compressed."""
+    planes = [np.ascontiguousarray(c, "<i8").view(np.uint8).reshape(-1, 8).T.tobytes() for c in columns]
+    return pa.compress(b"".join(planes), codec="zstd", asbytes=True)
 
-    The id is the first place (shard and row) that has the key, so it is unique.
-    """
-    same = Window.partitionBy(F.xxhash64(*key), *key)  # the hash makes sorting cheap
-    placed = rows.withColumn("place", F.expr("shiftleft(shard, 32) + forward"))
-    summed = placed.withColumns({"a": F.sum("size").over(same), "id": F.min("place").over(same)})
-    return materialize(summed.filter(F.col("a") >= least), "frequent")
+
+def unpack(data: bytes, n: int, columns: int) -> list[np.ndarray]:
+    planes = np.frombuffer(pa.decompress(data, 8 * n * columns, codec="zstd"), np.uint8)
+    return [np.ascontiguousarray(c.T).view("<i8")[:, 0] for c in planes.reshape(columns, 8, n)]
 
 
 def _symbols(texts: pa.Array) -> tuple[np.ndarray, list[str]]:
@@ -180,41 +193,157 @@ def _shards(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield out
 
 
-def _word_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """A row for each word of each shard."""
-    for batch in batches:
-        for k in range(batch.num_rows):
-            begin = np.frombuffer(batch.column("begin")[k].as_buffer(), "<i8")
-            words = batch.column("words")[k].values
-            n = len(words)
-            yield pa.RecordBatch.from_arrays(
-                [
-                    pa.array([batch.column("lang")[k].as_py()] * n), words,
-                    pa.array(np.full(n, batch.column("shard")[k].as_py())),
-                    pa.array(begin[1:-1]), pa.array(begin[1:-1]), pa.array(np.diff(begin)[1:]),
-                ],
-                ["lang", "word", "shard", "forward", "backward", "size"],
-            )
-
-
-def _extended(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """A row for each phrase of a shard that is a word longer than its frequent ones."""
-    for batch in batches:
-        for k in range(batch.num_rows):
-            begin, forward, backward = (
-                np.frombuffer(batch.column(c)[k].as_buffer(), t)
-                for c, t in (("begin", "<i8"), ("to_first", "<i4"), ("to_first_back", "<i4"))
-            )
-            listed = batch.column("phrases")[k].values
-            starts, ends, size, ids = (listed.field(c).to_numpy() for c in ("forward", "backward", "size", "id"))
-            longer = Index(forward, backward, begin).extended(Phrases(starts, ends, size))
-            n = len(longer.without_last)
-            yield pa.RecordBatch.from_arrays(
-                [
-                    pa.array(np.full(n, batch.column("shard")[k].as_py(), np.int64)),
-                    *(pa.array(x.astype(np.int64)) for x in (
-                        longer.phrases.forward, longer.phrases.backward, longer.phrases.size,
-                        ids[longer.without_last], ids[longer.without_first])),
-                ],
-                ["shard", "forward", "backward", "size", "first_id", "last_id"],
-            )
+def _sent(rows: list[tuple]) -> pa.RecordBatch:
+    """Rows (part, lang, shard, n, words, packed)."""
+    kinds = (pa.int32(), pa.string(), pa.int64(), pa.int32(), pa.binary(), pa.binary())
+    names = ("part", "lang", "shard", "n", "words", "packed")
+    return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), kinds)], names)
+
+
+def _groups(part: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
+    """Each part with the places that have it."""
+    order = np.argsort(part, kind="stable")
+    borders = np.flatnonzero(np.diff(part[order])) + 1
+    for places in np.split(order, borders):
+        if len(places):
+            yield int(part[places[0]]), places
+
+
+def _sent_words(parts: int):
+    """The words of each shard by part of all words: their spelling, rows and counts."""
+
+    def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for k in range(batch.num_rows):
+                begin = np.frombuffer(batch.column("begin")[k].as_buffer(), "<i8")
+                words = np.array(batch.column("words")[k].as_py(), object)
+                lang, shard = batch.column("lang")[k].as_py(), batch.column("shard")[k].as_py()
+                starts, size = begin[1:-1], np.diff(begin)[1:]
+                part = (pd.util.hash_array(words, categorize=False) % parts).astype(np.int64)
+                rows = []
+                for p, places in _groups(part):
+                    spelled = pa.compress("\n".join(words[places]).encode(), codec="zstd", asbytes=True)
+                    length = sum(len(w.encode()) + 1 for w in words[places]) - 1
+                    rows.append((p, lang, shard, len(places), length.to_bytes(8, "little") + spelled, pack(starts[places], size[places])))
+                yield _sent(rows)
+
+    return send
+
+
+def _sent_phrases(parts: int):
+    """The phrases of each shard that are a word longer than its frequent ones, by part."""
+
+    def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for k in range(batch.num_rows):
+                begin, forward, backward = (
+                    np.frombuffer(batch.column(c)[k].as_buffer(), t)
+                    for c, t in (("begin", "<i8"), ("to_first", "<i4"), ("to_first_back", "<i4"))
+                )
+                lists = [unpack(x["packed"], x["n"], 4) for x in batch.column("phrases")[k].as_py()]
+                starts, ends, size, ids = (np.concatenate(c) for c in zip(*lists))
+                longer = Index(forward, backward, begin).extended(Phrases(starts, ends, size))
+                first, last = ids[longer.without_last], ids[longer.without_first]
+                with np.errstate(over="ignore"):
+                    mixed = (first * 0x1E3779B97F4A7C15 + last) * 0x3F58476D1CE4E5B9
+                columns = (first, last, longer.phrases.forward, longer.phrases.backward, longer.phrases.size)
+                shard = batch.column("shard")[k].as_py()
+                rows = [
+                    (p, None, shard, len(places), None, pack(*(c[places] for c in columns)))
+                    for p, places in _groups((mixed >> 33) % parts)
+                ]
+                if rows:
+                    yield _sent(rows)
+
+    return send
+
+
+def _by_part(work, least: int, parts: int):
+    """``work`` on the rows of one part after the other."""
+
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[dict] = []
+        for batch in batches:
+            for row in batch.to_pylist():
+                if held and held[0]["part"] != row["part"]:
+                    yield work(held, least, parts)
+                    held = []
+                held.append(row)
+        if held:
+            yield work(held, least, parts)
+
+    return read
+
+
+def _answer(rows: list[dict], frequent: np.ndarray, ids: np.ndarray, columns: list[np.ndarray], keys: list[dict]) -> pa.RecordBatch:
+    """To every shard the places, sizes and ids of its frequent phrases; then the keys."""
+    ends = np.cumsum([r["n"] for r in rows])
+    out = []
+    for r, end in zip(rows, ends):
+        own = slice(end - r["n"], end)
+        keep = frequent[own]
+        if keep.any():
+            packed = pack(*(c[own][keep] for c in columns), ids[own][keep])
+            out.append({"shard": r["shard"], "n": int(keep.sum()), "packed": packed})
+    out += keys
+    kinds = {"shard": pa.int64(), "n": pa.int32(), "packed": pa.binary(), "lang": pa.string(), "word": pa.string(),
+             **{c: pa.int64() for c in ("id", "a", "first_id", "last_id", "total")}}
+    return pa.RecordBatch.from_arrays([pa.array([r.get(c) for r in out], t) for c, t in kinds.items()], list(kinds))
+
+
+def _frequent_words(rows: list[dict], least: int, parts: int) -> pa.RecordBatch:
+    rows.sort(key=lambda r: r["lang"])
+    frequent, ids, keys, starts, sizes = [], [], [], [], []
+    made = 0
+    for lang in dict.fromkeys(r["lang"] for r in rows):
+        own = [r for r in rows if r["lang"] == lang]
+        start, size = (np.concatenate(c) for c in zip(*(unpack(r["packed"], r["n"], 2) for r in own)))
+        spelled = [
+            pa.decompress(r["words"][8:], int.from_bytes(r["words"][:8], "little"), codec="zstd").to_pybytes().decode().split("\n")
+            for r in own
+        ]
+        words = pa.array([w for some in spelled for w in some]).dictionary_encode()
+        code = np.asarray(words.indices)
+        count = np.bincount(code, weights=size).astype(np.int64)
+        often = np.flatnonzero(count >= least)
+        number = np.zeros(len(count), np.int64)
+        number[often] = (made + np.arange(len(often))) * parts + rows[0]["part"]
+        made += len(often)
+        keys += [
+            {"lang": lang, "word": words.dictionary[int(w)].as_py(), "id": int(number[w]), "a": int(count[w])} for w in often
+        ]
+        keys.append({"lang": lang, "total": int(size.sum())})
+        frequent.append((count >= least)[code])
+        ids.append(number[code])
+        starts.append(start)
+        sizes.append(size)
+    start = np.concatenate(starts)
+    return _answer(rows, np.concatenate(frequent), np.concatenate(ids), [start, start, np.concatenate(sizes)], keys)
+
+
+def _frequent_phrases(rows: list[dict], least: int, parts: int) -> pa.RecordBatch:
+    first, last, forward, backward, size = (
+        np.concatenate(c) for c in zip(*(unpack(r["packed"], r["n"], 5) for r in rows))
+    )
+    bits = max(1, int(last.max()).bit_length())
+    if bits + int(first.max()).bit_length() < 63:
+        key = first << bits | last
+        order = order_of(key, bits + int(first.max()).bit_length())
+        new = np.ones(len(key), bool)
+        new[1:] = key[order[1:]] != key[order[:-1]]
+    else:
+        order = np.lexsort((last, first))
+        new = np.ones(len(first), bool)
+        new[1:] = (first[order[1:]] != first[order[:-1]]) | (last[order[1:]] != last[order[:-1]])
+    heads = np.flatnonzero(new)
+    count = np.add.reduceat(size[order], heads)
+    often = count >= least
+    number = (np.cumsum(often) - 1) * parts + rows[0]["part"]
+    group = np.empty(len(first), np.int64)
+    group[order] = np.cumsum(new) - 1
+    some = order[heads][often]
+    keys = [
+        {"id": i, "a": n, "first_id": p, "last_id": s}
+        for i, n, p, s in zip(number[often].tolist(), count[often].tolist(), first[some].tolist(), last[some].tolist())
+    ]
+    return _answer(rows, often[group], number[group], [forward, backward, size], keys)

@@ -88,6 +88,38 @@ def test_collateral_stage(spark, tmp_path):
     assert "RREC1" not in joined.rows.columns
 
 
+def test_stage_one_of_many_headers_is_one_join(spark, tmp_path):
+    """Every pair has headers of its own; plan size and rows are as with one pair."""
+
+    def tree(folder, n):
+        texts = {}
+        for i in range(n):
+            stem = ("RREL2", "RREC2") if i % 3 else ("NPEL2", "NPEC2")
+            extra = [f"X{j}" for j in range(i % 4)]
+            loan = [*extra, stem[0], "NOTE"][:: 1 if i % 2 else -1]
+            other = [stem[1], "NOTE", f"Y{i % 5}", "Sec_Id", "RREC1"][:: 1 if i % 7 else -1]
+            value = lambda names, key, k: ",".join(str(k) if c == key else f"{c}{i}" for c in names)
+            name = f"P{i}_2020-01-31_1.csv"
+            texts[f"1_RMB_UE_{name}"] = "\n".join([",".join(loan), *(value(loan, stem[0], k) for k in (1, 2))]) + "\n"
+            texts[f"1_RMB_Collateral_{name}"] = "\n".join([",".join(other), *(value(other, stem[1], k) for k in (2, 2, 3))]) + "\n"
+        return write_files(folder, texts)
+
+    one, many = (join_pairs(spark, tree(tmp_path / str(n), n)) for n in (12, 84))
+    size = [len(j.rows._jdf.queryExecution().optimizedPlan().toString().splitlines()) for j in (one, many)]
+    assert size[0] == size[1]
+    found = many.rows.collect()
+    assert len(found) == 84 * 3 and many.failed.count() == 0
+    for r in found:
+        i = int(r.pool_id[1:])
+        key, other = ("RREL2", "RREC2") if i % 3 else ("NPEL2", "NPEC2")
+        matched = r[key] == "2"
+        assert r["NOTE"] == f"NOTE{i}" and r["NOTE_collateral"] == (f"NOTE{i}" if matched else None)
+        assert r[f"Y{i % 5}"] == (f"Y{i % 5}{i}" if matched else None) and r[other] == ("2" if matched else None)
+        assert [r[f"X{j}"] for j in range(3)] == [f"X{j}{i}" if j < i % 4 else None for j in range(3)]
+    counts = ("ue_rows", "collateral_rows", "merged_rows", "matched_rows", "unmatched_rows")
+    assert rows(many.statistics, *counts) == [(2, 3, 3, 2, 1)] * 84
+
+
 def test_all_stages(spark, tmp_path):
     inputs, outputs = raw_tree(tmp_path), full_run.Outputs(str(tmp_path / "out"))
     full_run.run(spark, inputs, outputs, overlap_pools="auto")

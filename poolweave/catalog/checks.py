@@ -29,6 +29,7 @@ def sorted_panel(spark: SparkSession, sf_dir: str) -> DataFrame:
     return with_position(v.panel_with_nulls(spark, sf_dir), group=["pool_no"])
 
 
+SORT_AND_TIES = f"{_SORT}, {_TIES}"
 _DATE_ORDER = '"RREL6" NULLS LAST, "RREL3" NULLS LAST, "RREC3" NULLS LAST'
 
 
@@ -95,7 +96,7 @@ def loan_checksum(spark: SparkSession, sf_dir: str) -> DataFrame:
     return q.loan_checksum(v.panel_with_nulls(spark, sf_dir), ["pool_no"])
 
 
-def _row_text(*columns: str) -> str:
+def row_text_sql(*columns: str) -> str:
     return " || ".join(
         f"""CASE WHEN "{c}" IS NULL THEN '-;' ELSE CAST(length("{c}") AS VARCHAR)
         || ':' || "{c}" || ';' END"""
@@ -105,7 +106,7 @@ def _row_text(*columns: str) -> str:
 
 @query(
     f"""
-SELECT pool_no, count(*) AS rows, CAST(sum({_DIGEST.format(_row_text("RREC3", "RREL3", "RREL6", "source"))})
+SELECT pool_no, count(*) AS rows, CAST(sum({_DIGEST.format(row_text_sql("RREC3", "RREL3", "RREL6", "source"))})
   AS VARCHAR) AS row_checksum
 FROM ({v.PANEL_WITH_NULLS}) GROUP BY pool_no
 """
@@ -209,7 +210,7 @@ def loan_series_one(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # A damaged copy: rows lost in one pool, doubled in another, changed in a third; one
 # pool is lost as a whole, and half of another comes back under a new number.
-_DAMAGED = f"""
+DAMAGED_COPY = f"""
 SELECT "RREL3", "RREC3", CASE WHEN pool_no = 3 AND l_partkey % 50 = 0 THEN '1900-01-01'
   ELSE "RREL6" END AS "RREL6", source,
   CASE WHEN pool_no = 6 AND l_partkey % 2 = 0 THEN pool_no + 100 ELSE pool_no END AS pool_no
@@ -217,14 +218,14 @@ FROM ({v.PANEL}) p, (SELECT unnest([1, 2]) AS copy)
 WHERE copy <= CASE WHEN pool_no = 5 THEN 0 WHEN pool_no = 1 AND l_partkey % 40 = 0 THEN 0
   WHEN pool_no = 2 AND l_partkey % 30 = 0 THEN 2 ELSE 1 END
 """
-_SOUND = f'SELECT "RREL3", "RREC3", "RREL6", source, pool_no FROM ({v.PANEL})'
+SOUND_COPY = f'SELECT "RREL3", "RREC3", "RREL6", source, pool_no FROM ({v.PANEL})'
 
 
-def _sound(spark: SparkSession, sf_dir: str) -> DataFrame:
+def sound(spark: SparkSession, sf_dir: str) -> DataFrame:
     return v.panel(spark, sf_dir).select("RREL3", "RREC3", "RREL6", "source", "pool_no")
 
 
-def _damaged(spark: SparkSession, sf_dir: str) -> DataFrame:
+def damaged(spark: SparkSession, sf_dir: str) -> DataFrame:
     pool, part = F.col("pool_no"), F.col("l_partkey")
     copies = (
         F.when(pool == 5, 0)
@@ -244,18 +245,19 @@ def _damaged(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-@query(
-    f"""
-WITH a AS (SELECT *, count(*) AS n FROM ({_SOUND}) GROUP BY ALL),
-b AS (SELECT *, count(*) AS n FROM ({_DAMAGED}) GROUP BY ALL)
+DIFFERENCES = f"""
+WITH a AS (SELECT *, count(*) AS n FROM ({SOUND_COPY}) GROUP BY ALL),
+b AS (SELECT *, count(*) AS n FROM ({DAMAGED_COPY}) GROUP BY ALL)
 SELECT "RREL3", "RREC3", "RREL6", source, pool_no, coalesce(a.n, 0) AS copies_before,
   coalesce(b.n, 0) AS copies_after
 FROM a FULL JOIN b USING ("RREL3", "RREC3", "RREL6", source, pool_no)
 WHERE coalesce(a.n, 0) <> coalesce(b.n, 0)
 """
-)
+
+
+@query(DIFFERENCES)
 def input_output_diff(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return q.row_differences(_sound(spark, sf_dir), _damaged(spark, sf_dir))
+    return q.row_differences(sound(spark, sf_dir), damaged(spark, sf_dir))
 
 
 def _measured(source: str) -> str:
@@ -265,13 +267,13 @@ SELECT pool_no, count(*) AS rows, count(DISTINCT {keys}) AS unique_keys,
   count(DISTINCT "RREL3") AS d3, count(DISTINCT "RREC3") AS dc, count(DISTINCT "RREL6") AS d6,
   count(DISTINCT source) AS ds,
   sum({_DIGEST.format("coalesce(\"RREL3\", '')")}) AS loan,
-  sum({_DIGEST.format(_row_text("RREC3", "RREL3", "RREL6", "source"))}) AS whole
+  sum({_DIGEST.format(row_text_sql("RREC3", "RREL3", "RREL6", "source"))}) AS whole
 FROM ({source}) GROUP BY pool_no
 """
 
 
 _REPORT = f"""
-WITH a AS ({_measured(_SOUND)}), b AS ({_measured(_DAMAGED)}),
+WITH a AS ({_measured(SOUND_COPY)}), b AS ({_measured(DAMAGED_COPY)}),
 issues AS (SELECT coalesce(a.pool_no, b.pool_no) AS pool_no, a.rows AS rows_before,
   b.rows AS rows_after, a.unique_keys,
   CASE WHEN b.rows IS NULL THEN 'ONLY IN INPUT' WHEN a.rows IS NULL THEN 'ONLY IN OUTPUT' ELSE
@@ -293,7 +295,7 @@ FROM issues
 
 def _report(spark: SparkSession, sf_dir: str, pools: list[int] | None = None) -> DataFrame:
     report = q.integrity_report(
-        _sound(spark, sf_dir), _damaged(spark, sf_dir), ["pool_no"], groups=pools
+        sound(spark, sf_dir), damaged(spark, sf_dir), ["pool_no"], groups=pools
     )
     return report.withColumn("issues", F.array_join("issues", "; "))
 

@@ -10,6 +10,7 @@ from pyspark.sql.window import Window
 
 from poolweave.functions.columns import SORT_KEYS, col, cols
 from poolweave.operators.skew import key_condition
+from poolweave.operators.sketches import exact_distinct, value_counts
 
 # Fixed values.
 CHECKED_COLUMNS = ("RREL3", "RREC3", "RREL6", "RREL1", "source")
@@ -58,10 +59,11 @@ def distinct_values(
     approximate: bool = False,
 ) -> DataFrame:
     """Different values per column and group, as ``distinct_<column>``."""
-    count = F.approx_count_distinct if approximate else F.count_distinct
     available = [c for c in columns if c in df.columns and c not in group]
+    if not approximate:
+        return exact_distinct(df, group, {"distinct_" + c: col(c) for c in available})
     return df.groupBy(*cols(group)).agg(
-        *(count(col(c)).alias("distinct_" + c) for c in available)
+        *(F.approx_count_distinct(col(c)).alias("distinct_" + c) for c in available)
     )
 
 
@@ -211,21 +213,14 @@ def integrity_report(
     fields = sorted(c for c in shared if c not in group)
 
     def measured(df: DataFrame, prefix: str) -> DataFrame:
-        # Wide rows become two numbers first: the expansion for several distinct
-        # counts then repeats narrow rows only.
-        narrow = df.select(
-            *cols(group),
-            *cols(checked),
-            composite_key(keys).alias("__key"),
-            row_hash([keys[0]]).cast("decimal(38,0)").alias("__loan"),
-            row_hash(fields).cast("decimal(38,0)").alias("__row"),
-        )
-        found = narrow.groupBy(*cols(group)).agg(
-            F.count(F.lit(1)).alias("rows"),
-            F.sum("__loan").alias("loan_checksum"),
-            F.sum("__row").alias("row_checksum"),
-            F.count_distinct("__key").alias("unique_keys"),
-            *(F.count_distinct(col(c)).alias("distinct_" + c) for c in checked),
+        # One pass: a row's numbers are added up with its key, the first of its entries.
+        values = {"unique_keys": composite_key(keys), **{"distinct_" + c: col(c) for c in checked}}
+        sums = {"loan_checksum": row_hash([keys[0]]), "row_checksum": row_hash(fields)}
+        first, present = F.col("entry") == 0, F.col("value").isNotNull()
+        found = value_counts(df, group, values, sums).groupBy(*cols(group)).agg(
+            F.sum(F.when(first, F.col("copies"))).alias("rows"),
+            *(F.sum(n).alias(n) for n in sums),
+            *(F.count_if(present & (F.col("entry") == k)).alias(name) for k, name in enumerate(values)),
         )
         return found.withColumnsRenamed({c: prefix + c for c in found.columns})
 

@@ -7,6 +7,10 @@ to the others. Documents are read as overlapping windows of words, windows go in
 space and meet its passages by cosine. Each candidate is then checked for its longest common subsequence
 with the passage, and a looser, paraphrased one also for the passage's answer: its
 rarest words. Document frequencies are counted over all documents.
+
+A short item says too little for a cosine amid other words. Items of fewer than
+:data:`EXACT_WORDS` words are found as whole word sequences as well, those below
+:data:`LEAST_WORDS` in that way only.
 """
 
 from __future__ import annotations
@@ -19,10 +23,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_type
 
 from poolweave.llm.common import (
     Words,
     hashed_words,
+    mix,
+    random_odd,
     ranges,
     summed_counts,
     text_blocks,
@@ -33,7 +40,9 @@ from poolweave.session import materialize
 
 FREQUENCY_BITS = 20  # document frequencies by word hash: a million, whatever the corpus
 PASSAGE_WORDS = 64  # longer items are several passages
-LEAST_WORDS = 8  # shorter items are too common to be judged
+LEAST_WORDS = 8  # shorter items are matched as whole word sequences only
+EXACT_WORDS = 16  # and so are those below this, besides the search
+MAX_SHORT = 50_000  # short items held by a task at once; more are matched in several passes
 MAX_PASSAGES = 2000  # held by a task at once; more are searched in several passes
 RANK = 192  # about so many passages share a latent space, which has all their directions
 STEPS = 3
@@ -59,6 +68,54 @@ class Passages:
     answers: list[set]
 
 
+@dataclass
+class Short:
+    """Short items by number of words: sorted hashes of their word sequences."""
+
+    hashes: dict[int, np.ndarray]
+    owners: dict[int, list[list[int]]]  # items of each hash
+    words: list[np.ndarray]
+    item: list
+
+
+def _sequence_hashes(hashes: np.ndarray, size: int) -> np.ndarray:
+    """The hash of every ``size`` words in a row."""
+    keys = random_odd(size, 99)
+    rolled = np.zeros(max(0, len(hashes) - size + 1), np.uint64)
+    for k in range(size):
+        rolled += hashes[k : k + len(rolled)] * keys[k]
+    return mix(rolled)
+
+
+def _short_items(rows: list) -> Short:
+    """From (item_id, words)."""
+    words = [np.frombuffer(r["words"], np.uint64) for r in rows]
+    by_size: dict[int, dict[int, list[int]]] = {}
+    for k, w in enumerate(words):
+        by_size.setdefault(len(w), {}).setdefault(int(_sequence_hashes(w, len(w))[0]), []).append(k)
+    hashes = {n: np.array(sorted(found), np.uint64) for n, found in by_size.items()}
+    owners = {n: [by_size[n][int(h)] for h in hashes[n]] for n in hashes}
+    return Short(hashes, owners, words, [r["item_id"] for r in rows])
+
+
+def _exact_matches(words: Words, short: Short) -> list[tuple]:
+    """(row, item, first word) of the first place of each short item in each text."""
+    found = {}
+    for size, known in short.hashes.items():
+        rolled = _sequence_hashes(words.hashes, size)
+        place = np.minimum(np.searchsorted(known, rolled), len(known) - 1)
+        at = np.flatnonzero(known[place] == rolled)
+        row = np.searchsorted(words.first, at, "right") - 1
+        inside = at + size <= words.first[row + 1]
+        at, row = at[inside], row[inside]
+        _, firsts = np.unique(row * len(known) + place[at], return_index=True)
+        for a, r in zip(at[firsts].tolist(), row[firsts].tolist()):
+            for k in short.owners[size][place[a]]:
+                if np.array_equal(short.words[k], words.hashes[a : a + size]):
+                    found.setdefault((r, k), a - int(words.first[r]))
+    return [(r, short.item[k], first) for (r, k), first in found.items()]
+
+
 def _bucket(hashes: np.ndarray) -> np.ndarray:
     return (hashes >> np.uint64(64 - FREQUENCY_BITS)).astype(np.int64)
 
@@ -85,7 +142,7 @@ def _passages(benchmark: DataFrame) -> DataFrame:
             item, part, hashes = [], [], []
             for k, (a, b) in enumerate(zip(words.first, words.first[1:])):
                 n = b - a
-                if n < LEAST_WORDS:
+                if not n:
                     continue
                 pieces = -(-n // PASSAGE_WORDS)  # of about equal length
                 edges = [a + n * i // pieces for i in range(pieces + 1)]
@@ -216,12 +273,17 @@ def _windows(first: np.ndarray, squares: np.ndarray, known: np.ndarray, steps: i
     return owner[keep], begin[keep], last[keep], np.sqrt(weight[keep])
 
 
-def search_block(block: pa.RecordBatch, idf: np.ndarray, spaces: list[Passages]) -> list[tuple]:
-    """(row, item, cosine, common share, answer share, first word) of the matches."""
+def search_block(
+    block: pa.RecordBatch, idf: np.ndarray, spaces: list[Passages], short: Short | None = None
+) -> list[tuple]:
+    """(row, item, cosine, common share, answer share, first word, exact) of the matches."""
     words = hashed_words(*text_bytes(block.column("text")))
+    exact = _exact_matches(words, short) if short else []
+    found = [(row, item, 1.0, 1.0, 1.0, first, True) for row, item, first in exact]
+    if not spaces:
+        return found
     bucket = _bucket(words.hashes)
     weight = idf[bucket]
-    found = []
     for held in spaces:
         rows = held.rows[bucket]
         for (row, p), windows in _candidates(words, weight, rows, held).items():
@@ -237,7 +299,7 @@ def search_block(block: pa.RecordBatch, idf: np.ndarray, spaces: list[Passages])
                 stretch = set(text[at : at + int(np.ceil(SLACK * len(passage)))].tolist())
                 answer = len(held.answers[p] & stretch) / len(held.answers[p])
                 if share >= COPY or answer >= ANSWER_SHARE:
-                    found.append((row, held.item[p], cosine, share, answer, int(left + at - a)))
+                    found.append((row, held.item[p], cosine, share, answer, int(left + at - a), False))
                     break
     return found
 
@@ -262,24 +324,30 @@ def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """One row for each document (doc_id, text) and benchmark item (item_id, text) found in it.
 
     Returns doc_id, item_id, cosine, common (share of the passage's words in common
-    order), answer (share of its rarest words) and first_word of the best passage. Null
-    and empty texts, and items of fewer than 8 words, match nothing; a repeated row
-    gives its matches once. Rows without an id are searched, too; other columns are
-    ignored.
+    order), answer (share of its rarest words) and first_word of the best passage, and
+    ``exact`` where the item is there word for word: for items of fewer than 16 words,
+    the only way for those of fewer than 8. Null and empty texts match nothing; a
+    repeated row gives its matches once. Rows without an id are searched, too; other
+    columns are ignored; texts of any length are searched whole; an empty table on
+    either side gives none.
     """
     spark = docs.sparkSession
     docs = docs.select("doc_id", F.lower(whole_text()).alias("text"))
     items = benchmark.select("item_id", F.lower(whole_text()).alias("text"))
     # A passage is compared with windows that are not much longer than itself.
     scale = sum((F.octet_length("words") >= 8 * GRID * steps).cast("int") for steps in SCALES[1:])
-    passages = materialize(_passages(items).distinct().withColumn("scale", scale), "benchmark-passages")
+    every = materialize(_passages(items).distinct().withColumn("scale", scale), "benchmark-passages")
+    size = F.octet_length("words") / 8
+    passages = every.filter(size >= LEAST_WORDS)
+    brief = every.filter(size < EXACT_WORDS).select("item_id", "words").distinct()
     counts = {r["scale"]: r["count"] for r in passages.groupBy("scale").count().collect()}
     schema = T.StructType(
         [docs.schema["doc_id"], items.schema["item_id"]]
         + [T.StructField(c, T.DoubleType()) for c in ("cosine", "common", "answer")]
-        + [T.StructField("first_word", T.LongType())]
+        + [T.StructField("first_word", T.LongType()), T.StructField("exact", T.BooleanType())]
     )
-    if not counts:
+    brief_parts = -(-brief.count() // MAX_SHORT)
+    if not counts and not brief_parts:
         return spark.createDataFrame([], schema)
     idf = _idf(docs)
     weights = spark.sparkContext.broadcast(idf)
@@ -291,37 +359,40 @@ def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
         spaces += [(passages.filter((F.col("scale") == s) & (part_of == k)), SCALES[s]) for k in range(parts)]
     found = None
     at_once = MAX_PASSAGES // size
-    for k in range(0, len(spaces), at_once):
-        held = [_latent_space(some, idf, steps) for some, steps in spaces[k : k + at_once]]
+    brief_part = F.pmod(F.xxhash64("item_id", "words"), F.lit(max(1, brief_parts)))
+    for turn in range(max(-(-len(spaces) // at_once), brief_parts)):
+        held = [_latent_space(some, idf, steps) for some, steps in spaces[turn * at_once : (turn + 1) * at_once]]
         held = spark.sparkContext.broadcast([h for h in held if h])
-        matches = docs.mapInArrow(_search(weights, held, docs.schema["doc_id"], items.schema["item_id"]), schema)
+        rows = brief.filter(brief_part == turn).collect() if turn < brief_parts else []  # about MAX_SHORT
+        short = spark.sparkContext.broadcast(_short_items(rows) if rows else None)
+        search = _search(weights, held, short, docs.schema["doc_id"], items.schema["item_id"])
+        matches = docs.mapInArrow(search, schema)
         found = matches if found is None else found.unionAll(matches)
     best = F.max(F.struct("common", "cosine", "answer", (-F.col("first_word")).alias("first_word")))
-    return found.groupBy("doc_id", "item_id").agg(best.alias("best")).select(
+    return found.groupBy("doc_id", "item_id").agg(best.alias("best"), F.bool_or("exact").alias("exact")).select(
         "doc_id", "item_id", "best.cosine", "best.common", "best.answer",
-        (-F.col("best.first_word")).alias("first_word"),
+        (-F.col("best.first_word")).alias("first_word"), "exact",
     )
 
 
-def _search(weights, held, doc_field, item_field):
-    item_type = {"bigint": pa.int64(), "int": pa.int32(), "string": pa.string()}[
-        item_field.dataType.simpleString()
-    ]
+def _search(weights, held, short, doc_field, item_field):
+    item_type = to_arrow_type(item_field.dataType)
 
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for block in text_blocks(batches, "text"):
-            found = search_block(block, weights.value, held.value)
+            found = search_block(block, weights.value, held.value, short.value)
             if not found:
                 continue
-            row, item, cosine, common, answer, first = zip(*found)
+            row, item, cosine, common, answer, first, exact = zip(*found)
             yield pa.RecordBatch.from_arrays(
                 [
                     block.column("doc_id").take(pa.array(row, pa.int64())),
                     pa.array(item, item_type),
                     *(pa.array(v, pa.float64()) for v in (cosine, common, answer)),
                     pa.array(first, pa.int64()),
+                    pa.array(exact, pa.bool_()),
                 ],
-                ["doc_id", "item_id", "cosine", "common", "answer", "first_word"],
+                ["doc_id", "item_id", "cosine", "common", "answer", "first_word", "exact"],
             )
 
     return search

@@ -16,51 +16,37 @@ from pyspark.sql import functions as F
 BUCKETS = 8192
 SIZES = (3, 4, 5)  # characters of an n-gram
 MAX_LABELLED = 500  # the Gram matrix has this number squared of entries
-STEPS = 80
-RATE = 2.0
-DECAY = 0.01
-
-#: The labelled table of the query: ordinary and unwanted URLs.
-ALLOWED_URLS = """
-https://www.example.com/en/about
-https://blog.example.org/en/2021.html
-http://www.city-library.example.org/en/opening-hours
-https://news.example.com/de/1204
-https://m.weather.example.net/fr/today
-https://docs.software.example.com/en/install.html
-https://www.museum.example.org/fr/exposition/12
-http://recipes.example.net/en/337?page=2
-https://university.example.org/de/studium/
-https://blog.gardening.example.com/es/45.html
-https://www.thering.example.org/en/80125/
-https://m.tionsh.example.net/es/1065
-http://therth.example.com/fr/68416#top
-https://blog.ththan.example.org/de/960
-https://www.ertion.example.net/en/930.html
-http://m.ththble.example.com/en/163026?utm_source=feed
-https://therin.example.org/es/48?page=2&ref=x
-https://travel.example.com/es/madrid/
+STEPS = 400
+RATE = 4.0
+DECAY = 0.0005
+
+#: The words of the labelled table's hosts. No host of the test tables is among them.
+ORDINARY = """
+library weather museum recipes university gardening travel news software docs school hospital railway theatre
+music history science kitchen bakery bicycle camera council archive gallery orchestra football chess sailing
+climbing poetry physics chemistry maps hotel island forest village church market bookshop teacher nursery
+knitting cycling painting pottery cooking language grammar weekly monthly journal letters reader stories
+northern southern western eastern center there other those three thing another nation region station option
 """.split()
-BLOCKED_URLS = """
-http://ads-track.example.com/en/40021
-https://m.ads-track.example.net/click?id=3
-https://www.ads-track.example.org/fr/77
-http://casino-win.example.com/en/12
-https://www.casino-win.example.org/de/900/
-https://m.casino-win.example.net/jackpot
-https://spam-farm.example.org/en/728
-http://blog.spam-farm.example.com/es/11.html
-https://www.spam-farm.example.net/de/5
-http://adult-x.example.com/en/41
-https://m.adult-x.example.org/fr/3.html
-https://www.adult-x.example.net/video
-http://www.cheap-pills.example.com/en/450
-https://cheap-pills.example.org/fr/176/
-https://m.cheap-pills.example.net/buy
-http://free-bets.example.org/en/19
-https://www.free-bets.example.com/es/8
-https://blog.free-bets.example.net/odds
+UNWANTED = """
+poker roulette jackpot slots betting gambling wager sportsbook onlinecasino lottowin viagra pharmacy pills4you
+steroids tablets porn xxx cams nude escorts adultsonly malware phishing trojan spyware spammer linkfarm scam
+tracker tracking adserver popads banners payday loans replica fake torrent crack warez keygen freebies cheapest
 """.split()
+PATHS = ("/en/12", "/de/77/", "/fr/3.html", "/es/2021", "/about", "/index.html?page=2", "", "/en/40021?utm_source=feed")
+_FRONTS = ("www.", "", "m.", "blog.")
+_ENDS = (".example.com", ".example.org", ".example.net")
+
+
+def named_urls(words: list[str]) -> list[str]:
+    """URLs of hosts of one word, and of a word and its third neighbour."""
+    hosts = [h for k, w in enumerate(words) for h in (w, f"{w}-{words[(k + 3) % len(words)]}")]
+    return [
+        f"http://{_FRONTS[k % len(_FRONTS)]}{h}{_ENDS[k % len(_ENDS)]}{PATHS[k % len(PATHS)]}" for k, h in enumerate(hosts)
+    ]
+
+
+ALLOWED_URLS, BLOCKED_URLS = named_urls(ORDINARY), named_urls(UNWANTED)
 
 
 @dataclass(frozen=True)

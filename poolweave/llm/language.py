@@ -118,10 +118,13 @@ def train(docs: DataFrame) -> Machines:
     usable = (
         docs.filter(F.col("lang").isNotNull() & F.col("doc_id").isNotNull())
         .filter((remainder("doc_id", 5) != 0) & F.col("text").rlike(r"\p{L}"))
-        .filter(F.length("text") <= SAMPLE_CHARS)
     )
-    counts = {r["lang"]: r["count"] for r in usable.groupBy("lang").count().collect()}
+    short = F.length("text") <= SAMPLE_CHARS
+    found = usable.groupBy("lang").agg(F.count(F.lit(1)).alias("all"), F.count_if(short).alias("short")).collect()
+    # Long texts are left out of the sample only where their language has shorter ones.
+    counts = {r["lang"]: r["short"] or r["all"] for r in found}
     languages = sorted(counts)
+    usable = usable.filter(short | F.col("lang").isin([r["lang"] for r in found if not r["short"]]))
     if not languages:
         return Machines({}, {}, [])
     share = F.lit(0)

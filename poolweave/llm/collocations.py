@@ -93,7 +93,8 @@ def _ranked(spark: SparkSession, name: str, least: int, top: int) -> DataFrame:
         state = found.filter("shard IS NOT NULL").groupBy("shard").agg(
             F.collect_list(F.struct("n", "packed")).alias("phrases")  # of one shard
         )
-        found = summed(index.join(state, "shard").mapInArrow(_sent_phrases(parts), _SENT), _frequent_phrases)
+        # Hashed, not sorted: rows of an index are some megabytes each.
+        found = summed(index.join(state.hint("shuffle_hash"), "shard").mapInArrow(_sent_phrases(parts), _SENT), _frequent_phrases)
         new = found.filter("first_id IS NOT NULL").select("id", "a", "first_id", "last_id")
         known_parts = known.select(F.col("id").alias("part_id"), F.col("a").alias("part_a"), "lang", "phrase", "last", "firsts", "lasts")
         known = materialize(
@@ -175,6 +176,8 @@ def _shards(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             "forward": [index.forward.astype("<i4").tobytes()], "backward": [index.backward.astype("<i4").tobytes()],
         }
         made += 1
+        del text, words, index
+        pa.default_memory_pool().release_unused()
         return pa.RecordBatch.from_pydict(out)
 
     for block in text_blocks(batches, "text"):

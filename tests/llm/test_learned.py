@@ -117,3 +117,13 @@ def test_language_of_awkward_rows(spark, awkward, awkward_rows, nothing):
     unlabelled = awkward.withColumn("lang", F.lit(None).cast("string"))
     assert {r.lang_pred for r in language.identify(unlabelled).collect()} == {"und"}
     assert sentence(1, 3) == sentence(1, 3)
+
+
+def test_a_language_of_long_texts_only_is_learned(spark, make_docs, monkeypatch):
+    monkeypatch.setattr(language, "SAMPLE_CHARS", 300)
+    words = {"en": "the of and with this that from have", "xx": "zor vek mul tasi grun pelo wixi yuta"}
+    texts = [
+        (k, " ".join(words[x].split() * (4 if x == "en" else 20)), x, None, None) for k, x in enumerate(["en", "xx"] * 30)
+    ]
+    docs = spark.createDataFrame(texts, "doc_id long, text string, lang string, source string, n_chars long")
+    assert all(r.lang_pred == texts[r.doc_id][2] for r in language.identify(docs).collect())

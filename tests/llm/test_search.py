@@ -91,14 +91,25 @@ def test_urls(spark):
     assert urls.judge(pages.limit(0), urls.labelled_urls(spark)).count() == 0
 
 
+HELD_OUT = (
+    "viagra-discount malware-download phishing-login slots-poker xxx-video payday-loans fake-watches torrent-crack "
+    "casino-win free-bets ads-track spam-farm cheap-pills adult-x"
+).split()
+HARMLESS = "ththan tionsh therer ononth city-news river-school quiet-garden baker-street sunday-reader old-maps".split()
+
+
 def test_url_model(spark):
-    """It parts the labelled table, and new paths and subdomains of unwanted hosts."""
-    new = [(f"https://q{k}.{host}.example.com/xx/{k}", 1) for k, host in enumerate(("spam-farm", "casino-win", "cheap-pills", "ads-track"))]
-    new += [(f"https://q{k}.{host}.example.com/xx/{k}", 0) for k, host in enumerate(("thering", "library", "weather", "ononth"))]
-    every = [(u, 0) for u in urls.ALLOWED_URLS] + [(u, 1) for u in urls.BLOCKED_URLS] + new
+    """It parts the labelled table, and hosts whose names are not in it: nine of ten."""
+    known = [(u, 0) for u in urls.ALLOWED_URLS] + [(u, 1) for u in urls.BLOCKED_URLS]
+    assert not any(h in u for u, _ in known for h in HELD_OUT + HARMLESS)
+    new = [(f"https://q{k}.{h}.example.com/xx/{k}", int(h in HELD_OUT)) for k, h in enumerate(HELD_OUT + HARMLESS)]
+    every = known + new
     pages = spark.createDataFrame([(k, u) for k, (u, _) in enumerate(every)], "page_id long, url string")
     rows = urls.judge(pages, urls.labelled_urls(spark), rules=()).collect()
-    assert all((r.verdict == "block") == bool(every[r.page_id][1]) for r in rows)
+    right = [(r.verdict == "block") == bool(every[r.page_id][1]) for r in sorted(rows, key=lambda r: r.page_id)]
+    assert sum(right[: len(known)]) >= 0.97 * len(known)
+    found = right[len(known) :]
+    assert sum(found[: len(HELD_OUT)]) >= 0.9 * len(HELD_OUT) and all(found[len(HELD_OUT) :])
     none = spark.createDataFrame([(None, 1), ("https://a.b", None)], "url string, blocked int")
     assert set(urls.train(none)) == {0.0}
     with pytest.raises(ValueError):
@@ -172,3 +183,29 @@ def test_copies_of_many_items(spark, make_docs):
     bench = spark.createDataFrame(list(items.items()), "item_id long, text string")
     found = decontaminate.contaminated(make_docs(texts), bench).collect()
     assert {(r.doc_id, r.item_id) for r in found} == {(k, k) for k in texts}
+
+
+def test_short_items_are_whole_sequences(spark, make_docs):
+    """Every verbatim copy of an item of 1 to 15 words, and nothing that is not there."""
+    rng = random.Random(8)
+    items = {k: " ".join(f"q{k}x{rng.randrange(9)}" for _ in range(1 + k % 15)) for k in range(60)}
+    items |= {90: items[20], 91: "Twice  SAID", 92: None, 93: " ", 94: "never in any text"}
+    texts = {}
+    for k, item in items.items():
+        words = [f"w{rng.randrange(5000)}" for _ in range(rng.randrange(80))]
+        at = rng.randrange(len(words) + 1)
+        texts[k] = " ".join(words[:at] + ([item.upper()] if item and k < 92 else []) + words[at:])
+    texts |= {200: "twice said twice\tsaid", 201: "twicesaid twice", 202: "never in any", 203: "text", 204: None}
+    bench = spark.createDataFrame(list(items.items()), "item_id long, text string")
+    rows = decontaminate.contaminated(make_docs(texts), bench).collect()
+    found = {(r.doc_id, r.item_id) for r in rows}
+    expected = {
+        (d, k)
+        for d, t in texts.items() for k, item in items.items()
+        if item and item.split() and f" {' '.join(item.lower().split())} " in f" {' '.join((t or '').lower().split())} "
+    }
+    assert found >= expected and {(k, k) for k in range(60)} <= found
+    assert all(pair in expected for pair in found if len(items[pair[1]].split()) < decontaminate.LEAST_WORDS)
+    assert all(r.exact for r in rows if (r.doc_id, r.item_id) in expected)
+    [twice] = [r for r in rows if r.doc_id == 200]
+    assert (twice.item_id, twice.first_word, twice.common) == (91, 0, 1.0)

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from poolweave.functions.columns import (
@@ -113,14 +113,18 @@ def pair_files(files: DataFrame) -> DataFrame:
     sequence counts, then the last name.
     """
     key = ["asset_type", "identifier", "date"]
-    recency = F.struct(F.col("sequence").cast("decimal(38,0)"), F.col("name"))
-    collateral = (
-        files.filter(F.col("category") == "Collateral")
-        .groupBy(*key)
-        .agg(F.max_by("name", recency).alias("collateral_name"))
+    # One pass over the names: a join would take each of them apart again on both sides,
+    # and for every key once more in the filters for missing ones. Names of another form
+    # stay apart by themselves.
+    same = Window.partitionBy(*key, F.when(F.col("category").isNull(), F.col("name")))
+    recency = F.struct(F.col("sequence").cast("decimal(38,0)").alias("sequence"), F.col("name").alias("name"))
+    latest = F.max(F.when(F.col("category") == "Collateral", recency)).over(same)
+    return (
+        files.select(*key, "category", "name", "sequence")
+        .withColumn("__latest", latest)
+        .filter((F.col("category") == "UE") & F.col("__latest").isNotNull())
+        .select(*key, F.col("name").alias("ue_name"), F.col("__latest.name").alias("collateral_name"))
     )
-    loans = files.filter(F.col("category") == "UE").select(*key, F.col("name").alias("ue_name"))
-    return loans.join(collateral, key)
 
 
 def success_by_type(statistics: DataFrame) -> DataFrame:

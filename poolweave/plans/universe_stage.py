@@ -13,6 +13,7 @@ from poolweave.operators.columns import union_aligned
 from poolweave.operators.mapping import mark_ecb, mark_esma, prepare_ecb, prepare_esma
 from poolweave.operators.pools import classify_pools, overlap_report, pending
 from poolweave.operators.prefer import prefer_source
+from poolweave.operators.quality import row_hash
 from poolweave.operators.skew import lookup_join
 from poolweave.session import materialize
 from poolweave.sources.manifest import (
@@ -145,6 +146,30 @@ def universe(
     return prefer_source(panel, POOL, overlap_pools=chosen).drop("date_ym")
 
 
+def pool_signatures(ecb: DataFrame, esma: DataFrame, mapping: DataFrame) -> DataFrame:
+    """``pool_id`` (as written), ``bucket`` and a ``signature`` of the rows each pool is made of.
+
+    The signature adds up row hashes, so it changes with every file that arrives, goes or
+    is replaced, and not with the order of files.
+    """
+
+    def summed(rows: DataFrame, own_id: str) -> DataFrame:
+        fields = sorted(c for c in rows.columns if c not in ("pool_id", "block_start", "row_place"))
+        total = F.sum(row_hash(fields).cast("decimal(38,0)")).cast("string")
+        return rows.groupBy(F.col("pool_id").alias(own_id)).agg(F.concat_ws("x", F.count(F.lit(1)), total).alias(f"__{own_id}"))
+
+    pools = classify_pools(ecb.select("pool_id"), esma.select("pool_id"), mapping)
+    written = safe_pool_id(F.coalesce("ecb_pool_id", "esma_pool_id")).alias("pool_id")
+    parts = [F.coalesce(f"__{own_id}", F.lit("-")) for own_id in ("ecb_pool_id", "esma_pool_id")]
+    joined = pools.join(summed(ecb, "ecb_pool_id"), "ecb_pool_id", "left").join(
+        summed(esma, "esma_pool_id"), "esma_pool_id", "left"
+    )
+    # A pool mapped twice is written once, with the rows of both.
+    return joined.select(written, "bucket", F.concat_ws("/", *parts).alias("__part")).groupBy("pool_id", "bucket").agg(
+        F.array_join(F.array_sort(F.collect_list("__part")), "+").alias("signature")
+    )
+
+
 def _with_pool(rows: DataFrame, pools: DataFrame, own_id: str) -> DataFrame:
     """Attach the pool's ids and bucket; a pool mapped twice repeats its rows."""
     known = pools.filter(F.col(own_id).isNotNull())

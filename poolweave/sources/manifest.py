@@ -24,6 +24,7 @@ from poolweave.operators.skew import lookup_join
 
 # Stores whose files the Python side of a task can open by itself.
 OPENED_BY_TASKS = ("file", "hdfs", "s3", "s3a", "gs")
+OTHER_NAME, EMPTY_FILE = "Name of another form", "Empty file"
 HEADER_PIECE = 64 * 1024
 COMPRESSIONS = {"gz": "gzip", "bz2": "bz2"}
 
@@ -53,6 +54,28 @@ def merged_esma_files(spark: SparkSession, folder: str) -> DataFrame:
     return list_files(spark, folder, "*.csv").withColumn("pool_id", esma_pool_id(F.col("name")))
 
 
+def unread_files(spark: SparkSession, folder: str, name_pattern: str) -> DataFrame:
+    """``path, name, error`` of the files of a folder that no stage reads.
+
+    Names of another form, and files of no bytes: a listing leaves those out, so they are
+    what the index of the folder has beyond it.
+    """
+    listing = (
+        spark.read.format("binaryFile").option("recursiveFileLookup", True).load(folder)
+    )
+    listed = listing.select("path", base_name(F.col("path")).alias("name"))
+    other = listed.filter(~F.col("name").rlike(name_pattern)).withColumn("error", F.lit(OTHER_NAME))
+    # The index is on the driver anyhow; only its names travel.
+    every = spark.createDataFrame([(p,) for p in listing.inputFiles()], "uri string").select(
+        decoded(F.col("uri")).alias("path")
+    )
+    empty = every.withColumn("__file", base_path(F.col("path"))).join(
+        listed.select(base_path(F.col("path")).alias("__file")), "__file", "left_anti"
+    )
+    empty = empty.select("path", base_name(F.col("path")).alias("name"), F.lit(EMPTY_FILE).alias("error"))
+    return other.unionByName(empty)
+
+
 def with_headers(files: DataFrame, paths: str | Sequence[str], pattern: str = "*") -> DataFrame:
     """Add the raw ``header_line`` of each file; null for a file without one.
 

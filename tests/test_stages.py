@@ -184,6 +184,37 @@ def test_resume(spark, tmp_path):
     assert kept <= files(outputs.pools, "pool_id=EA") | files(outputs.sorted, "country=FR")
 
 
+def test_resume_reads_new_and_changed_files_of_finished_pools(spark, tmp_path):
+    inputs, outputs = raw_tree(tmp_path), full_run.Outputs(str(tmp_path / "out"))
+    (Path(inputs.ecb_folder) / "empty_2020.gz").write_bytes(b"")
+    (Path(inputs.ecb_folder) / "notes.txt").write_text("x")
+    full_run.run(spark, inputs, outputs, overlap_pools=["EA"])
+    lost = {("1_RMB_UE_POOLE", "Name of another form")}
+    unread = rows(read_statistics(spark, outputs.path("esma_quarantine")), "name", "error")
+    assert {(n[:14].replace("2_", "1_", 1), e) for n, e in unread} == lost
+    quarantine = dict(rows(read_statistics(spark, outputs.path("quarantine")), "path", "error"))
+    assert {p.rsplit("/", 1)[1]: e for p, e in quarantine.items()} == {
+        "EA_damaged.gz": "CRC check failed", "EB_junk.gz": "Not a gzipped file",
+        "empty_2020.gz": "Empty file", "notes.txt": "Name of another form",
+    }
+    summary = rows(read_statistics(spark, outputs.path("universe_summary")), "bucket", "pools", "finished", "files")
+    assert [s[:3] for s in summary] == [("ecb_only", 1, 1), ("esma_only", 1, 1), ("matched", 1, 1)]
+
+    def stored(path: str, pattern: str) -> set[str]:
+        return {str(p) for p in Path(path).rglob(f"{pattern}/part-*")}
+
+    kept = stored(outputs.pools, "pool_id=POOLB") | stored(outputs.sorted, "country=PT")
+    # A new file of a finished pool, and another file with other rows of the same number.
+    (Path(inputs.ecb_folder) / "EA_2020-07.gz").write_bytes(gzip.compress(b"AR1,AR2\n2020-07-15,NEW\n"))
+    (Path(inputs.ecb_folder) / "RMBMES01_2020-01.gz").write_bytes(gzip.compress(b"AR1,AR2\n2020-01-15,X2\n"))
+    full_run.run(spark, inputs, outputs, overlap_pools=["EA"], resume=True)
+    result = spark.read.parquet(outputs.sorted)
+    assert ("NEW",) in rows(result.filter("country = 'FR'"), "RREL3")
+    assert rows(result.filter("country = 'ES'"), "RREL3") == [("X2",)]
+    assert result.count() == 11
+    assert kept == stored(outputs.pools, "pool_id=POOLB") | stored(outputs.sorted, "country=PT")
+
+
 def test_list_of_overlap_pools(spark, tmp_path):
     inputs, outputs = raw_tree(tmp_path), full_run.Outputs(str(tmp_path / "out"))
     full_run.run_collateral(spark, inputs, outputs)

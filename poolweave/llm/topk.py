@@ -1,7 +1,8 @@
 """Exact top-k search by distributed selection in score histograms.
 
-All queries are scored against all vectors, block by block, several times over. Each
-round counts every query's scores in the bins of its present interval; the bin with the
+All queries are scored against all vectors, block by block, several times over. The
+vectors are written once and stay where they are read; queries come to them in groups of
+a bounded size, and each group goes through all rounds. Each round counts every query's scores in the bins of its present interval; the bin with the
 k-th highest score becomes the next interval, until a bin is a single score. A last
 round keeps what reaches that score, the smallest ids first among equal ones.
 
@@ -19,11 +20,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from poolweave.session import materialize
+from poolweave.session import materialize, scratch_path
 
 SCALE = 256
 BLOCK = 2048  # vectors of a block, of queries and of candidates
 BINS = 1024
+GROUP = 8  # query blocks that are sent to all tasks at once: some 8 MB at 64 components
 EXACT = float(1 << 53)  # up to here products of doubles are exact whole numbers
 _LOWEST, _HIGHEST = -(2**63), 2**63 - 1
 
@@ -112,47 +114,57 @@ def top_k(embeddings: DataFrame, k: int = 5, query_every: int = 50) -> DataFrame
     """
     spark = embeddings.sparkSession
     vectors = whole_vectors(embeddings)
-    tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
     candidates = materialize(_blocks(vectors), "candidate-blocks")
     is_query = F.pmod("vec_id", F.lit(query_every)) == 0
-    queries = materialize(_blocks(vectors.filter(is_query)), "query-blocks").select(
-        F.col("block").alias("q_block"), *(F.col(c).alias(f"q_{c}") for c in ("ids", "matrix", "width", "n", "norm"))
-    )
-    # Each block of the stated query set meets each block of candidates.
-    numbers = [r["q_block"] for r in queries.select("q_block").collect()]  # one per 2048 queries
+    queries = materialize(_blocks(vectors.filter(is_query)), "query-blocks")
+    numbers = sorted(r["block"] for r in queries.select("block").collect())  # one per 2048 queries
+    schema = "query_id long, rank int, vec_id long, score long"
     if not numbers:
-        return spark.createDataFrame([], "query_id long, rank int, vec_id long, score long")
-    meetings = candidates.withColumn("q_block", F.explode(F.array(*map(F.lit, numbers))))
-    top = meetings.agg(F.max("norm")).first()[0]  # of no vector, none
-    reach = int(min(top * top + 1, 2.0**62)) if top is not None else 1
-
-    def round_of(intervals: DataFrame | None, work, schema: str) -> DataFrame:
-        """Blocks that meet, with the intervals of the block's queries."""
-        asked = queries if intervals is None else queries.join(intervals, "q_block")
-        pairs = meetings.repartition(tasks, "block", "q_block").join(asked, "q_block")
-        return pairs.mapInArrow(work, schema)
-
+        return spark.createDataFrame([], schema)
+    top = candidates.agg(F.max("norm")).first()[0]
+    reach = int(min(top * top + 1, 2.0**62))
+    path = scratch_path(spark, "top-k")
+    for first in range(0, len(numbers), GROUP):
+        group = queries.filter(F.col("block").isin(numbers[first : first + GROUP]))
+        _top_of_group(candidates, group, k, reach).write.mode("append").parquet(path)
+    return spark.read.schema(schema).parquet(path)
+
+
+def _top_of_group(candidates: DataFrame, group: DataFrame, k: int, reach: int) -> DataFrame:
+    """The k best of at most :data:`GROUP` blocks of queries, which every task holds."""
+    spark = candidates.sparkSession
+    held = [
+        (np.frombuffer(r["ids"], np.int64), _matrix(bytes(r["matrix"]), r["n"], r["width"]))
+        for r in group.select("ids", "matrix", "n", "width").collect()
+    ]
+    asked = spark.sparkContext.broadcast(held)
     low, high = -reach, reach + 1
     levels, width = [], high - low
     while width > 1:
         width = -(-width // BINS)
         levels.append(width)
-    found = None
+    found, intervals = None, None
     for level, span in zip(levels, [high - low, *levels]):
-        counted = round_of(found and _packed(found), _counting(k, level, span, low), "q_block long, query_id long, bin long, n long")
-        found = materialize(_kth_bin(counted, k, level, low, found), "score-interval")
-    kept = round_of(_packed(found), _keeping(k), "query_id long, vec_id long, score long")
+        work = _counting(asked, intervals, k, level, span, low)
+        counted = candidates.mapInArrow(work, "query_id long, bin long, n long")
+        found = _kth_bin(counted, k, found)
+        place = {r["query_id"]: (r["start"], r["above"]) for r in found.collect()}  # one for each query of the group
+        found = spark.createDataFrame([(q, *v) for q, v in place.items()], "query_id long, start long, above long")
+        intervals = spark.sparkContext.broadcast(
+            [np.array([place.get(i, (_HIGHEST, 0)) for i in ids.tolist()], np.int64).reshape(-1, 2) for ids, _ in held]
+        )
+    kept = candidates.mapInArrow(_keeping(asked, intervals, k), "query_id long, vec_id long, score long")
     order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     ranked = kept.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k)
     return ranked.select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score")
 
 
-def _kth_bin(counted: DataFrame, k: int, level: int, low: int, before: DataFrame | None) -> DataFrame:
+def _kth_bin(counted: DataFrame, k: int, before: DataFrame | None) -> DataFrame:
     """For each query the interval of the k-th best score and how many lie above it.
 
     A query with fewer than k scores keeps its lowest bin.
     """
-    total = counted.groupBy("q_block", "query_id", "bin").agg(F.sum("n").alias("n"))
+    total = counted.groupBy("query_id", "bin").agg(F.sum("n").alias("n"))
     down = Window.partitionBy("query_id").orderBy(F.desc("bin"))
     if before is None:
         above = F.lit(0).cast("long")
@@ -167,87 +179,66 @@ def _kth_bin(counted: DataFrame, k: int, level: int, low: int, before: DataFrame
         "chosen", F.coalesce(F.min(F.when(F.col("upto") >= k, F.col("place"))).over(last), F.max("place").over(last))
     ).filter(F.col("place") == F.col("chosen"))
     return chosen.select(
-        "q_block", "query_id", F.col("bin").alias("start"), (F.col("upto") - F.col("n")).alias("above")
+        "query_id", F.col("bin").alias("start"), (F.col("upto") - F.col("n")).alias("above")
     )
 
 
-def _packed(found: DataFrame) -> DataFrame:
-    """The intervals of each query block in one row, at most one per query of the block."""
-    item = F.struct("query_id", "start", "above")
-    return found.groupBy("q_block").agg(F.sort_array(F.collect_list(item)).alias("intervals"))
+def _meetings(batches: Iterator[pa.RecordBatch], asked, intervals):
+    """Ids of a query block and of a block of vectors, their scores, which pairs are one
+    vector with itself, and the starts and counts of the queries' intervals."""
+    for batch in batches:
+        for row in range(batch.num_rows):
+            get = lambda name: batch.column(name)[row].as_py()
+            ids, matrix = np.frombuffer(get("ids"), np.int64), _matrix(get("matrix"), get("n"), get("width"))
+            for place, (q_ids, queries) in enumerate(asked.value):
+                starts, above = intervals.value[place].T if intervals is not None else (None, None)
+                yield q_ids, ids, scores(queries, matrix), q_ids[:, None] == ids[None, :], starts, above
 
 
-def _meet(batch: pa.RecordBatch, row: int):
-    """Ids, scores (own id masked out) and intervals of one meeting of blocks."""
-    get = lambda name: batch.column(name)[row].as_py()
-    q_ids, ids = (np.frombuffer(get(c), np.int64) for c in ("q_ids", "ids"))
-    s = scores(
-        _matrix(get("q_matrix"), get("q_n"), get("q_width")),
-        _matrix(get("matrix"), get("n"), get("width")),
-    )
-    own = q_ids[:, None] == ids[None, :]
-    starts = above = None
-    if "intervals" in batch.schema.names:
-        items = get("intervals")
-        place = {x["query_id"]: x for x in items}
-        starts = np.array([place[i]["start"] if i in place else _HIGHEST for i in q_ids.tolist()])
-        above = np.array([place[i]["above"] if i in place else 0 for i in q_ids.tolist()])
-    return get("q_block"), q_ids, ids, s, own, starts, above
-
-
-def _counting(k: int, level: int, span: int, low: int):
+def _counting(asked, intervals, k: int, level: int, span: int, low: int):
     """Work that counts scores by bins of ``level``, from the block's k-th best up.
 
     ``span`` is the width of the intervals of the round before.
-   """
+    """
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for row in range(batch.num_rows):
-                block, q_ids, _, s, own, starts, _ = _meet(batch, row)
-                inside = ~own
-                if starts is not None:
-                    # scores above the interval are counted already
-                    inside &= (s >= starts[:, None]) & (s - starts[:, None] < span)
-                s = np.where(inside, s, _LOWEST)
-                if s.shape[1] > k:
-                    best = np.partition(s, s.shape[1] - k, axis=1)[:, s.shape[1] - k :]
-                    floor = best.min(1)
-                else:
-                    floor = np.full(len(s), _LOWEST)
-                origin = np.full(len(s), low) if starts is None else starts
-                floor_bin = np.where(floor == _LOWEST, 0, (floor - origin) // level)
-                least = np.where(floor == _LOWEST, _LOWEST + 1, origin + floor_bin * level)
-                q, c = np.nonzero(s >= least[:, None])
-                bins = (s[q, c] - origin[q]) // level
-                keys, n = np.unique(np.stack([q, bins]), axis=1, return_counts=True)
-                yield pa.RecordBatch.from_pydict(
-                    {
-                        "q_block": np.full(len(n), block),
-                        "query_id": q_ids[keys[0]],
-                        "bin": origin[keys[0]] + keys[1] * level,
-                        "n": n,
-                    }
-                )
+        for q_ids, _, s, own, starts, _ in _meetings(batches, asked, intervals):
+            inside = ~own
+            if starts is not None:
+                # scores above the interval are counted already
+                inside &= (s >= starts[:, None]) & (s - starts[:, None] < span)
+            s = np.where(inside, s, _LOWEST)
+            if s.shape[1] > k:
+                best = np.partition(s, s.shape[1] - k, axis=1)[:, s.shape[1] - k :]
+                floor = best.min(1)
+            else:
+                floor = np.full(len(s), _LOWEST)
+            origin = np.full(len(s), low) if starts is None else starts
+            floor_bin = np.where(floor == _LOWEST, 0, (floor - origin) // level)
+            least = np.where(floor == _LOWEST, _LOWEST + 1, origin + floor_bin * level)
+            q, c = np.nonzero(s >= least[:, None])
+            bins = (s[q, c] - origin[q]) // level
+            keys, n = np.unique(np.stack([q, bins]), axis=1, return_counts=True)
+            yield pa.RecordBatch.from_pydict(
+                {"query_id": q_ids[keys[0]], "bin": origin[keys[0]] + keys[1] * level, "n": n}
+            )
 
     return work
 
 
-def _keeping(k: int):
+def _keeping(asked, intervals, k: int):
     """Work that keeps scores above the k-th, and of those equal to it the first ids."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for row in range(batch.num_rows):
-                _, q_ids, ids, s, own, starts, above = _meet(batch, row)
-                s = np.where(own, _LOWEST, s)
-                q, c = np.nonzero((s > starts[:, None]) & ~own)
-                eq, ec = np.nonzero((s == starts[:, None]) & ~own)
-                order = np.lexsort((ids[ec], eq))
-                eq, ec = eq[order], ec[order]
-                rank = np.arange(len(eq)) - np.searchsorted(eq, eq)
-                some = rank < k - above[eq]
-                q, c = np.append(q, eq[some]), np.append(c, ec[some])
-                yield pa.RecordBatch.from_pydict({"query_id": q_ids[q], "vec_id": ids[c], "score": s[q, c]})
+        for q_ids, ids, s, own, starts, above in _meetings(batches, asked, intervals):
+            s = np.where(own, _LOWEST, s)
+            q, c = np.nonzero((s > starts[:, None]) & ~own)
+            eq, ec = np.nonzero((s == starts[:, None]) & ~own)
+            order = np.lexsort((ids[ec], eq))
+            eq, ec = eq[order], ec[order]
+            rank = np.arange(len(eq)) - np.searchsorted(eq, eq)
+            some = rank < k - above[eq]
+            q, c = np.append(q, eq[some]), np.append(c, ec[some])
+            yield pa.RecordBatch.from_pydict({"query_id": q_ids[q], "vec_id": ids[c], "score": s[q, c]})
 
     return work

@@ -44,6 +44,30 @@ def test_top_k(spark, monkeypatch, k, every):
     assert wide <= len(small)
 
 
+def test_vectors_stay_where_they_are(spark, monkeypatch):
+    """What is shuffled does not grow with the blocks of queries, and no plan joins blocks."""
+    rng = np.random.default_rng(3)
+    rows = [(int(i), [float(v) for v in rng.normal(size=8)]) for i in range(640)]
+    frame = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    seen = []
+
+    def counted(candidates, group, k, reach, top=topk._top_of_group):
+        result = top(candidates, group, k, reach)
+        plan = result._jdf.queryExecution().optimizedPlan().toString()
+        assert "Join" not in plan and "matrix" not in plan.split("MapInArrow")[0]
+        seen.append(group.count())
+        return result
+
+    monkeypatch.setattr(topk, "_top_of_group", counted)
+    monkeypatch.setattr(topk, "BLOCK", 16)
+    results = []
+    for size in (1, 8):
+        monkeypatch.setattr(topk, "GROUP", size)
+        results.append({tuple(r) for r in topk.top_k(frame, 5, 8).collect()})
+    assert results[0] == results[1] == brute_top(rows, 5, 8)
+    assert max(seen[:-1]) <= 8 and sum(seen) >= 10
+
+
 def test_top_k_of_nothing(spark):
     empty = spark.createDataFrame([], "vec_id long, embedding array<float>")
     assert topk.top_k(empty).count() == 0

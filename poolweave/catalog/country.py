@@ -8,7 +8,14 @@ from pyspark.sql import functions as F
 from poolweave.catalog import views as v
 from poolweave.catalog.registry import query
 from poolweave.operators.columns import align, header_union
-from poolweave.operators.country import country_statistics, detect_country, first_rows
+from poolweave.operators.country import (
+    country_evidence,
+    country_of_evidence,
+    country_statistics,
+    detect_country,
+    first_rows,
+    merged_evidence,
+)
 from poolweave.operators.skew import lookup_join
 from poolweave.session import materialize
 
@@ -37,6 +44,15 @@ def country_detect(spark: SparkSession, sf_dir: str) -> DataFrame:
     return detect_country(v.geography(spark, sf_dir), sample_rows=None)
 
 
+@query(_detected(v.GEOGRAPHY))
+def country_of_merged_evidence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same from the stored evidence of early rows and that of rows that came later."""
+    rows = v.geography(spark, sf_dir)
+    late = F.col("position") % 3 == 0
+    stored = [materialize(country_evidence(rows.filter(c)), "evidence") for c in (~late, late)]
+    return country_of_evidence(merged_evidence(stored))
+
+
 _FIRST_THREE = f"""
 SELECT * FROM ({v.GEOGRAPHY})
 QUALIFY row_number() OVER (PARTITION BY pool_id ORDER BY position) <= 3

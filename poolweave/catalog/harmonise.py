@@ -17,6 +17,9 @@ from poolweave.operators.mapping import (
 from poolweave.operators.pools import (
     classify_pools,
     large_pools,
+    merged_bits,
+    month_bits,
+    overlap_of_bits,
     overlap_report,
     pending,
     pool_sizes,
@@ -24,7 +27,7 @@ from poolweave.operators.pools import (
 )
 from poolweave.operators.prefer import prefer_source, removal_report
 from poolweave.plans.universe_stage import universe
-from poolweave.session import scratch_path
+from poolweave.session import materialize, scratch_path
 from poolweave.streaming.incremental import process_available
 
 MATCHED_POOLS = [0, 1, 2, 3, 4, 5]
@@ -109,18 +112,28 @@ def dedup_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return removal_report(v.panel(spark, sf_dir), ["pool_no"])
 
 
-@query(
-    f"""
+_OVERLAP = f"""
 WITH keys AS (SELECT DISTINCT pool_no, date_ym, source FROM ({v.PANEL}))
 SELECT a.pool_no, count(*) AS months, min(a.date_ym) AS first_month, max(a.date_ym) AS last_month
 FROM keys a JOIN keys b ON a.pool_no = b.pool_no AND a.date_ym = b.date_ym
 WHERE a.source = 'ECB' AND b.source = 'ESMA' GROUP BY a.pool_no
 """
-)
+
+
+@query(_OVERLAP)
 def overlap_months(spark: SparkSession, sf_dir: str) -> DataFrame:
     return overlap_report(v.panel(spark, sf_dir), ["pool_no"])
 
 
+@query(_OVERLAP)
+def overlap_months_of_bits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same from stored bits of two parts of the panel."""
+    panel = v.panel(spark, sf_dir)
+    parts = [month_bits(panel.filter(c), ["pool_no"]) for c in ("l_partkey % 2 = 0", "l_partkey % 2 <> 0")]
+    states = materialize(parts[0].unionAll(parts[1]), "month-bits")
+    return overlap_of_bits(merged_bits(states, ["pool_no"]), ["pool_no"])
+
+
 @query(
     f"""
 WITH keys AS (SELECT DISTINCT pool_no, "RREL3", source FROM ({v.PANEL}))

@@ -105,13 +105,67 @@ def detect_country(
             for c, value in levels.items()
         ),
     )
-    country = F.coalesce(
-        *cols(evidence), pool_id_country(col(pool[0]).cast("string")), F.lit(UNKNOWN_COUNTRY)
-    )
+    country = _decided(cols(evidence), col(pool[0]), aliases)
+    return found.select(*cols(pool), country.alias("country"))
+
+
+def _decided(values: Sequence[Column], pool_id: Column, aliases: Mapping[str, str] | None) -> Column:
+    """The strongest value there is, then the pool id, then ``UNKNOWN``."""
+    country = F.coalesce(*values, pool_id_country(pool_id.cast("string")), F.lit(UNKNOWN_COUNTRY))
     if aliases:
         names = F.create_map(*(F.lit(x) for pair in aliases.items() for x in pair))
         country = F.coalesce(names[country], country)
-    return found.select(*cols(pool), country.alias("country"))
+    return country
+
+
+def country_evidence(
+    df: DataFrame,
+    pool: Sequence[str] = ("pool_id",),
+    order: Sequence[str] = ("position",),
+    *,
+    exclude_no_data_everywhere: bool = False,
+) -> DataFrame:
+    """``pool…, evidence``: per evidence column its first usable value and where it stands.
+
+    What a country depends on, in one row per pool. It can be stored and merged with the
+    evidence of rows that arrive later (:func:`merged_evidence`), so that old rows need
+    not be read again. ``order`` columns must have the same types every time.
+    """
+    place = F.struct(*cols(order))
+    found = df.groupBy(*cols(pool)).agg(
+        *(
+            F.min(F.when(value.isNotNull(), F.struct(place.alias("place"), value.alias("value")))).alias(c)
+            for c in EVIDENCE
+            if c in df.columns
+            for value in (_reading(c, exclude_no_data_everywhere),)
+        )
+    )
+    missing = F.lit(None).cast(_evidence_type(df, order))
+    columns = [col(c) if c in found.columns else missing for c in EVIDENCE]
+    return found.select(*cols(pool), F.struct(*(v.alias(c) for c, v in zip(EVIDENCE, columns))).alias("evidence"))
+
+
+def _evidence_type(df: DataFrame, order: Sequence[str]) -> str:
+    places = ", ".join(f"`{c}`: {df.schema[c].dataType.simpleString()}" for c in order)
+    return f"struct<place: struct<{places}>, value: string>"
+
+
+def merged_evidence(states: Sequence[DataFrame], pool: Sequence[str] = ("pool_id",)) -> DataFrame:
+    """One state of several: of each column the value that stands first."""
+    both = states[0]
+    for state in states[1:]:
+        both = both.unionByName(state)
+    return both.groupBy(*cols(pool)).agg(
+        F.struct(*(F.min(F.col("evidence")[c]).alias(c) for c in EVIDENCE)).alias("evidence")
+    )
+
+
+def country_of_evidence(
+    state: DataFrame, pool: Sequence[str] = ("pool_id",), *, aliases: Mapping[str, str] | None = None
+) -> DataFrame:
+    """``pool…, country``, as :func:`detect_country` finds it from all rows."""
+    values = [F.col("evidence")[c]["value"] for c in EVIDENCE]
+    return state.select(*cols(pool), _decided(values, col(pool[0]), aliases).alias("country"))
 
 
 def country_statistics(index: DataFrame) -> DataFrame:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from poolweave.functions.columns import cols
@@ -95,6 +95,57 @@ def overlap_report(
     )
 
 
+WORD_MONTHS = 64
+
+
+def month_bits(
+    panel: DataFrame, pool: Sequence[str], month: str = "date_ym", source: str = "source"
+) -> DataFrame:
+    """``pool…, word, ecb, esma``: the months each source reports, as bits.
+
+    A word holds 64 months, so a row stands for five years of a pool. The state can be
+    stored and merged with that of new rows (:func:`merged_bits`). Texts that are no
+    month (``YYYY-MM``) are left out.
+    """
+    is_month = F.col(month).rlike(r"^\d{4}-(0[1-9]|1[0-2])$")
+    number = F.substring(month, 1, 4).cast("int") * 12 + F.substring(month, 6, 2).cast("int") - 1
+    placed = panel.filter(is_month).select(*cols(pool), F.col(source).alias("__source"), number.alias("__month"))
+    word = F.floor(F.col("__month") / WORD_MONTHS).cast("int").alias("word")
+    # A shift by a column: one long with the month's bit.
+    bit = F.call_function("shiftleft", F.lit(1).cast("long"), F.col("__month") % WORD_MONTHS)
+    return placed.groupBy(*cols(pool), word).agg(
+        *(
+            F.coalesce(F.bit_or(F.when(F.col("__source") == s, bit)), F.lit(0).cast("long")).alias(name)
+            for s, name in ((ECB, "ecb"), (ESMA, "esma"))
+        )
+    )
+
+
+def merged_bits(states: DataFrame, pool: Sequence[str]) -> DataFrame:
+    """Several states, united by rows, as one."""
+    return states.groupBy(*cols(pool), "word").agg(F.bit_or("ecb").alias("ecb"), F.bit_or("esma").alias("esma"))
+
+
+def overlap_of_bits(bits: DataFrame, pool: Sequence[str]) -> DataFrame:
+    """As :func:`overlap_report`, from bits alone: a month of both sources is set in both."""
+    both = F.col("ecb").bitwiseAND(F.col("esma"))
+    words = bits.withColumn("__both", both).filter("__both <> 0")
+    lowest = F.bit_count(F.col("__both").bitwiseAND(-F.col("__both")) - 1)
+    lowest = F.when(F.col("__both") == F.lit(-(2**63)), 63).otherwise(lowest)
+    highest = F.length(F.bin("__both")) - 1
+
+    def text(number: Column) -> Column:
+        year, month = F.floor(number / 12).cast("string"), (number % 12 + 1).cast("string")
+        return F.concat(F.lpad(year, 4, "0"), F.lit("-"), F.lpad(month, 2, "0"))
+
+    at = F.col("word") * WORD_MONTHS
+    return words.groupBy(*cols(pool)).agg(
+        F.sum(F.bit_count("__both")).cast("long").alias("months"),
+        text(F.min(at + lowest)).alias("first_month"),
+        text(F.max(at + highest)).alias("last_month"),
+    )
+
+
 def pending(items: DataFrame, done: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Items of a manifest that are not in the manifest of finished ones."""
     finished = done.select(*cols(keys)).distinct()

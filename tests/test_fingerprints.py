@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from conftest import rows
-from poolweave.operators import quality, reconcile, sketches
+from poolweave.operators import country, pools, quality, reconcile, sketches
 from poolweave.operators.ordered_hash import BASES, PRIME, combined, ordered_checksum, power, range_hashes
 from poolweave.operators.ordering import sort_panel
 
@@ -84,6 +84,35 @@ def test_exact_counts_have_no_expand(spark):
     assert rows(report, "g", "status", "rows_before", "unique_keys") == [(1, "PASS", 3, 2), (2, "PASS", 1, 0)]
 
 
+def test_month_bits(spark):
+    rng = random.Random(7)
+    months = [f"{y}-{m:02d}" for y in (1999, 2005, 2024) for m in range(1, 13)] + ["0001-01", "9999-12", "1970-04", "1975-08"]
+    data = [(rng.randrange(4), rng.choice(["ECB", "ESMA"]), rng.choice(months)) for _ in range(300)]
+    data += [(9, s, m) for m in months for s in ("ECB", "ESMA")]
+    frame = spark.createDataFrame(data, "p int, source string, date_ym string")
+    bits = pools.merged_bits(pools.month_bits(frame.filter("p < 2 OR source = 'ECB'"), ["p"]).unionAll(
+        pools.month_bits(frame.filter("NOT (p < 2 OR source = 'ECB')"), ["p"])), ["p"])
+    assert rows(pools.overlap_of_bits(bits, ["p"])) == rows(pools.overlap_report(frame, ["p"]))
+    assert bits.count() < frame.select("p", "date_ym").distinct().count() / 2
+    odd = spark.createDataFrame([(1, s, m) for s in ("ECB", "ESMA") for m in ("", "2020", "2020-13", None)], frame.schema)
+    assert rows(pools.overlap_of_bits(pools.month_bits(odd, ["p"]), ["p"])) == []
+
+
+def test_evidence_merges_with_late_rows(spark):
+    data = [("A", 5, None, "DE1"), ("A", 7, "fr", None), ("B", 3, "x", "ND9"), ("RMBMIT1", 1, None, None), ("C", 2, "PT", "IT3")]
+    late = [("A", 1, "es", None), ("B", 4, None, "BE2"), ("C", 9, "GR", None), ("D", 1, None, None)]
+    schema = "pool_id string, position long, RREL81 string, RREC6 string"
+    old, new = (spark.createDataFrame(x, schema) for x in (data, late))
+    merged = country.merged_evidence([country.country_evidence(x) for x in (old, new)])
+    assert rows(country.country_of_evidence(merged)) == rows(country.detect_country(old.unionAll(new)))
+    assert ("SPAIN",) in rows(country.country_of_evidence(merged, aliases={"ES": "SPAIN"}), "country")
+    # A late batch without one of the columns fits, too.
+    narrow = country.country_evidence(new.drop("RREC6"))
+    both = country.merged_evidence([country.country_evidence(old), narrow])
+    expected = country.detect_country(old.unionByName(new.drop("RREC6"), allowMissingColumns=True))
+    assert rows(country.country_of_evidence(both)) == rows(expected)
+
+
 def test_sketches_of_partitions_unite(spark):
     frame = spark.range(30_000).select(
         (F.col("id") % 6).alias("pool"), F.when(F.col("id") % 5 > 0, F.col("id") % 3000).alias("v"), F.lit("c").alias("w")

@@ -14,6 +14,7 @@ from poolweave.plans.universe_stage import read_ecb, read_esma
 from poolweave.operators.mapping import prepare_ecb
 from poolweave.sinks.tables import export_csv
 from poolweave.sources.tables import read_statistics
+from poolweave.streaming import incremental
 from poolweave.streaming.incremental import process_available
 
 ESMA = {
@@ -272,6 +273,35 @@ def test_incremental_runs(spark, tmp_path):
     assert len(process()) == 4
 
 
+def test_a_batch_reads_the_files_of_its_pools_only(spark, tmp_path, monkeypatch):
+    landing, output, checkpoint = (str(tmp_path / n) for n in ("in", "out", "check"))
+    read = []
+
+    def spied(index, touched, pool, found=incremental.files_of):
+        read.append(found(index, touched, pool))
+        return read[-1]
+
+    monkeypatch.setattr(incremental, "files_of", spied)
+
+    def land(*data):
+        schema = "pool_id string, source string, RREL3 string, date_ym string"
+        spark.createDataFrame(list(data), schema).coalesce(1).write.mode("append").parquet(landing)
+        process_available(spark, landing, output, checkpoint).awaitTermination()
+        return rows(spark.read.parquet(output), "pool_id", "source", "RREL3", "date_ym")
+
+    for k in range(3):
+        land((f"P{k}", "ECB", "1", "2020-01"), ("Q", "ECB", str(k), "2020-01"))
+    assert [len(files) for files in read] == [1, 2, 3]
+    got = land(("P0", "ESMA", "1", "2020-01"))
+    assert len(read[-1]) == 2  # its own file and the first one
+    monkeypatch.setattr(incremental, "MAX_LISTED_FILES", 1)
+    again = land(("P1", "ESMA", "9", "2020-01"))
+    assert read[-1] is None
+    expected = [("P0", "ESMA", "1", "2020-01"), ("P1", "ECB", "1", "2020-01"), ("P2", "ECB", "1", "2020-01")]
+    expected += [("Q", "ECB", str(k), "2020-01") for k in range(3)]
+    assert got == expected and again == sorted([*expected, ("P1", "ESMA", "9", "2020-01")])
+
+
 def test_clashing_codes_fail(strings):
     with pytest.raises(ValueError, match="AR2"):
         prepare_ecb(strings("AR2 RREL3", ("1", "2")), {"AR2": "RREL3"})

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -18,18 +20,37 @@ from poolweave.functions.nulls import RAW_FILE_NULL_TOKENS, apply_null_tokens
 from poolweave.operators import collateral as ops
 from poolweave.operators.skew import lookup_join
 from poolweave.plans.checks import preview, random_file
+from poolweave.sinks.clustered import join_clustered, write_clustered
 
 
-@query(
-    f"""
+_JOINED = f"""
 SELECT u.*, c."RREC2", c."RREC3", c."NOTE" AS "NOTE_collateral"
 FROM ({v.LOANS}) u LEFT JOIN ({v.COLLATERAL}) c ON u."RREL2" = c."RREC2"
 """
-)
+
+
+@query(_JOINED)
 def ue_collateral_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ops.join_collateral(v.loans(spark, sf_dir), v.collateral(spark, sf_dir))
 
 
+@query(_JOINED)
+def ue_collateral_join_clustered(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same join on tables written by key in two steps, as months arrive; no shuffle."""
+    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    names = []
+    for part, rows, key in (("loans", v.loans(spark, sf_dir), "RREL2"), ("collateral", v.collateral(spark, sf_dir), "RREC2")):
+        name = f"{part}_{uuid.uuid4().hex}"
+        early = F.pmod(F.xxhash64(key), F.lit(3)) > 0
+        write_clustered(rows.filter(early), name, key, buckets)
+        write_clustered(rows.filter(~early | F.col(key).isNull()), name, key, buckets, mode="append")
+        names.append(name)
+    joined = join_clustered(spark, *names)
+    for name in names:
+        spark.sql(f"DROP TABLE {name}")  # the name only; the join has found the files
+    return joined
+
+
 _PAIRED = f"""
 SELECT u.*, c."NPEC2", c."NPEC3", c.found
 FROM ({v.PAIRED_LOANS}) u LEFT JOIN (SELECT *, TRUE AS found FROM ({v.PAIRED_COLLATERAL})) c

@@ -12,7 +12,8 @@ from poolweave.operators import sketches
 from poolweave.operators.ordered_hash import BASES, PRIME, combined, ordered_checksum, range_hashes
 from poolweave.operators.ordering import sort_panel
 from poolweave.operators.reconcile import reconciled_differences
-from poolweave.session import materialize
+from poolweave.session import materialize, scratch_path
+from poolweave.sources.footers import footer_counts
 
 _FIELDS = ("RREC3", "RREL3", "RREL6", "source")
 
@@ -90,3 +91,12 @@ def distinct_from_sketches(spark: SparkSession, sf_dir: str) -> DataFrame:
     exact = counted.unpivot(["region"], list(_COLUMNS), "column_name", "exact")
     close = F.abs(F.col("distinct") - F.col("exact")) <= F.greatest(F.lit(1), 0.04 * F.col("exact"))
     return found.join(exact, ["region", "column_name"]).select("region", "column_name", "rows", "exact", close.alias("near"))
+
+
+@query(f"SELECT CAST(pool_no AS VARCHAR) AS pool_no, count(*) AS rows FROM ({v.PANEL_WITH_NULLS}) GROUP BY pool_no")
+def rows_from_footers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows per partition of a stored table, from the footers of its files."""
+    path = scratch_path(spark, "pool-table")
+    v.panel_with_nulls(spark, sf_dir).write.partitionBy("pool_no").parquet(path)
+    counts = footer_counts(spark, path, "pool_no")
+    return counts.withColumn("pool_no", F.col("pool_no").cast("string"))

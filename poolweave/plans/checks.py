@@ -19,15 +19,18 @@ from poolweave.operators.quality import (
     series_rows,
     sort_violations,
 )
+from poolweave.sources.footers import damaged_files
 from poolweave.sources.tables import (
     STORAGE_CHUNK,
     STORAGE_ORDER,
     output_sizes,
+    partition_files,
     read_table,
     with_storage_position,
 )
 
 COUNTRY = ("country",)
+ERROR = "ERROR"
 DUPLICATE_COLUMNS = ("RREL1", "Pool_Cutoff_Date", "RREL3", "RREC6", "source")
 
 
@@ -48,10 +51,29 @@ def check_sorted_output(
     sorted_path: str,
     countries: Sequence[str] | None = None,
 ) -> DataFrame:
-    """Compare the country table with its sorted copy."""
-    return integrity_report(
-        read_table(spark, country_path), read_table(spark, sorted_path), COUNTRY, groups=countries
-    )
+    """Compare the country table with its sorted copy.
+
+    A country with a file that cannot be read has the status ERROR and the reason; the
+    others are compared all the same.
+    """
+    errors = {}
+    for path in (sorted_path, country_path):
+        damage = damaged_files(spark, path, "country").groupBy("country").agg(F.min("error").alias("error"))
+        errors |= {r.country: r.error for r in damage.collect()}  # countries are few
+    before, after = (_readable(spark, path, set(errors)) for path in (country_path, sorted_path))
+    report = integrity_report(before, after, COUNTRY, groups=countries)
+    failed = [(c, ERROR, [f"{ERROR}: {e}"]) for c, e in errors.items() if countries is None or c in countries]
+    rows = spark.createDataFrame(failed, "country string, status string, issues array<string>")
+    return report.unionByName(rows, allowMissingColumns=True) if failed else report
+
+
+def _readable(spark: SparkSession, path: str, without: set[str]) -> DataFrame:
+    """The table without some countries, whose files are not even opened."""
+    if not without:
+        return read_table(spark, path)
+    there = partition_files(spark, path, "country").select("country").distinct().collect()
+    folders = [f"{path.rstrip('/')}/country={r.country}" for r in there if r.country not in without]
+    return spark.read.option("mergeSchema", True).option("basePath", path).parquet(*folders)
 
 
 def check_readable(spark: SparkSession, path: str) -> DataFrame:

@@ -415,7 +415,8 @@ def similar_sets(docs: DataFrame, spec: Spec = Spec()) -> DataFrame:
     component is named by its smallest doc_id. A text that is null or has no word has
     the empty set and is linked with nothing. Of several rows with one doc_id the one
     whose set has the smallest digest counts; rows without doc_id are left out, other
-    columns are ignored.
+    columns are ignored. Sets are made of whole texts of any length; an empty table gives
+    an empty one.
     """
     with rows_per_batch(docs.sparkSession, BATCH_ROWS):
         return _similar_sets(docs, spec)

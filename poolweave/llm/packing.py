@@ -186,7 +186,8 @@ def pack(docs: DataFrame, tokenizer: str = tokens.TOKENIZER) -> DataFrame:
 
     Returns doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset. A null
     text is the empty one: the end id alone. Rows that repeat, and rows without doc_id,
-    are packed like any other; other columns are ignored.
+    are packed like any other; other columns are ignored. Texts of any length are packed
+    whole, in as many pieces as they need; an empty table gives an empty one.
     """
     spark = docs.sparkSession
     encoded = materialize(_encoded(docs.select("doc_id", whole_text().alias("text")), tokenizer), "encoded")

@@ -231,7 +231,8 @@ def score_documents(docs: DataFrame, labels: DataFrame) -> DataFrame:
     A null or empty text has the features of the empty text and is scored by them.
     Rows that repeat, and rows without doc_id (never held out), are scored like any
     other. ``labels`` (doc_id, quality): rows with a null are ignored. Other columns of
-    both tables are ignored.
+    both tables are ignored. Texts of any length are measured whole; an empty table gives
+    an empty one, empty labels a score of 0.5 for all.
     """
     measured = materialize(with_features(docs), "quality-features")
     model = train(measured, labels)

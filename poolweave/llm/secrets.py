@@ -110,7 +110,8 @@ def scan_versions(versions: DataFrame, ledger_path: str) -> DataFrame:
 
     Returns path, version, blob, spans, n_assign, n_access, n_hex. A null text is the
     empty one and has no finding. Rows that repeat stay, rows without a path too; other
-    columns are ignored. A ledger has one writer at a time.
+    columns are ignored. Texts of any length are scanned whole; an empty table gives an
+    empty one. Entries that writers added twice count once.
     """
     spark = versions.sparkSession
     version = rules_version()
@@ -118,7 +119,9 @@ def scan_versions(versions: DataFrame, ledger_path: str) -> DataFrame:
 
     def ledger() -> DataFrame:
         entries = spark.read.schema(LEDGER_COLUMNS).parquet(ledger_path)
-        return entries.filter(F.col("rules") == version).drop("rules")
+        own = entries.filter(F.col("rules") == version).drop("rules")
+        # Entries of one blob are alike, whoever wrote them.
+        return own.groupBy("blob").agg(*(F.min(c).alias(c) for c in own.columns if c != "blob"))
 
     blob = F.sha2(whole_text(), 256).alias("blob")
     unseen = (
@@ -137,6 +140,7 @@ def redact(docs: DataFrame, ledger_path: str, mask: str = MASK) -> DataFrame:
     """``docs`` (text, and any other columns) with each stretch of secrets as one mask.
 
     All rows and columns stay; a text without finding is unchanged, a null one as well.
+    Texts of any length are cleaned whole; an empty table gives an empty one.
     """
     blob = F.sha2(whole_text(), 256)
     versions = docs.select(F.lit(None).cast("string").alias("path"), F.lit(0).alias("version"), "text")

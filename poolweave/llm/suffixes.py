@@ -516,7 +516,8 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
 
     Texts are judged as UTF-8 bytes. A null text is the empty one; a text below 50 bytes
     keeps all. Rows with the same id do not count against each other, whether their
-    texts agree or not; rows without id are left out, other columns are ignored.
+    texts agree or not; rows without id are left out, other columns are ignored. Texts
+    of any length are judged whole; an empty table gives an empty one.
     """
     spark = docs.sparkSession
     docs = docs.filter(F.col("doc_id").isNotNull()).select(

@@ -37,7 +37,8 @@ def count_tokens(
     """doc_id, n_bytes and n_tokens of every row of ``docs`` (doc_id, text).
 
     A null text is the empty one: 0 bytes, 0 tokens. Rows that repeat, and rows
-    without doc_id, are counted like any other; other columns are ignored.
+    without doc_id, are counted like any other; other columns are ignored. Texts of any
+    length are counted whole; an empty table gives an empty one.
     """
     spark = docs.sparkSession
     version = tokenizer_digest(tokenizer)

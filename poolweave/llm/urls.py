@@ -161,7 +161,8 @@ def judge(
     """page_id, host, path, rule, verdict and probability to block of every page.
 
     A null url, and one without ``://``, has an empty host and path and no n-grams: no
-    rule fits, and it is allowed. Repeated rows stay; other columns are ignored.
+    rule fits, and it is allowed. Repeated rows stay; other columns are ignored. URLs of
+    any length are judged whole; an empty table gives an empty one.
     """
     weights = F.split(F.lit(",".join(map(repr, train(labelled)))), ",").cast("array<double>")
     grams = F.array_distinct(F.col("grams"))

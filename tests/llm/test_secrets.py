@@ -85,3 +85,12 @@ def test_redaction(spark, awkward, make_docs):
     kept = secrets.redact(awkward, scratch_path(spark, "ledger"))
     assert kept.columns == awkward.columns
     assert kept.count() == awkward.count()
+
+
+def test_entries_written_twice_count_once(spark, make_docs):
+    ledger = scratch_path(spark, "ledger")
+    versions = make_docs(["token = abcdef1", "plain", "token = abcdef1"]).selectExpr("doc_id AS path", "0 AS version", "text")
+    once = sorted(map(str, secrets.scan_versions(versions, ledger).collect()))
+    for _ in range(2):
+        spark.read.parquet(ledger).write.mode("append").parquet(ledger + "-twice")
+    assert sorted(map(str, secrets.scan_versions(versions, ledger + "-twice").collect())) == once

@@ -33,6 +33,7 @@ from poolweave.plans.universe_stage import (
 from poolweave.session import materialize
 from poolweave.sinks.tables import (
     write_countries,
+    write_pairs,
     write_pools,
     write_sorted,
     write_statistics,
@@ -117,7 +118,7 @@ def run(
 def run_collateral(spark: SparkSession, inputs: Inputs, outputs: Outputs) -> None:
     joined = join_pairs(spark, inputs.esma_folder)
     if joined.rows is not None:
-        joined.rows.write.mode("overwrite").partitionBy("asset_type").parquet(outputs.merged)
+        write_pairs(joined.rows, outputs.merged)
     write_statistics(joined.statistics, outputs.path("esma_merged_statistics"))
     write_statistics(joined.failed, outputs.path("esma_merged_failed"))
     unread = unread_files(spark, inputs.esma_folder, FILE_NAME_PATTERN)

@@ -17,6 +17,7 @@ from poolweave.functions.columns import col, cols
 from poolweave.functions.names import safe_pool_id
 from poolweave.operators.columns import column_lists, non_empty_columns
 
+PAIR_PARTITIONS = ("asset_type", "identifier", "date")
 POOL_PARTITIONS = ("bucket", "pool_id")
 COUNTRY_PARTITION = "country"
 
@@ -39,6 +40,11 @@ def _writer(
     )
 
 
+def write_pairs(df: DataFrame, path: str) -> None:
+    """Stage 1 output below ``asset_type=…/identifier=…/date=…``, as its files were paired."""
+    _writer(_gathered(df, PAIR_PARTITIONS), PAIR_PARTITIONS, replace=True).parquet(path)
+
+
 def write_pools(df: DataFrame, path: str, *, replace: bool = True) -> None:
     """Stage 2 output below ``bucket=…/pool_id=…``."""
     safe = df.withColumn("pool_id", safe_pool_id(F.col("pool_id")))

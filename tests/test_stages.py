@@ -124,6 +124,10 @@ def test_stage_one_of_many_headers_is_one_join(spark, tmp_path):
 def test_all_stages(spark, tmp_path):
     inputs, outputs = raw_tree(tmp_path), full_run.Outputs(str(tmp_path / "out"))
     full_run.run(spark, inputs, outputs, overlap_pools="auto")
+    pairs = {p.parent.relative_to(outputs.merged).as_posix() for p in Path(outputs.merged).rglob("part-*")}
+    assert pairs == {
+        "asset_type=RMB/identifier=POOLA/date=2020-01-31", "asset_type=NPE/identifier=POOLB/date=2020-02-29",
+    }
 
     pools = spark.read.parquet(outputs.pools)
     columns = ("bucket", "pool_id", "source", "RREL3", "RREL6", "RREC3")

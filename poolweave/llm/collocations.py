@@ -32,8 +32,7 @@ LEAST = 100
 TOP = 2000
 _SHARDS_PER_TASK = 1 << 11
 
-#: Parts of the keys, as a multiple of the shuffle partitions.
-PARTS = 8
+PART_WORDS = 500_000  # words of all texts for each part of the keys
 
 _SENT = "part int, lang string, shard bigint, n int, words binary, packed binary"
 #: Rows with a shard: its frequent phrases, packed. Others: a key, or a language's words.
@@ -58,7 +57,7 @@ def collocations(docs: DataFrame, least: int = LEAST, top: int = TOP) -> DataFra
     texts = docs.select(F.coalesce("lang", F.lit("und")).alias("lang"), F.coalesce("text", F.lit("")).alias("text"))
     name = f"phrase_shards_{scratch_path(spark, 'x').rsplit('-', 1)[1]}"
     buckets = 4 * int(spark.conf.get("spark.sql.shuffle.partitions"))
-    schema = "lang string, shard bigint, words array<string>, begin binary, forward binary, backward binary"
+    schema = "lang string, shard bigint, n bigint, words array<string>, begin binary, forward binary, backward binary"
     # Bucketed by shard: the joins below read a shard where it lies.
     texts.mapInArrow(_shards, schema).write.bucketBy(buckets, "shard").sortBy("shard").option(
         "path", scratch_path(spark, "phrase-shards")
@@ -71,7 +70,7 @@ def collocations(docs: DataFrame, least: int = LEAST, top: int = TOP) -> DataFra
 
 def _ranked(spark: SparkSession, name: str, least: int, top: int) -> DataFrame:
     shards = spark.table(name)
-    parts = PARTS * int(spark.conf.get("spark.sql.shuffle.partitions"))
+    parts = (shards.agg(F.sum("n")).first()[0] or 0) // PART_WORDS + 1
 
     def summed(sent: DataFrame, work) -> DataFrame:
         by_part = sent.repartition("part").sortWithinPartitions("part")
@@ -171,7 +170,7 @@ def _shards(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             raise ValueError("a task reads more text than its shards' numbers allow")
         index = Index.of(text)
         out = {
-            "lang": [lang], "shard": pa.array([task + made], pa.int64()), "words": pa.array([words], pa.list_(pa.string())),
+            "lang": [lang], "shard": pa.array([task + made], pa.int64()), "n": pa.array([len(text)], pa.int64()), "words": pa.array([words], pa.list_(pa.string())),
             "begin": [index.begin.astype("<i8").tobytes()],
             "forward": [index.forward.astype("<i4").tobytes()], "backward": [index.backward.astype("<i4").tobytes()],
         }

@@ -64,6 +64,7 @@ def invented(seed, n, lang=None):
 @pytest.mark.parametrize("shard", [300, 8 << 20])
 def test_against_plain_counts(spark, monkeypatch, shard):
     monkeypatch.setattr(collocations, "SHARD_BYTES", shard)
+    monkeypatch.setattr(collocations, "PART_WORDS", 10 * shard)
     rows = invented(1, 300) + [("en", None), (None, ""), ("en", " \t"), ("fr", "a" * 50_000), ("en", "in the new york zu " * 3000)]
     rows += rows[:10]
     frame = spark.createDataFrame(rows, "lang string, text string").repartition(3)

@@ -202,8 +202,7 @@ def pool_large_flags(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-@query(
-    f"""
+TEMPLATE_FORWARD = f"""
 WITH ranked AS (
   SELECT ecb_code, esma_code, position, contains(esma_name, 'New') AS newer,
     row_number() OVER (PARTITION BY ecb_code ORDER BY position) AS place
@@ -212,7 +211,9 @@ SELECT ecb_code, coalesce(arg_max(esma_code, position) FILTER (WHERE newer),
   max(esma_code) FILTER (WHERE place = 1)) AS esma_code
 FROM ranked GROUP BY ecb_code
 """
-)
+
+
+@query(TEMPLATE_FORWARD)
 def template_forward(spark: SparkSession, sf_dir: str) -> DataFrame:
     return forward_mapping(v.template(spark, sf_dir))
 

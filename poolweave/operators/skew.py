@@ -8,8 +8,10 @@ Two situations occur in the pipeline:
 * two wide tables meet (:func:`balanced_left_join`): the rows per key are counted
   on the key columns alone; keys above ``hot_rows`` are salted on both sides.
 
-The list of hot keys is complete, and short by construction: at most one key for every
-``hot_rows`` rows. It decides about balance only, never about the result.
+The list of hot keys is complete: at most one key for every ``hot_rows`` rows. It is a
+table that is never collected; a list too long to broadcast meets the rows in a shuffled
+join, whose large partitions are split at run time. It decides about balance only, never
+about the result.
 """
 
 from __future__ import annotations
@@ -19,9 +21,9 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from poolweave.functions.columns import col, cols
+from poolweave.session import materialize
 
 HOT_ROWS = 1_000_000
 MAX_BROADCAST_ROWS = 500_000  # of keys and ids: some 100 MB in memory
@@ -72,12 +74,14 @@ def lookup_join(
     max_broadcast_rows: int = MAX_BROADCAST_ROWS,
     hot_rows: int = HOT_ROWS,
     fan_out: int = FAN_OUT,
+    max_listed: int = MAX_BROADCAST_ROWS,
 ) -> DataFrame:
     """Join wide rows to a narrow lookup.
 
     ``how`` is ``left``, ``inner``, ``left_semi`` or ``left_anti``. ``lookup``
     should be cheap to read (a manifest, or the output of ``materialize``): it is
-    counted here, and read once more in the join.
+    counted here, and read once more in the join. Up to ``max_listed`` hot keys are
+    broadcast.
     """
     small = lookup.count() <= max_broadcast_rows
     right = _prefixed(lookup, keys, "__lookup_")
@@ -86,11 +90,11 @@ def lookup_join(
     if small:
         return wide.join(F.broadcast(right), condition, how).drop(*right_keys)
 
-    hot = hot_keys(wide, keys, hot_rows).select(*cols(keys)).collect()
-    if not hot:
+    hot = hot_keys(wide, keys, hot_rows).select(*cols(keys), F.lit(True).alias(_HOT))
+    hot_list = _listed(_prefixed(hot, keys, "__hot_"), max_listed)
+    if hot_list is None:
         return wide.join(right, condition, how).drop(*right_keys)
 
-    hot_list = _hot_table(wide, keys, hot, "__hot_")
     wide_salted = _mark(wide, hot_list, keys, "__hot_").withColumn(
         _LEFT_SALT, F.when(F.col(_HOT), _spread(wide, fan_out)).otherwise(F.lit(0))
     )
@@ -113,6 +117,7 @@ def balanced_left_join(
     null_safe: bool = True,
     hot_rows: int = HOT_ROWS,
     fan_out: int = FAN_OUT,
+    max_listed: int = MAX_BROADCAST_ROWS,
 ) -> DataFrame:
     """Left join of two wide tables, fan-out allowed, both key columns kept.
 
@@ -122,7 +127,7 @@ def balanced_left_join(
     meet all right rows of that key there; likewise for keys hot on the right. A
     left row of a right-hot key visits every task that holds right rows of the key;
     visits that find none are dropped afterwards, which is safe because such a key
-    is known to have right rows.
+    is known to have right rows. Up to ``max_listed`` hot keys are broadcast.
     """
     left_keys = [a for a, _ in on]
     right_keys = [b for _, b in on]
@@ -134,18 +139,13 @@ def balanced_left_join(
         for key in right_keys:
             right = right.filter(col(key).isNotNull())
     hot = _hot_on_either_side(left, right, left_keys, right_keys, hot_rows)
-    if not hot:
+    hot_list = _listed(_prefixed(hot, left_keys, "__hot_"), max_listed)
+    if hot_list is None:
         return left.join(right, condition, "left")
 
-    fields = [T.StructField("__hot_" + k, left.schema[k].dataType) for k in left_keys]
-    fields += [T.StructField(f, T.BooleanType()) for f in (_LEFT_HOT, _RIGHT_HOT)]
-    hot_list = left.sparkSession.createDataFrame(hot, T.StructType(fields))
-
     def marked(df: DataFrame, keys: Sequence[str]) -> DataFrame:
         same = key_condition(cols(keys), cols("__hot_" + k for k in left_keys))
-        joined = df.join(F.broadcast(hot_list), same, "left").drop(
-            *("__hot_" + k for k in left_keys)
-        )
+        joined = df.join(hot_list, same, "left").drop(*("__hot_" + k for k in left_keys))
         return joined.withColumns(
             {f: F.coalesce(f, F.lit(False)) for f in (_LEFT_HOT, _RIGHT_HOT)}
         )
@@ -185,9 +185,13 @@ def _all_salts(is_hot: Column, fan_out: int) -> Column:
     return F.when(is_hot, everywhere).otherwise(F.array(F.lit(0).cast("long")))
 
 
-def _hot_table(df: DataFrame, keys: Sequence[str], rows: list, prefix: str) -> DataFrame:
-    schema = T.StructType([T.StructField(prefix + k, df.schema[k].dataType) for k in keys])
-    return df.sparkSession.createDataFrame(rows, schema)
+def _listed(hot: DataFrame, max_listed: int) -> DataFrame | None:
+    """The landed list of hot keys, to be broadcast while it is short; None without any."""
+    landed = materialize(hot, "hot-keys")
+    rows = landed.count()
+    if not rows:
+        return None
+    return F.broadcast(landed) if rows <= max_listed else landed.hint("shuffle_merge")
 
 
 def _mark(
@@ -199,8 +203,7 @@ def _mark(
 ) -> DataFrame:
     """Add the boolean column ``__hot``."""
     names = [prefix + k for k in (hot_names or df_keys)]
-    flagged = hot_list.withColumn(_HOT, F.lit(True))
-    joined = df.join(F.broadcast(flagged), key_condition(cols(df_keys), cols(names)), "left")
+    joined = df.join(hot_list, key_condition(cols(df_keys), cols(names)), "left")
     return joined.drop(*names).withColumn(_HOT, F.coalesce(_HOT, F.lit(False)))
 
 
@@ -210,14 +213,13 @@ def _hot_on_either_side(
     left_keys: Sequence[str],
     right_keys: Sequence[str],
     hot_rows: int,
-) -> list[tuple]:
+) -> DataFrame:
     """The hot keys of both sides: the key, hot on the left, hot on the right."""
     left_hot = hot_keys(left, left_keys, hot_rows)
     right_hot = hot_keys(right, right_keys, hot_rows).toDF(*left_keys, _HOT)
     both = left_hot.withColumns({_LEFT_HOT: F.lit(True), _RIGHT_HOT: F.lit(False)}).unionAll(
         right_hot.withColumns({_LEFT_HOT: F.lit(False), _RIGHT_HOT: F.lit(True)})
     )
-    merged = both.groupBy(*cols(left_keys)).agg(
+    return both.groupBy(*cols(left_keys)).agg(
         F.max(_LEFT_HOT).alias(_LEFT_HOT), F.max(_RIGHT_HOT).alias(_RIGHT_HOT)
     )
-    return [tuple(row) for row in merged.collect()]

@@ -65,6 +65,30 @@ def test_lookup_join(strings, how, bound, hot_rows):
     assert rows(joined) == sorted(expected, key=repr)
 
 
+@pytest.mark.parametrize("max_listed", [0, 100])
+def test_hot_keys_are_not_collected(strings, monkeypatch, max_listed):
+    left, right = strings("k v", *LEFT), strings("rk w", *RIGHT)
+    lookup = strings("k c", ("hot", "H"), (None, "N"), ("one", "O"))
+
+    def collect(df):
+        raise AssertionError("hot keys came to the driver")
+
+    with monkeypatch.context() as patched:
+        patched.setattr(type(left), "collect", collect)
+        joined = balanced_left_join(
+            left, right, [("k", "rk")], marker="found", hot_rows=5, fan_out=4, max_listed=max_listed
+        )
+        looked_up = lookup_join(
+            left, lookup, ["k"], max_broadcast_rows=0, hot_rows=5, fan_out=4, max_listed=max_listed
+        )
+    assert rows(joined) == brute_left(LEFT, RIGHT, True)
+    country = {"hot": "H", None: "N", "one": "O"}
+    assert rows(looked_up) == sorted(((k, v, country.get(k)) for k, v in LEFT), key=repr)
+    for df in (joined, looked_up):
+        plan = df._jdf.queryExecution().optimizedPlan().toString()
+        assert ("broadcast" in plan) == (max_listed > 0)
+
+
 def test_hot_keys_are_counted(strings):
     assert rows(hot_keys(strings("k v", *LEFT), ["k"], 7)) == [("both", 12), ("hot", 20)]
 

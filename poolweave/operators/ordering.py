@@ -15,6 +15,7 @@ from poolweave.session import materialize
 
 _TASK, _ROW = "__task", "__row"
 TIE_FAN_OUT = 256
+RANGE_VALUES = 4_000_000  # rows times columns of a range, sorted in memory: some 150 MB
 
 
 def available_keys(columns: Sequence[str], keys: Sequence[str] = SORT_KEYS) -> list[str]:
@@ -52,7 +53,8 @@ def sort_panel(
     """Range-partitioned and sorted rows of all groups.
 
     A large group spreads over many tasks, since the ranges are cut inside it; equal
-    keys are cut too, by a salt of the reading task that only the ranges see.
+    keys are cut too, by a salt of the reading task that only the ranges see. Without
+    ``partitions`` the rows are counted, and ranges become more and not larger with them.
     """
     keys = available_keys(df.columns, keys)
     order = sort_order(df.columns, keys, group, break_ties)
@@ -60,9 +62,8 @@ def sort_panel(
     salted = df.select("*", salt)
     ranges = [*order, F.col("__salt")]
     if partitions is None:
-        spread = salted.repartitionByRange(*ranges)
-    else:
-        spread = salted.repartitionByRange(partitions, *ranges)
+        partitions = df.count() * len(df.columns) // RANGE_VALUES + 1
+    spread = salted.repartitionByRange(partitions, *ranges)
     return spread.sortWithinPartitions(*ranges).drop("__salt")
 
 

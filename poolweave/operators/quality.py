@@ -130,17 +130,21 @@ def sort_violations(
     chunk: Sequence[str],
     order: Sequence[str],
     keys: Sequence[str] = SORT_KEYS,
+    partitions: int | None = None,
 ) -> DataFrame:
     """Rows per group, and how many sort before the row stored ahead of them.
 
     ``chunk`` columns cut a group into pieces in storage order (file and block),
     ``order`` columns give the place of a row in its piece. Rows are compared inside
     the pieces; then each piece's first row with the last row of the piece before,
-    for which one row per piece is enough.
+    for which one row per piece is enough. Pieces are dealt to ``partitions`` tasks, or
+    to as many as the session says.
     """
     previous = ["__previous_" + k for k in keys]
     inside = Window.partitionBy(*cols([*group, *chunk])).orderBy(*cols(order))
     rows = df.select(*cols(dict.fromkeys([*group, *chunk, *order, *keys])))
+    if partitions is not None:
+        rows = rows.repartition(partitions, *cols([*group, *chunk]))
     compared = rows.withColumns({p: F.lag(col(k)).over(inside) for k, p in zip(keys, previous)})
     place, values = F.struct(*cols(order)), F.struct(*cols(keys))
     pieces = compared.groupBy(*cols([*group, *chunk])).agg(

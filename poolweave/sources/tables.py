@@ -9,7 +9,7 @@ from pyspark.sql import types as T
 from poolweave.functions.columns import col
 from poolweave.sources.manifest import list_files
 
-STORED_CHUNK_ROWS = 1_000_000
+STORED_CHUNK_ROWS = 100_000
 STORAGE_CHUNK = ("part_number", "stored_file", "file_chunk")
 STORAGE_ORDER = ("row_in_file",)
 

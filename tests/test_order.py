@@ -6,10 +6,13 @@ import pytest
 from pyspark.sql import functions as F
 
 from conftest import rows
+from poolweave.operators import ordering
 from poolweave.operators.ordering import available_keys, sort_panel, with_position
 from poolweave.operators.quality import sort_violations
+from poolweave.plans import checks
 from poolweave.plans.checks import check_order, check_readable, check_sorted_output
 from poolweave.sinks.tables import export_sorted_csv, write_countries, write_sorted
+from poolweave.sources import tables
 
 HEADER = "country RREL3 RREC3 RREL6 note"
 
@@ -55,6 +58,14 @@ def test_sort_panel_is_a_total_order(strings):
     assert ordered.rdd.getNumPartitions() > 1
 
 
+def test_ranges_become_more_with_the_rows(strings, monkeypatch):
+    monkeypatch.setattr(ordering, "RANGE_VALUES", 50)
+    data = panel_rows(100)
+    ordered = sort_panel(strings(HEADER, *data), group=["country"])
+    assert ordered.rdd.getNumPartitions() == 100 * 5 // 50 + 1
+    assert rows(ordered) == sorted(data, key=repr)
+
+
 def test_one_hot_key_spreads(spark):
     df = spark.range(4000).select(
         F.lit("IT").alias("country"), F.lit("L").alias("RREL3"), F.lit("1").alias("RREC3"),
@@ -107,6 +118,17 @@ def test_violations_across_chunks(spark, chunk_rows):
     assert rows(found) == [("DE", 9, 0), ("IT", 200, brute_violations(data))]
 
 
+def test_stored_chunks_are_dealt_by_their_number(spark, strings, monkeypatch, tmp_path):
+    data = [("DE", f"{k:04}", "1", "2020-01", "x") for k in range(90)]
+    path = str(tmp_path / "sorted")
+    write_sorted(sort_panel(strings(HEADER, *data), group=["country"], partitions=2), path)
+    for module in (tables, checks):
+        monkeypatch.setattr(module, "STORED_CHUNK_ROWS", 10)
+    order = check_order(spark, path)
+    assert f", {90 // (checks.CHUNKS_PER_TASK * 10) + 1}), REPARTITION_BY_NUM" in order._jdf.queryExecution().executedPlan().toString()
+    assert rows(order) == [("DE", 90, 0, "PASS")]
+
+
 def test_written_order(spark, strings, tmp_path):
     data = [r for r in panel_rows(600) if r[0] is not None]
     df = strings(HEADER, *data)

@@ -10,7 +10,7 @@ from pyspark.sql.window import Window
 
 from poolweave.functions.columns import SORT_KEYS, col, cols
 from poolweave.operators.skew import key_condition
-from poolweave.operators.sketches import exact_distinct, value_counts
+from poolweave.operators.sketches import exact_distinct
 
 # Fixed values.
 CHECKED_COLUMNS = ("RREL3", "RREC3", "RREL6", "RREL1", "source")
@@ -217,14 +217,16 @@ def integrity_report(
     fields = sorted(c for c in shared if c not in group)
 
     def measured(df: DataFrame, prefix: str) -> DataFrame:
-        # One pass: a row's numbers are added up with its key, the first of its entries.
+        # Rows and checksums meet in one row per group and task; only values are listed.
         values = {"unique_keys": composite_key(keys), **{"distinct_" + c: col(c) for c in checked}}
         sums = {"loan_checksum": row_hash([keys[0]]), "row_checksum": row_hash(fields)}
-        first, present = F.col("entry") == 0, F.col("value").isNotNull()
-        found = value_counts(df, group, values, sums).groupBy(*cols(group)).agg(
-            F.sum(F.when(first, F.col("copies"))).alias("rows"),
-            *(F.sum(n).alias(n) for n in sums),
-            *(F.count_if(present & (F.col("entry") == k)).alias(name) for k, name in enumerate(values)),
+        added = df.groupBy(*cols(group)).agg(
+            F.count(F.lit(1)).alias("rows"), *(F.sum(c.cast("decimal(38,0)")).alias(n) for n, c in sums.items())
+        )
+        counted = exact_distinct(df, group, values)
+        same = key_condition(cols(group), cols("__counted_" + g for g in group))
+        found = added.join(counted.withColumnsRenamed({g: "__counted_" + g for g in group}), same).drop(
+            *("__counted_" + g for g in group)
         )
         return found.withColumnsRenamed({c: prefix + c for c in found.columns})
 

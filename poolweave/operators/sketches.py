@@ -21,31 +21,19 @@ from poolweave.functions.columns import col, cols
 ACCURACY = 14  # 2**14 registers: a standard error of 0.8 %
 
 
-def value_counts(
-    df: DataFrame, group: Sequence[str], values: dict[str, Column], sums: dict[str, Column] | None = None
-) -> DataFrame:
-    """``group…, entry, value, copies``: every value of every entry, missing ones included.
-
-    ``sums`` are numbers of a row, added up with the first entry.
-    """
-    sums = sums or {}
-
-    def entry(k: int, value: Column) -> Column:
-        numbers = (c if k == 0 else F.lit(None) for c in sums.values())
-        named = (c.cast("decimal(38,0)").alias(n) for n, c in zip(sums, numbers))
-        return F.struct(F.lit(k).alias("entry"), value.cast("string").alias("value"), *named)
-
-    entries = F.array(*(entry(k, v) for k, v in enumerate(values.values())))
-    listed = df.select(*cols(group), F.explode(entries).alias("__e")).select(*cols(group), "__e.*")
-    return listed.groupBy(*cols(group), "entry", "value").agg(
-        F.count(F.lit(1)).alias("copies"), *(F.sum(n).alias(n) for n in sums)
+def different_values(df: DataFrame, group: Sequence[str], values: dict[str, Column]) -> DataFrame:
+    """``group…, entry, value``: every value of every entry once, missing ones included."""
+    entries = F.array(
+        *(F.struct(F.lit(k).alias("entry"), v.cast("string").alias("value")) for k, v in enumerate(values.values()))
     )
+    listed = df.select(*cols(group), F.explode(entries).alias("__e")).select(*cols(group), "__e.*")
+    return listed.distinct()
 
 
 def exact_distinct(df: DataFrame, group: Sequence[str], values: dict[str, Column]) -> DataFrame:
     """Different non-missing values per group, one column for each entry of ``values``."""
     present = F.col("value").isNotNull()
-    return value_counts(df, group, values).groupBy(*cols(group)).agg(
+    return different_values(df, group, values).groupBy(*cols(group)).agg(
         *(F.count_if(present & (F.col("entry") == k)).alias(name) for k, name in enumerate(values))
     )
 

@@ -1,6 +1,7 @@
 """Checksums in order, reconciliation from sketches, distinct sketches."""
 
 import random
+import re
 
 import pytest
 from pyspark.sql import functions as F
@@ -84,6 +85,15 @@ def test_exact_counts_have_no_expand(spark):
     assert rows(report, "g", "status", "rows_before", "unique_keys") == [(1, "PASS", 3, 2), (2, "PASS", 1, 0)]
 
 
+def test_values_travel_without_checksums(spark):
+    frame = spark.createDataFrame([(1, "a", "x"), (1, "b", None), (None, "c", "y")], "g int, p string, q string")
+    report = quality.integrity_report(frame, frame.filter("p <> 'b'"), ["g"], keys=["p", "q"], columns=["p", "q"])
+    plan = report._jdf.queryExecution().executedPlan().toString()
+    carried = re.findall(r"keys=\[[^\]]*value#\d+\], functions=\[([^\]]*)\]", plan)
+    assert len(carried) == 4 and not any(carried)
+    assert rows(report, "g", "status", "rows_before", "rows_after") == [(1, "FAIL", 2, 1), (None, "PASS", 1, 1)]
+
+
 def test_month_bits(spark):
     rng = random.Random(7)
     months = [f"{y}-{m:02d}" for y in (1999, 2005, 2024) for m in range(1, 13)] + ["0001-01", "9999-12", "1970-04", "1975-08"]

@@ -13,13 +13,13 @@ from collections.abc import Callable, Iterable, Iterator, Mapping, Sequence
 from dataclasses import dataclass
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from poolweave.functions.columns import require_distinct_by_case, require_unreserved
 from poolweave.functions.names import decoded
-from poolweave.functions.nulls import EMPTY_ONLY, RAW_FILE_NULL_TOKENS, null_if_token
+from poolweave.functions.nulls import EMPTY_ONLY, FEW_COLUMNS, RAW_FILE_NULL_TOKENS, null_if_token
 from poolweave.operators.skew import lookup_join
 from poolweave.session import materialize
 from poolweave.sources.manifest import base_path, parse_header
@@ -39,7 +39,7 @@ PIPELINE_COLUMNS = (
 )
 VALUES, NAMES = "__values", "__header_names"
 
-_FILE, _HEADER = "__file", "__header_id"
+_FILE, _URI, _HEADER = "__file", "__uri", "__header_id"
 
 
 @dataclass(frozen=True)
@@ -104,10 +104,13 @@ def field_rows(
         .csv(place.paths if isinstance(place.paths, str) else list(place.paths))
     )
     tokens = [t for t in null_tokens if t not in EMPTY_ONLY]  # empty text is null already
-    values = F.transform(F.array(*fields), lambda v: null_if_token(v, tokens) if tokens else v)
+    values = F.array(*fields)
+    if tokens and width <= FEW_COLUMNS:  # compiled, which a function over an array is not
+        values = F.array(*(null_if_token(F.col(c), tokens) for c in fields))
+    elif tokens:
+        values = F.transform(values, lambda v: null_if_token(v, tokens))
     rows = scan.select(
-        base_path(decoded(F.col("_metadata.file_path"))).alias(_FILE),
-        decoded(F.col("_metadata.file_name")).alias("file_name"),
+        F.col("_metadata.file_path").alias(_URI),
         F.col("_metadata.file_block_start").alias("block_start"),
         F.monotonically_increasing_id().alias("row_place"),
         values.alias(VALUES),
@@ -115,8 +118,23 @@ def field_rows(
     listed = files.join(headers.select("header_line", "header_id"), "header_line").select(
         base_path(F.col("path")).alias(_FILE), F.col("header_id").alias(_HEADER)
     )
-    return lookup_join(rows, materialize(listed, "listed"), [_FILE], "inner", null_safe=False).withColumnRenamed(
-        _HEADER, "header_id"
+    # Escaped paths are taken apart once for a file, not for each of its rows.
+    known = listed.join(_escaped_paths(spark, place), _FILE).select(_URI, "file_name", _HEADER)
+    found = lookup_join(rows, materialize(known, "listed"), [_URI], "inner", null_safe=False)
+    return found.select("file_name", "block_start", "row_place", VALUES, F.col(_HEADER).alias("header_id"))
+
+
+def _escaped_paths(spark: SparkSession, place: Place) -> DataFrame:
+    """Each file of a place: its path as scans write it, the plain path and the name."""
+    listing = (
+        spark.read.format("binaryFile")
+        .option("pathGlobFilter", place.pattern)
+        .option("recursiveFileLookup", True)
+        .load(place.paths if isinstance(place.paths, str) else list(place.paths))
+    )
+    uri = F.col("_metadata.file_path")
+    return listing.select(
+        uri.alias(_URI), base_path(decoded(uri)).alias(_FILE), decoded(F.col("_metadata.file_name")).alias("file_name")
     )
 
 

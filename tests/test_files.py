@@ -21,7 +21,7 @@ from poolweave.sources.manifest import (
     with_headers,
 )
 from poolweave.sources.salvage import inflated, probe_gzip, recovered_lines, salvage
-from poolweave.sources.one_scan import POSITION, Place
+from poolweave.sources.one_scan import POSITION, VALUES, Place, field_rows, header_table
 from poolweave.sources.scan import read_csv, scan_manifest
 
 
@@ -261,3 +261,17 @@ def test_a_stream_is_never_held_whole():
     pieces = list(inflated(Counted(stored), errors))
     assert b"".join(pieces) == text + b"\n1,2\n" and not errors
     assert max(map(len, pieces)) <= 1 << 20
+
+
+def test_paths_are_taken_apart_once_for_a_file(spark, tmp_path):
+    names = ("a b+c%41.csv", "é=1.csv")
+    folder = write_files(tmp_path / "odd + %20", {n: "x,y\n1,null\n2,\n" for n in names})
+    files = with_headers(list_files(spark, folder), folder)
+    headers = header_table(files).localCheckpoint()
+    found = field_rows(Place(folder), files, headers)
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert "decode" not in plan and "regexp" not in plan
+    # Few fields are compared in compiled code.
+    assert "lambdafunction" not in plan
+    expected = [(n, [v, None]) for n in names for v in "12"]
+    assert rows(found, "file_name", VALUES) == sorted(expected, key=repr)

@@ -2,12 +2,17 @@
 
 Texts are dealt to shards of one language and a few megabytes; a shard's index is
 written once and never moves again. Phrases grow by a word at a time: each shard
-extends the phrases that are frequent over all shards to both sides, by its own index,
-and the counts of a phrase are summed over shards. A phrase is only extended to one whose
-first and last parts are both frequent, which loses nothing, since a phrase occurs no
-oftener than its parts. A phrase is known by the ids of these two parts, so counts are
-exact and no text moves before the frequent phrases are known. Shards send their phrases
-packed by part of all keys; a part is summed at once and says which are frequent.
+extends the phrases that are frequent over all shards, by its own index, and the counts
+of a phrase are summed over shards. A phrase is only extended to one whose first and last
+parts are both frequent, which loses nothing, since a phrase occurs no oftener than its
+parts. A phrase is known by the ids of these two parts, so counts are exact and no text
+moves before the frequent phrases are known.
+
+What travels is small. The pair of ids is one number, spread by a multiplication that can
+be undone; a part of all keys is a range of these numbers, so a shard sends its phrases
+sorted, as differences, and each one's count. The answer is which of them are frequent, by
+place, and their ranks in the part. Nothing says where a phrase lies in the shard: the
+shard finds its phrases again, from the index and all answers so far.
 """
 
 from __future__ import annotations
@@ -23,7 +28,8 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from poolweave.llm.common import text_blocks, text_bytes
-from poolweave.llm.fm_index import DEPTH, Index, Phrases, order_of
+from poolweave.llm.fm_index import DEPTH, Index, order_of
+from poolweave.llm.packed import pack, pack_rising, pack_text, unpack, unpack_rising, unpack_text
 from poolweave.session import materialize, scratch_path
 
 SHARD_BYTES = 4 << 20
@@ -32,12 +38,14 @@ LEAST = 100
 TOP = 2000
 _SHARDS_PER_TASK = 1 << 11
 
-PART_WORDS = 500_000  # words of all texts for each part of the keys
+PART_WORDS = 1_000_000  # words of all texts for each part of the keys
+WORD_PARTS = 4  # so many parts of phrases are one part of the words, of which a shard has fewer
+_CODES = 1 << 16
 
-_SENT = "part int, lang string, shard bigint, n int, words binary, packed binary"
-#: Rows with a shard: its frequent phrases, packed. Others: a key, or a language's words.
+_SENT = "part int, lang string, shard bigint, n int, keys binary, counts binary"
+#: Rows with a shard: places and ranks of its frequent phrases. Others: a key, or a language's words.
 _SUMMED = (
-    "shard bigint, n int, packed binary, lang string, word string, id bigint, a bigint, "
+    "shard bigint, part int, n int, places binary, ranks binary, lang string, word string, id bigint, a bigint, "
     "first_id bigint, last_id bigint, total bigint"
 )
 
@@ -57,7 +65,7 @@ def collocations(docs: DataFrame, least: int = LEAST, top: int = TOP) -> DataFra
     texts = docs.select(F.coalesce("lang", F.lit("und")).alias("lang"), F.coalesce("text", F.lit("")).alias("text"))
     name = f"phrase_shards_{scratch_path(spark, 'x').rsplit('-', 1)[1]}"
     buckets = 4 * int(spark.conf.get("spark.sql.shuffle.partitions"))
-    schema = "lang string, shard bigint, n bigint, words array<string>, begin binary, forward binary, backward binary"
+    schema = "lang string, shard bigint, n bigint, n_words int, words binary, codes binary, counts binary, following binary, shared binary"
     # Bucketed by shard: the joins below read a shard where it lies.
     texts.mapInArrow(_shards, schema).write.bucketBy(buckets, "shard").sortBy("shard").option(
         "path", scratch_path(spark, "phrase-shards")
@@ -70,30 +78,34 @@ def collocations(docs: DataFrame, least: int = LEAST, top: int = TOP) -> DataFra
 
 def _ranked(spark: SparkSession, name: str, least: int, top: int) -> DataFrame:
     shards = spark.table(name)
-    parts = (shards.agg(F.sum("n")).first()[0] or 0) // PART_WORDS + 1
+    n = shards.agg(F.sum("n")).first()[0] or 0
+    parts, word_parts = n // PART_WORDS + 1, min(n // (WORD_PARTS * PART_WORDS) + 1, _CODES)
 
     def summed(sent: DataFrame, work) -> DataFrame:
         by_part = sent.repartition("part").sortWithinPartitions("part")
-        return materialize(by_part.mapInArrow(_by_part(work, least, parts), _SUMMED), "summed-phrases")
+        return materialize(by_part.mapInArrow(_by_part(work), _SUMMED), "summed-phrases")
 
-    words = shards.select("lang", "words", "begin", "shard").mapInArrow(_sent_words(parts), _SENT)
-    found = summed(words, _frequent_words)
+    words = shards.select("lang", "words", "codes", "counts", "n_words", "shard").mapInArrow(_sent_words(word_parts), _SENT)
+    found = summed(words, _frequent_words(least, word_parts))
     totals = found.filter("total IS NOT NULL").groupBy("lang").agg(F.sum("total").alias("n"))
     # Without other columns: id, a, lang, phrase, last word, counts of first and last parts.
     none = F.array().cast("array<bigint>")
     known = found.filter("word IS NOT NULL").select(
         "id", "a", "lang", F.col("word").alias("phrase"), F.col("word").alias("last"), none.alias("firsts"), none.alias("lasts")
     )
-    levels = []
-    index = shards.select("shard", "begin", "forward", "backward").withColumnsRenamed(
-        {"forward": "to_first", "backward": "to_first_back"}
-    )
+    levels, answers, keys = [], None, []
+    index = shards.select("shard", "n", "n_words", "codes", "counts", "following", "shared").withColumnRenamed("n", "n_rows")
     for words_now in range(2, DEPTH + 1):
-        state = found.filter("shard IS NOT NULL").groupBy("shard").agg(
-            F.collect_list(F.struct("n", "packed")).alias("phrases")  # of one shard
+        answer = found.filter("shard IS NOT NULL").select(
+            "shard", F.struct(F.lit(words_now - 1).alias("words"), "part", "n", "places", "ranks").alias("answer")
         )
+        answers = answer if answers is None else answers.unionAll(answer)
+        state = answers.groupBy("shard").agg(F.collect_list("answer").alias("answers"))  # of one shard
+        most = found.agg(F.max("id")).first()[0] or 0
+        keys = [*keys, Keys(most, parts)]
         # Hashed, not sorted: rows of an index are some megabytes each.
-        found = summed(index.join(state.hint("shuffle_hash"), "shard").mapInArrow(_sent_phrases(parts), _SENT), _frequent_phrases)
+        sent = index.join(state.hint("shuffle_hash"), "shard").mapInArrow(_sent_phrases(keys, word_parts), _SENT)
+        found = summed(sent, _frequent_phrases(least, keys[-1]))
         new = found.filter("first_id IS NOT NULL").select("id", "a", "first_id", "last_id")
         known_parts = known.select(F.col("id").alias("part_id"), F.col("a").alias("part_a"), "lang", "phrase", "last", "firsts", "lasts")
         known = materialize(
@@ -126,28 +138,52 @@ def _ranked(spark: SparkSession, name: str, least: int, top: int) -> DataFrame:
     return materialize(ranked.select(*columns), "collocations")
 
 
-def pack(*columns: np.ndarray) -> bytes:
-    """Columns of whole numbers, their bytes sorted by place, compressed."""
-    planes = [np.ascontiguousarray(c, "<i8").view(np.uint8).reshape(-1, 8).T.tobytes() for c in columns]
-    return pa.compress(b"".join(planes), codec="zstd", asbytes=True)
+class Keys:
+    """Pairs of ids up to ``most`` as numbers, spread evenly over ``parts`` ranges."""
+
+    def __init__(self, most: int, parts: int) -> None:
+        self.width = max(1, most.bit_length())
+        if self.width > 32:
+            raise ValueError("more than 2**32 frequent phrases of one length")
+        self.bits, self.parts = 2 * self.width, parts
+        self.mask = (1 << self.bits) - 1
+        self.span = self.mask // parts + 1
+        self.factor = int(0.6180339887498949 * (1 << self.bits)) & self.mask | 1
+
+    def of(self, first: np.ndarray, last: np.ndarray) -> np.ndarray:
+        pair = first.astype(np.uint64) << np.uint64(self.width) | last.astype(np.uint64)
+        return pair * np.uint64(self.factor) & np.uint64(self.mask)
 
+    def ids(self, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        pair = keys * np.uint64(pow(self.factor, -1, 1 << self.bits)) & np.uint64(self.mask)
+        return (pair >> np.uint64(self.width)).astype(np.int64), (pair & np.uint64((1 << self.width) - 1)).astype(np.int64)
 
-def unpack(data: bytes, n: int, columns: int) -> list[np.ndarray]:
-    planes = np.frombuffer(pa.decompress(data, 8 * n * columns, codec="zstd"), np.uint8)
-    return [np.ascontiguousarray(c.T).view("<i8")[:, 0] for c in planes.reshape(columns, 8, n)]
+    def part_of(self, keys: np.ndarray) -> np.ndarray:
+        return (keys // np.uint64(self.span)).astype(np.int64)
+
+    def begin_of(self, part: int) -> np.uint64:
+        return np.uint64(part * self.span)
+
+    def ordered(self, first: np.ndarray, last: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The sorted keys, and which pair each one is."""
+        keys = self.of(first, last)
+        order = order_of(keys, self.bits)
+        return keys[order], order
 
 
 def _symbols(texts: pa.Array) -> tuple[np.ndarray, list[str]]:
-    """The words of all texts as numbers from 1, with 0 behind each piece."""
+    """The words of all texts as numbers from 1, in their order, with 0 behind each piece."""
     lower = pc.ascii_lower(texts)
     marked = pc.replace_substring_regex(lower, "[.,;:!?\\x0A-\\x0D]+", " . ")
     closed = pc.binary_join_element_wise(marked, pa.scalar(" .", lower.type), pa.scalar("", lower.type))
     words = pc.list_flatten(pc.split_pattern_regex(closed, "[ \t]+")).dictionary_encode()
-    spelled = words.dictionary.to_pylist()
+    order = np.asarray(pc.array_sort_indices(words.dictionary))
+    spelled = words.dictionary.take(order).to_pylist()
     # A piece's end is the only "."; the empty word stands before a text's first space.
     border = np.array([w in (".", "") for w in spelled], bool)
     number = np.cumsum(~border)
     number[border] = 0
+    number[order] = number.copy()
     text = number[np.asarray(words.indices)].astype(np.int32)
     keep = text > 0
     keep[1:] |= text[:-1] > 0
@@ -170,9 +206,12 @@ def _shards(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             raise ValueError("a task reads more text than its shards' numbers allow")
         index = Index.of(text)
         out = {
-            "lang": [lang], "shard": pa.array([task + made], pa.int64()), "n": pa.array([len(text)], pa.int64()), "words": pa.array([words], pa.list_(pa.string())),
-            "begin": [index.begin.astype("<i8").tobytes()],
-            "forward": [index.forward.astype("<i4").tobytes()], "backward": [index.backward.astype("<i4").tobytes()],
+            "lang": [lang], "shard": pa.array([task + made], pa.int64()), "n": pa.array([len(text)], pa.int64()),
+            "n_words": pa.array([len(words)], pa.int32()), "words": [pack_text(words)],
+            "codes": [(pd.util.hash_array(np.array(words, object), categorize=False) % _CODES).astype("<u2").tobytes()],
+            "counts": [pack(np.diff(index.begin))],
+            # As differences, modulo 2**32: only where another word begins they are not small.
+            "following": [pack(np.diff(index.following, prepend=np.int32(0)).view(np.uint32))], "shared": [pack(index.shared)],
         }
         made += 1
         del text, words, index
@@ -196,63 +235,90 @@ def _shards(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _sent(rows: list[tuple]) -> pa.RecordBatch:
-    """Rows (part, lang, shard, n, words, packed)."""
+    """Rows (part, lang, shard, n, keys, counts)."""
     kinds = (pa.int32(), pa.string(), pa.int64(), pa.int32(), pa.binary(), pa.binary())
-    names = ("part", "lang", "shard", "n", "words", "packed")
+    names = ("part", "lang", "shard", "n", "keys", "counts")
     return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), kinds)], names)
 
 
-def _groups(part: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
-    """Each part with the places that have it."""
+def _groups(part: np.ndarray) -> Iterator[tuple[int, slice]]:
+    """Each part of a sorted list with its places."""
+    borders = np.flatnonzero(np.diff(part)) + 1
+    for a, b in zip([0, *borders.tolist()], [*borders.tolist(), len(part)]):
+        if b > a:
+            yield int(part[a]), slice(a, b)
+
+
+def _words_by_part(codes: bytes, word_parts: int) -> tuple[np.ndarray, np.ndarray]:
+    """Places of a shard's words, by part of all words, and the part of each."""
+    part = np.frombuffer(codes, "<u2").astype(np.int64) % word_parts
     order = np.argsort(part, kind="stable")
-    borders = np.flatnonzero(np.diff(part[order])) + 1
-    for places in np.split(order, borders):
-        if len(places):
-            yield int(part[places[0]]), places
+    return order, part[order]
 
 
-def _sent_words(parts: int):
-    """The words of each shard by part of all words: their spelling, rows and counts."""
+def _sent_words(word_parts: int):
+    """The words of each shard by part of all words: their spelling and counts."""
 
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for k in range(batch.num_rows):
-                begin = np.frombuffer(batch.column("begin")[k].as_buffer(), "<i8")
-                words = np.array(batch.column("words")[k].as_py(), object)
-                lang, shard = batch.column("lang")[k].as_py(), batch.column("shard")[k].as_py()
-                starts, size = begin[1:-1], np.diff(begin)[1:]
-                part = (pd.util.hash_array(words, categorize=False) % parts).astype(np.int64)
-                rows = []
-                for p, places in _groups(part):
-                    spelled = pa.compress("\n".join(words[places]).encode(), codec="zstd", asbytes=True)
-                    length = sum(len(w.encode()) + 1 for w in words[places]) - 1
-                    rows.append((p, lang, shard, len(places), length.to_bytes(8, "little") + spelled, pack(starts[places], size[places])))
-                yield _sent(rows)
+            for row in batch.to_pylist():
+                words = np.array(unpack_text(row["words"]), object)
+                size = unpack(row["counts"], row["n_words"] + 1)[1:]
+                order, part = _words_by_part(row["codes"], word_parts)
+                words, size = words[order], size[order]
+                yield _sent([
+                    (p, row["lang"], row["shard"], own.stop - own.start, pack_text(words[own].tolist()), pack(size[own]))
+                    for p, own in _groups(part)
+                ])
 
     return send
 
 
-def _sent_phrases(parts: int):
-    """The phrases of each shard that are a word longer than its frequent ones, by part."""
+def _answered(answers: list[dict], part: np.ndarray, parts: int) -> tuple[np.ndarray, np.ndarray]:
+    """Which phrases of a list sorted by part are frequent, and their ids."""
+    places, ids = [], []
+    for x in sorted(answers, key=lambda x: x["part"]):
+        places.append(unpack_rising(x["places"], x["n"]) + np.searchsorted(part, x["part"]))
+        ids.append(_ids(unpack_rising(x["ranks"], x["n"]), x["part"], parts))
+    none = [np.zeros(0, np.int64)]
+    return np.concatenate(places or none), np.concatenate(ids or none)
+
+
+def _ids(ranks: np.ndarray, part: int, parts: int) -> np.ndarray:
+    return ranks * parts + part + 1
+
+
+def _sent_phrases(keys: list[Keys], word_parts: int):
+    """The phrases of each shard that are a word longer than its frequent ones, by part.
+
+    Keys are those of phrases of 2, 3 words and so on. The shorter phrases are found again
+    in their order, since answers name them by it.
+    """
+
+    def longest(row: dict) -> tuple[np.ndarray, np.ndarray]:
+        answers: dict[int, list[dict]] = {}
+        for x in row["answers"]:
+            answers.setdefault(x["words"], []).append(x)
+        begin = np.append(0, np.cumsum(unpack(row["counts"], row["n_words"] + 1)))
+        following = np.cumsum(unpack(row["following"], row["n_rows"]).astype(np.uint32), dtype=np.uint32).astype(np.int32)
+        index = Index(begin, following, unpack(row["shared"], row["n_rows"]).astype(np.uint8))
+        order, part = _words_by_part(row["codes"], word_parts)
+        phrases, parts = index.words(), word_parts
+        for k, own in enumerate(keys):
+            places, ids = _answered(answers.get(k + 1, []), part, parts)
+            longer = index.extended(phrases.taken(order[places]))
+            numbers, order = own.ordered(ids[longer.without_last], ids[longer.without_first])
+            phrases, part, parts = longer.phrases, own.part_of(numbers), own.parts
+        return numbers, phrases.size[order]
 
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for k in range(batch.num_rows):
-                begin, forward, backward = (
-                    np.frombuffer(batch.column(c)[k].as_buffer(), t)
-                    for c, t in (("begin", "<i8"), ("to_first", "<i4"), ("to_first_back", "<i4"))
-                )
-                lists = [unpack(x["packed"], x["n"], 4) for x in batch.column("phrases")[k].as_py()]
-                starts, ends, size, ids = (np.concatenate(c) for c in zip(*lists))
-                longer = Index(forward, backward, begin).extended(Phrases(starts, ends, size))
-                first, last = ids[longer.without_last], ids[longer.without_first]
-                with np.errstate(over="ignore"):
-                    mixed = (first * 0x1E3779B97F4A7C15 + last) * 0x3F58476D1CE4E5B9
-                columns = (first, last, longer.phrases.forward, longer.phrases.backward, longer.phrases.size)
-                shard = batch.column("shard")[k].as_py()
+                row = batch.slice(k, 1).to_pylist()[0]
+                numbers, size = longest(row)
                 rows = [
-                    (p, None, shard, len(places), None, pack(*(c[places] for c in columns)))
-                    for p, places in _groups((mixed >> 33) % parts)
+                    (p, None, row["shard"], own.stop - own.start, pack_rising(numbers[own] - keys[-1].begin_of(p)), pack(size[own] - 1))
+                    for p, own in _groups(keys[-1].part_of(numbers))
                 ]
                 if rows:
                     yield _sent(rows)
@@ -260,7 +326,7 @@ def _sent_phrases(parts: int):
     return send
 
 
-def _by_part(work, least: int, parts: int):
+def _by_part(work):
     """``work`` on the rows of one part after the other."""
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -268,84 +334,81 @@ def _by_part(work, least: int, parts: int):
         for batch in batches:
             for row in batch.to_pylist():
                 if held and held[0]["part"] != row["part"]:
-                    yield work(held, least, parts)
+                    yield work(held)
                     held = []
                 held.append(row)
         if held:
-            yield work(held, least, parts)
+            yield work(held)
 
     return read
 
 
-def _answer(rows: list[dict], frequent: np.ndarray, ids: np.ndarray, columns: list[np.ndarray], keys: list[dict]) -> pa.RecordBatch:
-    """To every shard the places, sizes and ids of its frequent phrases; then the keys."""
+def _answer(rows: list[dict], frequent: np.ndarray, rank: np.ndarray, keys: list[dict]) -> pa.RecordBatch:
+    """To every shard the places and ranks of its frequent phrases, both rising; then the keys."""
     ends = np.cumsum([r["n"] for r in rows])
     out = []
     for r, end in zip(rows, ends):
         own = slice(end - r["n"], end)
-        keep = frequent[own]
-        if keep.any():
-            packed = pack(*(c[own][keep] for c in columns), ids[own][keep])
-            out.append({"shard": r["shard"], "n": int(keep.sum()), "packed": packed})
+        places = np.flatnonzero(frequent[own])
+        if len(places):
+            out.append({
+                "shard": r["shard"], "part": r["part"], "n": len(places),
+                "places": pack_rising(places), "ranks": pack_rising(rank[own][places]),
+            })
     out += keys
-    kinds = {"shard": pa.int64(), "n": pa.int32(), "packed": pa.binary(), "lang": pa.string(), "word": pa.string(),
-             **{c: pa.int64() for c in ("id", "a", "first_id", "last_id", "total")}}
+    kinds = {"shard": pa.int64(), "part": pa.int32(), "n": pa.int32(), "places": pa.binary(), "ranks": pa.binary(),
+             "lang": pa.string(), "word": pa.string(), **{c: pa.int64() for c in ("id", "a", "first_id", "last_id", "total")}}
     return pa.RecordBatch.from_arrays([pa.array([r.get(c) for r in out], t) for c, t in kinds.items()], list(kinds))
 
 
-def _frequent_words(rows: list[dict], least: int, parts: int) -> pa.RecordBatch:
-    rows.sort(key=lambda r: r["lang"])
-    frequent, ids, keys, starts, sizes = [], [], [], [], []
-    made = 0
-    for lang in dict.fromkeys(r["lang"] for r in rows):
-        own = [r for r in rows if r["lang"] == lang]
-        start, size = (np.concatenate(c) for c in zip(*(unpack(r["packed"], r["n"], 2) for r in own)))
-        spelled = [
-            pa.decompress(r["words"][8:], int.from_bytes(r["words"][:8], "little"), codec="zstd").to_pybytes().decode().split("\n")
-            for r in own
-        ]
-        words = pa.array([w for some in spelled for w in some]).dictionary_encode()
-        code = np.asarray(words.indices)
-        count = np.bincount(code, weights=size).astype(np.int64)
-        often = np.flatnonzero(count >= least)
-        number = np.zeros(len(count), np.int64)
-        number[often] = (made + np.arange(len(often))) * parts + rows[0]["part"]
-        made += len(often)
-        keys += [
-            {"lang": lang, "word": words.dictionary[int(w)].as_py(), "id": int(number[w]), "a": int(count[w])} for w in often
+def _frequent_words(least: int, parts: int):
+    def work(rows: list[dict]) -> pa.RecordBatch:
+        rows.sort(key=lambda r: r["lang"])
+        frequent, ranks, keys = [], [], []
+        made = 0
+        for lang in dict.fromkeys(r["lang"] for r in rows):
+            own = [r for r in rows if r["lang"] == lang]
+            size = np.concatenate([unpack(r["counts"], r["n"]) for r in own])
+            words = pa.array([w for r in own for w in unpack_text(r["keys"])], pa.large_string()).dictionary_encode()
+            order = np.asarray(pc.array_sort_indices(words.dictionary))
+            code = np.empty(len(order), np.int64)
+            code[order] = np.arange(len(order))
+            code = code[np.asarray(words.indices)]
+            count = np.bincount(code, weights=size).astype(np.int64)
+            often = count >= least
+            rank = made + np.cumsum(often) - 1
+            made += int(often.sum())
+            spelled = words.dictionary.take(order[often]).to_pylist()
+            ids = _ids(rank[often], rows[0]["part"], parts)
+            keys += [{"lang": lang, "word": w, "id": i, "a": n} for w, i, n in zip(spelled, ids.tolist(), count[often].tolist())]
+            keys.append({"lang": lang, "total": int(size.sum())})
+            frequent.append(often[code])
+            ranks.append(rank[code])
+        return _answer(rows, np.concatenate(frequent), np.concatenate(ranks), keys)
+
+    return work
+
+
+def _frequent_phrases(least: int, keys: Keys):
+    def work(rows: list[dict]) -> pa.RecordBatch:
+        part = rows[0]["part"]
+        offset = np.concatenate([unpack_rising(r["keys"], r["n"]) for r in rows])
+        size = np.concatenate([unpack(r["counts"], r["n"]) for r in rows]) + 1
+        order = order_of(offset, max(1, int(offset.max()).bit_length()))
+        new = np.ones(len(offset), bool)
+        new[1:] = offset[order[1:]] != offset[order[:-1]]
+        heads = np.flatnonzero(new)
+        count = np.add.reduceat(size[order], heads)
+        often = count >= least
+        rank = np.cumsum(often) - 1
+        group = np.empty(len(offset), np.int64)
+        group[order] = np.cumsum(new) - 1
+        first, last = keys.ids(offset[order[heads][often]].astype(np.uint64) + keys.begin_of(part))
+        ids = _ids(rank[often], part, keys.parts)
+        found = [
+            {"id": i, "a": n, "first_id": p, "last_id": s}
+            for i, n, p, s in zip(ids.tolist(), count[often].tolist(), first.tolist(), last.tolist())
         ]
-        keys.append({"lang": lang, "total": int(size.sum())})
-        frequent.append((count >= least)[code])
-        ids.append(number[code])
-        starts.append(start)
-        sizes.append(size)
-    start = np.concatenate(starts)
-    return _answer(rows, np.concatenate(frequent), np.concatenate(ids), [start, start, np.concatenate(sizes)], keys)
-
-
-def _frequent_phrases(rows: list[dict], least: int, parts: int) -> pa.RecordBatch:
-    first, last, forward, backward, size = (
-        np.concatenate(c) for c in zip(*(unpack(r["packed"], r["n"], 5) for r in rows))
-    )
-    bits = max(1, int(last.max()).bit_length())
-    if bits + int(first.max()).bit_length() < 63:
-        key = first << bits | last
-        order = order_of(key, bits + int(first.max()).bit_length())
-        new = np.ones(len(key), bool)
-        new[1:] = key[order[1:]] != key[order[:-1]]
-    else:
-        order = np.lexsort((last, first))
-        new = np.ones(len(first), bool)
-        new[1:] = (first[order[1:]] != first[order[:-1]]) | (last[order[1:]] != last[order[:-1]])
-    heads = np.flatnonzero(new)
-    count = np.add.reduceat(size[order], heads)
-    often = count >= least
-    number = (np.cumsum(often) - 1) * parts + rows[0]["part"]
-    group = np.empty(len(first), np.int64)
-    group[order] = np.cumsum(new) - 1
-    some = order[heads][often]
-    keys = [
-        {"id": i, "a": n, "first_id": p, "last_id": s}
-        for i, n, p, s in zip(number[often].tolist(), count[often].tolist(), first[some].tolist(), last[some].tolist())
-    ]
-    return _answer(rows, often[group], number[group], [forward, backward, size], keys)
+        return _answer(rows, often[group], rank[group], found)
+
+    return work

@@ -1,15 +1,14 @@
-"""A bidirectional index of a shard's words for phrases of limited length.
+"""An index of a shard's words for phrases of limited length.
 
 The shard's text is an array of symbols: 0 closes a piece, 1 and up are words. Its
-suffixes are sorted by as many symbols as a phrase may have, and so are those of the
-reversed text; that is all the order that intervals of such phrases need. Of the
-Burrows-Wheeler transform the index keeps the last-to-first mapping of both sortings: it
-gives the preceding (in the reversed text: following) symbol of a row as well as the
-row's place in the extended interval.
-
-A phrase is an interval in each sorting, of one size. One symbol more on either side
-narrows both: the interval on that side follows from the mapping, the other one from the
-number of smaller symbols among the neighbours.
+suffixes are sorted by as many symbols as a phrase may have; that is all the order that
+intervals of such phrases need. Of the Burrows-Wheeler transform the index keeps the
+inverse of the last-to-first mapping: the row of a suffix without its first symbol. It
+rises within the rows of a word, so its differences are small. Besides there is for each
+row how many symbols it shares with the row before.
+
+A phrase is an interval of rows. One word more cuts it where rows share no more symbols;
+the mapping leads from the longer phrase to the interval of its last part.
 """
 
 from __future__ import annotations
@@ -18,16 +17,21 @@ from dataclasses import dataclass
 
 import numpy as np
 
+from poolweave.llm.common import ranges
+
 DEPTH = 5
 
 
 @dataclass
 class Phrases:
-    """Intervals of distinct phrases of one length, by their start in the forward sorting."""
+    """Intervals of distinct phrases of ``words`` words."""
 
-    forward: np.ndarray
-    backward: np.ndarray
+    start: np.ndarray
     size: np.ndarray
+    words: int
+
+    def taken(self, places: np.ndarray) -> Phrases:
+        return Phrases(self.start[places], self.size[places], self.words)
 
 
 @dataclass
@@ -48,10 +52,9 @@ def order_of(key: np.ndarray, bits: int) -> np.ndarray:
     return np.sort(key.astype(np.int64) << room | np.arange(n)) & ((1 << room) - 1)
 
 
-def mapping(text: np.ndarray) -> np.ndarray:
-    """Last-to-first mapping of the text's suffixes, sorted by DEPTH symbols."""
+def suffixes(text: np.ndarray, bits: int) -> np.ndarray:
+    """The text's suffixes, sorted by DEPTH symbols."""
     n = len(text)
-    bits = max(1, int(text.max(initial=0)).bit_length(), int(n).bit_length())
     # Ranks by 1, 2, 4 and at last DEPTH symbols: two shorter ranks give a longer one.
     rank, order = text.astype(np.int64), np.arange(n)
     for first, more in ((1, 1), (2, 2), (4, 1)):
@@ -59,65 +62,47 @@ def mapping(text: np.ndarray) -> np.ndarray:
         behind[: max(0, n - first)] = rank[first:] if more > 1 or first == 1 else text[first:]
         key = rank << bits | behind
         order = order_of(key, 2 * bits)
-        new = np.ones(n, np.int64)
-        new[1:] = key[order[1:]] != key[order[:-1]]
-        rank = np.empty(n, np.int64)
-        rank[order] = np.cumsum(new)
-    transform = text[order - 1]
-    to_first = np.empty(n, np.int32)
-    to_first[order_of(transform, bits)] = np.arange(n, dtype=np.int32)
-    return to_first
+        if first + more < DEPTH:
+            new = np.ones(n, np.int64)
+            new[1:] = key[order[1:]] != key[order[:-1]]
+            rank = np.empty(n, np.int64)
+            rank[order] = np.cumsum(new)
+    return order
 
 
 class Index:
-    """Both mappings, and where each symbol's rows begin."""
+    """Where each symbol's rows begin, the rows one symbol on, and symbols shared with the row before."""
 
-    def __init__(self, forward: np.ndarray, backward: np.ndarray, begin: np.ndarray) -> None:
-        self.forward, self.backward, self.begin = forward, backward, begin
+    def __init__(self, begin: np.ndarray, following: np.ndarray, shared: np.ndarray) -> None:
+        self.begin, self.following, self.shared = begin, following, shared
 
     @classmethod
     def of(cls, text: np.ndarray) -> Index:
+        bits = max(1, int(text.max(initial=0)).bit_length(), int(len(text)).bit_length())
+        order = suffixes(text, bits)
         begin = np.append(0, np.cumsum(np.bincount(text, minlength=1)))
-        return cls(mapping(text), mapping(text[::-1]), begin)
+        following = order_of(text[order - 1], bits).astype(np.int32)
+        padded = np.append(text, np.zeros(DEPTH, text.dtype))
+        shared, equal = np.zeros(len(text), np.uint8), np.ones(max(0, len(text) - 1), bool)
+        for k in range(DEPTH):
+            symbol = padded[order + k]
+            equal &= symbol[1:] == symbol[:-1]
+            shared[1:] += equal
+        return cls(begin, following, shared)
 
     def words(self) -> Phrases:
         """Every word as a phrase: symbol k + 1 is at place k."""
-        begin, size = self.begin[1:-1], np.diff(self.begin)[1:]
-        return Phrases(begin, begin, size)
-
-    def _one_side(self, to_first: np.ndarray, near: np.ndarray, far: np.ndarray, size: np.ndarray):
-        """All extensions on the side of a mapping.
-
-        ``near`` are the intervals' starts in that sorting, ``far`` those in the other one.
-        Returns owner, both starts and sizes of the longer phrases.
-        """
-        ends = np.cumsum(size)
-        rows = np.arange(ends[-1] if len(ends) else 0) + np.repeat(near - (ends - size), size)
-        places = to_first[rows].astype(np.int64)
-        # Rows of one phrase with one symbol lie together in the extended interval.
-        order = order_of(places, max(1, len(to_first).bit_length()))
-        places = places[order]
-        owner = np.repeat(np.arange(len(size)), size)[order]
-        symbol = np.searchsorted(self.begin, places, "right") - 1
-        new = np.ones(len(places), bool)
-        new[1:] = (owner[1:] != owner[:-1]) | (symbol[1:] != symbol[:-1])
-        heads = np.flatnonzero(new)
-        count = np.diff(np.append(heads, len(places)))
-        owner, symbol, start = owner[heads], symbol[heads], places[heads]
-        bits = max(1, len(self.begin).bit_length())
-        by_owner = order_of(owner << bits | symbol, bits + max(1, len(size).bit_length()))
-        before = np.cumsum(count[by_owner]) - count[by_owner]
-        fresh = np.ones(len(by_owner), bool)
-        fresh[1:] = owner[by_owner][1:] != owner[by_owner][:-1]
-        smaller = np.empty(len(count), np.int64)
-        smaller[by_owner] = before - np.repeat(before[fresh], np.diff(np.append(np.flatnonzero(fresh), len(fresh))))
-        word = symbol > 0
-        return owner[word], start[word], (far[owner] + smaller)[word], count[word]
+        return Phrases(self.begin[1:-1], np.diff(self.begin)[1:], 1)
 
     def extended(self, phrases: Phrases) -> Extended:
         """All phrases one word longer whose first and last parts are both in ``phrases``."""
-        left_of, forward, backward, size = self._one_side(self.forward, phrases.forward, phrases.backward, phrases.size)
-        right_of, _, other, _ = self._one_side(self.backward, phrases.backward, phrases.forward, phrases.size)
-        _, left, right = np.intersect1d(forward, other, assume_unique=True, return_indices=True)
-        longer = Phrases(forward[left], backward[left], size[left])
-        return Extended(longer, right_of[right], left_of[left])
+        place = np.full(len(self.shared), -1, np.int32)
+        place[ranges(phrases.start, phrases.size)] = np.repeat(np.arange(len(phrases.size), dtype=np.int32), phrases.size)
+        heads = np.flatnonzero(self.shared <= phrases.words)
+        ends = np.append(heads[1:], len(self.shared))
+        some = place[heads] >= 0
+        heads, ends = heads[some], ends[some]
+        last = place[self.following[heads]]
+        some = last >= 0
+        heads, ends, last = heads[some], ends[some], last[some]
+        return Extended(Phrases(heads, ends - heads, phrases.words + 1), place[heads], last)

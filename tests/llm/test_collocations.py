@@ -5,6 +5,7 @@ from __future__ import annotations
 import random
 import re
 from collections import Counter
+from pathlib import Path
 
 import duckdb
 import numpy as np
@@ -98,3 +99,38 @@ def test_query_matches_sql(spark):
     got = queries.op13_phrase_mining(spark, tables)
     assert got.columns == ["lang", "rank", "phrase", "a", "l", "r", "n", "score"]
     assert sorted(tuple(r) for r in got.collect()) == sorted(expected) and len(expected) > 50
+
+
+def test_files_of_a_run_are_smaller_than_the_texts(spark):
+    rng = np.random.default_rng(5)
+    words = np.array([f"{'abcdefg'[k % 7] * 3}{k:x}" for k in range(5000)])
+    texts = [" ".join(words[np.minimum(rng.zipf(1.3, 3000), 5000) - 1]) for _ in range(100)]
+    folder = Path(spark.conf.get("spark.checkpoint.dir"))
+    used = lambda: sum(f.stat().st_size for f in folder.rglob("*.parquet"))
+    before = used()
+    docs = spark.createDataFrame([("en", t) for t in texts], "lang string, text string").coalesce(1)
+    assert collocations.collocations(docs).count() > 0
+    assert used() - before < sum(map(len, texts))
+
+
+@pytest.mark.parametrize("n, limit", [(1, 1), (1, 1 << 40), (5, 3), (1000, 1), (3000, 1 << 34), (500, 1 << 62)])
+def test_rising_numbers_take_few_bits(n, limit):
+    from poolweave.llm.packed import pack_rising, unpack_rising
+
+    values = np.sort(np.random.default_rng(n).integers(0, limit, n))
+    data = pack_rising(values.astype(np.uint64))
+    assert (unpack_rising(data, n) == values).all()
+    assert 8 * len(data) <= n * (max(0, np.log2(limit / n)) + 2.1) + 32
+
+
+@pytest.mark.parametrize("most, parts", [(0, 1), (2, 7), (40_000, 33), ((1 << 32) - 1, 9000)])
+def test_keys_tell_their_ids(most, parts):
+    from poolweave.llm.collocations import Keys
+
+    first, last = np.random.default_rng(6).integers(0, most, (2, 4000), endpoint=True)
+    keys = Keys(most, parts)
+    numbers, order = keys.ordered(first, last)
+    assert (np.diff(numbers.astype(object)) >= 0).all()
+    assert [x.tolist() for x in keys.ids(numbers)] == [first[order].tolist(), last[order].tolist()]
+    assert keys.part_of(numbers).max() < parts
+    assert (numbers >= keys.begin_of(1) * keys.part_of(numbers).astype(np.uint64)).all()

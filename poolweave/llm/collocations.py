@@ -64,20 +64,51 @@ def collocations(docs: DataFrame, least: int = LEAST, top: int = TOP) -> DataFra
     spark = docs.sparkSession
     texts = docs.select(F.coalesce("lang", F.lit("und")).alias("lang"), F.coalesce("text", F.lit("")).alias("text"))
     name = f"phrase_shards_{scratch_path(spark, 'x').rsplit('-', 1)[1]}"
-    buckets = 4 * int(spark.conf.get("spark.sql.shuffle.partitions"))
     schema = "lang string, shard bigint, n bigint, n_words int, words binary, codes binary, counts binary, following binary, shared binary"
-    # Bucketed by shard: the joins below read a shard where it lies.
-    texts.mapInArrow(_shards, schema).write.bucketBy(buckets, "shard").sortBy("shard").option(
-        "path", scratch_path(spark, "phrase-shards")
-    ).saveAsTable(name)
+    by_shard = ByShard(spark, name)
     try:
-        return _ranked(spark, name, least, top)
+        by_shard.write(texts.mapInArrow(_shards, schema), 0)
+        return _ranked(by_shard, least, top)
     finally:
-        spark.sql(f"DROP TABLE {name}")  # the name only, its files stay until the scratch folder goes
+        by_shard.forget()
 
 
-def _ranked(spark: SparkSession, name: str, least: int, top: int) -> DataFrame:
-    shards = spark.table(name)
+class ByShard:
+    """Tables bucketed by shard, which are joined where they lie."""
+
+    def __init__(self, spark: SparkSession, name: str) -> None:
+        self.spark, self.name, self.tables = spark, name, []
+        self.buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+    def write(self, rows: DataFrame, words: int) -> None:
+        """The indexes (0), or the answers to phrases of so many words."""
+        self.tables.append(f"{self.name}_{words}")
+        path = scratch_path(self.spark, "phrase-shards")
+        rows.write.bucketBy(self.buckets, "shard").sortBy("shard").option("path", path).saveAsTable(self.tables[-1])
+
+    def write_answers(self, found: DataFrame, words: int) -> None:
+        answer = F.struct("part", "n", "places", "ranks")
+        dealt = found.filter("shard IS NOT NULL").repartition(self.buckets, "shard")
+        self.write(dealt.groupBy("shard").agg(F.collect_list(answer).alias(f"answers_{words}")), words)  # of one shard
+
+    def indexes(self) -> DataFrame:
+        return self.spark.table(self.tables[0])
+
+    def joined(self, *columns: str) -> DataFrame:
+        """Columns of the indexes with all answers; shards without the last ones have no longer phrases."""
+        out = self.indexes().select("shard", *columns)
+        for table in self.tables[1:]:
+            # Hashed, not sorted: rows of an index are some megabytes each.
+            out = out.join(self.spark.table(table).hint("shuffle_hash"), "shard")
+        return out
+
+    def forget(self) -> None:
+        for table in self.tables:
+            self.spark.sql(f"DROP TABLE IF EXISTS {table}")  # the name only, its files stay until the scratch folder goes
+
+
+def _ranked(by_shard: ByShard, least: int, top: int) -> DataFrame:
+    shards = by_shard.indexes()
     n = shards.agg(F.sum("n")).first()[0] or 0
     parts, word_parts = n // PART_WORDS + 1, min(n // (WORD_PARTS * PART_WORDS) + 1, _CODES)
 
@@ -93,18 +124,13 @@ def _ranked(spark: SparkSession, name: str, least: int, top: int) -> DataFrame:
     known = found.filter("word IS NOT NULL").select(
         "id", "a", "lang", F.col("word").alias("phrase"), F.col("word").alias("last"), none.alias("firsts"), none.alias("lasts")
     )
-    levels, answers, keys = [], None, []
-    index = shards.select("shard", "n", "n_words", "codes", "counts", "following", "shared").withColumnRenamed("n", "n_rows")
+    levels, keys = [], []
     for words_now in range(2, DEPTH + 1):
-        answer = found.filter("shard IS NOT NULL").select(
-            "shard", F.struct(F.lit(words_now - 1).alias("words"), "part", "n", "places", "ranks").alias("answer")
-        )
-        answers = answer if answers is None else answers.unionAll(answer)
-        state = answers.groupBy("shard").agg(F.collect_list("answer").alias("answers"))  # of one shard
+        by_shard.write_answers(found, words_now - 1)
         most = found.agg(F.max("id")).first()[0] or 0
         keys = [*keys, Keys(most, parts)]
-        # Hashed, not sorted: rows of an index are some megabytes each.
-        sent = index.join(state.hint("shuffle_hash"), "shard").mapInArrow(_sent_phrases(keys, word_parts), _SENT)
+        known_shards = by_shard.joined("n", "n_words", "codes", "counts", "following", "shared")
+        sent = known_shards.mapInArrow(_sent_phrases(keys, word_parts), _SENT)
         found = summed(sent, _frequent_phrases(least, keys[-1]))
         new = found.filter("first_id IS NOT NULL").select("id", "a", "first_id", "last_id")
         known_parts = known.select(F.col("id").alias("part_id"), F.col("a").alias("part_a"), "lang", "phrase", "last", "firsts", "lasts")
@@ -296,16 +322,13 @@ def _sent_phrases(keys: list[Keys], word_parts: int):
     """
 
     def longest(row: dict) -> tuple[np.ndarray, np.ndarray]:
-        answers: dict[int, list[dict]] = {}
-        for x in row["answers"]:
-            answers.setdefault(x["words"], []).append(x)
         begin = np.append(0, np.cumsum(unpack(row["counts"], row["n_words"] + 1)))
-        following = np.cumsum(unpack(row["following"], row["n_rows"]).astype(np.uint32), dtype=np.uint32).astype(np.int32)
-        index = Index(begin, following, unpack(row["shared"], row["n_rows"]).astype(np.uint8))
+        following = np.cumsum(unpack(row["following"], row["n"]).astype(np.uint32), dtype=np.uint32).astype(np.int32)
+        index = Index(begin, following, unpack(row["shared"], row["n"]).astype(np.uint8))
         order, part = _words_by_part(row["codes"], word_parts)
         phrases, parts = index.words(), word_parts
         for k, own in enumerate(keys):
-            places, ids = _answered(answers.get(k + 1, []), part, parts)
+            places, ids = _answered(row[f"answers_{k + 1}"], part, parts)
             longer = index.extended(phrases.taken(order[places]))
             numbers, order = own.ordered(ids[longer.without_last], ids[longer.without_first])
             phrases, part, parts = longer.phrases, own.part_of(numbers), own.parts

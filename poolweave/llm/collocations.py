@@ -38,8 +38,8 @@ LEAST = 100
 TOP = 2000
 _SHARDS_PER_TASK = 1 << 11
 
-PART_WORDS = 1_000_000  # words of all texts for each part of the keys
-WORD_PARTS = 4  # so many parts of phrases are one part of the words, of which a shard has fewer
+PART_WORDS = 2_000_000  # words of all texts for each part of the keys; each shard sends a row to each part
+WORD_PARTS = 2  # so many parts of phrases are one part of the words, of which a shard has fewer
 _CODES = 1 << 16
 
 _SENT = "part int, lang string, shard bigint, n int, keys binary, counts binary"
